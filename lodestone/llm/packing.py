@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks, parts_for, table
-from .tokens import TokenCache, default_path
+from .tokens import default_path, worker_cache
 
 SEQUENCE, FINAL_ID, GROUP_DOCS, SEED = 2048, 1, 512, 11
 
@@ -66,8 +66,8 @@ def tokenised(docs: DataFrame, path: str, groups: int, seed: int = SEED, final_i
     def run(batches):
         import pyarrow as pa
 
-        cache = TokenCache(path)
-        kind = np.uint16 if cache.tokenizer.get_vocab_size() <= 65536 else np.uint32
+        cache = worker_cache(path)
+        kind = cache.kind
         for g, ids, texts in chunks(batches, ["g", "doc_id", "text"], 4 << 20):
             flat, n = cache.encode(texts)
             ends = np.cumsum(n)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks, cut, shared_dir, table
-from .tokens import TokenCache, default_path
+from .tokens import default_path, worker_cache
 
 KEYS = ["source", "lang", "version"]
 SCHEMA = "source string, lang string, version string, n_docs long, n_tokens long"
@@ -30,7 +30,7 @@ def counted(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        cache = TokenCache(path)
+        cache = worker_cache(path)
         for ids, source, lang, texts in chunks(batches, ["doc_id", "source", "lang", "text"], 4 << 20):
             n = cache.counts(texts)
             words = [len(t.split()) if t else 0 for t in texts]

@@ -1,15 +1,25 @@
-"""Token ids by a public tokenizer, memoised per whitespace-delimited word.
+"""Token ids by a public tokenizer, memoised per whitespace-delimited word and per piece of a word.
 
-The tokenizer's pre-tokeniser never joins characters across ASCII white space and drops it, so the ids of a
-text are the ids of its words in order (tests compare with whole-text encoding). Words over 200 bytes are not kept.
+The tokenizer's pre-tokeniser drops ASCII white space and never joins characters across it, so the ids of a text are
+the ids of its words in order, and those of a word are the ids of its runs of letters, single digits and runs of
+other characters (tests compare with whole-text encoding). Words beyond Latin letters go to the tokenizer whole.
+A worker keeps its memory between tasks, up to a bound.
 """
 
 from __future__ import annotations
 
 import os
+import re
+from array import array
 
 import numpy as np
 
+#: The pre-tokeniser's pattern (fixed value), for lower-case ASCII.
+ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+LATIN = re.compile(r"[^\W\d_]+|[0-9]|(?:[^\w]|_)+")
+LATIN_DIGITS = re.compile("[²³¹¼-¾\u0080- ']")
+_caches: dict[str, TokenCache] = {}
+
 
 def default_path() -> str:
     import public_tokenizers
@@ -17,35 +27,89 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def worker_cache(path: str) -> TokenCache:
+    if path not in _caches:
+        _caches[path] = TokenCache(path)
+    return _caches[path]
+
+
+class _Numbered(dict):
+    """Numbers keys as they come, and lists the new ones."""
+
+    def __init__(self):
+        self.new: list = []
+
+    def __missing__(self, key):
+        self[key] = n = len(self)
+        self.new.append(key)
+        return n
+
+
 class TokenCache:
-    def __init__(self, path: str, bound: int = 400_000):
+    def __init__(self, path: str, words: int = 700_000, pieces: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.bound = Tokenizer.from_file(path), bound
-        self.reset()
-
-    def reset(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.new: list[bytes] = []
-        self.starts, self.lens, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _learn(self, words: set[bytes]) -> None:
-        fresh = [w for w in words if w not in self.known]
-        if not fresh:
-            return
-        found = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)]
-        at = len(self.known)
-        self.known.update(zip(fresh, range(at, at + len(fresh))))
-        lens = np.fromiter(map(len, found), np.int64, len(found))
+        self.tokenizer, self.most_words, self.most_pieces = Tokenizer.from_file(path), words, pieces
+        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 65536 else np.uint32
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.pieces: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = _Numbered()
+        self.starts, self.lens, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.kind)
+
+    def _encode_pieces(self, fresh: list[str]) -> None:
+        """Letters-only pieces go joined by spaces: each ends with exactly one end-of-word token. Others go one by one."""
+        plain = [p for p in fresh if p.isascii() and p.isalpha()] if self.ends.any() else []
+        for at in range(0, len(plain), 5000):
+            some = plain[at : at + 5000]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.int64)
+            cuts = np.nonzero(self.ends[ids])[0] + 1
+            if len(cuts) == len(some) and cuts[-1] == len(ids):
+                every, start = ids.tolist(), 0
+                for p, end in zip(some, cuts.tolist()):
+                    self.pieces[p] = every[start:end]
+                    start = end
+        rest = [p for p in fresh if p not in self.pieces]
+        for p, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
+            self.pieces[p] = e.ids
+
+    def _learn(self, words: list[bytes]) -> None:
+        split = []
+        for w in words:
+            if b"<|" in w:  # may hold a special token's string
+                split.append([w.decode("utf-8", "replace")])
+            elif w.isascii():
+                split.append(ASCII.findall(w.decode("ascii").lower()))
+            else:
+                s = w.decode("utf-8", "replace")
+                split.append(LATIN.findall(s) if max(s) < "ɐ" and not LATIN_DIGITS.search(s) else [s])
+        if len(self.pieces) > self.most_pieces:
+            self.pieces.clear()
+        fresh = list({p for s in split for p in s if p not in self.pieces})
+        if fresh:
+            self._encode_pieces(fresh)
+        flat, lens, pieces = array("I"), [], self.pieces
+        for s in split:
+            n = 0
+            for p in s:
+                ids = pieces[p]
+                flat.extend(ids)
+                n += len(ids)
+            lens.append(n)
+        lens = np.array(lens, np.int64)
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lens) - lens])
         self.lens = np.concatenate([self.lens, lens])
-        self.flat = np.concatenate([self.flat, np.fromiter((i for f in found for i in f), np.uint32, int(lens.sum()))])
+        self.flat = np.concatenate([self.flat, np.frombuffer(flat, np.uint32).astype(self.kind)]) if len(flat) else self.flat
 
     def lookup(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Word ids of all texts, and the number of words of each; null is empty."""
-        if len(self.known) > self.bound:
-            self.reset()
+        """Word numbers of all texts, and the number of words of each; null is empty."""
+        if len(self.known) > self.most_words:
+            self._forget()
         words: list[bytes] = []
         counts = np.zeros(len(texts), np.int64)
         for i, t in enumerate(texts):
@@ -53,8 +117,11 @@ class TokenCache:
                 w = t.split()
                 counts[i] = len(w)
                 words += w
-        self._learn(set(words))
-        return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)), counts
+        found = np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
+        if self.known.new:
+            new, self.known.new = self.known.new, []
+            self._learn(new)
+        return found, counts
 
     def counts(self, texts: list[bytes | None]) -> np.ndarray:
         ids, n = self.lookup(texts)
@@ -67,6 +134,7 @@ class TokenCache:
         ids, n = self.lookup(texts)
         lens = self.lens[ids]
         total = np.concatenate([[0], np.cumsum(lens)])
-        place = np.repeat(self.starts[ids] - total[:-1], lens) + np.arange(total[-1])
+        place = np.repeat(self.starts[ids] - total[:-1], lens)
+        place += np.arange(total[-1])
         ends = np.cumsum(n)
         return self.flat[place], total[ends] - total[ends - n]
