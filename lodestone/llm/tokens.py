@@ -1,23 +1,22 @@
-"""Token ids by a public tokenizer, memoised per whitespace-delimited word and per piece of a word.
+"""Token ids by a public tokenizer, memoised per pre-token.
 
-The tokenizer's pre-tokeniser drops ASCII white space and never joins characters across it, so the ids of a text are
-the ids of its words in order, and those of a word are the ids of its runs of letters, single digits and runs of
-other characters (tests compare with whole-text encoding). Words beyond Latin letters go to the tokenizer whole.
-A worker keeps its memory between tasks, up to a bound.
+Texts of Latin letters are lowered and cut into pre-tokens here, by the tokenizer's own pattern; other texts (and
+those that may hold a special token's string) are cut at ASCII white space only, across which the tokenizer never joins
+characters. Each distinct piece is encoded once, and the ids of a text are those of its pieces in order (tests compare with whole-text
+encoding). A worker keeps its memory between tasks, up to a bound.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from array import array
 
 import numpy as np
 
-#: The pre-tokeniser's pattern (fixed value), for lower-case ASCII.
-ASCII = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-LATIN = re.compile(r"[^\W\d_]+|[0-9]|(?:[^\w]|_)+")
-LATIN_DIGITS = re.compile("[²³¹¼-¾\u0080- ']")
+#: The pre-tokeniser's pattern (fixed value), for ASCII and for Latin letters.
+ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
+LATIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
+BEYOND = re.compile("[^\x00-\x1b\x20-\x7f\xa1-\u024f]|[\xb2\xb3\xb9\xbc-\xbe\u0130]")
 _caches: dict[str, TokenCache] = {}
 
 
@@ -46,78 +45,68 @@ class _Numbered(dict):
 
 
 class TokenCache:
-    def __init__(self, path: str, words: int = 700_000, pieces: int = 700_000):
+    def __init__(self, path: str, most: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most_words, self.most_pieces = Tokenizer.from_file(path), words, pieces
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 65536 else np.uint32
         vocab = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.pieces: dict[str, list[int]] = {}
         self._forget()
 
     def _forget(self) -> None:
         self.known = _Numbered()
         self.starts, self.lens, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.kind)
 
-    def _encode_pieces(self, fresh: list[str]) -> None:
-        """Letters-only pieces go joined by spaces: each ends with exactly one end-of-word token. Others go one by one."""
-        plain = [p for p in fresh if p.isascii() and p.isalpha()] if self.ends.any() else []
-        for at in range(0, len(plain), 5000):
-            some = plain[at : at + 5000]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, np.int64)
+    def _learn(self, pieces: list[bytes | str]) -> None:
+        """ASCII letters go joined by spaces: each piece ends with exactly one end-of-word token. Others go one by one."""
+        names = [p.decode("utf-8", "replace") if isinstance(p, bytes) else p for p in pieces]
+        plain = np.fromiter((p.isascii() and p.isalpha() for p in names), bool, len(names)) & self.ends.any()
+        lens, found = np.zeros(len(names), np.int64), []
+        where, rest = np.nonzero(plain)[0], np.nonzero(~plain)[0].tolist()
+        for at in range(0, len(where), 5000):
+            some = where[at : at + 5000]
+            ids = np.array(self.tokenizer.encode(" ".join([names[i] for i in some]), add_special_tokens=False).ids, np.int64)
             cuts = np.nonzero(self.ends[ids])[0] + 1
             if len(cuts) == len(some) and cuts[-1] == len(ids):
-                every, start = ids.tolist(), 0
-                for p, end in zip(some, cuts.tolist()):
-                    self.pieces[p] = every[start:end]
-                    start = end
-        rest = [p for p in fresh if p not in self.pieces]
-        for p, e in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            self.pieces[p] = e.ids
-
-    def _learn(self, words: list[bytes]) -> None:
-        split = []
-        for w in words:
-            if b"<|" in w:  # may hold a special token's string
-                split.append([w.decode("utf-8", "replace")])
-            elif w.isascii():
-                split.append(ASCII.findall(w.decode("ascii").lower()))
+                lens[some] = np.diff(cuts, prepend=0)
+                found.append((some, ids))
             else:
-                s = w.decode("utf-8", "replace")
-                split.append(LATIN.findall(s) if max(s) < "ɐ" and not LATIN_DIGITS.search(s) else [s])
-        if len(self.pieces) > self.most_pieces:
-            self.pieces.clear()
-        fresh = list({p for s in split for p in s if p not in self.pieces})
-        if fresh:
-            self._encode_pieces(fresh)
-        flat, lens, pieces = array("I"), [], self.pieces
-        for s in split:
-            n = 0
-            for p in s:
-                ids = pieces[p]
-                flat.extend(ids)
-                n += len(ids)
-            lens.append(n)
-        lens = np.array(lens, np.int64)
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(lens) - lens])
-        self.lens = np.concatenate([self.lens, lens])
-        self.flat = np.concatenate([self.flat, np.frombuffer(flat, np.uint32).astype(self.kind)]) if len(flat) else self.flat
+                rest += some.tolist()
+        for at in range(0, len(rest), 5000):
+            some = rest[at : at + 5000]
+            every = [e.ids for e in self.tokenizer.encode_batch_fast([names[i] for i in some], add_special_tokens=False)]
+            lens[some] = [len(e) for e in every]
+            found.append((np.array(some), np.array([i for e in every for i in e], np.int64)))
+        starts, at = np.zeros(len(names), np.int64), len(self.flat)
+        for some, ids in found:
+            starts[some] = at + np.cumsum(lens[some]) - lens[some]
+            at += len(ids)
+        self.starts, self.lens = np.concatenate([self.starts, starts]), np.concatenate([self.lens, lens])
+        self.flat = np.concatenate([self.flat, *(ids.astype(self.kind) for _, ids in found)])
+
+    def _cut(self, text: bytes) -> list:
+        if b"<|" in text:
+            return text.split()
+        if text.isascii():
+            return ASCII.findall(text.lower())
+        s = text.decode("utf-8", "replace")
+        return text.split() if BEYOND.search(s) else LATIN.findall(s.lower())
 
     def lookup(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Word numbers of all texts, and the number of words of each; null is empty."""
-        if len(self.known) > self.most_words:
+        """Piece numbers of all texts, and the number of pieces of each; null is empty."""
+        if len(self.known) > self.most:
             self._forget()
-        words: list[bytes] = []
+        pieces: list = []
         counts = np.zeros(len(texts), np.int64)
         for i, t in enumerate(texts):
             if t:
-                w = t.split()
-                counts[i] = len(w)
-                words += w
-        found = np.fromiter(map(self.known.__getitem__, words), np.int32, len(words))
+                p = self._cut(t)
+                counts[i] = len(p)
+                pieces += p
+        found = np.fromiter(map(self.known.__getitem__, pieces), np.int32, len(pieces))
         if self.known.new:
             new, self.known.new = self.known.new, []
             self._learn(new)
