@@ -24,20 +24,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, SPACE, cut, sized_join, table
+from .common import NON_SPACE, cut, sized_join, table
 
 MIN_WORDS = 10
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """(doc_id, _h, pos, line): non-blank lines in one spacing."""
+    """(doc_id, _h, pos, line): non-blank lines in one spacing. Texts without odd spaces skip the regular expression."""
     text = F.col("text").cast("string")
-    each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_h"), F.posexplode(F.split(text, "\n")).alias("pos", "raw"))
-    return each.filter(F.col("raw").rlike(NON_SPACE)).select("doc_id", "_h", "pos", F.trim(F.regexp_replace("raw", SPACE, " ")).alias("line"))
-
-
-def n_words(line: Column) -> Column:
-    return F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit(""))) + 1
+    odd = F.lit(False)
+    for c in ("  ", "\t", "\r", "\x0b", "\f"):
+        odd = odd | F.contains(text, F.lit(c))
+    one = F.when(odd, F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " ")).otherwise(text)
+    each = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("_h"), F.posexplode(F.split(one, "\n")).alias("pos", "raw"))
+    return each.select("doc_id", "_h", "pos", F.trim("raw").alias("line")).filter("line != ''")
 
 
 def rank() -> Column:
@@ -45,32 +45,43 @@ def rank() -> Column:
     return F.struct("doc_id", "_h", "pos")
 
 
-def linked(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+KEYS = {"k1": "xxhash64(line)", "k2": "xxhash64(29, line)"}
+
+
+def keyed_lines(docs: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, _h, pos, k1, k2, halves): hashes of each line and, from min_words words on, of its halves at both lengths a partner may imply."""
+    half = lambda h: [f"xxhash64(0, {h}, substring_index(line, ' ', {h}))", f"xxhash64(1, {h}, substring_index(line, ' ', -{h}))"]
+    even, odd = half("CAST(n DIV 2 AS INT)"), half("CAST((n - 1) DIV 2 AS INT)")
+    keys = F.expr(f"CASE WHEN n < {min_words} THEN NULL WHEN n % 2 = 0 THEN array({', '.join([*even, *odd])}) ELSE array({', '.join(even)}) END")
+    lines = lines_of(docs).withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
+    return lines.select("doc_id", "_h", "pos", *[F.expr(e).alias(k) for k, e in KEYS.items()], keys.alias("halves"))
+
+
+def linked(docs: DataFrame, lines: DataFrame, bound: int = 1_000_000) -> DataFrame:
     """(k1, k2, early): distinct lines with the earliest place of a verified line one word edit away that comes before them."""
-    long = lines.filter(F.col("n") >= min_words)
-    whole = cut(long.groupBy("k1", "k2").agg(F.min(rank()).alias("first"), F.min("line").alias("line"), F.min("n").alias("n"), F.min("halves").alias("halves")))
-    sides = whole.select("k1", "k2", F.explode(F.array_distinct("halves")).alias("half"))
-    shared = sides.groupBy("half").count().filter("count > 1").select("half")
-    some = sides.join(shared, "half").select("k1", "k2").distinct()
-    lines2 = cut(whole.drop("halves").join(some, ["k1", "k2"], "left_semi"))
+    sides = lines.filter("halves IS NOT NULL").select("k1", F.explode("halves").alias("half"))
+    shared = sides.groupBy("half").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo != hi").select("half")
+    some = cut(sides.join(shared, "half").select("k1").distinct())
+    texts = lines_of(docs).withColumns({k: F.expr(e) for k, e in KEYS.items()})
+    lines2 = cut(sized_join(texts, some, ["k1"], "left_semi", bound).groupBy("k1", "k2").agg(F.min(rank()).alias("first"), F.min("line").alias("line")))
     # Running xors over the words of each line; the exchange comes before the explode.
-    word = lines2.select("k1", "k2", "first", "line").repartition("k1", "k2").select("k1", "k2", "first", F.posexplode(F.split("line", " ")).alias("i", "w"))
-    upto = W.partitionBy("k1", "k2").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
-    every = W.partitionBy("k1", "k2")
-    here, left = F.xxhash64("w", "i"), F.xxhash64("w", F.col("i") - 1)
-    v = word.select("k1", "k2", "first", "i", here.alias("a"), left.alias("b"))
-    v = v.select("k1", "k2", "first", "i", (F.bit_xor("a").over(upto).bitwiseXOR(F.col("a"))).alias("before"), F.bit_xor("b").over(every).bitwiseXOR(F.bit_xor("b").over(upto)).alias("after"), F.bit_xor("a").over(every).alias("full"))
-    variants = cut(v.select("k1", "k2", "first", "i", F.col("before").bitwiseXOR(F.col("after")).alias("v"), "full"))
+    word = lines2.repartition("k1", "k2").select("k1", "k2", "first", F.posexplode(F.split("line", " ")).alias("i", "w"))
+    every = W.partitionBy("k1", "k2").orderBy("i")
+    upto = every.rowsBetween(W.unboundedPreceding, 0)
+    whole = every.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    v = word.select("k1", "k2", "first", "i", F.xxhash64("w", "i").alias("a"), F.xxhash64("w", F.col("i") - 1).alias("b"))
+    v = v.select("k1", "k2", "first", "i", F.bit_xor("a").over(upto).bitwiseXOR(F.col("a")).alias("before"), F.bit_xor("b").over(whole).bitwiseXOR(F.bit_xor("b").over(upto)).alias("after"), F.bit_xor("a").over(whole).alias("full"))
+    variants = cut(v.select("k1", "first", "i", F.col("before").bitwiseXOR(F.col("after")).alias("v"), F.when(F.col("i") == 0, F.col("full")).alias("full")))
     # One word replaced: the earliest line of the same variant and place.
-    place = variants.groupBy("v", "i").agg(F.min("first").alias("early"), F.count(F.lit(1)).alias("c")).filter("c > 1").select("v", "i", "early")
-    replaced = variants.join(place, ["v", "i"]).filter("early < first").select("k1", "k2", "early")
-    # One word added or left out: a variant that is a whole line.
-    full = variants.filter("i = 0").select(F.col("full").alias("v"), "k1", "k2", "first")
-    met = variants.select("v", "first", "k1", "k2").join(full.select("v", F.col("first").alias("f"), F.col("k1").alias("f1"), F.col("k2").alias("f2")), "v")
-    by_whole = met.filter("f < first").select("k1", "k2", F.col("f").alias("early"))
-    by_variant = met.filter("first < f").select(F.col("f1").alias("k1"), F.col("f2").alias("k2"), F.col("first").alias("early"))
-    found = replaced.union(by_whole).union(by_variant).groupBy("k1", "k2").agg(F.min("early").alias("early"))
-    one = found.join(lines2.select("k1", "k2", "line"), ["k1", "k2"]).join(lines2.select(F.col("first").alias("early"), F.col("line").alias("other")), "early")
+    place = variants.groupBy("v", "i").agg(F.min("first").alias("early"), F.max("first").alias("late")).filter("early < late").select("v", "i", "early")
+    replaced = variants.select("v", "i", "first").join(place, ["v", "i"]).filter("early < first").select("first", "early")
+    # One word added or left out: a variant that is a whole line. Both sides are summed per hash first.
+    full = variants.filter("full IS NOT NULL").groupBy(F.col("full").alias("v")).agg(F.min("first").alias("f"))
+    met = variants.select("v", "first").join(full, "v")
+    by_whole = met.filter("f < first").select("first", F.col("f").alias("early"))
+    by_variant = met.filter("first < f").select(F.col("f").alias("first"), F.col("first").alias("early"))
+    found = replaced.union(by_whole).union(by_variant).groupBy("first").agg(F.min("early").alias("early"))
+    one = found.join(lines2, "first").join(lines2.select(F.col("first").alias("early"), F.col("line").alias("other")), "early")
     return one.filter(one_word_apart(F.split("line", " "), F.split("other", " "))).select("k1", "k2", "early")
 
 
@@ -84,37 +95,33 @@ def one_word_apart(a: Column, b: Column) -> Column:
     return same(a, b) + same(F.reverse(a), F.reverse(b)) >= F.greatest(F.size(a), F.size(b)) - 1
 
 
-def flagged(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, _h, flags): for each text with lines, an array of struct(pos, drop) over its non-blank lines."""
-    line = F.col("line")
-    lines = lines_of(docs).withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit(29), F.reverse("line")), "n": n_words(line)})
-    half = lambda h: [f"xxhash64(0, {h}, substring_index(line, ' ', {h}))", f"xxhash64(1, {h}, substring_index(line, ' ', -{h}))"]
-    keys = F.expr(f"array({', '.join([*half('CAST(n DIV 2 AS INT)'), *half('CAST((n - 1) DIV 2 AS INT)')])})")
-    near = linked(lines.withColumn("halves", F.when(F.col("n") >= min_words, keys)), min_words)
+def dropped(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, _h, gone): the sorted places of the lines that each text loses, for texts that lose any."""
+    lines = cut(keyed_lines(docs, min_words))
+    near = linked(docs, lines).select("k1", "k2", F.lit(True).alias("near"))
     places = lines.select("doc_id", "_h", "pos", "k1", "k2")
-    first = places.groupBy("k1", "k2").agg(F.min(rank()).alias("first"))
-    judged = first.join(near, ["k1", "k2"], "left").select("k1", "k2", "first", F.col("early").isNotNull().alias("all"))
-    marks = places.join(judged, ["k1", "k2"]).select("doc_id", "_h", F.struct("pos", (F.col("all") | (F.col("first") < rank())).alias("drop")).alias("m"))
-    return marks.groupBy("doc_id", "_h").agg(F.array_sort(F.collect_set("m")).alias("flags"))
+    first = places.groupBy("k1", "k2").agg(F.min(rank()).alias("first"), F.max(rank()).alias("last"))
+    judged = first.join(near, ["k1", "k2"], "left").filter("near OR first < last").select("k1", "k2", "first", F.coalesce("near", F.lit(False)).alias("near"))
+    marks = places.join(judged, ["k1", "k2"]).filter(F.col("near") | (F.col("first") < rank()))
+    return marks.groupBy("doc_id", "_h").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """All columns of docs with `text` stripped of dropped lines, and n_lines, n_dropped."""
-    flags = flagged(docs, min_words)
-    own = docs.withColumn("_k", F.xxhash64("text"))
-    joined = own.join(flags.select(F.col("doc_id").alias("_id"), F.col("_h").alias("_f"), "flags"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_f")), "left")
-    out = joined.select(*[F.col(c) for c in docs.columns if c != "text"], F.col("text").cast("string").alias("_text"), "flags").withColumn("n_lines", F.greatest(F.coalesce(F.size("flags"), F.lit(0)), F.lit(0)).cast("long"))
-    out = out.withColumn("n_dropped", F.coalesce(F.size(F.filter("flags", lambda m: m["drop"])), F.lit(0)).cast("long"))
-    text = F.when(F.col("n_dropped") > 0, kept_text(F.split("_text", "\n"), F.col("flags"))).otherwise(F.col("_text"))
-    return out.withColumn("text", text).select(*docs.columns, "n_lines", "n_dropped")
-
-
-def kept_text(lines: Column, flags: Column) -> Column:
-    """Lines without the dropped ones. Flags and the non-blank lines run in the same order, so one pass joins them."""
-    blank = F.filter(F.transform(lines, lambda x, i: F.struct(i.cast("int").alias("pos"), F.lit(False).alias("drop"), x.rlike(NON_SPACE).alias("word"))), lambda s: ~s["word"])
-    every = F.array_sort(F.concat(F.transform(blank, lambda s: F.struct(s["pos"].alias("pos"), s["drop"].alias("drop"))), flags))
-    both = F.zip_with(lines, every, lambda x, m: F.struct(x.alias("x"), m["drop"].alias("drop")))
-    return F.array_join(F.transform(F.filter(both, lambda s: ~s["drop"]), lambda s: s["x"]), "\n")
+    """All columns of docs with `text` stripped of dropped lines, and n_lines (not blank, before) and n_dropped."""
+    marks = dropped(docs, min_words).select(F.col("doc_id").alias("_id"), F.col("_h").alias("_f"), "gone")
+    joined = docs.withColumn("_k", F.xxhash64("text")).join(marks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_f")), "left")
+    text = F.col("text").cast("string")
+
+    def kept(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+        return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
+
+    lines = F.split(text, "\n")
+    stripped = F.when(F.col("gone").isNull(), text).otherwise(F.element_at(F.transform(F.array(lines), kept), 1))
+    n = F.coalesce(F.size(F.filter(lines, lambda x: x.rlike(NON_SPACE))), F.lit(0)).cast("long")
+    own = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    out = joined.select(*own, stripped.alias("text"), n.alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"))
+    return out.select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
