@@ -8,8 +8,9 @@ confirmed on full sets rebuilt from the whole texts.
 
 Equal sets collapse to one representative first. A band bucket is never expanded into pairs: members are tried
 against the bucket's smallest id; buckets that still hold several components are compared in tiles, first each
-member with its best partner per foreign component, until nothing new links, and at last every plausible pair
-between different components, so no link that joins components is lost.
+member with its best partner per foreign component, and at last every plausible pair
+between different components, so no link that joins components is lost. Parity bitmaps bound from below how much two sets
+differ, so most pairs of a large family that stays below the threshold are ruled out for certain within the tile.
 
 Defined cases: null, empty or wordless text has an empty set, n_shingles 0, its own component; fewer than five words make
 one shingle of the whole sequence; rows repeated with one doc_id are equal documents; a null doc_id links with nothing and is
@@ -24,9 +25,10 @@ from pyspark.sql import functions as F
 
 from .common import WordIds, as_long, chunks, cut, mix, parts_for, sized_join, table
 
-WORDS, BUCKETS, MANTISSA, ROWS, PERCENT = 5, 128, 10, 4, 85
+WORDS, BUCKETS, MANTISSA, PERCENT = 5, 128, 10, 85
 EMPTY = np.uint16(0xFFFF)
-TILE = 512
+TILE, ODD_BITS = 512, 1024
+STEP = np.uint64(0x9E3779B97F4A7C15)  # sets the bands apart
 
 
 def shingle_sets(texts: list[bytes | None], words: WordIds, k: int = WORDS) -> list[np.ndarray]:
@@ -72,15 +74,19 @@ def registers(sets: list[np.ndarray], buckets: int = BUCKETS, mantissa: int = MA
     return out.reshape(len(sets), buckets)
 
 
+def odd_sketches(sets: list[np.ndarray], bits: int = ODD_BITS) -> np.ndarray:
+    """Parity bitmaps: bits in which two sketches differ are at most the elements in which the sets differ."""
+    lens = np.fromiter(map(len, sets), np.int64, len(sets))
+    flat = mix(np.concatenate(sets) ^ np.uint64(0xA5A5A5A5)) % np.uint64(bits) if lens.sum() else np.zeros(0, np.uint64)
+    odd = np.bincount(np.repeat(np.arange(len(sets)), lens) * bits + flat.astype(np.int64), minlength=len(sets) * bits) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(len(sets), bits), axis=1)
+
+
 def estimate(a: np.ndarray, b: np.ndarray, mantissa: int = MANTISSA) -> tuple[np.ndarray, np.ndarray]:
-    """Jaccard estimates of every row of a with every row of b, corrected for registers that agree by chance, and the buckets in use."""
-    same = np.zeros((len(a), len(b)), np.int32)
-    used = np.zeros((len(a), len(b)), np.int32)
-    for j in range(a.shape[1]):
-        x, y = a[:, j, None], b[None, :, j]
-        both = (x != EMPTY) | (y != EMPTY)
-        used += both
-        same += both & (x == y)
+    """Jaccard estimates of rows of a with rows of b, corrected for registers that agree by chance, and the buckets in use."""
+    both = (a != EMPTY) | (b != EMPTY)
+    used = both.sum(1)
+    same = (both & (a == b)).sum(1)
     # Two unrelated minima agree where the leading zeros agree (about 1/3) and the mantissa does.
     chance = 1 / 3 / (1 << mantissa)
     return (same - used * chance) / np.maximum(used * (1 - chance), 1), used
@@ -99,12 +105,19 @@ def features(docs: DataFrame) -> DataFrame:
             lens = np.fromiter(map(len, sets), np.int64, len(sets))
             f1 = np.array([int(mix(s).sum()) & (2**64 - 1) for s in sets], np.uint64)
             f2 = np.array([int(mix(s + np.uint64(0x5851F42D4C957F2D)).sum()) & (2**64 - 1) for s in sets], np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lens), pa.array(as_long(f1)), pa.array(as_long(f2)), pa.array([r.tobytes() for r in sig], pa.binary())], ["doc_id", "n_shingles", "f1", "f2", "sig"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lens), pa.array(as_long(f1)), pa.array(as_long(f2)), pa.array([r.tobytes() + o.tobytes() for r, o in zip(sig, odd_sketches(sets))], pa.binary())], ["doc_id", "n_shingles", "f1", "f2", "sig"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long, sig binary")
 
 
-def band_rows(reps: DataFrame, rows: int = ROWS) -> DataFrame:
+def _columns(sigs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Registers, band keys (four registers as one number) and parity words of signatures."""
+    raw = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(sigs), -1)
+    head = np.ascontiguousarray(raw[:, : 2 * BUCKETS])
+    return head.view(np.uint16), head.view(np.uint64), np.ascontiguousarray(raw[:, 2 * BUCKETS :]).view(np.uint64)
+
+
+def band_rows(reps: DataFrame) -> DataFrame:
     """(band, rep): one row for each band of registers that are not all empty."""
 
     def run(batches):
@@ -113,10 +126,9 @@ def band_rows(reps: DataFrame, rows: int = ROWS) -> DataFrame:
         for b in batches:
             if not b.num_rows:
                 continue
-            sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(b.num_rows, -1)
-            keys = np.ascontiguousarray(sig).view(np.uint64) if rows == 4 else np.apply_along_axis(lambda x: int.from_bytes(x.tobytes(), "little") % (2**64), 2, sig.reshape(len(sig), -1, rows))
+            keys = _columns(b.column(1).to_pylist())[1]
             full = keys != np.uint64(2**64 - 1)
-            keys = mix(keys + np.arange(keys.shape[1], dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            keys = mix(keys + np.arange(keys.shape[1], dtype=np.uint64) * STEP)
             at = np.nonzero(full)
             yield pa.RecordBatch.from_arrays([pa.array(as_long(keys[at])), b.column(0).take(pa.array(at[0]))], ["band", "rep"])
 
@@ -185,22 +197,40 @@ def plausible(bands: DataFrame, reps: DataFrame, percent: int, best: bool) -> Da
         import pandas as pd
 
         found = [np.zeros((0, 2), np.int64)]
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(len(pdf), -1)
-        cols = {c: pdf[c].to_numpy() for c in ("rep", "n", "comp", "first", "second")}
+        registers_, keys, parity = _columns(list(pdf["sig"]))
+        cols = {c: pdf[c].to_numpy() for c in ("band", "rep", "n", "comp", "first", "second")}
+        t = percent / 100
+        steps = np.arange(keys.shape[1], dtype=np.uint64) * STEP
         for at in pdf.groupby(["band", "x", "y"]).indices.values():
             one, two = at[cols["first"][at]], at[cols["second"][at]]
             if not len(one) or not len(two):
                 continue
-            j, used = estimate(sig[one], sig[two])
-            t = percent / 100
-            ok = (j >= t - 5 * np.sqrt(t * (1 - t) / np.maximum(used, 1))) & (cols["comp"][one][:, None] != cols["comp"][two][None, :])
-            m, n = cols["n"][one][:, None], cols["n"][two][None, :]
-            ok &= 100 * np.minimum(m, n) >= percent * np.maximum(m, n)
+            bucket = np.nonzero(as_long(mix(keys[at[0]] + steps)) == cols["band"][at[0]])[0][0]
+            n, m = cols["n"][one][:, None], cols["n"][two][None, :]
+            ok = (cols["comp"][one][:, None] != cols["comp"][two][None, :]) & (100 * np.minimum(m, n) >= percent * np.maximum(m, n))
+            if len(one) == len(two) and (one == two).all():
+                ok &= cols["rep"][one][:, None] < cols["rep"][two][None, :]
             x, y = np.nonzero(ok)
-            a, b = cols["rep"][one][x], cols["rep"][two][y]
+            x, y = one[x], two[y]
+            # Sets of Jaccard t differ in at most (1 - t) / (1 + t) of their sizes, and so do parity words.
+            most = (cols["n"][x] + cols["n"][y]) * ((1 - t) / (1 + t)) + 1e-6
+            differ = np.zeros(len(x), np.int64)
+            for w in range(parity.shape[1]):
+                differ += np.bitwise_count(parity[x, w] ^ parity[y, w])
+                if w % 4 == 3:
+                    stay = differ <= most
+                    x, y, most, differ = x[stay], y[stay], most[stay], differ[stay]
+            # A pair is looked at in the first band it shares only.
+            for w in range(bucket):
+                stay = (keys[x, w] != keys[y, w]) | (keys[x, w] == np.uint64(2**64 - 1))
+                x, y = x[stay], y[stay]
+            j, used = estimate(registers_[x], registers_[y])
+            stay = j >= t - 5 * np.sqrt(t * (1 - t) / np.maximum(used, 1))
+            x, y, j = x[stay], y[stay], j[stay]
+            a, b = cols["rep"][x], cols["rep"][y]
             if best and len(x):
-                far = cols["comp"][two][y]
-                order = np.lexsort((-j[x, y], far, a))
+                far = cols["comp"][y]
+                order = np.lexsort((-j, far, a))
                 head = np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (far[order][1:] != far[order][:-1])])
                 a, b = a[order][head], b[order][head]
             found.append(np.stack([np.minimum(a, b), np.maximum(a, b)], 1))
@@ -224,19 +254,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = confirmed(tried, docs, percent)
     bands = bands.select("band", "rep")
     comp, marked = labelled(plain, links)
-    best = True
-    while True:
+    for best in (True, False):  # at last every plausible pair between components has been tried
         more = cut(plausible(bands, marked, percent, best).join(tried, ["a", "b"], "left_anti"))
-        fresh = None if more.isEmpty() else confirmed(more, docs, percent)
-        if fresh is not None:
-            tried = cut(tried.union(more))
-        if fresh is not None and not fresh.isEmpty():
+        if more.isEmpty():
+            break  # nothing plausible is left at all
+        fresh = confirmed(more, docs, percent)
+        if not fresh.isEmpty():
             links = cut(links.union(fresh))
             comp, marked = labelled(plain, links)
-        elif not best:
-            break
-        else:
-            best = False
+        tried = cut(tried.union(more))
     whole = reps.select("f1", "f2", "n_shingles", "rep").join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("f1", "f2", F.col("n_shingles").alias("_n"), F.coalesce("comp", "rep").alias("comp"))
     joined = found.join(whole, (found.f1 == whole.f1) & (found.f2 == whole.f2) & (found.n_shingles == whole._n) & found.doc_id.isNotNull(), "left")
     out = joined.select("doc_id", "n_shingles", F.coalesce("comp", "doc_id").alias("component_id"))
