@@ -29,9 +29,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordIds, chunks, cut, pack, parts_for, table, unpack
+from .common import WordIds, chunks, cut, pack, parts_for, release, table, unpack
 
-R, BLOCK_BYTES, PART_BYTES, HELD_OUT = 5, 12 << 20, 8 << 20, 10
+R, BLOCK_BYTES, PART_BYTES, HELD_OUT = 5, 10 << 20, 8 << 20, 10
 END, START = 0, 1  # local ids; words follow
 
 
@@ -46,17 +46,21 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        base, words = TaskContext.get().partitionId() << 32, WordIds()
+        base, words = TaskContext.get().partitionId() << 32, WordIds(bound=250_000)
         for ids, texts in chunks(batches, ["doc_id", "text"], block_bytes):
             words.trim()
-            split = [t.translate(LOWER).split() if t else [] for t in texts]
-            n = np.fromiter(map(len, split), np.int64, len(split))
-            known, local = np.unique(words.ids([w for s in split for w in s]), return_inverse=True)
+            each = [words.ids(t.translate(LOWER).split()).astype(np.int32) if t else np.zeros(0, np.int32) for t in texts]
+            del texts
+            n = np.fromiter(map(len, each), np.int64, len(each))
+            known, local = np.unique(np.concatenate(each), return_inverse=True)
+            del each
             stream = np.insert(local.astype(np.uint32) + 2, np.cumsum(n), END)
             held = np.array([held_out(i) for i in ids], np.uint8)
             names = np.array([-(2**63) if i is None else i for i in ids], np.int64)
             yield pa.RecordBatch.from_arrays([pa.array([base]), *(pa.array([pack(x)], pa.binary()) for x in (names, np.cumsum(n + 1), held, words.table()[known], stream))], ["block", "doc_ids", "ends", "held", "hashes", "stream"])
             base += 1
+            del local, stream
+            release()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "block long, doc_ids binary, ends binary, held binary, hashes binary, stream binary")
 
@@ -184,6 +188,7 @@ def bigram_requests(b: DataFrame, replies: DataFrame, parts: int, end_count: int
                 small = lambda x: x.astype(np.uint32) if not len(x) or x.max() < 2**32 else x.astype(np.uint64)
                 ww = small(uniq[1][at])
                 out.append((p, r["block"], pack(hh[heads]), pack(np.diff(np.append(heads, len(hh))).astype(np.uint32)), pack(ww), ww.itemsize, pack(train[at]), pack(wc[at].astype(np.uint32))))
+        release()
         return pd.DataFrame(out, columns=["part", "block", "h", "runs", "w", "width", "train", "wc"])
 
     schema = "part long, block long, h binary, runs binary, w binary, width int, train binary, wc binary"
@@ -236,6 +241,7 @@ def bigram_replies(requests: DataFrame, n: int, d: np.ndarray, seen: float) -> D
             out.append(("reply", block, int(key[0]), pack(count[own].astype(np.uint32)), pack(c[g]), pack(seen_p[g]), pack(low[:, g]), None, None, None))
         kept = count > 0
         out.append(("table", 0, int(key[0]), pack(count[kept]), None, None, None, _spectrum(count).tolist(), pack(np.diff(uh[kept], prepend=np.uint64(0))), pack(uw[kept])))
+        release()
         return pd.DataFrame(out, columns=[x.split()[0] for x in BIGRAMS_OUT.split(", ")])
 
     return requests.groupBy("part").applyInPandas(run, BIGRAMS_OUT)

@@ -161,8 +161,8 @@ def parse(docs: DataFrame, parts: int, blocks: int, span: int = SPAN, gram: int
                 if part < 0:
                     rows.append((part, pack(own[at]), pack(a[at]), pack(n[at] + span), None, None))
                 else:
-                    six = lambda x: pack(x[at].view(np.uint8).reshape(-1, 8)[:, :6])
-                    rows.append((part, pack(_gaps(own[at])), pack(_gaps(a[at]).astype(np.int32) if a.max() < 2**31 else _gaps(a[at])), pack(n[at].astype(np.uint8)), six(trigger), six(phrase)))
+                    six = lambda x: pack(x[at].view(np.uint8).reshape(-1, 8)[:, :6].ravel())
+                    rows.append((part, pack(_gaps(own[at])), pack(_gaps(a[at])), pack(n[at].astype(np.uint8)), six(trigger), six(phrase)))
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), [pa.int64()] + [pa.binary()] * 5)], RECORD.replace(" long", "").replace(" binary", "").split(", "))
 
     return docs.mapInArrow(run, RECORD)
@@ -190,8 +190,7 @@ def settle(records: DataFrame, blocks: int, span: int = SPAN) -> DataFrame:
             ids.append(np.cumsum(unpack(r.ids, np.int64)))
             raw = unpack(r.more, np.uint8)
             more.append(raw.astype(np.int64))
-            steps = unpack(r.at, np.int8)
-            at.append(np.cumsum(steps.view(np.int32 if len(steps) == 4 * len(raw) else np.int64).astype(np.int64)))
+            at.append(np.cumsum(unpack(r.at, np.int64)))
             trigger.append(_wide(r.trigger))
             phrase.append(_wide(r.phrase))
         ids, at, more, trigger, phrase = map(np.concatenate, (ids, at, more, trigger, phrase))
