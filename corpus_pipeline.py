@@ -9,7 +9,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lodestone.llm import line_dedup, mixing, near_dup, packing, quality
 from lodestone.llm.common import shared_dir
@@ -22,8 +21,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go from the texts; every document stays, if only with the text that is left. n_chars follows the text."""
-    out = line_dedup.dedup_lines(docs)
-    return out.select(*[F.length("text").cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns])
+    return line_dedup.stripped_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -108,20 +108,27 @@ def dropped(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """All columns of docs with `text` stripped of dropped lines, and n_lines (not blank, before) and n_dropped."""
-    marks = dropped(docs, min_words).select(F.col("doc_id").alias("_id"), F.col("_h").alias("_f"), "gone")
-    joined = docs.withColumn("_k", F.xxhash64("text")).join(marks, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_f")), "left")
-    text = F.col("text").cast("string")
+    marks = dropped(docs, min_words)
+    of, gone, text = lambda c: F.col(f"d.`{c}`"), F.col("m.gone"), F.col("d.text").cast("string")
+    joined = docs.alias("d").join(marks.alias("m"), of("doc_id").eqNullSafe(F.col("m.doc_id")) & (F.xxhash64(of("text")) == F.col("m._h")), "left")
 
     def kept(lines: Column) -> Column:
-        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
         return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
 
     lines = F.split(text, "\n")
-    stripped = F.when(F.col("gone").isNull(), text).otherwise(F.element_at(F.transform(F.array(lines), kept), 1))
+    stripped = F.when(gone.isNull(), text).otherwise(F.element_at(F.transform(F.array(lines), kept), 1))
     n = F.coalesce(F.size(F.filter(lines, lambda x: x.rlike(NON_SPACE))), F.lit(0)).cast("long")
-    own = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    out = joined.select(*own, stripped.alias("text"), n.alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"))
-    return out.select(*[c for c in docs.columns if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
+    n_dropped = F.coalesce(F.size(gone), F.lit(0)).cast("long")
+    own = [stripped.alias("text") if c == "text" else of(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    return joined.select(*own, n.alias("n_lines"), n_dropped.alias("n_dropped"))
+
+
+def stripped_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """The documents with their own columns only; n_chars, if any, follows the text."""
+    kept = {c: F.col("d.text_left") if c == "text" else F.length("d.text_left").cast("long") if c == "n_chars" else F.col(f"d._doc.`{c}`") for c in docs.columns}
+    whole = docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("_doc"))
+    return dedup_lines(whole, min_words).withColumnRenamed("text", "text_left").alias("d").select(*[x.alias(c) for c, x in kept.items()])
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,9 +88,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP,
 def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
     """The documents of the mix, whole: each appears as often as its taken words, rounded, make of it."""
     mixed = mix(docs, **kw).groupBy("doc_id", "_h").agg(F.max(F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0)).cast("int").alias("_times")).filter("_times > 0")
-    left = docs.withColumn("_h", F.xxhash64("text")).alias("d")
-    joined = left.join(mixed.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d._h") == F.col("m._h")))
-    return joined.select(*[F.col(f"d.{c}") for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy")).drop("_copy")
+    joined = docs.alias("d").join(mixed.alias("m"), F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.xxhash64("d.text") == F.col("m._h")))
+    copies = joined.select(F.struct(*[F.col(f"d.`{c}`") for c in docs.columns]).alias("_doc"), F.explode(F.sequence(F.lit(1), F.col("m._times"))))
+    return copies.select("_doc.*")
 
 
 def op7_mix_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -157,8 +157,9 @@ def judged(docs: DataFrame, *keep: str, min_words: int = MIN_WORDS, cutoff: floa
 
 def filtered(docs: DataFrame, **kw) -> DataFrame:
     """The documents kept, all columns."""
-    verdicts = judged(docs.withColumn("_h", F.xxhash64("text")), "doc_id", "_h", **kw).filter("kept").select(F.col("doc_id").alias("_id"), F.col("_h").alias("_k")).distinct()
-    return docs.join(verdicts, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_k")), "left_semi")
+    keyed = docs.select("doc_id", "text", *[c for c in ("lang", "source") if c in docs.columns], F.xxhash64("text").alias("_h"))
+    verdicts = judged(keyed, "doc_id", "_h", **kw).filter("kept").select("doc_id", "_h").distinct()
+    return docs.alias("d").join(verdicts.alias("v"), F.col("d.doc_id").eqNullSafe(F.col("v.doc_id")) & (F.xxhash64("d.text") == F.col("v._h")), "left_semi")
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
