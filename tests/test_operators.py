@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestone import catalog
 from lodestone.functions import text as X
+from lodestone.operators.sections import paths
 from lodestone.sources import catalogs
 from lodestone.sources.html import blocks_of
 
@@ -52,6 +53,30 @@ def test_html_blocks():
     assert blocks_of(html) == [("section_header", 2, "Head"), ("text", None, "a b"), ("table", None, "| x | 1 |")]
 
 
+def test_section_paths():
+    rows = [(True, None, "1. Scope"), (False, None, "a"), (True, None, "1.2 Aim"), (True, None, "Loose"), (False, None, "b"), (True, None, "IV. Next"), (False, None, "c")]
+    assert paths(rows) == [["1. Scope"], ["1. Scope"], ["1. Scope", "1.2 Aim"], ["1. Scope", "1.2 Aim", "Loose"], ["1. Scope", "1.2 Aim", "Loose"], ["IV. Next"], ["IV. Next"]]
+    assert paths([(True, 2, "x"), (True, 3, " y  z "), (True, 2, "w")]) == [["x"], ["x", "y z"], ["w"]]
+
+
+def test_page_section_paths(spark):
+    blocks = catalog.queries()["html_blocks"](spark, SF).toPandas().sort_values(["page_id", "pos"])
+    want = {}
+    for page, b in blocks.groupby("page_id"):
+        levels = {}
+        for pos, label, level, text in b[["pos", "label", "level", "text"]].itertuples(index=False):
+            if label == "section_header":
+                levels = {k: v for k, v in levels.items() if k < level} | {level: " ".join(text.split())}
+            want[page, pos] = " > ".join(v for _, v in sorted(levels.items()))
+    assert {(r.page_id, r.pos): r.path for r in catalog.queries()["page_section_paths"](spark, SF).collect()} == want
+
+
+def test_question_rewriting(spark):
+    assert one(spark, X.glossary_expand(F.lit("abc ab c"), {"ab": ["x", "y"], "abc": ["y"]})) == "abc ab c\ny; x"
+    assert one(spark, X.glossary_expand(F.lit("none"), {"ab": ["x"]})) == "none"
+    assert one(spark, X.product_question(F.lit("Do A1, B2 and C3 (B2, C3) differ?"), F.lit("B2|C3"), F.lit("A1"))) == "A1: Do A1, and differ?"
+
+
 def test_catalogs(spark, tmp_path):
     (tmp_path / "c.json").write_text(json.dumps({"meta": {}, "data": [{"a": 1}, {"a": 2}]}))
     assert catalogs.json_rows(spark, str(tmp_path / "c.json")).count() == 2
