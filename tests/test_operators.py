@@ -95,3 +95,36 @@ def test_stream(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.table("hourly").agg(F.sum("n")).head()[0] == 1000
+
+
+def test_store_keys(spark):
+    from lodestone.sources.stores import outside, store_key
+
+    cases = {"/srv/s/raw/a": "raw/a", "/srv/sx/raw/a": "/srv/sx/raw/a", "D:\\w\\data\\raw\\b\\c": "raw/b/c", "raw/a": "raw/a", "": "", None: None}
+    assert [one(spark, store_key(F.lit(k).cast("string"), "/srv/s")) for k in cases] == list(cases.values())
+    assert [one(spark, outside(F.lit(k), "/srv/s")) for k in ("/srv/s/raw/a", "/x", "raw/a")] == [False, True, False]
+
+
+def test_registrations(spark):
+    from lodestone.sources.registrations import registrations
+
+    products = spark.createDataFrame([(2, "ABC IV", "Co", "d2"), (1, "ABC", "Co", "d1"), (3, " ", "Co", "d3"), (None, "X", "Co", "d4"), (5, "Lone's", None, "d5")], "drug_code long, brand_name string, company_name string, din string")
+    made = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, None)], "drug_code long, ingredient_name string")
+    status = spark.createDataFrame([(1, 0, "Old", "2020-05-01", None), (1, 1, "Not read", "2000-01-01", None), (2, 0, "", "", "2019-03-02")], "drug_code long, pos int, status string, original_market_date string, history_date string")
+    got = {r.native_key: r.asDict() for r in registrations(products, made, status).collect()}
+    assert got == {
+        "DPD:abc:co": dict(native_key="DPD:abc:co", brand_name="Abc", ingredient="a, b", holder="Co", status="Old", first_market_date="2019-03-02", din=["d1", "d2"], drug_code=[1, 2], other_names=["ABC IV"]),
+        "DPD:lones:": dict(native_key="DPD:lones:", brand_name="Lone's", ingredient=None, holder=None, status=None, first_market_date=None, din=["d5"], drug_code=[5], other_names=[]),
+    }
+
+
+def test_grid_cells(spark):
+    from lodestone.operators.grids import grid_cells
+
+    rows = [(1, 0, y, 20, y + 10, f"row {k}") for k, y in enumerate((90, 70, 50))]
+    rows += [(1, x, y + up, x + 10, y + up + 10, f"{k}.5") for k, y in enumerate((90, 70, 50)) for x, up in ((40, 2), (80, -2))]
+    rows += [(1, 30, 30, 36, 40, "far"), (1, 60, 30, 66, 40, "note"), (1, 0, 30, 5, 40, " ")]
+    rows += [(2, 0, 10 * k, 5, 10 * k + 8, "12") for k in range(7)] + [(3, 0, 10 * k, 5, 10 * k + 8, "word") for k in range(9)]
+    cells = grid_cells(spark.createDataFrame(rows, "k int, l int, b int, r int, t int, text string"), "k").collect()
+    want = {(r, 0): f"row {r}" for r in range(3)} | {(r, c): f"{r}.5" for r in range(3) for c in (1, 2)} | {(3, 0): "far", (3, 1): "note"}
+    assert {(c.row, c.col): c.text for c in cells} == want and {c.k for c in cells} == {1}
