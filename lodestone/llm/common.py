@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"
 NON_SPACE = r"[^\x20\x09-\x0D]"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 NULL_ID = -(2**63)  # stands for a null doc_id inside numpy code
 
 
@@ -33,10 +34,19 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write to the shared folder as Parquet and read it back. Survives lost executors."""
+    """Cut the lineage: write to the shared folder as Parquet and read it back. Survives lost executors.
+
+    The written table makes the shuffle files of its query useless, so Spark is told to delete them at the query's end;
+    by default they stay until the driver's JVM collects what refers to them.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lodestone/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
