@@ -5,9 +5,9 @@ location and scatter come from concentration steps over a compact table of stati
 median/MAD start and a classical start, distances are taken, the 75 % of rows nearest form the subset (cut on a histogram of
 logarithmic distance bins, so groups of any size are only summed), and mean and covariance follow from the subset. The start with the smaller
 determinant wins, the scatter is made consistent by the median distance, reweighted once, and rows
-beyond the chi-squared cutoff go. Variance floors keep the determinant positive where a statistic
-is nearly constant, and keep clean rows of very regular sources from being called outliers. Groups with fewer than
-`min_group` rows are pooled by language, then all together.
+beyond the chi-squared cutoff go. Variance floors keep the determinant positive where a statistic is nearly constant; they
+are the resolution of each statistic, so each alone can reach the cutoff. Groups with fewer than `min_group` rows are
+pooled by language, then all together.
 
 Defined cases: null, empty and wordless texts fail the base rules with counts of 0; a null language or source is a
 group value of its own; repeated rows are judged alike; an empty table gives no rows; `filtered` keeps all columns, extra ones too.
@@ -15,6 +15,8 @@ group value of its own; repeated rows are judged alike; an empty table gives no
 
 from __future__ import annotations
 
+from math import log, log1p
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -24,7 +26,8 @@ from .common import NON_SPACE, SPACE, cut, sized_join, table
 MIN_WORDS, REPEAT_PERCENT, SUBSET, STEPS, MIN_GROUP = 50, 50, 0.75, 3, 200
 CUTOFF = 33.38  # chi-squared, 4 degrees, upper tail 1e-6
 MEDIAN, REWEIGHT = 3.357, 11.143  # chi-squared, 4 degrees: median and 97.5 %
-FLOORS = (0.08, 0.6, 1.0, 1.0)  # least standard deviations of the statistics
+# Least standard deviations: half a unit as a reader would state each statistic, half a character on a mean word of six and half a percentage point.
+FLOORS = (log(6.5 / 6), log1p(0.5), log1p(0.5), log1p(0.5))
 P, STARTS = 4, ("m", "c")
 
 

@@ -1,8 +1,12 @@
 import random
 
 
+import random
+
+import pytest
+
 import corpus_pipeline
-from lodestone.llm import near_dup
+from lodestone.llm import near_dup, quality
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -17,3 +21,27 @@ def test_stage_links_between_80_and_85(spark):
     docs = spark.createDataFrame([(i, " ".join(w), "en", "a", 1) for i, w in enumerate((base, near, far, far_two))], SCHEMA)
     assert {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, "").collect()} == {0, 3}
     assert {r.doc_id for r in near_dup.near_duplicates(docs).collect() if r.kept} == {0, 2, 3}
+
+
+def prose(rng, n):
+    return ["".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 8))) + str(rng.randint(0, 10**6)) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def verdicts(spark):
+    rng = random.Random(7)
+    texts = {i: " ".join(prose(rng, 80)) for i in range(300)}
+    texts[1000] = " ".join(w * 4 for w in prose(rng, 80))  # long words
+    texts[1001] = " ".join(w + "#" for w in prose(rng, 80))  # symbols
+    texts[1002] = "\n".join(f"sep\n{' '.join(prose(rng, 5))}" for _ in range(16))  # 15 of 32 lines repeat, no window of words does
+    passage = " ".join(prose(rng, 24))
+    texts[1003] = f"{passage} {' '.join(prose(rng, 52))} {passage}"  # 48 of 100 words repeat, in one line
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in texts.items()], SCHEMA)
+    return {r.doc_id: r for r in quality.judged(docs, "doc_id").collect()}
+
+
+@pytest.mark.parametrize("i", range(4), ids=["word length", "symbols", "duplicate lines", "repeated words"])
+def test_one_statistic_alone_is_an_outlier(verdicts, i):
+    r = verdicts[1000 + i]
+    assert not r.base_failed and not r.kept
+    assert all(verdicts[i].kept for i in range(300))
