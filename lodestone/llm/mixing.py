@@ -37,8 +37,9 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
     before, heavier = rank.rowsBetween(W.unboundedPreceding, -1), rank.rowsBetween(0, W.unboundedFollowing)
     df = df.withColumn("level", (F.col("all") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / F.sum("weight").over(heavier))
     df = df.withColumn("free", F.col("cap") / F.col("weight") > F.col("level"))
-    level = F.min(F.when(F.col("free"), F.struct(F.col("cap") / F.col("weight"), F.col("level")))).over(every)["level"]
-    return df.withColumn("level", level).select("source", "n_docs", "source_size", F.when(F.col("level").isNull() | (F.col("cap") / F.col("weight") <= F.col("level")), F.col("cap")).otherwise(F.col("weight") * F.col("level")).alias("target"))
+    # Of tied sources the first has no tied one counted as capped; its level is the highest.
+    level = F.min(F.when(F.col("free"), F.struct(F.col("cap") / F.col("weight"), (-F.col("level")).alias("lower")))).over(every)["lower"]
+    return df.withColumn("level", -level).select("source", "n_docs", "source_size", F.when(F.col("level").isNull() | (F.col("cap") / F.col("weight") <= F.col("level")), F.col("cap")).otherwise(F.col("weight") * F.col("level")).alias("target"))
 
 
 def sainte_lague(df: DataFrame, by: list[str], name: list[str], weight: str, seats: str, out: str) -> DataFrame:
