@@ -6,7 +6,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from lodestone.llm import near_dup, quality
+from lodestone.llm import mixing, near_dup, quality, secrets
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -45,3 +45,29 @@ def test_one_statistic_alone_is_an_outlier(verdicts, i):
     r = verdicts[1000 + i]
     assert not r.base_failed and not r.kept
     assert all(verdicts[i].kept for i in range(300))
+
+
+def found(spark, rows):
+    return {r.doc_id: r for r in secrets.find_secrets(spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], SCHEMA)).collect()}
+
+
+def test_copies_of_one_text_leave_a_secret_live(spark):
+    key = "Qw3rTyUiOpAsDfGhJk12L"
+    got = found(spark, [(i, f"see {key}", f"s{i}") for i in range(12)] + [(100 + i, f"own {i} Zx8cVbNmAsDfGhJkL5qWe", f"s{i % 3}") for i in range(12)])
+    assert all((got[i].spans, got[i].n_live, got[i].n_example) == ("owned:4:25", 1, 0) for i in range(12))
+    assert all((got[100 + i].spans, got[100 + i].n_live, got[100 + i].n_example) == ("", 0, 1) for i in range(12))
+
+
+def test_candidates_by_entropy(spark):
+    keys = ["k3v9x2m8q5w7r1t6z4p0", "MZXW6YTBOI5QKRCHN2VD", "83920174655019382746", "qLwPzKdMxVbTnRgHsYcJ"]
+    prose = ["internationalization", "losasmentementementemente", "aaaaaaaaaaaaaaaaaaaa", "state-of-the-art-and-so-on"]
+    assert all(map(secrets.credential_like, keys)) and not any(map(secrets.credential_like, prose))
+    got = found(spark, [(i, f"see {k}", "a") for i, k in enumerate(keys + prose)])
+    assert [got[i].n_live for i in range(8)] == [1] * 4 + [0] * 4
+
+
+def test_tied_sources_share_the_whole_mix(spark):
+    sizes = spark.createDataFrame([(s, 1, 1200) for s in "abcdef"], "source string, n_docs long, source_size long")
+    got = {r.source: r.target for r in mixing.targets(sizes).collect()}
+    assert sum(got.values()) == pytest.approx(1.5 * 6 * 1200)
+    assert got["b"] == pytest.approx(1000) and got["a"] == got["d"] == 2400
