@@ -25,9 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured (tests)."""
+    """The folder that driver and executors share; a temporary one only in local mode (tests). A cluster must name one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lodestone-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -41,13 +43,19 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lodestone/{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    if spark.conf.get(CLEANUP, "false") != "true":
+        spark.conf.set(CLEANUP, "true")  # once for the session
+    df.write.option("compression", "zstd").parquet(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.cut_path = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes tables of `cut` that nothing reads any more: call it only after what depends on them has been cut itself."""
+    for df in frames:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.cut_path)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str, bound: int = 200_000) -> DataFrame:
@@ -56,8 +64,26 @@ def sized_join(big: DataFrame, small: DataFrame, on: list[str], how: str, bound:
     return big.join(F.broadcast(small) if n <= bound else small, on, how)
 
 
-def parts_for(total: float, each: float, most: int = 100_000) -> int:
-    return int(min(most, max(1, -(-int(total) // int(each)))))
+def skew_join(big: DataFrame, small: DataFrame, on: list[str], how: str, most: int = 4096, bound: int = 200_000, hot: DataFrame | None = None) -> DataFrame:
+    """Join of a big table, read more than once (so a table of `cut`), with one whose keys are unique, where few keys may hold most rows.
+
+    The keys with more than `most` rows are at most |big| / most; their rows of small are broadcast if a count proves them to be within
+    `bound`, so a hot key meets its partner where its rows lie. All other keys are shuffled. No row is dropped on either way.
+    `hot` may bring these keys where they are known already.
+    """
+    hot = hot.select(*on, F.lit(True).alias("_hot")) if hot is not None else cut(big.groupBy(*on).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > most).select(*on, F.lit(True).alias("_hot")))
+    n = hot.limit(bound + 1).count()
+    if not n or n > bound:
+        return big.join(small, on, how)
+    marked = big.join(F.broadcast(hot), on, "left")
+    few = small.join(F.broadcast(hot), on, "left_semi")
+    met = marked.filter("_hot").drop("_hot").join(F.broadcast(few), on, how)
+    return met.unionByName(marked.filter("_hot IS NULL").drop("_hot").join(small, on, how))
+
+
+def parts_for(total: float, each: float) -> int:
+    """How many parts of about `each` hold `total`; there is no upper bound, so a part never grows with the input."""
+    return int(max(1, -(-int(total) // int(each))))
 
 
 class WordIds(dict):

@@ -23,11 +23,11 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordIds, as_long, chunks, cut, mix, parts_for, sized_join, table
+from .common import WordIds, as_long, chunks, cut, discard, mix, parts_for, release, sized_join, skew_join, table
 
 WORDS, BUCKETS, MANTISSA, PERCENT = 5, 128, 10, 85
 EMPTY = np.uint16(0xFFFF)
-TILE, ODD_BITS = 512, 1024
+TILE, ODD_BITS, WORDS_KEPT = 512, 1024, 200_000
 STEP = np.uint64(0x9E3779B97F4A7C15)  # sets the bands apart
 
 
@@ -98,7 +98,7 @@ def features(docs: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        words = WordIds()
+        words = WordIds(bound=WORDS_KEPT)
         for ids, texts in chunks(batches, ["doc_id", "text"], 4 << 20):
             sets = shingle_sets(texts, words)
             sig = registers(sets)
@@ -106,6 +106,8 @@ def features(docs: DataFrame) -> DataFrame:
             f1 = np.array([int(mix(s).sum()) & (2**64 - 1) for s in sets], np.uint64)
             f2 = np.array([int(mix(s + np.uint64(0x5851F42D4C957F2D)).sum()) & (2**64 - 1) for s in sets], np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lens), pa.array(as_long(f1)), pa.array(as_long(f2)), pa.array([r.tobytes() + o.tobytes() for r, o in zip(sig, odd_sketches(sets))], pa.binary())], ["doc_id", "n_shingles", "f1", "f2", "sig"])
+        del words
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, f1 long, f2 long, sig binary")
 
@@ -136,24 +138,29 @@ def band_rows(reps: DataFrame) -> DataFrame:
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, most: int = 256) -> DataFrame:
-    """Pairs (a, b) whose full sets satisfy 100 * intersection >= percent * union. `a` may be in very many pairs: its rows are salted."""
+    """Pairs (a, b) whose full sets satisfy 100 * intersection >= percent * union.
+
+    `a` may be in very many pairs: those few that are in more than `most` are dealt over salts, and their number, at most pairs / most,
+    is joined by a broadcast once a count proves it small, so no task gets all pairs of one document."""
     pairs = cut(pairs.select("a", "b").distinct())
     n = pairs.count()
     bound = 2_000_000
     ids = cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    needed = sized_join(texts, ids, ["doc_id"], "left_semi", bound).groupBy("doc_id").agg(F.min("text").alias("text"))
-    needed = cut(needed)
-    per = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / most).alias("_salts"))
+    needed = cut(sized_join(texts, ids, ["doc_id"], "left_semi", bound).groupBy("doc_id").agg(F.min("text").alias("text")))
+    hot = cut(pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > most).select("a", F.ceil(F.col("_c") / most).alias("_salts")))
     groups = parts_for(n, most)
     g = lambda s: F.pmod(F.xxhash64("a", s), F.lit(groups))
-    left = needed.withColumnRenamed("doc_id", "a").join(per, "a").select("a", "text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)).alias("_s")).select(g("_s").alias("g"), F.col("a").alias("a"), F.col("text").alias("text")).distinct()
-    right = pairs.join(per, "a").select("a", "b", F.pmod(F.xxhash64("b"), "_salts").alias("_s")).join(needed.withColumnRenamed("doc_id", "b"), "b").select(g("_s").alias("g"), F.col("a").alias("a"), F.col("b").alias("b"), F.col("text").alias("text"))
+    salts = F.coalesce("_salts", F.lit(1).cast("long"))
+    leads = sized_join(pairs.select("a").distinct(), hot, ["a"], "left")
+    left = needed.withColumnRenamed("doc_id", "a").join(leads, "a").select("a", "text", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)).alias("_s")).select(g("_s").alias("g"), F.col("a").alias("a"), F.col("text").alias("text")).distinct()
+    dealt = sized_join(pairs, hot, ["a"], "left").select("a", "b", F.pmod(F.xxhash64("b"), salts).alias("_s"))
+    right = dealt.join(needed.withColumnRenamed("doc_id", "b"), "b").select(g("_s").alias("g"), F.col("a").alias("a"), F.col("b").alias("b"), F.col("text").alias("text"))
 
     def run(_, lead, member):
         import pandas as pd
 
-        words = WordIds()
+        words = WordIds(bound=WORDS_KEPT)
         sets = dict(zip(lead["a"], shingle_sets([t.encode() for t in lead["text"]], words)))
         own = shingle_sets([t.encode() for t in member["text"]], words)
         keep = []
@@ -162,21 +169,24 @@ def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT, most: i
             keep.append(100 * both >= percent * (len(sets[a]) + len(s) - both))
         return pd.DataFrame({"a": member["a"], "b": member["b"]})[np.array(keep, bool)]
 
-    return cut(left.groupBy("g").cogroup(right.groupBy("g")).applyInPandas(run, "a long, b long"))
+    out = cut(left.groupBy("g").cogroup(right.groupBy("g")).applyInPandas(run, "a long, b long"))
+    discard(pairs, ids, needed, hot)
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(id, comp): the smallest id reachable over edges (a, b), by label propagation with shortcuts, one shared-folder table a round."""
+    """(id, comp): the smallest id reachable over edges (a, b), by label propagation with shortcuts, one shared-folder table a round. Stars and large components are hot keys of both joins."""
     both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     labels = cut(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("comp")))
     while True:
-        near = both.join(labels.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("_near"))
-        step = labels.join(near, "id").select("id", F.least("comp", "_near").alias("_c"), F.col("comp").alias("_old"))
-        jump = step.join(labels.select(F.col("id").alias("_c"), F.col("comp").alias("_further")), "_c", "left")
-        new = cut(jump.select("id", F.least("_c", F.coalesce("_further", "_c")).alias("comp"), "_old"))
+        near = skew_join(both, labels.select(F.col("id").alias("b"), "comp"), ["b"], "inner").groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("_near"))
+        jump = skew_join(labels.select("id", "comp"), labels.select(F.col("id").alias("comp"), F.col("comp").alias("_further")), ["comp"], "left")
+        new = cut(jump.join(near, "id").select("id", F.least("comp", "_near", F.coalesce("_further", "comp")).alias("comp"), F.col("comp").alias("_old")))
         if new.filter("comp != _old").isEmpty():
+            discard(labels, both)
             return new.select("id", "comp")
-        labels = new.select("id", "comp")
+        discard(labels)
+        labels = new
 
 
 def labelled(reps: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -254,13 +264,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     links = confirmed(tried, docs, percent)
     bands = bands.select("band", "rep")
     comp, marked = labelled(plain, links)
-    for best in (True, False):  # at last every plausible pair between components has been tried
+    for best in (True, False):  # the second round tries every plausible pair between components, whatever the first one found
         more = cut(plausible(bands, marked, percent, best).join(tried, ["a", "b"], "left_anti"))
         if more.isEmpty():
-            break  # nothing plausible is left at all
+            continue
         fresh = confirmed(more, docs, percent)
         if not fresh.isEmpty():
             links = cut(links.union(fresh))
+            discard(marked)
             comp, marked = labelled(plain, links)
         tried = cut(tried.union(more))
     whole = reps.select("f1", "f2", "n_shingles", "rep").join(comp.withColumnRenamed("id", "rep"), "rep", "left").select("f1", "f2", F.col("n_shingles").alias("_n"), F.coalesce("comp", "rep").alias("comp"))
@@ -270,9 +281,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def representatives(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents kept: the smallest doc_id of every component; rows repeated with one doc_id stay once."""
+    """The documents kept: the smallest doc_id of every component. Rows repeated with one doc_id and text stay once, those with other texts stay too; null doc_ids stay."""
+    h = F.xxhash64("text")
     kept = near_duplicates(docs, percent).filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.filter("doc_id IS NULL").unionByName(docs.dropDuplicates(["doc_id"]).join(kept, F.col("doc_id") == F.col("_kept"), "left_semi"))
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col("doc_id").cast("long").alias("_d"), h.alias("_t"))
+    one = named.filter("_d IS NOT NULL").dropDuplicates(["_d", "_t"]).join(kept, F.col("_d") == F.col("_kept"), "left_semi")
+    return named.filter("_d IS NULL").unionByName(one).select("_doc.*")
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

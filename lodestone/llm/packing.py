@@ -2,7 +2,7 @@
 
 Each document's ids (and a final id) are cut into full sequences and one rest; the rests of a group are packed
 first-fit decreasing. A group is a seeded hash bucket of about `group_docs` documents, so its size does not grow
-with the corpus, and a lost task packs the same group again with the same result.
+with the corpus (documents without an id are dealt by their text), and a lost task packs the same group again with the same result.
 
 Defined cases: null text packs as the final id alone; a repeated row is packed again as a document of its own;
 ties go by doc_id, then by input order; an empty table gives no rows; extra columns are ignored.
@@ -61,7 +61,7 @@ def plan(lengths: list[int], room: int = SEQUENCE) -> list[tuple[int, int, int,
 
 def tokenised(docs: DataFrame, path: str, groups: int, seed: int = SEED, final_id: int = FINAL_ID) -> DataFrame:
     """(g, doc_id, ids): ids are little-endian unsigned 16-bit where the vocabulary allows, else 32-bit."""
-    keyed = docs.select(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(groups)).alias("g"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    keyed = docs.select(F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(groups)).alias("g"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
     def run(batches):
         import pyarrow as pa
@@ -83,7 +83,7 @@ def tokenised(docs: DataFrame, path: str, groups: int, seed: int = SEED, final_i
 def pack(docs: DataFrame, tokenizer: str | None = None, room: int = SEQUENCE, group_docs: int = GROUP_DOCS, seed: int = SEED, final_id: int = FINAL_ID) -> DataFrame:
     """One row per piece: doc_id, start, length, token_ids (32-bit little-endian), doc_tokens, sequence_id, offset."""
     path = tokenizer or default_path()
-    groups = parts_for(docs.select("doc_id").count(), group_docs, 2**31 - 1)
+    groups = parts_for(docs.select("doc_id").count(), group_docs)
     schema = "doc_id long, start long, length long, token_ids binary, doc_tokens long, sequence_id long, offset long"
 
     def run(key, pdf):
