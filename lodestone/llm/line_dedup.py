@@ -1,7 +1,8 @@
 """Line dedup by deletion-neighbourhood join: a line goes if an earlier line is equal or one word edit away.
 
 Native DataFrame expressions only. Lines are compared by their words (space runs are one space, ends trimmed). Equal lines meet by a
-128-bit hash. Lines of at least `min_words` words also meet within the edit bound of one word:
+128-bit hash. Lines of every length also meet within the edit bound: one word, and no more than a `share`-th (a third) of the longer line's words,
+so a line of one word has no other line within its bound and two words meet three:
 
 1. Two lines one word edit apart share their first or their last half of words (the halves of the shorter). Only
    lines that share such a half with another distinct line go on; the others have no partner.
@@ -12,7 +13,7 @@ Native DataFrame expressions only. Lines are compared by their words (space runs
    serves them all and no pairs are listed. The edit distance to that line is verified on the words.
 
 A line is dropped on what stands in the input, not on what is left: the earliest (doc_id, then text hash, then line number) of equal or
-linked lines stays. Texts keep the order and spelling of their kept lines.
+linked lines stays. Texts keep the order and spelling of their kept lines. Tables between the steps are deleted once what reads them is written.
 
 Defined cases: null and empty texts have no lines and stay; blank lines are never dropped; a null doc_id comes first; rows repeated in
 full are one document, treated alike; an empty table gives no rows; extra columns stay.
@@ -24,9 +25,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, cut, sized_join, table
+from .common import NON_SPACE, cut, discard, sized_join, skew_join, table
 
-MIN_WORDS = 10
+SHARE = 3
+HOT = 4096  # places of one line from which on its verdict is broadcast to them
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -48,16 +50,16 @@ def rank() -> Column:
 KEYS = {"k1": "xxhash64(line)", "k2": "xxhash64(29, line)"}
 
 
-def keyed_lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, _h, pos, k1, k2, halves): hashes of each line and, from min_words words on, of its halves at both lengths a partner may imply."""
+def keyed_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, _h, pos, k1, k2, halves): hashes of each line and, from two words on, of its halves at both lengths a partner may imply."""
     half = lambda h: [f"xxhash64(0, {h}, substring_index(line, ' ', {h}))", f"xxhash64(1, {h}, substring_index(line, ' ', -{h}))"]
     even, odd = half("CAST(n DIV 2 AS INT)"), half("CAST((n - 1) DIV 2 AS INT)")
-    keys = F.expr(f"CASE WHEN n < {min_words} THEN NULL WHEN n % 2 = 0 THEN array({', '.join([*even, *odd])}) ELSE array({', '.join(even)}) END")
+    keys = F.expr(f"CASE WHEN n < 2 THEN NULL WHEN n % 2 = 0 THEN array({', '.join([*even, *odd])}) ELSE array({', '.join(even)}) END")
     lines = lines_of(docs).withColumn("n", F.length("line") - F.length(F.replace("line", F.lit(" "), F.lit(""))) + 1)
     return lines.select("doc_id", "_h", "pos", *[F.expr(e).alias(k) for k, e in KEYS.items()], keys.alias("halves"))
 
 
-def linked(docs: DataFrame, lines: DataFrame, bound: int = 1_000_000) -> DataFrame:
+def linked(docs: DataFrame, lines: DataFrame, share: int = SHARE, bound: int = 1_000_000) -> DataFrame:
     """(k1, k2, early): distinct lines with the earliest place of a verified line one word edit away that comes before them."""
     sides = lines.filter("halves IS NOT NULL").select("k1", F.explode("halves").alias("half"))
     shared = sides.groupBy("half").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo != hi").select("half")
@@ -82,7 +84,10 @@ def linked(docs: DataFrame, lines: DataFrame, bound: int = 1_000_000) -> DataFra
     by_variant = met.filter("first < f").select(F.col("f").alias("first"), F.col("first").alias("early"))
     found = replaced.union(by_whole).union(by_variant).groupBy("first").agg(F.min("early").alias("early"))
     one = found.join(lines2, "first").join(lines2.select(F.col("first").alias("early"), F.col("line").alias("other")), "early")
-    return one.filter(one_word_apart(F.split("line", " "), F.split("other", " "))).select("k1", "k2", "early")
+    words, others = F.split("line", " "), F.split("other", " ")
+    out = cut(one.filter((F.greatest(F.size(words), F.size(others)) >= share) & one_word_apart(words, others)).select("k1", "k2", "early"))
+    discard(some, lines2, variants)
+    return out
 
 
 def one_word_apart(a: Column, b: Column) -> Column:
@@ -95,20 +100,22 @@ def one_word_apart(a: Column, b: Column) -> Column:
     return same(a, b) + same(F.reverse(a), F.reverse(b)) >= F.greatest(F.size(a), F.size(b)) - 1
 
 
-def dropped(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dropped(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """(doc_id, _h, gone): the sorted places of the lines that each text loses, for texts that lose any."""
-    lines = cut(keyed_lines(docs, min_words))
-    near = linked(docs, lines).select("k1", "k2", F.lit(True).alias("near"))
+    lines = cut(keyed_lines(docs))
+    near = linked(docs, lines, share)
     places = lines.select("doc_id", "_h", "pos", "k1", "k2")
-    first = places.groupBy("k1", "k2").agg(F.min(rank()).alias("first"), F.max(rank()).alias("last"))
-    judged = first.join(near, ["k1", "k2"], "left").filter("near OR first < last").select("k1", "k2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    marks = places.join(judged, ["k1", "k2"]).filter(F.col("near") | (F.col("first") < rank()))
-    return marks.groupBy("doc_id", "_h").agg(F.array_sort(F.collect_set("pos")).alias("gone"))
+    first = places.groupBy("k1", "k2").agg(F.min(rank()).alias("first"), F.max(rank()).alias("last"), F.count(F.lit(1)).alias("n"))
+    judged = cut(first.join(near.select("k1", "k2", F.lit(True).alias("near")), ["k1", "k2"], "left").filter("near OR first < last").select("k1", "k2", "first", "n", F.coalesce("near", F.lit(False)).alias("near")))
+    met = skew_join(places, judged.drop("n"), ["k1", "k2"], "inner", hot=judged.filter(F.col("n") > HOT))
+    marks = cut(met.filter(F.col("near") | (F.col("first") < rank())).groupBy("doc_id", "_h").agg(F.array_sort(F.collect_set("pos")).alias("gone")))
+    discard(lines, near, judged)
+    return marks
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """All columns of docs with `text` stripped of dropped lines, and n_lines (not blank, before) and n_dropped."""
-    marks = dropped(docs, min_words)
+    marks = dropped(docs, share)
     of, gone, text = lambda c: F.col(f"d.`{c}`"), F.col("m.gone"), F.col("d.text").cast("string")
     joined = docs.alias("d").join(marks.alias("m"), of("doc_id").eqNullSafe(F.col("m.doc_id")) & (F.xxhash64(of("text")) == F.col("m._h")), "left")
 
@@ -124,11 +131,11 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return joined.select(*own, n.alias("n_lines"), n_dropped.alias("n_dropped"))
 
 
-def stripped_documents(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def stripped_documents(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """The documents with their own columns only; n_chars, if any, follows the text."""
     kept = {c: F.col("d.text_left") if c == "text" else F.length("d.text_left").cast("long") if c == "n_chars" else F.col(f"d._doc.`{c}`") for c in docs.columns}
     whole = docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("_doc"))
-    return dedup_lines(whole, min_words).withColumnRenamed("text", "text_left").alias("d").select(*[x.alias(c) for c, x in kept.items()])
+    return dedup_lines(whole, share).withColumnRenamed("text", "text_left").alias("d").select(*[x.alias(c) for c, x in kept.items()])
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
