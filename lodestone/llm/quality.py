@@ -3,11 +3,16 @@
 Native DataFrame expressions only. Each text gives four transformed statistics; for each language and source the MCD
 location and scatter come from concentration steps over a compact table of statistics: from a
 median/MAD start and a classical start, distances are taken, the 75 % of rows nearest form the subset (cut on a histogram of
-logarithmic distance bins, so groups of any size are only summed), and mean and covariance follow from the subset. The start with the smaller
+logarithmic distance bins, so groups of any size are only summed), and mean and covariance follow from the subset, until no group's log
+determinant moves by more than `TOLERANCE` (at most `STEPS` steps, which is far beyond what is needed). The start with the smaller
 determinant wins, the scatter is made consistent by the median distance, reweighted once, and rows
 beyond the chi-squared cutoff go. Variance floors keep the determinant positive where a statistic is nearly constant; they
-are the resolution of each statistic, so each alone can reach the cutoff. Groups with fewer than `min_group` rows are
-pooled by language, then all together.
+are the resolution of each statistic, so each alone can reach the cutoff, and the consistency factor is 1 at least, so rows within that
+resolution are never outliers.
+
+Every language and source is estimated on its own rows, whatever their number. As a few rows tell little, each estimate is the weighted mean of
+the group's own and its language's pooled one (the mean of the groups' estimates by their rows), with the weights n and `PRIOR`: the same
+rule at every size, which large groups hardly feel.
 
 Defined cases: null, empty and wordless texts fail the base rules with counts of 0; a null language or source is a
 group value of its own; repeated rows are judged alike; an empty table gives no rows; `filtered` keeps all columns, extra ones too.
@@ -21,13 +26,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, SPACE, cut, sized_join, table
+from .common import NON_SPACE, SPACE, cut, discard, sized_join, table
 
-MIN_WORDS, REPEAT_PERCENT, SUBSET, STEPS, MIN_GROUP = 50, 50, 0.75, 3, 200
+MIN_WORDS, REPEAT_PERCENT, SUBSET, STEPS, TOLERANCE, PRIOR = 50, 50, 0.75, 20, 0.01, 32
 CUTOFF = 33.38  # chi-squared, 4 degrees, upper tail 1e-6
 MEDIAN, REWEIGHT = 3.357, 11.143  # chi-squared, 4 degrees: median and 97.5 %
 # Least standard deviations: half a unit as a reader would state each statistic, half a character on a mean word of six and half a percentage point.
 FLOORS = (log(6.5 / 6), log1p(0.5), log1p(0.5), log1p(0.5))
+MORE_LINES, MORE_WORDS = 20, 200  # shares of repeats are taken as if the text had so many more: one repeated line in a short text is no evidence
 P, STARTS = 4, ("m", "c")
 
 
@@ -66,7 +72,7 @@ def measured(docs: DataFrame, *keep: str) -> DataFrame:
 
 def statistics() -> list[Column]:
     n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
-    return [F.log(F.greatest(F.col("word_chars") / n, F.lit(0.1))), F.log1p(100 * F.col("n_symbols") / n), F.log1p(100.0 * F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))), F.log1p(100 * F.col("n_repeat_words") / n)]
+    return [F.log(F.greatest(F.col("word_chars") / n, F.lit(0.1))), F.log1p(100 * F.col("n_symbols") / n), F.log1p(100.0 * F.col("n_dup_lines") / (F.col("n_lines") + MORE_LINES)), F.log1p(100 * F.col("n_repeat_words") / (n + MORE_WORDS))]
 
 
 X = [f"x{i}" for i in range(P)]
@@ -114,29 +120,51 @@ def quantile_bins(rows: DataFrame, parts: dict[str, tuple[Column, float]]) -> Da
     return reached.groupBy("grp").agg(*[F.min(F.when(F.col("k") == k, F.col("b"))).alias(f"{k}_bin") for k in parts])
 
 
-def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Per group the reweighted MCD: r_m?, r_l?? and r_scale (the consistency factor). rows: grp and the statistics."""
-    med = rows.groupBy("grp").agg(*[F.percentile_approx(x, 0.5).alias(f"m_m{i}") for i, x in enumerate(X)], *moments("c"))
-    mad = sized_join(rows, med, ["grp"], "inner").groupBy("grp").agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"m_m{i}")), 0.5).alias(f"_mad{i}") for i, x in enumerate(X)])
-    start = med.join(mad, "grp")
+def shrunk(groups: DataFrame, columns: list[str], prior: float) -> DataFrame:
+    """Each column of a group towards the pooled one of its language: (n own + prior pooled) / (n + prior). One row per group."""
+    lang = W.partitionBy("_lang")
+    pooled = groups.withColumns({f"_p_{c}": F.sum(F.col("_n") * F.coalesce(F.col(c), F.lit(0.0))).over(lang) / F.sum("_n").over(lang) for c in columns})
+    own = lambda c: F.coalesce(F.col(c), F.lit(0.0))
+    return pooled.withColumns({c: (F.col("_n") * own(c) + prior * F.col(f"_p_{c}")) / (F.col("_n") + prior) for c in columns}).drop(*[f"_p_{c}" for c in columns])
+
+
+def estimates(rows: DataFrame, steps: int = STEPS, prior: float = PRIOR) -> DataFrame:
+    """Per group the reweighted MCD: r_m?, r_l?? and r_scale (the consistency factor). rows: grp, _lang and the statistics."""
+    med = rows.groupBy("grp").agg(F.first("_lang").alias("_lang"), F.count(F.lit(1)).alias("_n"), *[F.percentile_approx(x, 0.5).alias(f"m_m{i}") for i, x in enumerate(X)], *moments("c"))
+    med = cut(med)
+    groups = med.select("grp", "_lang", "_n")
+    mad = sized_join(rows, med.drop("_lang"), ["grp"], "inner").groupBy("grp").agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"m_m{i}")), 0.5).alias(f"_mad{i}") for i, x in enumerate(X)])
+    start = med.drop("_lang", "_n").join(mad, "grp")
     for i, j in PAIRS:
         start = start.withColumn(f"m_s{i}{j}", (1.4826 * F.col(f"_mad{i}")) ** 2 if i == j else F.lit(0.0))
     now = cut(factor(factor(start, "m"), "c"))
     for _ in range(steps):
         near = sized_join(rows, now, ["grp"], "inner").select("grp", *X, *[distance(s).alias(f"{s}_d") for s in STARTS])
         bins = quantile_bins(near, {s: (F.col(f"{s}_d"), SUBSET) for s in STARTS})
-        inside = sized_join(near, bins, ["grp"], "inner")
-        now = inside.groupBy("grp").agg(*[m for s in STARTS for m in moments(s, bin_of(F.col(f"{s}_d")) <= F.col(f"{s}_bin"))])
-        now = cut(factor(factor(now, "m"), "c"))
-    names = [c[2:] for c in now.columns if c.startswith("m_")]
-    best = now.select("grp", *[F.when(F.col("m_det") <= F.col("c_det"), F.col(f"m_{c}")).otherwise(F.col(f"c_{c}")).alias(f"b_{c}") for c in names])
-    scaled = lambda rows, est, s: est.join(quantile_bins(sized_join(rows, est, ["grp"], "inner").select("grp", distance(s).alias("d")), {"h": (F.col("d"), 0.5)}), "grp").withColumn(f"{s}_scale", F.greatest(F.pow(F.lit(2.0), (F.col("h_bin") + 0.5) / 16) / MEDIAN, F.lit(1.0))).drop("h_bin")
-    raw = cut(scaled(rows, best, "b"))
-    kept = sized_join(rows, raw, ["grp"], "inner").groupBy("grp").agg(*moments("r", distance("b") <= REWEIGHT * F.col("b_scale")))
-    return cut(scaled(rows, factor(kept, "r"), "r"))
-
-
-def judged(docs: DataFrame, *keep: str, min_words: int = MIN_WORDS, cutoff: float = CUTOFF, min_group: int = MIN_GROUP) -> DataFrame:
+        inside = sized_join(near, cut(bins), ["grp"], "inner")
+        new = inside.groupBy("grp").agg(*[m for s in STARTS for m in moments(s, bin_of(F.col(f"{s}_d")) <= F.col(f"{s}_bin"))])
+        new = cut(factor(factor(new, "m"), "c"))
+        moved = new.join(now.select("grp", *[F.col(f"{s}_det").alias(f"_{s}") for s in STARTS]), "grp").filter(F.greatest(*[F.abs(F.col(f"{s}_det") - F.col(f"_{s}")) for s in STARTS]) > TOLERANCE)
+        done = moved.isEmpty()
+        discard(now)
+        now = new
+        if done:
+            break
+    means = [f"m{i}" for i in range(P)] + [f"s{i}{j}" for i, j in PAIRS]
+    best = now.join(groups, "grp").select("grp", "_lang", "_n", *[F.when(F.col("m_det") <= F.col("c_det"), F.col(f"m_{c}")).otherwise(F.col(f"c_{c}")).alias(f"b_{c}") for c in means])
+
+    def scaled(est: DataFrame, s: str) -> DataFrame:
+        est = cut(factor(shrunk(est, [f"{s}_{c}" for c in means], prior), s))
+        half = quantile_bins(sized_join(rows, est.drop("_lang", "_n"), ["grp"], "inner").select("grp", distance(s).alias("d")), {"h": (F.col("d"), 0.5)})
+        own = F.greatest(F.pow(F.lit(2.0), (F.col("h_bin") + 0.5) / 16) / MEDIAN, F.lit(1.0))
+        return cut(shrunk(est.join(half, "grp").withColumn(f"{s}_scale", own).drop("h_bin"), [f"{s}_scale"], prior))
+
+    raw = scaled(best, "b")
+    kept = sized_join(rows, raw.drop("_lang", "_n"), ["grp"], "inner").groupBy("grp").agg(*moments("r", distance("b") <= REWEIGHT * F.col("b_scale")))
+    return scaled(kept.join(groups, "grp"), "r")
+
+
+def judged(docs: DataFrame, *keep: str, min_words: int = MIN_WORDS, cutoff: float = CUTOFF, prior: float = PRIOR) -> DataFrame:
     """The kept columns, the counts, base_failed, kept, distance (null where base rules failed)."""
     full = docs
     for c in ("lang", "source"):
@@ -145,15 +173,9 @@ def judged(docs: DataFrame, *keep: str, min_words: int = MIN_WORDS, cutoff: floa
     named = full.select(*[F.col(c) for c in dict.fromkeys([*keep, "text"])], F.struct(F.col("lang").cast("string").alias("l"), F.col("source").cast("string").alias("s")).alias("_g"))
     counts = measured(named, *keep, "_g")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
-    base = cut(counts.withColumn("base_failed", failed).withColumns(dict(zip(X, statistics()))))
-    good = base.filter("NOT base_failed")
-    sizes = cut(good.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")))
-    lang, every = F.col("_g.l"), F.lit("*")
-    small = F.when(F.col("_n") < min_group, F.col("_n")).otherwise(0)
-    sizes = sizes.withColumn("_pool", F.sum(small).over(W.partitionBy(lang)))
-    key = F.when(F.col("_n") >= min_group, F.to_json(F.struct("_g"))).when(F.col("_pool") >= min_group, F.to_json(F.struct(lang.alias("lang")))).otherwise(every)
-    rows = cut(sized_join(base, sizes.select("_g", key.alias("grp")), ["_g"], "left"))
-    found = estimates(rows.filter("NOT base_failed").select("grp", *X))
+    key = F.to_json(F.struct("_g"))
+    rows = cut(counts.withColumn("base_failed", failed).withColumns(dict(zip(X, statistics()))).withColumn("grp", key).withColumn("_lang", F.col("_g.l")))
+    found = estimates(rows.filter("NOT base_failed").select("grp", "_lang", *X), prior=prior).drop("_lang", "_n")
     out = sized_join(rows, found, ["grp"], "left").withColumn("distance", F.when(~F.col("base_failed"), distance("r") / F.col("r_scale")))
     return out.select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & F.coalesce(F.col("distance") <= cutoff, F.lit(True))).alias("kept"), "distance")
 
