@@ -1,15 +1,15 @@
 """Exact top-k search over an impact-ordered, score-at-a-time index.
 
-Components become integer impacts floor(64 x). A block of candidates keeps its postings in segments of falling
-absolute impact: segment t of dimension d holds the vectors whose impact there lies in tier t. All queries of a
-block of queries read the segments tier by tier and add to their accumulators. After a tier, a vector's score differs from
-its accumulator by at most the product of the norms of what is left of both sides (only dimensions
-unread for that vector count), so each vector has a lower and an upper bound. A query stops only when at most a few
-vectors can still reach its k-th lower bound; those are rescored exactly. A query that never gets such a proof
-reads every segment, and its accumulators are the exact scores.
+Components become integer impacts floor(64 x). A block of candidates keeps postings: per dimension, segments of vectors whose absolute impact
+there lies in one level. A query takes the segments in the order of |query component| x largest impact of the segment, highest first, and adds
+their contributions to accumulators. After each round every unread contribution is at most that of the next segment, so a vector with u unread
+dimensions lies within u times that bound of its accumulator. Vectors whose upper bound is below the k-th best lower bound are out for certain;
+once rescoring the others exactly costs less than reading on, they are rescored and the query stops. A query that
+never gets such a proof reads every segment, and its accumulators are the exact scores.
 
-Queries and candidates meet in blocks (both sides replicated per block of the other, never row by row); a block
-returns k rows for each query, and a window keeps the best k.
+Queries and candidates meet in blocks (both sides replicated per block of the other, never row by row). All queries search the first
+block before the others: the k-th score found there is a floor that each other block starts from, so it proves sooner and returns only what reaches
+the floor, and blocks whose largest norm cannot reach it are skipped. A window keeps the best k.
 
 Defined cases: vectors that are null or hold a null, NaN or infinite component take no part; vectors of another
 length than the commonest take no part either; rows with one vec_id count once (the smallest vector);
@@ -23,9 +23,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import cut, parts_for, table
+from .common import cut, discard, pack, parts_for, table, unpack
 
-K, EVERY, SCALE, BLOCK, TIERS = 20, 20, 64, 8192, 6
+K, EVERY, SCALE, BLOCK, LEVELS = 20, 20, 64, 8192, 16
+ROUNDS = np.array([2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16]) / 16  # shares of all postings after which a query looks for a proof
+NO_FLOOR = -(2**63)
 
 
 def impacts(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -36,93 +38,126 @@ def impacts(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
 
 
 class ImpactIndex:
-    """Candidates of one block: per tier the impacts in that tier (all else 0) and the norm of what later tiers hold."""
+    """Posting segments of one block of candidates; `read` counts the postings read and vectors rescored (in components), `total` those of a full product."""
 
-    def __init__(self, ids: np.ndarray, v: np.ndarray, tiers: int = TIERS):
+    def __init__(self, ids: np.ndarray, v: np.ndarray, levels: int = LEVELS):
         order = np.argsort(ids)
         self.ids, self.v = ids[order], v[order]
+        n, width = self.v.shape
         size = np.abs(self.v)
-        edges = np.unique(np.quantile(size, np.linspace(0, 1, tiers + 1))[1:-1]) if size.size else np.zeros(0)
-        tier = len(edges) - np.searchsorted(edges, size, "left")
-        left = self.v.astype(np.float64)
-        self.tiers = []
-        for t in range(len(edges) + 1):
-            own = np.where(tier == t, self.v, 0).astype(np.float64)
-            left = left - own
-            if own.any() or t == len(edges):
-                self.tiers.append((own, np.sqrt((left**2).sum(1))))
-
-    def search(self, ids: np.ndarray, q: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Columns query, vector, score of the best k for each query; its own id is no candidate."""
-        n = len(self.ids)
-        own = np.searchsorted(self.ids, ids)
-        has = (own < n) & (self.ids[np.minimum(own, n - 1)] == ids)
-        acc, norm = np.zeros((len(q), n)), np.sqrt((q.astype(np.float64) ** 2).sum(1))
-        open_, out = np.arange(len(q)), []
-        exact = float(np.abs(q).max(initial=0)) * float(np.abs(self.v).max(initial=0)) * q.shape[1] < 2**52
-        for t, (tier, left) in enumerate(self.tiers):
-            acc += q[open_].astype(np.float64) @ tier.T
-            last = t == len(self.tiers) - 1
-            slack = norm[open_, None] * left[None, :] * (1 + 1e-9) + 1e-6
-            if not exact:
-                slack += np.abs(acc) * 1e-12 + norm[open_, None] * 1e-9
-            low, high = acc - slack, acc + slack
-            mine = np.nonzero(has[open_])[0]
-            low[mine, own[open_[mine]]] = high[mine, own[open_[mine]]] = -np.inf
-            kth = np.partition(low, n - k, axis=1)[:, n - k] if n > k else np.full(len(open_), -np.inf)
-            may = high >= kth[:, None]
-            may[mine, own[open_[mine]]] = False
-            proved = np.ones(len(open_), bool) if last else may.sum(1) <= 8 * k
-            for r in np.nonzero(proved)[0]:
-                c = np.nonzero(may[r])[0]
-                x, y = self.v[c], q[open_[r]]
-                score = x @ y if exact else np.array([sum(int(a) * int(b) for a, b in zip(row, y)) for row in x], object)
-                best = np.lexsort((self.ids[c], -score))[:k] if exact else sorted(range(len(c)), key=lambda i: (-score[i], self.ids[c][i]))[:k]
-                out.append((np.full(len(best), ids[open_[r]]), self.ids[c][best], score[best]))
-            acc, open_ = acc[~proved], open_[~proved]
-            if not len(open_):
-                break
+        edges = np.unique(np.quantile(size, np.linspace(0, 1, levels + 1))[1:-1]) if size.size else np.zeros(0)
+        key = np.arange(width)[None, :] * (len(edges) + 1) + np.searchsorted(edges, size, "left")
+        place = np.argsort(key, axis=None, kind="stable")
+        flat = key.ravel()[place]
+        heads = np.nonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))[0]
+        self.who, self.impact = (place // width).astype(np.int64), self.v.ravel()[place].astype(np.float64)
+        self.starts, self.ends = heads, np.append(heads[1:], len(flat))
+        self.dims = flat[heads] // (len(edges) + 1)
+        self.most = np.maximum.reduceat(np.abs(self.impact), heads)
+        self.norm = float(np.sqrt((self.v.astype(np.float64) ** 2).sum(1).max(initial=0)))
+        self.read = self.total = 0
+
+    def one(self, own: int, q: np.ndarray, k: int, floor: float, exact: bool) -> np.ndarray:
+        """Rows that may be among the best k and are not below floor; `own` (or -1) is no candidate."""
+        n, width = self.v.shape
+        x = q.astype(np.float64)
+        bound = np.abs(x)[self.dims] * self.most
+        order = np.argsort(-bound, kind="stable")
+        upto = np.cumsum((self.ends - self.starts)[order])
+        stops = np.minimum(np.searchsorted(upto, ROUNDS * upto[-1], "left") + 1, len(order))
+        acc, unread, at = np.zeros(n), np.full(n, width, np.int64), 0
+        for stop in stops:
+            if stop <= at:
+                continue
+            part = order[at:stop]
+            who = np.concatenate([self.who[self.starts[s] : self.ends[s]] for s in part])
+            acc += np.bincount(who, np.concatenate([self.impact[self.starts[s] : self.ends[s]] * x[self.dims[s]] for s in part]), n)
+            unread -= np.bincount(who, minlength=n)
+            at = int(stop)
+            rest = bound[order[at]] if at < len(order) else 0.0
+            slack = unread * rest + (0.0 if exact else np.abs(acc) * 1e-12 + np.abs(x).sum() * self.most.max() * 1e-12)
+            low = acc - slack
+            if own >= 0:
+                low[own] = -np.inf
+            kth = max(floor, np.partition(low, n - k)[n - k] if n > k else -np.inf)
+            may = acc + slack >= kth
+            if own >= 0:
+                may[own] = False
+            left = int(upto[-1] - upto[at - 1])
+            if not left or int(may.sum()) * width <= left // 4:
+                self.read += int(upto[at - 1]) + int(may.sum()) * width
+                return np.nonzero(may)[0]
+        return np.zeros(0, np.int64)
+
+    def search(self, ids: np.ndarray, q: np.ndarray, k: int = K, floors: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Columns query, vector, score of the best k for each query that reach its floor; its own id is no candidate."""
+        n, width = self.v.shape
+        floors = np.full(len(q), NO_FLOOR) if floors is None else floors
+        where = np.searchsorted(self.ids, ids)
+        has = (where < n) & (self.ids[np.minimum(where, n - 1)] == ids)
+        exact = float(np.abs(q).max(initial=0)) * float(np.abs(self.v).max(initial=0)) * width < 2**52
+        norms, out = np.sqrt((q.astype(np.float64) ** 2).sum(1)), []
+        for r in range(len(q)):
+            self.total += n * width
+            floor = -np.inf if floors[r] == NO_FLOOR else float(floors[r])
+            if norms[r] * self.norm * (1 + 1e-9) + 1e-6 < floor:
+                continue
+            c = self.one(int(where[r]) if has[r] else -1, q[r], k, floor, exact)
+            score = self.v[c] @ q[r] if exact else np.array([sum(int(a) * int(b) for a, b in zip(row, q[r])) for row in self.v[c]], object)
+            best = np.lexsort((self.ids[c], -score))[:k] if exact else np.array(sorted(range(len(c)), key=lambda i: (-score[i], self.ids[c][i]))[:k], np.int64)
+            out.append((np.full(len(best), ids[r]), self.ids[c][best], score[best]))
         return tuple(np.concatenate([o[i] for o in out]).astype(np.int64) if out else np.zeros(0, np.int64) for i in range(3))
 
 
 def blobs(rows: DataFrame, blocks: int, name: str) -> DataFrame:
-    """One row per block: ids and impacts as binaries; rows of one id count once."""
+    """One row per block: ids, impacts and floors as packed columns; rows of one id count once."""
 
     def run(key, pdf):
         import pandas as pd
 
-        v = sorted({(i, tuple(x)) for i, x in zip(pdf["vec_id"], pdf["v"])})
+        v = sorted({(i, tuple(x), f) for i, x, f in zip(pdf["vec_id"], pdf["v"], pdf["floor"])})
         v = [x for j, x in enumerate(v) if j == 0 or v[j - 1][0] != x[0]]
-        return pd.DataFrame({name: [key[0]], "ids": [np.array([i for i, _ in v], np.int64).tobytes()], "v": [np.array([x for _, x in v], np.int64).tobytes()], "n": [len(v)]})
+        return pd.DataFrame({name: [key[0]], "ids": [pack(np.array([i for i, *_ in v], np.int64))], "v": [pack(np.array([x for _, x, _ in v], np.int64).ravel())], "floors": [pack(np.array([f for *_, f in v], np.int64))]})
 
-    return rows.withColumn("_b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).groupBy("_b").applyInPandas(run, f"{name} long, ids binary, v binary, n long")
+    return rows.withColumn("_b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks))).groupBy("_b").applyInPandas(run, f"{name} long, ids binary, v binary, floors binary")
 
 
-def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE, block: int = BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score: the best k of all other vectors for each vector whose id `every` divides."""
-    usable = impacts(vectors, scale)
-    width = usable.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").head()
-    usable = usable.filter(F.size("v") == (width[0] if width else 0))
-    total = usable.count()
-    c_blocks = parts_for(total, block)
-    q_blocks = parts_for(total / every, max(1, block // 16))
-    spread = lambda df, n, name: df.withColumn(name, F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    queries = blobs(usable.filter(F.col("vec_id") % every == 0), q_blocks, "qb").withColumnRenamed("ids", "q_ids").withColumnRenamed("v", "q_v")
-    queries = spread(queries.select("qb", "q_ids", "q_v"), c_blocks, "cb")
-    pairs = queries.join(spread(blobs(usable, c_blocks, "cb").select("cb", "ids", "v"), q_blocks, "qb"), ["qb", "cb"]).repartition(c_blocks * q_blocks, "qb", "cb")
+def searched(queries: DataFrame, index: DataFrame, q_blocks: int, c_blocks: int, first: int, last: int, k: int) -> DataFrame:
+    """(query_id, vec_id, score): the queries' best k in each of the candidate blocks first ... last."""
+    q = blobs(queries, q_blocks, "qb").withColumn("cb", F.explode(F.sequence(F.lit(first), F.lit(last)))).select("qb", F.col("cb").cast("long").alias("cb"), F.col("ids").alias("q_ids"), F.col("v").alias("q_v"), "floors")
+    c = index.filter(F.col("cb").between(first, last)).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))).select("cb", F.col("qb").cast("long").alias("qb"), "ids", "v")
+    pairs = q.join(c, ["qb", "cb"]).repartition(q_blocks * (last - first + 1), "qb", "cb")
 
     def run(batches):
         import pyarrow as pa
 
         for b in batches:
             for r in b.to_pylist():
-                ids, q_ids = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["q_ids"], np.int64)
+                ids, q_ids = unpack(r["ids"], np.int64), unpack(r["q_ids"], np.int64)
                 if not len(ids) or not len(q_ids):
                     continue
-                q, v, s = ImpactIndex(ids, np.frombuffer(r["v"], np.int64).reshape(len(ids), -1)).search(q_ids, np.frombuffer(r["q_v"], np.int64).reshape(len(q_ids), -1), k)
-                yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(v), pa.array(s)], ["query_id", "vec_id", "score"])
+                found = ImpactIndex(ids, unpack(r["v"], np.int64).reshape(len(ids), -1)).search(q_ids, unpack(r["q_v"], np.int64).reshape(len(q_ids), -1), k, unpack(r["floors"], np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], ["query_id", "vec_id", "score"])
+
+    return cut(pairs.select("ids", "v", "q_ids", "q_v", "floors").mapInArrow(run, "query_id long, vec_id long, score long"))
 
-    found = cut(pairs.select("ids", "v", "q_ids", "q_v").mapInArrow(run, "query_id long, vec_id long, score long"))
+
+def top_k(vectors: DataFrame, k: int = K, every: int = EVERY, scale: int = SCALE, block: int = BLOCK) -> DataFrame:
+    """query_id, rank, vec_id, score: the best k of all other vectors for each vector whose id `every` divides."""
+    usable = impacts(vectors, scale)
+    width = usable.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").head()
+    usable = usable.filter(F.size("v") == (width[0] if width else 0)).withColumn("floor", F.lit(NO_FLOOR).cast("long"))
+    total = usable.count()
+    c_blocks = parts_for(total, block)
+    q_blocks = parts_for(total / every, max(1, block // 16))
+    index = cut(blobs(usable, c_blocks, "cb"))
+    queries = usable.filter(F.col("vec_id") % every == 0)
+    found = searched(queries, index, q_blocks, c_blocks, 0, 0, k)
+    if c_blocks > 1:
+        floors = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.min("score").alias("_least"), F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= k)
+        raised = queries.join(floors, "vec_id", "left").select("vec_id", "v", F.coalesce("_least", "floor").alias("floor"))
+        found = found.union(searched(raised, index, q_blocks, c_blocks, 1, c_blocks - 1, k))
+    discard(index)
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")).cast("int")
     return found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
