@@ -1,24 +1,26 @@
-"""LM scoring: Katz backoff with Good-Turing discounts and exactly normalised backoff weights.
+"""LM scoring: Katz backoff with Good-Turing discounts and exactly normalised backoff weights, of order three.
 
-Model (bigrams, documents bounded by a start symbol and an end token), learnt from the training documents:
+Documents are bounded by start symbols and an end token. Learnt from the training documents, for histories h of two and of one word:
 
-  P(w)     = d1(r) r / N             for a word of count r, the rest of the mass for the one unknown class
-  P(w | h) = d2(r) r / c(h)          for a bigram of count r
-           = alpha(h) P(w)           otherwise, recursively; alpha(h) = 1 where h was never seen
+  P(w | h) = d(r) r / c(h)              for an n-gram of count r
+           = alpha(h) P(w | shorter h)  otherwise, recursively; alpha(h) = 1 where h was never seen
+  P(w)     = d(r) r / N                 for a word of count r, the rest of the mass for the one unknown class
 
-d(r) is Katz's Good-Turing discount for r <= 5, from counts of counts; alpha(h) is (1 - sum of P(w | h) over the words seen after h) /
-(1 - sum of P(w) over them), so P(. | h) sums to 1 over all words and the unknown class. Where a history
+d(r) is Katz's Good-Turing discount for r <= 5, from counts of counts of that order; alpha(h) is (1 - sum of P(w | h) over the words seen after h) /
+(1 - sum of P(w | shorter h) over them), so P(. | h) sums to 1 over all words and the unknown class. Where a history
 leaves no mass (no count below 6), its probabilities are scaled by c(h) / (c(h) + 1) first.
 
-Flow: documents become blocks (dictionary and stream of local word ids, zstd), written once. Each block sends its
-word counts to partitions by word hash, which answer with a global id and count per word, and each block then sends its distinct
-bigrams to partitions by history, which answer with counts and per-history sums. Partitions also keep their
-part of the n-gram tables (`kind` = 'table'), so the model is stored partitioned, and tokens are scored in their blocks. Blobs of numpy columns
-travel, not a row per token. A frequent word or history is one entry per block, whatever its count.
+Flow: documents become blocks (dictionary and stream of local word ids, zstd). Each block sends its word counts to partitions by word hash, which
+answer with a global id and count per word; then its distinct bigrams and then its distinct trigrams to partitions by history, which
+answer with counts and, where a block meets an unseen n-gram, with what alpha needs. Partitions keep their part of the n-gram
+tables (words, bigrams, trigrams), so the model is stored partitioned, and tokens are scored in their blocks. Blobs of numpy columns travel, not a row
+per token. A block knows each history's count, so it knows the hot ones (more than `hot` tokens): their n-grams are dealt by
+history and word, every part sums its share of what alpha needs, and these sums, one small row per hot history, are
+joined back to the blocks that hold it. So neither the start symbol nor a frequent word or pair gathers its successors in one task.
 
 Words are known by 64-bit hashes. Defined cases: null text is empty (one end token); a null doc_id is held out; repeated
-rows count as often as they come; an empty table gives no rows; without training documents every token is unknown
-and scores log10 1 = 0, and the base uses c = N = V = 0.
+rows count as often as they come; very long texts are blocks of their own; an empty table gives no rows; without training documents every token
+is unknown and scores log10 1 = 0, and the base uses c = N = V = 0; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,9 +31,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordIds, chunks, cut, pack, parts_for, release, table, unpack
+from .common import WordIds, chunks, cut, discard, mix, pack, parts_for, release, skew_join, table, unpack
 
-R, BLOCK_BYTES, PART_BYTES, HELD_OUT = 5, 10 << 20, 8 << 20, 10
+R, BLOCK_BYTES, PART_BYTES, HELD_OUT, HOT = 5, 10 << 20, 8 << 20, 10, 1_000_000
 END, START = 0, 1  # local ids; words follow
 
 
@@ -149,166 +151,323 @@ def unigram(count: np.ndarray, n: int, d: np.ndarray, seen_mass: float) -> np.nd
     return np.where(count > 0, p, 1 / (n + 1) if short else 1 - seen_mass)
 
 
-def _globals(r, words: dict[str, np.ndarray], end_count: int) -> tuple[np.ndarray, np.ndarray]:
-    size = len(unpack(r["hashes"], np.uint64)) + 2
-    ids, counts = np.zeros(size, np.uint64), np.zeros(size, np.int64)
-    ids[START], counts[END] = 1, end_count
-    for place, i, c in words:
-        at = unpack(place, np.uint32).astype(np.int64) + 2
-        ids[at], counts[at] = unpack(i, np.uint64), unpack(c, np.int64)
-    return ids, counts
+def narrow(x: np.ndarray) -> bytes:
+    """Whole numbers from 0 on as a blob of the least width that holds them."""
+    top = int(x.max()) if len(x) else 0
+    width = next(k for k in (1, 2, 4, 8) if k == 8 or top < 1 << (8 * k))
+    return bytes([width]) + pack(x.astype(f"<u{width}"))
 
 
-def _pairs(stream: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Local history of every token."""
-    h = np.concatenate([[START], stream[:-1]])
-    h[ends[:-1]] = START
-    return h
+def wide(blob: bytes) -> np.ndarray:
+    return unpack(blob[1:], f"<u{blob[0]}").astype(np.uint64)
 
 
-def bigram_requests(b: DataFrame, replies: DataFrame, parts: int, end_count: int) -> DataFrame:
-    """By history part: distinct bigrams of a block in order, with their training counts and their word's count."""
+def frame(rows: list[tuple], schema: str):
+    import pandas as pd
 
-    def run(_, own, words):
-        import pandas as pd
+    return pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")])
+
+
+NUMBERED = "block long, doc_ids binary, ends binary, held binary, stream binary, ids binary, counts binary"
+COUNTED = NUMBERED + ", count2 binary, alpha2 binary, none2 binary"
+
+
+def numbered(b: DataFrame, replies: DataFrame, train_docs: int) -> DataFrame:
+    """Blocks with the global id and count of each local id instead of hashes."""
 
+    def run(_, own, words):
         out = []
         for r in own.to_dict("records"):
-            ids, counts = _globals(r, list(zip(words["at"], words["id"], words["count"])), end_count)
-            stream, ends, held = unpack(r["stream"], np.uint32), unpack(r["ends"], np.int64), unpack(r["held"], np.uint8)
-            h, w = ids[_pairs(stream, ends)], ids[stream]
-            uniq, where = _distinct(h, w)
-            train = np.bincount(where, _train(stream, ends, held), len(uniq[0])).astype(np.uint32)
-            wc = np.zeros(len(uniq[0]), np.int64)
-            wc[where] = counts[stream]
-            wc[train == 0] = 0
-            for p, at in _split((uniq[0] % np.uint64(parts)).astype(np.int64)):
-                hh = uniq[0][at]
-                heads = np.nonzero(np.concatenate([[True], hh[1:] != hh[:-1]]))[0]
-                small = lambda x: x.astype(np.uint32) if not len(x) or x.max() < 2**32 else x.astype(np.uint64)
-                ww = small(uniq[1][at])
-                out.append((p, r["block"], pack(hh[heads]), pack(np.diff(np.append(heads, len(hh))).astype(np.uint32)), pack(ww), ww.itemsize, pack(train[at]), pack(wc[at].astype(np.uint32))))
+            size = len(unpack(r["hashes"], np.uint64)) + 2
+            ids, counts = np.zeros(size, np.uint64), np.zeros(size, np.int64)
+            ids[START], counts[END], counts[START] = 1, train_docs, train_docs
+            for place, i, c in zip(words["at"], words["id"], words["count"]):
+                at = unpack(place, np.uint32).astype(np.int64) + 2
+                ids[at], counts[at] = unpack(i, np.uint64), unpack(c, np.int64)
+            out.append((*(r[c] for c in ("block", "doc_ids", "ends", "held", "stream")), narrow(ids), narrow(counts)))
         release()
-        return pd.DataFrame(out, columns=["part", "block", "h", "runs", "w", "width", "train", "wc"])
+        return frame(out, NUMBERED)
+
+    return b.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(run, NUMBERED)
+
+
+class Grams:
+    """Distinct n-grams of one block: bigrams, and trigrams once bigram counts are known, with their histories, parts and order of travel."""
+
+    def __init__(self, r: dict, order: int, parts: int, hot: int):
+        self.r, self.parts, self.order = r, parts, order
+        self.stream, self.ends, self.held = unpack(r["stream"], np.uint32).astype(np.int64), unpack(r["ends"], np.int64), unpack(r["held"], np.uint8)
+        self.ids, self.counts = wide(r["ids"]), wide(r["counts"]).astype(np.int64)
+        self.train = np.repeat(self.held == 0, np.diff(self.ends, prepend=0))
+        starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
+        before = np.concatenate([[START], self.stream[:-1]])
+        before[starts] = START
+        pairs, self.where2 = np.unique((before << 32) | self.stream, return_inverse=True)
+        self.v2, self.w2 = pairs >> 32, pairs & (2**32 - 1)
+        if order == 2:
+            self.where, self.v, self.w = self.where2, self.ids[self.v2], self.ids[self.w2]
+            self.u = np.zeros(len(self.v), np.uint64)
+            _, self.hist = np.unique(self.v2, return_inverse=True)
+            self.total = self.counts[self.v2]
+            self.spread = self.total > hot
+            self.deal = mix(self.v)
+        else:
+            self.count2 = wide(r["count2"]).astype(np.int64)
+            last = np.concatenate([[0], self.where2[:-1]])
+            last[starts] = len(pairs)  # two start symbols
+            grams, self.where = np.unique((last << 32) | self.stream, return_inverse=True)
+            p, w = grams >> 32, grams & (2**32 - 1)
+            u_of, v_of = np.append(self.v2, START), np.append(self.w2, START)
+            self.u, self.v, self.w = self.ids[u_of[p]], self.ids[v_of[p]], self.ids[w]
+            _, self.hist = np.unique(p, return_inverse=True)
+            self.total = np.append(self.count2, self.counts[START])[p]
+            self.spread = self.total > hot
+            self.short = np.zeros(len(grams), np.int64)  # the bigram (v, w) of each trigram
+            self.short[self.where] = self.where2
+            whole = self.counts[v_of[p]] <= hot
+            self.deal = np.where(whole, mix(self.v), mix(self.v * np.uint64(31) + self.u))
+        self.deal = np.where(self.spread, mix(self.deal ^ mix(self.w + np.uint64(7))), self.deal)
+        self.part = (self.deal % np.uint64(parts)).astype(np.int64)
+        self.sorted = np.lexsort((self.w, self.u, self.v, self.part))
+
+    def by_part(self):
+        key = self.part[self.sorted]
+        cuts = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0] if len(key) else []
+        for a, b in zip(cuts, [*cuts[1:], len(key)]):
+            yield int(key[a]), self.sorted[a:b]
+
+
+REQUEST = "part long, block long, v binary, u binary, w binary, train binary, low binary, lowc binary, spread binary"
+ANSWER = "kind string, block long, part long, count binary, none binary, small binary, sums binary, v long, u long, l1 long, l2 long, l3 long, l4 long, l5 long, sum double, spectrum array<long>, tv binary, tu binary, tw binary"
+
+
+def gram_requests(b: DataFrame, order: int, parts: int, hot: int) -> DataFrame:
+    """By part: a block's distinct n-grams with their training counts and what the shorter probability of their word needs."""
 
-    schema = "part long, block long, h binary, runs binary, w binary, width int, train binary, wc binary"
-    return b.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(run, schema)
+    def run(batches):
+        import pyarrow as pa
 
+        for batch in batches:
+            for r in batch.to_pylist():
+                g = Grams(r, order, parts, hot)
+                train = np.bincount(g.where, g.train, len(g.v)).astype(np.int64)
+                if order == 2:
+                    low, lowc = np.where(train > 0, g.counts[g.w2], 0), np.zeros(len(g.v), np.int64)
+                else:
+                    none = unpack(r["none2"], np.uint8)[np.unique(g.v2, return_inverse=True)[1]]
+                    low = np.where(train > 0, g.count2[g.short], 0)
+                    lowc = np.where(train > 0, 2 * g.counts[g.v2[g.short]] + none[g.short], 0)
+                rows = [(p, r["block"], narrow(np.diff(g.v[at], prepend=np.uint64(0))), narrow(g.u[at]), narrow(g.w[at]), narrow(train[at]), narrow(low[at]), narrow(lowc[at]), narrow(g.spread[at])) for p, at in g.by_part()]
+                kinds = [pa.int64(), pa.int64()] + [pa.binary()] * 7
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], [c.split()[0] for c in REQUEST.split(", ")])
+        release()
 
-def _distinct(h: np.ndarray, w: np.ndarray):
-    """Distinct (h, w) in order, and where each input is among them."""
-    if len(h) and max(h.max(), w.max()) < 2**32:
-        key, where = np.unique((h << np.uint64(32)) | w, return_inverse=True)
-        return (key >> np.uint64(32), key & np.uint64(2**32 - 1)), where
-    order = np.lexsort((w, h))
-    head = np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (w[order][1:] != w[order][:-1])]) if len(h) else np.zeros(0, bool)
-    where = np.empty(len(h), np.int64)
-    where[order] = np.cumsum(head) - 1
-    return (h[order][head], w[order][head]), where
+    return b.mapInArrow(run, REQUEST)
 
 
-BIGRAMS_OUT = "kind string, block long, part long, count binary, c binary, sums binary, low binary, spectrum array<long>, h binary, w binary"
+def _heads(*keys: np.ndarray) -> np.ndarray:
+    new = np.zeros(len(keys[0]), bool)
+    if len(new):
+        new[0] = True
+        for k in keys:
+            new[1:] |= k[1:] != k[:-1]
+    return new
 
 
-def bigram_replies(requests: DataFrame, n: int, d: np.ndarray, seen: float) -> DataFrame:
-    """Per block: counts of its bigrams and, per history, c(h), counts of small counts and sum of P(w); per part its table."""
+def gram_answers(requests: DataFrame, shorter) -> DataFrame:
+    """Per block and part the counts of its n-grams and, per history, whether it leaves no mass and what alpha needs; per hot history a part's share of that; per part its table. `shorter` gives P(w | shorter history) from (low, lowc)."""
 
     def run(key, pdf):
-        import pandas as pd
-
-        h, w, runs = [], [], []
-        for hh, rr, ww, width in zip(pdf["h"], pdf["runs"], pdf["w"], pdf["width"]):
-            rr = unpack(rr, np.uint32)
-            h.append(np.repeat(unpack(hh, np.uint64), rr))
-            w.append(unpack(ww, np.uint32 if width == 4 else np.uint64).astype(np.uint64))
-            runs.append(len(h[-1]))
-        train = np.concatenate([unpack(x, np.uint32) for x in pdf["train"]])
-        wc = np.concatenate([unpack(x, np.uint32) for x in pdf["wc"]]).astype(np.int64)
-        (uh, uw), where = _distinct(np.concatenate(h), np.concatenate(w))
-        count = np.bincount(where, train, len(uh)).astype(np.int64)
-        word = np.zeros(len(uh), np.int64)
-        np.maximum.at(word, where, wc)
-        heads = np.nonzero(np.concatenate([[True], uh[1:] != uh[:-1]]))[0]
-        group = np.cumsum(np.isin(np.arange(len(uh)), heads, assume_unique=True)) - 1
-        c = np.bincount(group, count, len(heads)).astype(np.int64)
-        seen_p = np.bincount(group, np.where(count > 0, unigram(word, n, d, seen), 0), len(heads))
-        low = np.stack([np.bincount(group, count == r, len(heads)).astype(np.uint32) for r in range(1, R + 1)])
+        cols = {c: [wide(x) for x in pdf[c]] for c in ("v", "u", "w", "train", "low", "lowc", "spread")}
+        sizes = [len(x) for x in cols["w"]]
+        v, u, w = np.concatenate([np.cumsum(x) for x in cols["v"]]), np.concatenate(cols["u"]), np.concatenate(cols["w"])
+        order = np.lexsort((w, u, v))
+        v, u, w = v[order], u[order], w[order]
+        new = _heads(v, u, w)
+        gram = np.cumsum(new) - 1
+        where = np.empty(len(order), np.int64)
+        where[order] = gram
+        n = int(new.sum())
+        count = np.bincount(where, np.concatenate(cols["train"]), n).astype(np.int64)
+        low, lowc = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        np.maximum.at(low, where, np.concatenate(cols["low"]).astype(np.int64))
+        np.maximum.at(lowc, where, np.concatenate(cols["lowc"]).astype(np.int64))
+        v, u, w = v[new], u[new], w[new]
+        first = _heads(v, u)
+        hist = np.cumsum(first) - 1
+        k = int(first.sum())
+        few = np.stack([np.bincount(hist, count == r, k).astype(np.int64) for r in range(1, R + 1)])
+        sums = np.bincount(hist, np.where(count > 0, shorter(low, lowc), 0.0), k)
+        hot = np.zeros(n, bool)
+        hot[where[np.concatenate(cols["spread"]).astype(bool)]] = True
+        none = few.sum(0) == 0
         out, at = [], 0
-        for block, size, hh in zip(pdf["block"], runs, pdf["h"]):
+        blank = (None,) * 12
+        for block, size in zip(pdf["block"], sizes):
             own = where[at : at + size]
             at += size
-            g = np.searchsorted(uh[heads], unpack(hh, np.uint64))
-            out.append(("reply", block, int(key[0]), pack(count[own].astype(np.uint32)), pack(c[g]), pack(seen_p[g]), pack(low[:, g]), None, None, None))
+            h = hist[own]
+            lead = _heads(h)
+            group = np.cumsum(lead) - 1
+            unseen = np.bincount(group, count[own] == 0, int(lead.sum())) > 0
+            mine = h[lead]
+            out.append(("reply", block, int(key[0]), narrow(count[own]), pack(none[mine].astype(np.uint8)), narrow((few[:, mine] * unseen).ravel()), pack(np.where(unseen, sums[mine], 0.0)), *blank))
+        for x in np.unique(hist[hot]):
+            at = int(np.nonzero(first)[0][x])
+            out.append(("hot", 0, int(key[0]), None, None, None, None, int(v[at]), int(u[at]), *(int(c) for c in few[:, x]), float(sums[x]), None, None, None, None))
         kept = count > 0
-        out.append(("table", 0, int(key[0]), pack(count[kept]), None, None, None, _spectrum(count).tolist(), pack(np.diff(uh[kept], prepend=np.uint64(0))), pack(uw[kept])))
+        out.append(("table", 0, int(key[0]), narrow(count[kept]), None, None, None, *(None,) * 8, _spectrum(count).tolist(), narrow(np.diff(v[kept], prepend=np.uint64(0))), narrow(u[kept]), narrow(w[kept])))
         release()
-        return pd.DataFrame(out, columns=[x.split()[0] for x in BIGRAMS_OUT.split(", ")])
+        found = frame(out, ANSWER)
+        return found.astype({c: "Int64" for c in ("v", "u", "l1", "l2", "l3", "l4", "l5")}).astype({"sum": "float64"})
+
+    return requests.groupBy("part").applyInPandas(run, ANSWER)
+
+
+LOWS = [f"l{r}" for r in range(1, R + 1)]
+BACK = "what long, block long, part long, count binary, none binary, small binary, sums binary, v long, u long, l1 long, l2 long, l3 long, l4 long, l5 long, sum double"
+
+
+def answers_by_block(b: DataFrame, answers: DataFrame, order: int, parts: int, hot: int) -> DataFrame:
+    """Replies and, for the hot histories that a block holds, their summed rows, all keyed by block."""
+
+    def held(batches):
+        import pyarrow as pa
 
-    return requests.groupBy("part").applyInPandas(run, BIGRAMS_OUT)
+        for batch in batches:
+            for r in batch.to_pylist():
+                g = Grams(r, order, parts, hot)
+                at = np.nonzero(g.spread)[0]
+                at = at[np.unique(g.hist[at], return_index=True)[1]]
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array([r["block"]] * len(at), pa.int64()), pa.array(g.v[at].astype(np.int64)), pa.array(g.u[at].astype(np.int64))], ["block", "v", "u"])
+
+    replies = answers.filter("kind = 'reply'").select(F.lit(0).cast("long").alias("what"), "block", "part", "count", "none", "small", "sums", *[F.lit(None).cast(t).alias(c) for c, t in [("v", "long"), ("u", "long"), *[(x, "long") for x in LOWS], ("sum", "double")]])
+    shares = cut(answers.filter("kind = 'hot'").groupBy("v", "u").agg(*[F.sum(x).alias(x) for x in LOWS], F.sum("sum").alias("sum")))
+    if shares.isEmpty():
+        return replies
+    needs = cut(b.mapInArrow(held, "block long, v long, u long"))
+    rows = skew_join(needs, shares, ["v", "u"], "inner")
+    return replies.unionByName(rows.withColumn("what", F.lit(1).cast("long")), allowMissingColumns=True).select(*[c.split()[0] for c in BACK.split(", ")])
+
+
+def gathered(g: Grams, back, d: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per n-gram its count; per history (g.hist) whether it leaves no mass, and alpha where the block needs it (else 1)."""
+    k = int(g.hist.max()) + 1 if len(g.hist) else 0
+    count, none, sums, few = np.zeros(len(g.v), np.int64), np.zeros(k, bool), np.zeros(k), np.zeros((R, k), np.int64)
+    at_part = dict(g.by_part())
+    for x in back[back["what"] == 0].to_dict("records"):
+        at = at_part[int(x["part"])]
+        count[at] = wide(x["count"])
+        mine = g.hist[at][_heads(g.v[at], g.u[at])]
+        none[mine], sums[mine], few[:, mine] = unpack(x["none"], np.uint8).astype(bool), unpack(x["sums"], np.float64), wide(x["small"]).astype(np.int64).reshape(R, -1)
+    hot = back[back["what"] == 1]
+    if len(hot):
+        rows = np.nonzero(g.spread)[0]
+        rows = rows[np.unique(g.hist[rows], return_index=True)[1]]
+        place = {(int(a), int(b)): g.hist[i] for a, b, i in zip(g.v[rows], g.u[rows], rows)}
+        for x in hot.to_dict("records"):
+            h = place[int(x["v"]), int(x["u"])]
+            few[:, h], sums[h] = [int(x[c]) for c in LOWS], x["sum"]
+            none[h] = few[:, h].sum() == 0
+    c = np.zeros(k, np.int64)
+    c[g.hist] = g.total
+    return count, none, alphas(c, none, few, sums, d)
+
+
+def alphas(c: np.ndarray, none: np.ndarray, few: np.ndarray, sums: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Backoff weights of histories: left mass over the shorter distribution's mass of unseen words; 1 for histories never seen."""
+    c1 = np.maximum(c, 1)
+    left = np.where(none, 1 / (c1 + 1), sum((1 - d[r]) * r * few[r - 1] for r in range(1, R + 1)) / c1)
+    return np.where(c > 0, left / np.maximum(1 - sums, 1e-12), 1.0)
 
 
-def conditional(count: np.ndarray, c: np.ndarray, low: np.ndarray, seen_p: np.ndarray, d2: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """P(w | h) for bigram counts, history counts and sums, and P(w)."""
+def seen(count: np.ndarray, c: np.ndarray, none: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """P(w | h) of n-grams that were counted."""
     c1 = np.maximum(c, 1)
-    lost = sum((1 - d2[r]) * r * low[r - 1] for r in range(1, R + 1)) / c1
-    none = lost < 1e-12
-    scale = np.where(none, c1 / (c1 + 1), 1.0)
-    left = np.where(none, 1 / (c1 + 1), lost)
-    alpha = np.where(c > 0, left / np.maximum(1 - seen_p, 1e-12), 1.0)
-    return np.where(count > 0, scale * d2[np.minimum(count, R)] ** (count <= R) * count / c1, alpha * p)
+    return np.where(none, c1 / (c1 + 1), 1.0) * d[np.minimum(count, R)] ** (count <= R) * count / c1
+
+
+def counted(b: DataFrame, back: DataFrame, parts: int, hot: int, d2: np.ndarray) -> DataFrame:
+    """Blocks with the counts of their bigrams and the alphas of their histories of one word."""
+
+    def run(_, own, replies):
+        out = []
+        for r in own.to_dict("records"):
+            g = Grams(r, 2, parts, hot)
+            count, none, alpha = gathered(g, replies, d2)
+            out.append((*(r[c.split()[0]] for c in NUMBERED.split(", ")), narrow(count), pack(alpha), pack(none.astype(np.uint8))))
+        release()
+        return frame(out, COUNTED)
+
+    return b.groupBy("block").cogroup(back.groupBy("block")).applyInPandas(run, COUNTED)
 
 
-def score(docs: DataFrame, part_bytes: int = PART_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+def _spectra(answers: DataFrame) -> list[int]:
+    found = answers.filter("kind = 'table'").agg(*[F.sum(F.col("spectrum")[r]) for r in range(R + 2)]).head()
+    return [int(x or 0) for x in found]
+
+
+def score(docs: DataFrame, part_bytes: int = PART_BYTES, block_bytes: int = BLOCK_BYTES, hot: int = HOT, tables: dict | None = None) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. `tables`, if given, gets the stored tables of words, bigrams and trigrams."""
     total = docs.select(F.sum(F.octet_length("text"))).head()[0] or 0
     parts = parts_for(total, part_bytes)
     b = cut(blocks(docs, block_bytes))
-    words = cut(word_replies(word_requests(b, parts), parts))
-    sums = words.filter("kind = 'table'").agg(F.sum("n"), F.sum("v"), *[F.sum(F.col("spectrum")[r]) for r in range(R + 2)]).head()
     train_docs = b.select("held").mapInArrow(_count_train, "n long").agg(F.sum("n")).head()[0] or 0
+    words = cut(word_replies(word_requests(b, parts), parts))
+    vocabulary = cut(words.filter("kind = 'table'"))
+    sums = vocabulary.agg(F.sum("n"), F.sum("v"), *[F.sum(F.col("spectrum")[r]) for r in range(R + 2)]).head()
     spectrum = [int(x or 0) for x in sums[2:]]
     if 0 < train_docs <= R + 1:
         spectrum[train_docs] += 1
     n, v = int(sums[0] or 0) + train_docs, int(sums[1] or 0) + (train_docs > 0)
     d1 = discounts(spectrum)
-    seen = 1 - sum((1 - d1[r]) * r * spectrum[r] for r in range(1, R + 1)) / max(n, 1)
-    replies = words.filter("kind = 'reply'").select("block", "at", "id", "count")
-    grams = cut(bigram_replies(bigram_requests(b, replies, parts, train_docs), n, d1, seen))
-    second = grams.filter("kind = 'table'").agg(*[F.sum(F.col("spectrum")[r]) for r in range(R + 2)]).head()
-    d2 = discounts([int(x or 0) for x in second])
-    both = replies.select("block", F.lit(1).alias("what"), "at", "id", "count", *[F.lit(None).cast(t).alias(c) for c, t in (("part", "long"), ("c", "binary"), ("sums", "binary"), ("low", "binary"))]).unionByName(
-        grams.filter("kind = 'reply'").select("block", F.lit(2).alias("what"), F.lit(None).cast("binary").alias("at"), F.lit(None).cast("binary").alias("id"), "count", "part", "c", "sums", "low")
-    )
-
-    def run(_, own, reply):
+    mass = 1 - sum((1 - d1[r]) * r * spectrum[r] for r in range(1, R + 1)) / max(n, 1)
+    b2 = cut(numbered(b, words.filter("kind = 'reply'").select("block", "at", "id", "count"), train_docs))
+    discard(b, words)
+
+    def by_word(low, lowc):
+        return unigram(low, n, d1, mass)
+
+    second = cut(gram_answers(gram_requests(b2, 2, parts, hot), by_word))
+    d2 = discounts(_spectra(second))
+    bigrams = cut(second.filter("kind = 'table'").select("part", "count", "tv", "tw"))
+    b3 = cut(counted(b2, answers_by_block(b2, second, 2, parts, hot), parts, hot, d2))
+    discard(b2, second)
+
+    def by_bigram(low, lowc):
+        return np.where(low > 0, seen(low, lowc >> 1, (lowc & 1) == 1, d2), 0.0)
+
+    third = cut(gram_answers(gram_requests(b3, 3, parts, hot), by_bigram))
+    d3 = discounts(_spectra(third))
+    if tables is not None:
+        tables |= {"words": vocabulary, "bigrams": bigrams, "trigrams": third.filter("kind = 'table'").select("part", "count", "tv", "tu", "tw")}
+
+    def run(_, own, replies):
         import pandas as pd
 
         out = []
         for r in own.to_dict("records"):
-            one, two = reply[reply["what"] == 1], reply[reply["what"] == 2]
-            ids, counts = _globals(r, list(zip(one["at"], one["id"], one["count"])), train_docs)
-            stream, ends, held = unpack(r["stream"], np.uint32), unpack(r["ends"], np.int64), unpack(r["held"], np.uint8)
-            h, w = ids[_pairs(stream, ends)], ids[stream]
-            (uh, _w), where = _distinct(h, w)
-            count, c, s, low = np.zeros(len(uh), np.int64), np.zeros(len(uh), np.int64), np.zeros(len(uh)), np.zeros((R, len(uh)), np.int64)
-            by_part = dict(_split((uh % np.uint64(parts)).astype(np.int64)))
-            for x in two.to_dict("records"):
-                at = by_part[int(x["part"])]
-                hh = uh[at]
-                g = np.cumsum(np.concatenate([[True], hh[1:] != hh[:-1]])) - 1
-                count[at], c[at], s[at] = unpack(x["count"], np.uint32), unpack(x["c"], np.int64)[g], unpack(x["sums"], np.float64)[g]
-                low[:, at] = unpack(x["low"], np.uint32).reshape(R, -1)[:, g]
-            own_count = counts[stream]
-            p = unigram(own_count, n, d1, seen)
-            q = np.log10(conditional(count[where], c[where], low[:, where], s[where], d2, p))
+            g = Grams(r, 3, parts, hot)
+            count, none, alpha = gathered(g, replies, d3)
+            p1 = unigram(g.counts[g.w2], n, d1, mass)
+            _, hist2 = np.unique(g.v2, return_inverse=True)
+            none2, alpha2 = unpack(r["none2"], np.uint8).astype(bool)[hist2], unpack(r["alpha2"], np.float64)[hist2]
+            p2 = np.where(g.count2 > 0, seen(g.count2, g.counts[g.v2], none2, d2), alpha2 * p1)
+            p3 = np.where(count > 0, seen(count, g.total, none[g.hist], d3), alpha[g.hist] * p2[g.short])
+            q = np.log10(p3)[g.where]
+            own_count = g.counts[g.stream]
             base = np.log10((own_count + 0.1) / (n + 0.1 * (v + 1)))
-            starts = np.concatenate([[0], ends[:-1]])
-            each = lambda x: np.add.reduceat(x, starts)
+            starts = np.concatenate([[0], g.ends[:-1]])
+            each = lambda x, starts=starts: np.add.reduceat(x, starts)
             names = [None if i == -(2**63) else int(i) for i in unpack(r["doc_ids"], np.int64)]
-            out.append(pd.DataFrame({"doc_id": pd.array(names, "Int64"), "held_out": held == 1, "n_tokens": ends - starts, "n_known": each((own_count > 0).astype(np.int64)), "train_tokens": n, "base_score": each(base), "score": each(q)}))
+            out.append(pd.DataFrame({"doc_id": pd.array(names, "Int64"), "held_out": g.held == 1, "n_tokens": g.ends - starts, "n_known": each((own_count > 0).astype(np.int64)), "train_tokens": n, "base_score": each(base), "score": each(q)}))
+        release()
         return pd.concat(out) if out else pd.DataFrame({c: [] for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
 
-    return b.groupBy("block").cogroup(both.groupBy("block")).applyInPandas(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    back = answers_by_block(b3, third, 3, parts, hot)
+    return b3.groupBy("block").cogroup(back.groupBy("block")).applyInPandas(run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def _count_train(batches):
