@@ -27,7 +27,7 @@ from .common import cut, discard, pack, parts_for, table, unpack
 
 K, EVERY, SCALE, BLOCK, LEVELS = 20, 20, 64, 8192, 16
 ROUNDS = np.array([2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16]) / 16  # shares of all postings after which a query looks for a proof
-NO_FLOOR = -(2**63)
+NO_FLOOR, UNIT = -(2**63), 2.0**40
 
 
 def impacts(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -46,13 +46,14 @@ class ImpactIndex:
         n, width = self.v.shape
         size = np.abs(self.v)
         edges = np.unique(np.quantile(size, np.linspace(0, 1, levels + 1))[1:-1]) if size.size else np.zeros(0)
-        key = np.arange(width)[None, :] * (len(edges) + 1) + np.searchsorted(edges, size, "left")
+        kinds = len(edges) + 1
+        key = np.arange(width)[None, :] * kinds + (kinds - 1 - np.searchsorted(edges, size, "left"))  # highest level first within a dimension
         place = np.argsort(key, axis=None, kind="stable")
         flat = key.ravel()[place]
         heads = np.nonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))[0]
         self.who, self.impact = (place // width).astype(np.int64), self.v.ravel()[place].astype(np.float64)
-        self.starts, self.ends = heads, np.append(heads[1:], len(flat))
-        self.dims = flat[heads] // (len(edges) + 1)
+        self.sizes = np.diff(np.append(heads, len(flat)))
+        self.dims = flat[heads] // kinds
         self.most = np.maximum.reduceat(np.abs(self.impact), heads)
         self.norm = float(np.sqrt((self.v.astype(np.float64) ** 2).sum(1).max(initial=0)))
         self.read = self.total = 0
@@ -63,27 +64,45 @@ class ImpactIndex:
         x = q.astype(np.float64)
         bound = np.abs(x)[self.dims] * self.most
         order = np.argsort(-bound, kind="stable")
-        upto = np.cumsum((self.ends - self.starts)[order])
+        upto = np.cumsum(self.sizes[order])
         stops = np.minimum(np.searchsorted(upto, ROUNDS * upto[-1], "left") + 1, len(order))
-        acc, unread, at = np.zeros(n), np.full(n, width, np.int64), 0
+        # Within a dimension segments are read from its highest level down, so what is read of it is always one run of postings.
+        done = np.arange(width) * n
+        both = exact and width < 4096 and float(np.abs(x).sum()) * self.most.max() < 2**39
+        acc, unread, at = np.zeros(n), np.full(n, float(width)), 0
         for stop in stops:
             if stop <= at:
                 continue
-            part = order[at:stop]
-            who = np.concatenate([self.who[self.starts[s] : self.ends[s]] for s in part])
-            acc += np.bincount(who, np.concatenate([self.impact[self.starts[s] : self.ends[s]] * x[self.dims[s]] for s in part]), n)
-            unread -= np.bincount(who, minlength=n)
+            upper = done + np.bincount(self.dims[order[at:stop]], self.sizes[order[at:stop]], width).astype(np.int64)
             at = int(stop)
+            spans = [slice(a, b) for a, b in zip(done.tolist(), upper.tolist()) if a < b]
+            weights = np.repeat(x, upper - done)
+            done = upper
+            who = np.concatenate([self.who[s] for s in spans])
+            weights *= np.concatenate([self.impact[s] for s in spans])
+            if both:  # whole numbers: one sum holds the count in its high bits
+                weights += UNIT
+                found = np.bincount(who, weights, n)
+                count = np.rint(found / UNIT)
+                acc += found - count * UNIT
+                unread -= count
+            else:
+                acc += np.bincount(who, weights, n)
+                unread -= np.bincount(who, minlength=n)
             rest = bound[order[at]] if at < len(order) else 0.0
+            left = int(upto[-1] - upto[at - 1])
+            if left and rest * unread.mean() > acc.std():
+                continue  # too early for any proof
             slack = unread * rest + (0.0 if exact else np.abs(acc) * 1e-12 + np.abs(x).sum() * self.most.max() * 1e-12)
-            low = acc - slack
-            if own >= 0:
-                low[own] = -np.inf
-            kth = max(floor, np.partition(low, n - k)[n - k] if n > k else -np.inf)
+            kth = floor
+            if floor == -np.inf and n > k:
+                low = acc - slack
+                if own >= 0:
+                    low[own] = -np.inf
+                kth = np.partition(low, n - k)[n - k]
             may = acc + slack >= kth
             if own >= 0:
                 may[own] = False
-            left = int(upto[-1] - upto[at - 1])
             if not left or int(may.sum()) * width <= left // 4:
                 self.read += int(upto[at - 1]) + int(may.sum()) * width
                 return np.nonzero(may)[0]
