@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 import numpy as np
 import xxhash
@@ -109,6 +110,43 @@ class WordIds(dict):
         return np.array(self.hashes, np.uint64)
 
 
+LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
+BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
+FACTOR = 0x9E3779B97F4A7C15
+PIECE = 1 << 20
+
+
+@cache
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd factor and of its inverse, modulo 2^64."""
+    return tuple(np.multiply.accumulate(np.concatenate([np.ones(1, np.uint64), np.full(size, f, np.uint64)])) for f in (FACTOR, pow(FACTOR, -1, 1 << 64)))
+
+
+@cache
+def _byte_values() -> np.ndarray:
+    """A number per byte after lower-casing; 0 for space."""
+    return np.where(BLANK, np.uint64(0), mix(LOWER.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03) + np.uint64(1)))
+
+
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all lower-cased words in order, and the number of words of each text, without an object per word."""
+    sizes = np.fromiter((len(t) if t else 0 for t in texts), np.int64, len(texts)) + 1
+    raw = np.frombuffer(b"\n".join([t or b"" for t in texts]) + b"\n", np.uint8)
+    blank = BLANK[raw]
+    starts = np.nonzero(~blank & np.concatenate([[True], blank[:-1]]))[0]
+    del blank
+    counts = np.diff(np.searchsorted(starts, np.cumsum(sizes)), prepend=0)
+    out, at, values = np.zeros(len(starts), np.uint64), 0, _byte_values()
+    while at < len(starts):
+        stop = max(at + 1, int(np.searchsorted(starts, starts[at] + PIECE)))
+        a, b = int(starts[at]), int(starts[stop]) if stop < len(starts) else len(raw)
+        up, down = _powers(max(PIECE, 1 << (b - a).bit_length())) if b - a > PIECE else _powers(PIECE)
+        own = starts[at:stop] - a
+        out[at:stop] = np.add.reduceat(values[raw[a:b]] * up[: b - a], own) * down[own]
+        at = stop
+    return mix(out), counts
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser."""
     x = x ^ (x >> np.uint64(32))
@@ -148,20 +186,26 @@ def _lengths(column) -> np.ndarray:
     return np.asarray(pc.fill_null(pc.binary_length(column), 0), dtype=np.int64)
 
 
-def pack(array: np.ndarray) -> bytes:
-    """zstd over byte planes: the high bytes of small numbers stand together."""
+@cache
+def _zstd(level: int):
+    """One compressor or (level 0) decompressor per worker: making them costs more than a small blob."""
     import zstandard
 
+    return zstandard.ZstdCompressor(level=level) if level else zstandard.ZstdDecompressor()
+
+
+def pack(array: np.ndarray, level: int = 3) -> bytes:
+    """zstd over byte planes: the high bytes of small numbers stand together."""
     raw = np.ascontiguousarray(array)
-    planes = raw.view(np.uint8).reshape(-1, raw.itemsize).T
-    return zstandard.ZstdCompressor(level=3).compress(np.ascontiguousarray(planes).tobytes())
+    planes = raw.view(np.uint8).reshape(-1, raw.itemsize).T if raw.itemsize > 1 else raw
+    return _zstd(level).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def unpack(blob: bytes, kind) -> np.ndarray:
-    import zstandard
-
-    raw, width = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8), np.dtype(kind).itemsize
-    return np.ascontiguousarray(raw.reshape(width, -1).T).view(kind).ravel() if len(raw) else np.zeros(0, kind)
+    raw, width = np.frombuffer(_zstd(0).decompress(blob), np.uint8), np.dtype(kind).itemsize
+    if not len(raw):
+        return np.zeros(0, kind)
+    return np.ascontiguousarray(raw.reshape(width, -1).T).view(kind).ravel() if width > 1 else raw.view(kind)
 
 
 def release() -> None:

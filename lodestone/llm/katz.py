@@ -31,9 +31,9 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordIds, chunks, cut, discard, mix, pack, parts_for, release, skew_join, table, unpack
+from .common import chunks, cut, discard, mix, pack, parts_for, release, skew_join, table, unpack, word_hashes
 
-R, BLOCK_BYTES, PART_BYTES, HELD_OUT, HOT = 5, 10 << 20, 8 << 20, 10, 1_000_000
+R, BLOCK_BYTES, PART_BYTES, HELD_OUT, HOT = 5, 6 << 20, 8 << 20, 10, 1_000_000
 END, START = 0, 1  # local ids; words follow
 
 
@@ -48,28 +48,22 @@ def blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
         import pyarrow as pa
         from pyspark import TaskContext
 
-        base, words = TaskContext.get().partitionId() << 32, WordIds(bound=250_000)
+        base = TaskContext.get().partitionId() << 32
         for ids, texts in chunks(batches, ["doc_id", "text"], block_bytes):
-            words.trim()
-            each = [words.ids(t.translate(LOWER).split()).astype(np.int32) if t else np.zeros(0, np.int32) for t in texts]
+            hashes, n = word_hashes(texts)
             del texts
-            n = np.fromiter(map(len, each), np.int64, len(each))
-            known, local = np.unique(np.concatenate(each), return_inverse=True)
-            del each
+            known, local = np.unique(hashes, return_inverse=True)
             stream = np.insert(local.astype(np.uint32) + 2, np.cumsum(n), END)
             held = np.array([held_out(i) for i in ids], np.uint8)
             names = np.array([-(2**63) if i is None else i for i in ids], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([base]), *(pa.array([pack(x)], pa.binary()) for x in (names, np.cumsum(n + 1), held, words.table()[known], stream))], ["block", "doc_ids", "ends", "held", "hashes", "stream"])
+            yield pa.RecordBatch.from_arrays([pa.array([base]), *(pa.array([pack(x)], pa.binary()) for x in (names, np.cumsum(n + 1), held, known, stream))], ["block", "doc_ids", "ends", "held", "hashes", "stream"])
             base += 1
-            del local, stream
+            del local, stream, hashes, known
             release()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "block long, doc_ids binary, ends binary, held binary, hashes binary, stream binary")
 
 
-LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-
-
 def _train(stream: np.ndarray, ends: np.ndarray, held: np.ndarray) -> np.ndarray:
     return np.repeat(held == 0, np.diff(ends, prepend=0))
 
@@ -155,7 +149,7 @@ def narrow(x: np.ndarray) -> bytes:
     """Whole numbers from 0 on as a blob of the least width that holds them."""
     top = int(x.max()) if len(x) else 0
     width = next(k for k in (1, 2, 4, 8) if k == 8 or top < 1 << (8 * k))
-    return bytes([width]) + pack(x.astype(f"<u{width}"))
+    return bytes([width]) + pack(x.astype(f"<u{width}"), 1)
 
 
 def wide(blob: bytes) -> np.ndarray:
@@ -191,53 +185,90 @@ def numbered(b: DataFrame, replies: DataFrame, train_docs: int) -> DataFrame:
     return b.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(run, NUMBERED)
 
 
+def _slim(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.uint32) if not len(x) or x.max() < 2**32 else x
+
+
+def _long(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.uint64)
+
+
+def _runs(new: np.ndarray) -> np.ndarray:
+    """Number of the run of each row, from marks of first rows."""
+    return (np.cumsum(new) - 1).astype(np.int32)
+
+
 class Grams:
-    """Distinct n-grams of one block: bigrams, and trigrams once bigram counts are known, with their histories, parts and order of travel."""
+    """Distinct n-grams of one block: bigrams, and trigrams once bigram counts are known, with their histories, parts and order of travel (by part, history, word)."""
 
     def __init__(self, r: dict, order: int, parts: int, hot: int):
-        self.r, self.parts, self.order = r, parts, order
-        self.stream, self.ends, self.held = unpack(r["stream"], np.uint32).astype(np.int64), unpack(r["ends"], np.int64), unpack(r["held"], np.uint8)
-        self.ids, self.counts = wide(r["ids"]), wide(r["counts"]).astype(np.int64)
+        self.parts, self.order = parts, order
+        self.ends, self.held = unpack(r["ends"], np.int64), unpack(r["held"], np.uint8)
+        stream = unpack(r["stream"], np.uint32).astype(np.int64)
+        self.stream, self.ids, self.counts = stream.astype(np.int32), _slim(wide(r["ids"])), wide(r["counts"]).astype(np.int64)
         self.train = np.repeat(self.held == 0, np.diff(self.ends, prepend=0))
         starts = np.concatenate([[0], self.ends[:-1]]).astype(np.int64)
-        before = np.concatenate([[START], self.stream[:-1]])
-        before[starts] = START
-        pairs, self.where2 = np.unique((before << 32) | self.stream, return_inverse=True)
-        self.v2, self.w2 = pairs >> 32, pairs & (2**32 - 1)
+        key = np.concatenate([[START], stream[:-1]])
+        key[starts] = START
+        key <<= 32
+        key |= stream
+        pairs, where = np.unique(key, return_inverse=True)
+        del key
+        self.where2, n2 = where.astype(np.int32), len(pairs)
+        self.v2, self.w2 = (pairs >> 32).astype(np.int32), (pairs & (2**32 - 1)).astype(np.int32)
+        del pairs, where
+        self.hist2 = _runs(_heads(self.v2))
         if order == 2:
-            self.where, self.v, self.w = self.where2, self.ids[self.v2], self.ids[self.w2]
-            self.u = np.zeros(len(self.v), np.uint64)
-            _, self.hist = np.unique(self.v2, return_inverse=True)
+            self.where, self.v, self.w, self.hist = self.where2, self.ids[self.v2], self.ids[self.w2], self.hist2
+            self.u = np.zeros(n2, np.uint8)
             self.total = self.counts[self.v2]
             self.spread = self.total > hot
-            self.deal = mix(self.v)
+            deal, place = mix(_long(self.v)), np.arange(n2)
         else:
             self.count2 = wide(r["count2"]).astype(np.int64)
-            last = np.concatenate([[0], self.where2[:-1]])
-            last[starts] = len(pairs)  # two start symbols
-            grams, self.where = np.unique((last << 32) | self.stream, return_inverse=True)
-            p, w = grams >> 32, grams & (2**32 - 1)
+            key = np.concatenate([[0], self.where2[:-1]]).astype(np.int64)
+            key[starts] = n2  # two start symbols
+            key <<= 32
+            key |= stream
+            grams, where = np.unique(key, return_inverse=True)
+            del key, stream
+            self.where = where.astype(np.int32)
+            p, w = (grams >> 32).astype(np.int32), (grams & (2**32 - 1)).astype(np.int32)
+            del grams, where
             u_of, v_of = np.append(self.v2, START), np.append(self.w2, START)
-            self.u, self.v, self.w = self.ids[u_of[p]], self.ids[v_of[p]], self.ids[w]
-            _, self.hist = np.unique(p, return_inverse=True)
+            self.u, self.v, self.w, self.hist = self.ids[u_of[p]], self.ids[v_of[p]], self.ids[w], _runs(_heads(p))
             self.total = np.append(self.count2, self.counts[START])[p]
             self.spread = self.total > hot
-            self.short = np.zeros(len(grams), np.int64)  # the bigram (v, w) of each trigram
+            self.short = np.zeros(len(p), np.int32)  # the bigram (v, w) of each trigram
             self.short[self.where] = self.where2
-            whole = self.counts[v_of[p]] <= hot
-            self.deal = np.where(whole, mix(self.v), mix(self.v * np.uint64(31) + self.u))
-        self.deal = np.where(self.spread, mix(self.deal ^ mix(self.w + np.uint64(7))), self.deal)
-        self.part = (self.deal % np.uint64(parts)).astype(np.int64)
-        self.sorted = np.lexsort((self.w, self.u, self.v, self.part))
+            deal = np.where(self.counts[v_of[p]] <= hot, mix(_long(self.v)), mix(_long(self.v) * np.uint64(31) + _long(self.u)))
+            rank = np.empty(n2 + 1, np.int64)
+            rank[np.argsort((v_of.astype(np.int64) << 32) | u_of)] = np.arange(n2 + 1)
+            place = rank[p]
+        if self.spread.any():
+            deal = np.where(self.spread, mix(deal ^ mix(_long(self.w) + np.uint64(7))), deal)
+        self.part = (deal % np.uint64(parts)).astype(np.int64)
+        del deal
+        self.sorted = np.argsort(self.part * (n2 + 1) + place, kind="stable").astype(np.int32)
 
     def by_part(self):
         key = self.part[self.sorted]
-        cuts = np.nonzero(np.concatenate([[True], key[1:] != key[:-1]]))[0] if len(key) else []
+        cuts = np.nonzero(_heads(key))[0]
         for a, b in zip(cuts, [*cuts[1:], len(key)]):
             yield int(key[a]), self.sorted[a:b]
 
 
-REQUEST = "part long, block long, v binary, u binary, w binary, train binary, low binary, lowc binary, spread binary"
+def _steps(x: np.ndarray) -> tuple[bytes, bytes]:
+    """Values in runs as a blob of their heads and one of run lengths."""
+    at = np.nonzero(_heads(x))[0]
+    return narrow(x[at]), narrow(np.diff(np.append(at, len(x))))
+
+
+def _from_steps(values: bytes, runs: bytes) -> np.ndarray:
+    return np.repeat(wide(values), wide(runs).astype(np.int64))
+
+
+REQUEST = "part long, block long, v binary, runs binary, u binary, w binary, train binary, low binary, lowc binary, spread binary"
 ANSWER = "kind string, block long, part long, count binary, none binary, small binary, sums binary, v long, u long, l1 long, l2 long, l3 long, l4 long, l5 long, sum double, spectrum array<long>, tv binary, tu binary, tw binary"
 
 
@@ -254,14 +285,15 @@ def gram_requests(b: DataFrame, order: int, parts: int, hot: int) -> DataFrame:
                 if order == 2:
                     low, lowc = np.where(train > 0, g.counts[g.w2], 0), np.zeros(len(g.v), np.int64)
                 else:
-                    none = unpack(r["none2"], np.uint8)[np.unique(g.v2, return_inverse=True)[1]]
+                    none = unpack(r["none2"], np.uint8)[g.hist2]
                     low = np.where(train > 0, g.count2[g.short], 0)
                     lowc = np.where(train > 0, 2 * g.counts[g.v2[g.short]] + none[g.short], 0)
-                rows = [(p, r["block"], narrow(np.diff(g.v[at], prepend=np.uint64(0))), narrow(g.u[at]), narrow(g.w[at]), narrow(train[at]), narrow(low[at]), narrow(lowc[at]), narrow(g.spread[at])) for p, at in g.by_part()]
-                kinds = [pa.int64(), pa.int64()] + [pa.binary()] * 7
+                rows = [(p, r["block"], *_steps(g.v[at]), narrow(g.u[at]), narrow(g.w[at]), narrow(train[at]), narrow(low[at]), narrow(lowc[at]), narrow(g.spread[at])) for p, at in g.by_part()]
+                kinds = [pa.int64(), pa.int64()] + [pa.binary()] * 8
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), kinds)], [c.split()[0] for c in REQUEST.split(", ")])
-        release()
+                del g, train, low, lowc, rows
+                release()
 
     return b.mapInArrow(run, REQUEST)
 
@@ -275,24 +307,25 @@ def _heads(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def gram_answers(requests: DataFrame, shorter) -> DataFrame:
+def gram_answers(requests: DataFrame, shorter, tasks: int) -> DataFrame:
     """Per block and part the counts of its n-grams and, per history, whether it leaves no mass and what alpha needs; per hot history a part's share of that; per part its table. `shorter` gives P(w | shorter history) from (low, lowc)."""
 
     def run(key, pdf):
-        cols = {c: [wide(x) for x in pdf[c]] for c in ("v", "u", "w", "train", "low", "lowc", "spread")}
-        sizes = [len(x) for x in cols["w"]]
-        v, u, w = np.concatenate([np.cumsum(x) for x in cols["v"]]), np.concatenate(cols["u"]), np.concatenate(cols["w"])
-        order = np.lexsort((w, u, v))
+        joined = lambda c: np.concatenate([wide(x) for x in pdf[c]])
+        each = [_from_steps(x, n) for x, n in zip(pdf["v"], pdf["runs"])]
+        v, u, w, sizes = np.concatenate(each), joined("u"), joined("w"), [len(x) for x in each]
+        del each
+        order = np.lexsort((w, (v << np.uint64(32)) | u)) if max(v.max(), u.max()) < 2**32 else np.lexsort((w, u, v))
         v, u, w = v[order], u[order], w[order]
         new = _heads(v, u, w)
         gram = np.cumsum(new) - 1
         where = np.empty(len(order), np.int64)
         where[order] = gram
         n = int(new.sum())
-        count = np.bincount(where, np.concatenate(cols["train"]), n).astype(np.int64)
+        count = np.bincount(where, joined("train"), n).astype(np.int64)
         low, lowc = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        np.maximum.at(low, where, np.concatenate(cols["low"]).astype(np.int64))
-        np.maximum.at(lowc, where, np.concatenate(cols["lowc"]).astype(np.int64))
+        np.maximum.at(low, where, joined("low").astype(np.int64))
+        np.maximum.at(lowc, where, joined("lowc").astype(np.int64))
         v, u, w = v[new], u[new], w[new]
         first = _heads(v, u)
         hist = np.cumsum(first) - 1
@@ -300,7 +333,7 @@ def gram_answers(requests: DataFrame, shorter) -> DataFrame:
         few = np.stack([np.bincount(hist, count == r, k).astype(np.int64) for r in range(1, R + 1)])
         sums = np.bincount(hist, np.where(count > 0, shorter(low, lowc), 0.0), k)
         hot = np.zeros(n, bool)
-        hot[where[np.concatenate(cols["spread"]).astype(bool)]] = True
+        hot[where[joined("spread").astype(bool)]] = True
         none = few.sum(0) == 0
         out, at = [], 0
         blank = (None,) * 12
@@ -322,7 +355,7 @@ def gram_answers(requests: DataFrame, shorter) -> DataFrame:
         found = frame(out, ANSWER)
         return found.astype({c: "Int64" for c in ("v", "u", "l1", "l2", "l3", "l4", "l5")}).astype({"sum": "float64"})
 
-    return requests.groupBy("part").applyInPandas(run, ANSWER)
+    return requests.repartition(tasks, "part").groupBy("part").applyInPandas(run, ANSWER)
 
 
 LOWS = [f"l{r}" for r in range(1, R + 1)]
@@ -412,7 +445,7 @@ def _spectra(answers: DataFrame) -> list[int]:
 def score(docs: DataFrame, part_bytes: int = PART_BYTES, block_bytes: int = BLOCK_BYTES, hot: int = HOT, tables: dict | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score. `tables`, if given, gets the stored tables of words, bigrams and trigrams."""
     total = docs.select(F.sum(F.octet_length("text"))).head()[0] or 0
-    parts = parts_for(total, part_bytes)
+    parts, tasks = parts_for(total, part_bytes), parts_for(total, 2 * part_bytes)  # a task holds about two parts whatever the session's settings
     b = cut(blocks(docs, block_bytes))
     train_docs = b.select("held").mapInArrow(_count_train, "n long").agg(F.sum("n")).head()[0] or 0
     words = cut(word_replies(word_requests(b, parts), parts))
@@ -430,7 +463,7 @@ def score(docs: DataFrame, part_bytes: int = PART_BYTES, block_bytes: int = BLOC
     def by_word(low, lowc):
         return unigram(low, n, d1, mass)
 
-    second = cut(gram_answers(gram_requests(b2, 2, parts, hot), by_word))
+    second = cut(gram_answers(gram_requests(b2, 2, parts, hot), by_word, tasks))
     d2 = discounts(_spectra(second))
     bigrams = cut(second.filter("kind = 'table'").select("part", "count", "tv", "tw"))
     b3 = cut(counted(b2, answers_by_block(b2, second, 2, parts, hot), parts, hot, d2))
@@ -439,7 +472,7 @@ def score(docs: DataFrame, part_bytes: int = PART_BYTES, block_bytes: int = BLOC
     def by_bigram(low, lowc):
         return np.where(low > 0, seen(low, lowc >> 1, (lowc & 1) == 1, d2), 0.0)
 
-    third = cut(gram_answers(gram_requests(b3, 3, parts, hot), by_bigram))
+    third = cut(gram_answers(gram_requests(b3, 3, parts, hot), by_bigram, tasks))
     d3 = discounts(_spectra(third))
     if tables is not None:
         tables |= {"words": vocabulary, "bigrams": bigrams, "trigrams": third.filter("kind = 'table'").select("part", "count", "tv", "tu", "tw")}
@@ -452,8 +485,7 @@ def score(docs: DataFrame, part_bytes: int = PART_BYTES, block_bytes: int = BLOC
             g = Grams(r, 3, parts, hot)
             count, none, alpha = gathered(g, replies, d3)
             p1 = unigram(g.counts[g.w2], n, d1, mass)
-            _, hist2 = np.unique(g.v2, return_inverse=True)
-            none2, alpha2 = unpack(r["none2"], np.uint8).astype(bool)[hist2], unpack(r["alpha2"], np.float64)[hist2]
+            none2, alpha2 = unpack(r["none2"], np.uint8).astype(bool)[g.hist2], unpack(r["alpha2"], np.float64)[g.hist2]
             p2 = np.where(g.count2 > 0, seen(g.count2, g.counts[g.v2], none2, d2), alpha2 * p1)
             p3 = np.where(count > 0, seen(count, g.total, none[g.hist], d3), alpha[g.hist] * p2[g.short])
             q = np.log10(p3)[g.where]

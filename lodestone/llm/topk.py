@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, discard, pack, parts_for, table, unpack
 
-K, EVERY, SCALE, BLOCK, LEVELS = 20, 20, 64, 8192, 16
+K, EVERY, SCALE, BLOCK, LEVELS = 20, 20, 64, 16384, 16
 ROUNDS = np.array([2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 15, 16]) / 16  # shares of all postings after which a query looks for a proof
 NO_FLOOR, UNIT = -(2**63), 2.0**40
 
@@ -91,7 +91,7 @@ class ImpactIndex:
                 unread -= np.bincount(who, minlength=n)
             rest = bound[order[at]] if at < len(order) else 0.0
             left = int(upto[-1] - upto[at - 1])
-            if left and rest * unread.mean() > acc.std():
+            if left and rest * unread.mean() > 1.5 * acc.std():
                 continue  # too early for any proof
             slack = unread * rest + (0.0 if exact else np.abs(acc) * 1e-12 + np.abs(x).sum() * self.most.max() * 1e-12)
             kth = floor
@@ -103,7 +103,7 @@ class ImpactIndex:
             may = acc + slack >= kth
             if own >= 0:
                 may[own] = False
-            if not left or int(may.sum()) * width <= left // 4:
+            if not left or int(may.sum()) * width <= left // 2:
                 self.read += int(upto[at - 1]) + int(may.sum()) * width
                 return np.nonzero(may)[0]
         return np.zeros(0, np.int64)
