@@ -307,6 +307,17 @@ def _heads(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
+def _order(v: np.ndarray, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Order by (v, u, w): two plain sorts of one number where the ids allow, as they are much faster than a stable one by several keys."""
+    if max(v.max(), u.max(), w.max()) >= 2**32:
+        return np.lexsort((w, u, v))
+    key = (v << np.uint64(32)) | u
+    order = np.argsort(key)
+    rank = np.empty(len(key), np.uint64)
+    rank[order] = np.cumsum(_heads(key[order])) - 1
+    return np.argsort((rank << np.uint64(32)) | w)
+
+
 def gram_answers(requests: DataFrame, shorter, tasks: int) -> DataFrame:
     """Per block and part the counts of its n-grams and, per history, whether it leaves no mass and what alpha needs; per hot history a part's share of that; per part its table. `shorter` gives P(w | shorter history) from (low, lowc)."""
 
@@ -315,7 +326,7 @@ def gram_answers(requests: DataFrame, shorter, tasks: int) -> DataFrame:
         each = [_from_steps(x, n) for x, n in zip(pdf["v"], pdf["runs"])]
         v, u, w, sizes = np.concatenate(each), joined("u"), joined("w"), [len(x) for x in each]
         del each
-        order = np.lexsort((w, (v << np.uint64(32)) | u)) if max(v.max(), u.max()) < 2**32 else np.lexsort((w, u, v))
+        order = _order(v, u, w)
         v, u, w = v[order], u[order], w[order]
         new = _heads(v, u, w)
         gram = np.cumsum(new) - 1
