@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -85,7 +86,6 @@ def ratios(pages: DataFrame, *by: str) -> DataFrame:
 
 def partial_ratio(needle: Column, hay: Column) -> Column:
     """How much of a text (0 to 100) some stretch of another of the same length matches; 100 where it is contained, settled without Python."""
-    import pandas as pd
 
     @F.pandas_udf("double")
     def run(a: pd.Series, b: pd.Series) -> pd.Series:

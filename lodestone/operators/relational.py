@@ -14,14 +14,14 @@ def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], always: tuple[str, ...] = (), earliest: tuple[str, ...] = ()) -> DataFrame:
     """Field-wise merge: a new value wins unless it is null or empty; `always` columns take it as it is, `earliest` keep the least."""
-    joined = old.alias("o").join(new.alias("n"), keys, "full_outer")
+    joined = old.alias("o").join(new.withColumn("_new", F.lit(True)).alias("n"), keys, "full_outer")
     cols = []
     for c, kind in old.dtypes:
         if c in keys:
             cols.append(F.col(c))
             continue
         o, n = F.col(f"o.{c}"), F.col(f"n.{c}")
-        present = F.coalesce(*[F.col(f"n.{k}") for k in new.columns if k not in keys][:1], F.lit(None)).isNotNull()
+        present = F.col("n._new").isNotNull()
         if c in always:
             cols.append(F.when(present, n).otherwise(o).alias(c))
         elif c in earliest:
@@ -43,15 +43,25 @@ def add_versions(versions: DataFrame, seen: DataFrame, keys: list[str], hash_col
     return merged.select(*on, F.coalesce("retrieved_at", "_at").alias("retrieved_at"), F.coalesce("_at", "last_verified_at").alias("last_verified_at"), F.col("retrieved_at").isNull().alias("is_new"))
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cuts the lineage of a loop's table: written to the session's checkpoint folder, which driver and executors share, and read back."""
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{spark.sparkContext.getCheckpointDir() or spark.conf.get('spark.checkpoint.dir')}/lodestone/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(id, component): the smallest id reachable, by label propagation with shortcuts; lineage is cut each round in the checkpoint folder."""
-    both = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).union(edges.select(b, a)).filter("x != y").distinct().checkpoint()
-    labels = both.groupBy(F.col("x").alias("id")).agg(F.min("y").alias("m")).select("id", F.least("id", "m").alias("component")).checkpoint()
+    both = written(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).union(edges.select(b, a)).filter("x != y").distinct())
+    labels = written(both.groupBy(F.col("x").alias("id")).agg(F.min("y").alias("m")).select("id", F.least("id", "m").alias("component")))
     while True:
         near = both.join(labels.withColumnRenamed("id", "y"), "y").groupBy(F.col("x").alias("id")).agg(F.min("component").alias("near"))
         step = labels.join(near, "id").select("id", F.least("component", "near").alias("c"), F.col("component").alias("was"))
         far = labels.select(F.col("id").alias("c"), F.col("component").alias("far"))
-        new = step.join(far, "c", "left").select("id", F.least("c", F.coalesce("far", "c")).alias("component"), "was").checkpoint()
+        new = written(step.join(far, "c", "left").select("id", F.least("c", F.coalesce("far", "c")).alias("component"), "was"))
         if new.filter("component != was").isEmpty():
             return new.select("id", "component")
         labels = new.select("id", "component")
@@ -64,6 +74,14 @@ def multiset_overlap(left: DataFrame, right: DataFrame, keys: list[str], value:
     return both.groupBy(*keys).agg(F.sum("count").alias("n_left"), F.sum(F.least("count", F.coalesce("other", F.lit(0)))).alias("n_shared"))
 
 
+def multisets_equal(export: DataFrame, stored: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Per key the counts of both sides and whether their multisets of values agree: equal, differs, missing (nothing stored) or not exported."""
+    e, s = (d.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(n)) for d, n in ((export, "_e"), (stored, "_s")))
+    same = F.bool_and(F.col("_e").eqNullSafe(F.col("_s")))
+    state = F.when(F.count("_s") == 0, "missing").when(F.count("_e") == 0, "not exported").when(same, "equal").otherwise("differs")
+    return e.join(s, [*keys, value], "full_outer").groupBy(*keys).agg(F.coalesce(F.sum("_e"), F.lit(0)).alias("n_export"), F.coalesce(F.sum("_s"), F.lit(0)).alias("n_stored"), state.alias("state"))
+
+
 def islands(df: DataFrame, keys: list[str], order: list[str], start: Column, name: str = "island") -> DataFrame:
     """Numbers runs of rows: `start` marks the first row of each."""
     w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)

@@ -50,7 +50,7 @@ def kept_rows(rows: DataFrame, aliases: DataFrame, synonyms: list[str], product_
 
 
 def similar_names(names: DataFrame) -> DataFrame:
-    """(a, b) of names (id, name): equal length of seven and more, one letter apart, or up to three with the same first three letters.
+    """(a, b) of different names (id, name): equal length of seven and more, one letter apart, or up to three with the same first three letters.
 
     One letter apart: both share a variant with the letter at one place left out, so variants join by equality. Same beginning: length and
     first three letters are the key."""
@@ -60,7 +60,7 @@ def similar_names(names: DataFrame) -> DataFrame:
     begins = F.concat(F.lit("p:"), F.length("name").cast("string"), F.lit(":"), F.substring("name", 1, 3))
     keyed = long.withColumn("_k", F.explode(F.array_append(variants, begins)))
     a, b = keyed.select(F.col("id").alias("a"), F.col("name").alias("x"), "_k"), keyed.select(F.col("id").alias("b"), F.col("name").alias("y"), "_k")
-    met = a.join(b, "_k").filter((F.col("a") < F.col("b")) & (F.length("x") == F.length("y"))).select("a", "b", "x", "y").distinct()
+    met = a.join(b, "_k").filter((F.col("a") < F.col("b")) & (F.length("x") == F.length("y")) & (F.col("x") != F.col("y"))).select("a", "b", "x", "y").distinct()
     d = F.levenshtein("x", "y")
     return met.filter((d <= 1) | ((d <= 3) & (F.substring("x", 1, 3) == F.substring("y", 1, 3)))).select("a", "b")
 
@@ -76,7 +76,8 @@ def first_links(registrations: DataFrame) -> DataFrame:
     r = registrations.withColumn("name", X.norm_name(X.base_brand(F.col("brand")))).withColumn("who", X.holder_key(F.col("holder")))
     free = r.filter(~F.coalesce("reference", F.lit(False)))
     same = chains(r.filter("name != ''"), ["name"], "same_brand")
-    holder = chains(free.filter("agency = 'ema' AND who != ''"), ["agency", "who"], "same_holder")
+    one_each = free.filter("agency = 'ema' AND who != ''").groupBy("who", F.when(F.col("name") == "", F.col("id").cast("string")).otherwise(F.col("name")).alias("_as")).agg(F.min("id").alias("id"))
+    holder = chains(one_each, ["who"], "same_holder")  # equal names have met already
     agency = free.select("id", "agency")
     close = similar_names(free.select("id", "name")).join(agency.select(F.col("id").alias("a"), F.col("agency").alias("_x")), "a").join(agency.select(F.col("id").alias("b"), F.col("agency").alias("_y")), "b")
     return same.unionByName(holder).unionByName(close.filter("_x != _y").select("a", "b", F.lit("similar_name").alias("rule")))

@@ -118,24 +118,24 @@ def unless_empty(rows: DataFrame, keys: list[str], narrow: Column) -> DataFrame:
     return rows.withColumn("_in", narrow).withColumn("_some", some).filter("_in OR NOT _some").drop("_in", "_some")
 
 
-def dense_top(chunks: DataFrame, queries: DataFrame, n: int, groups: str = "search") -> DataFrame:
+def dense_top(chunks: DataFrame, queries: DataFrame, n: int, scale: int = 0, grain: int = 1) -> DataFrame:
     """(search, chunk_id, score): the best n chunks of each query by inner product, ties to the larger chunk_id.
 
-    chunks: chunk_id, v (whole numbers), g (group of filters); queries: search, q, allow (the groups that a search may see; null: all). Queries
-    travel as one matrix to each task, after a count has proved them few; beyond that they are taken in shares of MOST_SEARCHES, one scan of the chunks
+    chunks: chunk_id, v (whole numbers, or any with a scale: then floor(scale x) counts), g (group of filters); queries: search, q, allow (the groups that a search may see; null: all). Queries
+    (scores may be taken in coarser grains) travel as one matrix to each task, after a count has proved them few; beyond that they are taken in shares of MOST_SEARCHES, one scan of the chunks
     each. Every Arrow batch answers with at most n rows per search."""
     total = queries.count()
     shares = -(-total // MOST_SEARCHES) or 1
     out = None
     for share in range(shares):
         part = queries if shares == 1 else queries.filter(F.pmod(F.xxhash64("search"), F.lit(shares)) == share)
-        found = _scored(chunks, part.toPandas(), n)  # at most about MOST_SEARCHES rows, by the count above
+        found = _scored(chunks, part.toPandas(), n, scale, grain)  # at most about MOST_SEARCHES rows, by the count above
         out = found if out is None else out.union(found)
     w = W.partitionBy("search").orderBy(F.desc("score"), F.desc("chunk_id"))
     return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
-def _scored(chunks: DataFrame, queries, n: int) -> DataFrame:
+def _scored(chunks: DataFrame, queries, n: int, scale: int, grain: int) -> DataFrame:
     kind = dict(chunks.dtypes)
     names = list(queries["search"])
     matrix = np.array(queries["q"].tolist(), np.float64).reshape(len(names), -1)
@@ -151,8 +151,9 @@ def _scored(chunks: DataFrame, queries, n: int) -> DataFrame:
             ids = np.asarray(b.column(0).to_pylist())
             v = b.column(1)
             flat = np.asarray(v.flatten(), np.float64).reshape(b.num_rows, -1)
+            flat = np.floor(scale * flat) if scale else flat
             group = b.column(2).to_pylist()
-            score = flat @ matrix.T
+            score = flat @ matrix.T if grain == 1 else np.floor((flat @ matrix.T) / grain)
             order = np.argsort(-ids, kind="stable")  # ties go to the larger id
             ids, score, group = ids[order], score[order], np.asarray(group, object)[order]
             for j, name in enumerate(names):
@@ -163,7 +164,7 @@ def _scored(chunks: DataFrame, queries, n: int) -> DataFrame:
                 if len(best):
                     yield pa.RecordBatch.from_arrays([pa.array([name] * len(best), pa.int64() if name_type == "long" else pa.string()), pa.array(ids[best]), pa.array(s[best].round().astype(np.int64))], ["search", "chunk_id", "score"])
 
-    return chunks.select("chunk_id", "v", "g").mapInArrow(run, f"search {name_type}, chunk_id {kind['chunk_id']}, score long")
+    return chunks.filter("v IS NOT NULL").select("chunk_id", "v", "g").mapInArrow(run, f"search {name_type}, chunk_id {kind['chunk_id']}, score long")
 
 
 def sparse_scores(shortlist: DataFrame, chunk_tokens: DataFrame, query_tokens: DataFrame) -> DataFrame:

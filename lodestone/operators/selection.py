@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodestone.operators.relational import written
+
 LABELS = ["label", "product_information", "product_monograph"]  # fixed values
 #: Fixed patterns: procedure numbers, and scopes that change an indication, form or route.
 PROCEDURE = r"(?:EMA/)?(VR/\d{10}|(?:II|X|P46|IB|IA|IAIN|R|T|N)/\d{3,5}(?:/G)?)"
@@ -39,10 +41,11 @@ def elected(pairs: DataFrame, order: DataFrame) -> DataFrame:
     r = order.select("doc_id", "rank")
     both = pairs.select("a", "b").join(r.select(F.col("doc_id").alias("a"), F.col("rank").alias("_x")), "a").join(r.select(F.col("doc_id").alias("b"), F.col("rank").alias("_y")), "b")
     ahead = F.col("_x") < F.col("_y")
-    edges = both.select(F.when(ahead, F.col("b")).otherwise(F.col("a")).alias("doc_id"), F.when(ahead, F.col("a")).otherwise(F.col("b")).alias("before"), F.least("_x", "_y").alias("rank")).distinct().checkpoint()
+    edges = both.select(F.when(ahead, F.col("b")).otherwise(F.col("a")).alias("doc_id"), F.when(ahead, F.col("a")).otherwise(F.col("b")).alias("before"), F.least("_x", "_y").alias("rank")).distinct()
+    edges = written(edges)
     docs = edges.select("doc_id").union(edges.select("before")).distinct()
     none = F.lit(None).cast(dict(edges.dtypes)["doc_id"])
-    state = docs.select("doc_id", none.alias("representative")).checkpoint()
+    state = written(docs.select("doc_id", none.alias("representative")))
     while True:
         known = state.select(F.col("doc_id").alias("before"), F.col("representative").alias("_of"))
         seen = edges.join(known, "before")
@@ -50,8 +53,8 @@ def elected(pairs: DataFrame, order: DataFrame) -> DataFrame:
         open_ = F.when(F.col("_of").isNull(), F.col("rank"))
         per = seen.groupBy("doc_id").agg(F.min(rep).alias("_rep"), F.min(open_).alias("_open"))
         # Decided: no earlier neighbour is open, or a representative comes before the first open one.
-        sure = F.col("_open").isNull() | (F.col("_rep.rank") < F.col("_open"))
-        new = state.join(per, "doc_id", "left").select("doc_id", F.coalesce("representative", F.when(F.coalesce(sure, F.lit(True)), F.coalesce("_rep.id", "doc_id"))).alias("representative")).checkpoint()
+        sure = F.col("_open").isNull() | F.coalesce(F.col("_rep.rank") < F.col("_open"), F.lit(False))
+        new = written(state.join(per, "doc_id", "left").select("doc_id", F.coalesce("representative", F.when(sure, F.coalesce("_rep.id", "doc_id"))).alias("representative")))
         if new.filter("representative IS NULL").isEmpty():
             return new
         state = new

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from lodestone.functions import text as X
 from lodestone.operators import relational as R
 from lodestone.operators import sections, trigrams
-from lodestone.plans.retrieval_queries import _V, bounded, centroids, dot, t, top, vectors
+from lodestone.operators import search as Q
+from lodestone.plans.retrieval_queries import _V, bounded, centroids, t, vectors
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -52,35 +53,33 @@ def trigram_windows(spark, d):
     return s.select("doc_id", *[F.round(c, 6).alias(c) for c in ("lm_score", "lm_worst")])
 
 
-@query("""WITH e AS (SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2), s AS (SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem WHERE l_quantity < 49 GROUP BY 1, 2)
-SELECT l_orderkey, sum(e.n)::BIGINT AS n_export, coalesce(sum(s.n), 0)::BIGINT AS n_stored, CASE WHEN count(s.n) = 0 THEN 'missing' WHEN bool_and(e.n IS NOT DISTINCT FROM s.n) THEN 'equal' ELSE 'differs' END AS state
-FROM e LEFT JOIN s USING (l_orderkey, l_partkey) GROUP BY 1""")
+@query("""WITH e AS (SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem WHERE l_orderkey % 7 > 0 GROUP BY 1, 2), s AS (SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem WHERE l_quantity < 49 AND l_orderkey % 11 > 0 GROUP BY 1, 2)
+SELECT l_orderkey, coalesce(sum(e.n), 0)::BIGINT AS n_export, coalesce(sum(s.n), 0)::BIGINT AS n_stored, CASE WHEN count(s.n) = 0 THEN 'missing' WHEN count(e.n) = 0 THEN 'not exported' WHEN bool_and(e.n IS NOT DISTINCT FROM s.n) THEN 'equal' ELSE 'differs' END AS state
+FROM e FULL JOIN s USING (l_orderkey, l_partkey) GROUP BY 1""")
 def version_verify(spark, d):
-    """Multiset equality of an export and what is stored, per document."""
-    rows = t(spark, d, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.count(F.lit(1)).alias("e"), F.count_if(F.col("l_quantity") < 49).alias("s"))
-    state = F.when(F.sum("s") == 0, "missing").when(F.bool_and(F.col("e") == F.col("s")), "equal").otherwise("differs")
-    return rows.groupBy("l_orderkey").agg(F.sum("e").alias("n_export"), F.sum("s").alias("n_stored"), state.alias("state"))
+    """Multiset equality of an export and what is stored, per document; either side may hold what the other lacks."""
+    l = t(spark, d, "lineitem")
+    return R.multisets_equal(l.filter("l_orderkey % 7 > 0"), l.filter("l_quantity < 49 AND l_orderkey % 11 > 0"), ["l_orderkey"], "l_partkey")
 
 
 _TOP10 = f"""WITH {_V}, a AS (SELECT search, vec_id, label, score, row_number() OVER (PARTITION BY search ORDER BY score DESC, vec_id DESC) AS r, row_number() OVER (PARTITION BY search ORDER BY floor(score / 4) DESC, vec_id DESC) AS r4 FROM s)"""
 
 
-def _ranked(spark, d):
+def _ranked(spark, d, grain: int = 1):
     v = vectors(spark, d)
-    return v.crossJoin(F.broadcast(centroids(v))).select("search", "vec_id", "label", dot(F.col("q"), F.col("v")).alias("score"))
+    return Q.dense_top(v, centroids(v), 10, scale=64, grain=grain).withColumnRenamed("chunk_id", "vec_id")
 
 
 @query(_TOP10 + """, w AS (SELECT search, list(vec_id ORDER BY r) AS i, list(floor(score / 4) ORDER BY r) AS s FROM a WHERE r <= 10 GROUP BY 1), g AS (SELECT search, list(vec_id ORDER BY r4) AS i, list(floor(score / 4) ORDER BY r4) AS s FROM a WHERE r4 <= 10 GROUP BY 1)
 SELECT search, CASE WHEN w.i = g.i THEN 'match' WHEN list_sort(w.i) = list_sort(g.i) OR w.s = g.s THEN 'tie' ELSE 'mismatch' END AS state FROM w JOIN g USING (search)""")
 def search_parity(spark, d):
     """Exact ranking against one by coarse scores: equal, the same set or scores, or different."""
-    a = _ranked(spark, d).withColumn("coarse", F.floor(F.col("score") / 4))
 
-    def lists(by: str, name: str):
-        found = top(a, 10, [by, "vec_id"]).groupBy("search").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "coarse"))).alias("x"))
-        return found.select("search", F.col("x.vec_id").alias(f"{name}_i"), F.col("x.coarse").alias(f"{name}_s"))
+    def lists(found, coarse, name: str):
+        grouped = found.withColumn("coarse", coarse).groupBy("search").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "coarse"))).alias("x"))
+        return grouped.select("search", F.col("x.vec_id").alias(f"{name}_i"), F.col("x.coarse").alias(f"{name}_s"))
 
-    both = lists("score", "w").join(lists("coarse", "g"), "search")
+    both = lists(_ranked(spark, d), F.floor(F.col("score") / 4), "w").join(lists(_ranked(spark, d, 4), F.col("score"), "g"), "search")
     state = F.when(F.col("w_i") == F.col("g_i"), "match").when((F.array_sort("w_i") == F.array_sort("g_i")) | (F.col("w_s") == F.col("g_s")), "tie").otherwise("mismatch")
     return both.select("search", state.alias("state"))
 
@@ -91,27 +90,11 @@ FROM a JOIN n USING (search) WHERE r <= 10 GROUP BY 1, 2""")
 def retrieval_metrics(spark, d):
     """Recall at 10, share of other labels, and whether everything possible was found, per search."""
     n = t(spark, d, "embeddings").groupBy(F.col("label").alias("search")).agg(F.count(F.lit(1)).alias("n_relevant"))
-    hits = top(_ranked(spark, d), 10, ["score", "vec_id"]).groupBy("search").agg(F.count_if(F.col("label") == F.col("search")).alias("n_hits"), F.count(F.lit(1)).alias("_n"))
+    hits = _ranked(spark, d).join(t(spark, d, "embeddings").select("vec_id", "label"), "vec_id").groupBy("search").agg(F.count_if(F.col("label") == F.col("search")).alias("n_hits"), F.count(F.lit(1)).alias("_n"))
     best = F.least(F.lit(10), F.col("n_relevant"))
     return hits.join(n, "search").select("search", "n_relevant", "n_hits", F.round(F.col("n_hits") / best, 9).alias("recall"), F.round((F.col("_n") - F.col("n_hits")) / F.col("_n"), 9).alias("other_share"), (F.col("n_hits") == best).alias("full_answer"))
 
 
-@query("""SELECT c_custkey FROM customer c WHERE c_nationkey < 15 AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o_orderstatus = 'O') AND c_mktsegment <> 'BUILDING'""")
-def refill_candidates(spark, d):
-    """Known but unlisted in this run: in scope, not handled, not superseded."""
-    handled = t(spark, d, "orders").filter("o_orderstatus = 'O'").select(F.col("o_custkey").alias("c_custkey"))
-    return t(spark, d, "customer").filter("c_nationkey < 15 AND c_mktsegment <> 'BUILDING'").join(handled, "c_custkey", "left_anti").select("c_custkey")
-
-
-@query("""SELECT l_orderkey, l_linenumber, o_orderstatus, p_brand FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE o_orderstatus <> 'P'""")
-def zero_stripped_star(spark, d):
-    """Star join on printed keys whose leading zeros differ between the tables."""
-    key = lambda c: F.ltrim(c, F.lit("0"))
-    items = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", key(F.lpad(F.col("l_orderkey").cast("string"), 10, "0")).alias("k"))
-    orders = t(spark, d, "orders").filter("o_orderstatus <> 'P'").select("o_orderstatus", key(F.lpad(F.col("o_orderkey").cast("string"), 14, "0")).alias("k"))
-    return items.join(orders, "k").join(t(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey").select("l_orderkey", "l_linenumber", "o_orderstatus", "p_brand")
-
-
 @query("""SELECT l_orderkey, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS presentations, min(l_shipdate) AS first_date, min(l_shipdate) FILTER (l_returnflag = 'R') AS first_r, CASE WHEN bool_or(l_returnflag = 'R') THEN 'R' ELSE arg_min(l_returnflag, l_linenumber * 256 + ascii(l_returnflag)) END AS licence FROM lineitem GROUP BY 1""")
 def catalog_fold(spark, d):
     """One row per licence number: its presentations, earliest dates, and the licence type with one kind taking precedence."""
@@ -119,13 +102,6 @@ def catalog_fold(spark, d):
     return t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("presentations"), F.min("l_shipdate").alias("first_date"), F.min(F.when(r, F.col("l_shipdate"))).alias("first_r"), F.when(F.bool_or(r), "R").otherwise(F.min_by("l_returnflag", F.struct("l_linenumber", "l_returnflag"))).alias("licence"))
 
 
-@query("""SELECT o_custkey, o_orderpriority, n FROM (SELECT o_custkey, o_orderpriority, count(*) AS n, row_number() OVER (PARTITION BY o_custkey ORDER BY count(*) DESC, min(o_orderkey)) AS r FROM orders GROUP BY 1, 2) WHERE r = 1""")
-def majority_pick(spark, d):
-    """Commonest value per key; ties go to the one seen first."""
-    n = t(spark, d, "orders").groupBy("o_custkey", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("_first"))
-    return R.latest(n, ["o_custkey"], F.desc("n"), F.col("_first")).drop("_first")
-
-
 @query("""WITH s AS (SELECT conv_id, turn, coalesce(text, '') AS text, last_value(CASE WHEN role = 'user' THEN turn END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS opened FROM conversations)
 SELECT conv_id, opened, count(*) AS n_rows, md5(string_agg(text, ' ' ORDER BY turn, text)) AS scope FROM s WHERE opened IS NOT NULL GROUP BY 1, 2""")
 def carried_scopes(spark, d):
@@ -166,21 +142,6 @@ def merged_columns(spark, d):
     return R.islands(f, ["l_orderkey"], ["x0", "x1"], F.col("fresh"), "col").groupBy("l_orderkey", "col").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH c AS (SELECT conv_id, count(*) FILTER (role = 'assistant' AND regexp_matches(text, '[0-9]')) AS accepted, count(*) FILTER (role = 'user' AND contains(text, '?')) AS gaps FROM conversations GROUP BY 1)
-SELECT conv_id, accepted, gaps, CASE WHEN accepted = 0 THEN 'not_found' WHEN gaps > 0 THEN 'partial' ELSE 'answered' END AS status FROM c""")
-def answer_status(spark, d):
-    c = t(spark, d, "conversations").groupBy("conv_id").agg(F.count_if(F.expr("role = 'assistant' AND text rlike '[0-9]'")).alias("accepted"), F.count_if(F.expr("role = 'user' AND contains(text, '?')")).alias("gaps"))
-    return c.select("conv_id", "accepted", "gaps", F.when(F.col("accepted") == 0, "not_found").when(F.col("gaps") > 0, "partial").otherwise("answered").alias("status"))
-
-
-@query("""SELECT o_orderkey, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'fetch' WHEN EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_returnflag = 'R') THEN 'keep' ELSE 'skipped' END AS action FROM orders""")
-def wanted_downloads(spark, d):
-    """Wanted types are fetched; the rest is skipped unless a version is there."""
-    have = t(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("have", F.lit(True))
-    action = F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "fetch").when(F.col("have"), "keep").otherwise("skipped")
-    return t(spark, d, "orders").join(have, "o_orderkey", "left").select("o_orderkey", action.alias("action"))
-
-
 TERMS = {"ation": ["deed", "act"], "ion": ["act", "state"], "er": ["doer"]}
 
 

@@ -117,14 +117,6 @@ def _route_sql(v: str) -> str:
     return f"CASE WHEN chars < 30 AND img < 5 THEN 'BLANK' WHEN chars >= 200 AND garble >= 40 THEN 'BROKEN_TEXT' WHEN chars < 50 AND img >= 30 THEN CASE WHEN label THEN 'ARTWORK' ELSE 'IMAGE' END WHEN img >= 70 AND hidden >= 50 THEN 'LEGACY_OCR' WHEN bare >= 5 THEN 'MIXED' ELSE 'DIGITAL' END AS {v}"
 
 
-@query(f"""WITH s AS (SELECT l_orderkey, l_linenumber, (l_partkey % 400)::INT AS chars, (l_suppkey * 7 % 100)::INT AS img, (l_quantity::INT * 2 % 100) AS garble, (l_partkey % 100)::INT AS hidden, (l_orderkey % 10)::INT AS bare, l_returnflag = 'R' AS label FROM lineitem)
-SELECT route, count(*) AS n FROM (SELECT {_route_sql('route')} FROM s) GROUP BY route""")
-def page_routes(spark, d):
-    s = t(spark, d, "lineitem").select((F.col("l_partkey") % 400).alias("chars"), (F.col("l_suppkey") * 7 % 100).alias("img"), (F.col("l_quantity").cast("int") * 2 % 100).alias("garble"), (F.col("l_partkey") % 100).alias("hidden"), (F.col("l_orderkey") % 10).alias("bare"), (F.col("l_returnflag") == "R").alias("label"))
-    route = F.when((F.col("chars") < 30) & (F.col("img") < 5), "BLANK").when((F.col("chars") >= 200) & (F.col("garble") >= 40), "BROKEN_TEXT").when((F.col("chars") < 50) & (F.col("img") >= 30), F.when(F.col("label"), "ARTWORK").otherwise("IMAGE")).when((F.col("img") >= 70) & (F.col("hidden") >= 50), "LEGACY_OCR").when(F.col("bare") >= 5, "MIXED").otherwise("DIGITAL")
-    return s.groupBy(route.alias("route")).agg(F.count(F.lit(1)).alias("n"))
-
-
 _VOL = "html"
 for _p in X.VOLATILE_PATTERNS:
     _flags = "g"
@@ -153,11 +145,6 @@ def url_extensions(spark, d):
     return t(spark, d, "pages").select("page_id", X.guess_ext(F.col("url"), F.lit("text/html; charset=utf-8")).alias("ext"))
 
 
-@query("""SELECT sha, n, page_id AS first_page FROM (SELECT sha256(html) AS sha, count(*) AS n, min(page_id) AS page_id FROM pages GROUP BY 1)""")
-def content_addressed_put(spark, d):
-    return t(spark, d, "pages").groupBy(F.sha2("html", 256).alias("sha")).agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first_page"))
-
-
 @query()
 def html_blocks(spark, d):
     from lodestone.sources.html import page_blocks
@@ -194,14 +181,21 @@ p AS (SELECT i.lang, i.a, i.b, round(i.both / (x.n + y.n - i.both), 9) AS jaccar
 
 
 def near_pairs(docs: DataFrame, threshold: float = 0.6) -> DataFrame:
-    """Pairs of one language with a shingle Jaccard of at least threshold. Only shingles of two and more documents are joined."""
-    s = shingles(docs).persist()
-    n = s.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    shared = s.groupBy("lang", "sh").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("lang", "sh")
-    some = s.join(shared, ["lang", "sh"])
-    left, right = some.withColumnRenamed("doc_id", "a"), some.withColumnRenamed("doc_id", "b")
-    both = left.join(right, ["lang", "sh"]).filter("a < b").groupBy("lang", "a", "b").agg(F.count(F.lit(1)).alias("both"))
-    sized = both.join(n.select(F.col("doc_id").alias("a"), F.col("n").alias("x")), "a").join(n.select(F.col("doc_id").alias("b"), F.col("n").alias("y")), "b")
+    """Pairs of one language with a shingle Jaccard of at least threshold.
+
+    Prefix filter: with every document's shingles from the rarest up, two documents that similar share one of the first n - ceil(threshold n) + 1 of both, and
+    their sizes differ by no more than the threshold; so common shingles never meet and only candidates are compared on their whole sets."""
+    s = shingles(docs)
+    every = W.partitionBy("lang", "sh")
+    ranked = s.withColumn("c", F.count(F.lit(1)).over(every))
+    own = W.partitionBy("doc_id")
+    placed = ranked.withColumn("n", F.count(F.lit(1)).over(own)).withColumn("r", F.row_number().over(own.orderBy("c", "sh")))
+    prefix = placed.filter((F.col("c") > 1) & (F.col("r") <= F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1)).select("lang", "sh", "doc_id", "n")
+    a, b = prefix.select("lang", "sh", F.col("doc_id").alias("a"), F.col("n").alias("x")), prefix.select("lang", "sh", F.col("doc_id").alias("b"), F.col("n").alias("y"))
+    near = a.join(b, ["lang", "sh"]).filter((F.col("a") < F.col("b")) & (F.least("x", "y") >= threshold * F.greatest("x", "y"))).select("lang", "a", "b", "x", "y").distinct()
+    sets = s.groupBy("doc_id").agg(F.collect_list("sh").alias("set"))  # no larger than the document
+    met = near.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("p")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("q")), "b")
+    sized = met.withColumn("both", F.size(F.array_intersect("p", "q")))
     union = F.col("x") + F.col("y") - F.col("both")
     return sized.filter(F.col("both") >= threshold * union).select("lang", "a", "b", F.round(F.col("both") / union, 9).alias("jaccard"))
 
@@ -211,47 +205,15 @@ def near_dup_pairs(spark, d):
     return near_pairs(t(spark, d, "documents"))
 
 
-@query()
-def near_dup_reps(spark, d):
-    """Greedy election in id order: a document is a duplicate of its first earlier representative. Each language's chains are folded per component."""
-    import pandas as pd
-
-    pairs = near_pairs(t(spark, d, "documents")).select("a", "b").persist()
-    comp = R.components(pairs)
-
-    def elect(pdf):
-        near: dict[int, list[int]] = {}
-        for a, b in zip(pdf["a"], pdf["b"]):
-            near.setdefault(b, []).append(a)
-        reps: set[int] = set()
-        out = []
-        for x in sorted(set(pdf["a"]) | set(pdf["b"])):
-            first = min((a for a in near.get(x, []) if a in reps), default=None)
-            if first is None:
-                reps.add(x)
-            out.append((x, first if first is not None else x))
-        return pd.DataFrame(out, columns=["doc_id", "representative"])
-
-    return pairs.join(comp.select(F.col("id").alias("a"), "component"), "a").groupBy("component").applyInPandas(elect, "doc_id long, representative long")
-
-
 @query("SELECT c_custkey, o_orderkey, o_orderdate FROM (SELECT o_custkey AS c_custkey, o_orderkey, o_orderdate, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1")
 def latest_per_group(spark, d):
     o = t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_orderdate")
     return R.latest(o, ["c_custkey"], F.desc("o_orderdate"), F.desc("o_orderkey"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey = last_value(o_orderkey) OVER w THEN 'keep' ELSE 'superseded_label (latest: ' || last_value(o_orderkey) OVER w || ')' END AS action FROM orders
-WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""")
-def superseded_labels(spark, d):
-    w = W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    last = F.last("o_orderkey").over(w)
-    return t(spark, d, "orders").select("o_orderkey", F.when(F.col("o_orderkey") == last, "keep").otherwise(F.concat(F.lit("superseded_label (latest: "), last.cast("string"), F.lit(")"))).alias("action"))
-
-
 @query("""SELECT doc_id, len(string_split(regexp_replace(text, '([.;:])\\s+([A-Z(\\[])', '\\1␞\\2', 'g'), '␞'))::BIGINT AS n_sentences, length(string_split(regexp_replace(text, '([.;:])\\s+([A-Z(\\[])', '\\1␞\\2', 'g'), '␞')[1])::BIGINT AS first_length FROM documents""")
 def sentence_split(spark, d):
-    s = F.split(F.regexp_replace("text", r"([.;:])\s+([A-Z(\[])", "$1␞$2"), "␞")
+    s = X.sentences(F.col("text"))
     return t(spark, d, "documents").select("doc_id", F.size(s).cast("long").alias("n_sentences"), F.length(F.get(s, F.lit(0))).cast("long").alias("first_length"))
 
 
@@ -281,12 +243,6 @@ def greedy_chunks(spark, d):
     return folded.groupBy("doc_id", F.col("o.chunk").alias("chunk")).agg(F.count(F.lit(1)).alias("n_blocks"), F.sum("o.tokens").alias("tokens"))
 
 
-@query("SELECT source, lang, count(*) AS n_docs, sha1(string_agg(text, chr(10) ORDER BY doc_id)) AS parent_hash, array_to_string(list_sort(list_distinct(list(doc_id % 7))), ',') AS pages FROM documents GROUP BY source, lang")
-def section_parents(spark, d):
-    p = t(spark, d, "documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n_docs"), F.array_sort(F.collect_list(F.struct("doc_id", "text"))).alias("a"), F.array_sort(F.collect_set(F.col("doc_id") % 7)).alias("p"))
-    return p.select("source", "lang", "n_docs", F.sha1(F.array_join(F.transform("a", lambda x: x["text"]), "\n")).alias("parent_hash"), F.array_join(F.transform("p", lambda x: x.cast("string")), ",").alias("pages"))
-
-
 @query("""WITH m AS (SELECT user_id, event_id, ts, event_type, event_type IS DISTINCT FROM lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS starts FROM events),
 g AS (SELECT *, sum(starts::INT) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS run FROM m)
 SELECT user_id, run, min(event_type) AS event_type, count(*) AS n FROM g GROUP BY user_id, run""")
@@ -304,31 +260,6 @@ def group_carry_forward(spark, d):
     return g.groupBy("l_orderkey", "l_linenumber", "grp").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH c AS (SELECT s_suppkey AS tbl, r, r * 2 AS c0, CASE WHEN r % 3 = 0 THEN 2 ELSE 1 END AS cs, s_name || r AS txt FROM supplier, (SELECT unnest(range(0, 4)) AS r)),
-g AS (SELECT tbl, r, unnest(range(c0, c0 + cs)) AS col, txt FROM c)
-SELECT tbl, r, col, txt FROM g""")
-def span_expand(spark, d):
-    """Cells that span columns fill every column they cover."""
-    rows = t(spark, d, "supplier").select(F.col("s_suppkey").alias("tbl"), "s_name", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))).alias("r"))
-    cells = rows.select("tbl", "r", (F.col("r") * 2).alias("c0"), F.when(F.col("r") % 3 == 0, 2).otherwise(1).alias("cs"), F.concat("s_name", F.col("r").cast("string")).alias("txt"))
-    return cells.select("tbl", "r", F.explode(F.sequence(F.col("c0"), F.col("c0") + F.col("cs") - 1)).alias("col"), "txt")
-
-
-@query("""SELECT l_orderkey, string_agg(l_linenumber || ': qty=' || l_quantity::INT || '; flag=' || l_returnflag, chr(10) ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS lines FROM lineitem GROUP BY l_orderkey""")
-def row_lines(spark, d):
-    line = F.concat(F.col("l_linenumber").cast("string"), F.lit(": "), F.concat_ws("; ", F.concat(F.lit("qty="), F.col("l_quantity").cast("int").cast("string")), F.concat(F.lit("flag="), "l_returnflag")))
-    g = t(spark, d, "lineitem").select("l_orderkey", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", line.alias("line")).alias("x"))
-    return g.groupBy("l_orderkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["line"]), "\n").alias("lines"))
-
-
-@query("""WITH k AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents), n AS (SELECT doc_id, regexp_replace(lower(trim(line)), '\\d+', '#', 'g') AS key FROM k WHERE trim(line) <> ''),
-d AS (SELECT key, count(DISTINCT doc_id) AS n_docs, count(*) AS n FROM n GROUP BY key) SELECT sha1(key) AS key, n_docs, n FROM d WHERE n_docs >= 3""")
-def repeated_headers(spark, d):
-    """Repetition keys: lines, digits ignored, that stand in three documents or more."""
-    k = t(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).filter(F.trim("line") != "").select("doc_id", F.sha1(F.regexp_replace(F.lower(F.trim("line")), r"\d+", "#")).alias("key"))
-    return k.groupBy("key", "doc_id").count().groupBy("key").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("count").alias("n")).filter("n_docs >= 3")
-
-
 @query("""WITH g AS (SELECT substr(regexp_replace(lower(text), '[^a-z]+', ' ', 'g'), 1, 1) AS x, regexp_replace(lower(text), '[^a-z]+', ' ', 'g') AS t FROM documents),
 t3 AS (SELECT substr(' ' || trim(t) || ' ', i::INT, 3) AS tri FROM (SELECT t, unnest(range(1, length(' ' || trim(t) || ' ') - 1)) AS i FROM g))
 SELECT tri, count(*) AS n FROM t3 GROUP BY tri""")
