@@ -14,8 +14,12 @@ proper prefix of another at the same trigger (the parse is prefix-free).
    (the parse after a phrase lies within its overlap), so equal strings stand together, smallest document first.
 5. The rest is finished.
 
+Hot triggers (a common heading in ever new surroundings) are counted first. Their phrases are dealt by phrase instead of by
+trigger and always asked for; their 50-byte strings then go out one by one, dealt by a hash of the string, one per block and
+string. So no task holds all phrases of a hot trigger, and the result is the same on either way.
+
 Blocks of records are numpy columns in zstd blobs, so a position costs about one byte of shuffle. Phrase identity is
-96 bits of hash. A trigger's group holds its distinct phrases only, whatever the number of copies.
+96 bits of hash. A trigger's group holds its distinct phrases of each block only, whatever the number of copies.
 
 Defined cases: null text is empty: no bytes, no spans, the hash of nothing; texts under 50 bytes stay whole; rows with one
 doc_id never match each other; a null doc_id counts as smaller than all; an empty table gives no rows.
@@ -36,6 +40,7 @@ PART_BYTES, BLOCK_BYTES = 8 << 20, 8 << 20
 BASE = 0x9E3779B97F4A7C15
 BYTES = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03))
 PIECE = 1 << 19
+HOT, MOST_HOT = 1 << 16, 1 << 20  # phrases that make a trigger hot; hot triggers that tasks are told of (8 MB)
 LOW48 = np.uint64((1 << 48) - 1)
 
 
@@ -112,6 +117,47 @@ def phrases(texts: list[bytes], span: int = SPAN, gram: int = GRAM):
     return [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 2
 
 
+def _heads(*sorted_keys: np.ndarray) -> np.ndarray:
+    """True where any of the keys, sorted together, changes."""
+    new = np.ones(len(sorted_keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in sorted_keys])
+    return new
+
+
+def hot_triggers(docs: DataFrame, span: int = SPAN, gram: int = GRAM, least: int = HOT, most: int = MOST_HOT) -> np.ndarray:
+    """Sorted triggers with more than `least` phrases, distinct within a block; a block's only phrase of a trigger is not counted.
+
+    Of more than `most` such triggers the largest are returned: all others have less than one phrase in `most` each, and go the
+    plain way. So the list has a fixed bound and neither way loses a phrase.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        for _, texts in chunks(batches, ["doc_id", "text"], BLOCK_BYTES):
+            trigger, phrase = phrases([t or b"" for t in texts], span, gram)[3:]
+            order = np.lexsort((phrase, trigger))
+            trigger, phrase = trigger[order], phrase[order]
+            trigger = trigger[_heads(trigger, phrase)] if len(trigger) else trigger
+            at = np.nonzero(_heads(trigger))[0] if len(trigger) else np.zeros(0, np.int64)
+            n = np.diff(at, append=len(trigger))
+            at, n = at[n > 1], n[n > 1]
+            yield pa.RecordBatch.from_arrays([pa.array(trigger[at].view(np.int64)), pa.array(n.astype(np.int64))], ["trigger", "n"])
+
+    counted = docs.mapInArrow(run, "trigger long, n long").groupBy("trigger").agg(F.sum("n").alias("n"))
+    found = counted.filter(F.col("n") > least).orderBy(F.desc("n"), "trigger").limit(most).collect()
+    return np.sort(np.array([r[0] for r in found], np.int64)).view(np.uint64)
+
+
+def _windows(body: np.ndarray, n: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All span-byte strings of phrases of n bytes that stand one after another in body: phrase, offset in it, string."""
+    starts = n - span + 1
+    own = np.repeat(np.arange(len(n)), starts)
+    shift = np.arange(starts.sum()) - np.repeat(np.cumsum(starts) - starts, starts)
+    place = (np.cumsum(n) - n)[own] + shift
+    return own, shift, np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(body, span)[place])
+
+
 def _block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
     return (mix(ids.astype(np.int64).view(np.uint64) + np.uint64(77)) % np.uint64(blocks)).astype(np.int64)
 
@@ -137,8 +183,8 @@ def _reply(block, ids, a, n, part, trigger):
     return (block, pack(ids), pack(a), pack(n), pack(part), pack(trigger))
 
 
-def parse(docs: DataFrame, parts: int, blocks: int, span: int = SPAN, gram: int = GRAM) -> DataFrame:
-    """Blobs of phrases by trigger part, and (part below 0) removals settled within a batch by document block."""
+def parse(docs: DataFrame, parts: int, blocks: int, span: int = SPAN, gram: int = GRAM, hot: np.ndarray = np.zeros(0, np.uint64)) -> DataFrame:
+    """Blobs of phrases by trigger part, of hot triggers by phrase (from `parts` on), and (below 0) removals settled within a batch by document block."""
 
     def run(batches):
         import pyarrow as pa
@@ -157,7 +203,11 @@ def parse(docs: DataFrame, parts: int, blocks: int, span: int = SPAN, gram: int
             gone = np.zeros(len(d), bool)
             gone[order] = o != least
             rows = []
-            for part, at in _split(np.where(gone, -1 - _block_of(own, blocks), (trigger % np.uint64(parts)).astype(np.int64))):
+            home = (trigger % np.uint64(parts)).astype(np.int64)
+            if len(hot):
+                spread = parts + (mix(phrase ^ (trigger << np.uint64(16))) % np.uint64(parts)).astype(np.int64)
+                home = np.where(np.isin(trigger, hot), spread, home)
+            for part, at in _split(np.where(gone, -1 - _block_of(own, blocks), home)):
                 if part < 0:
                     rows.append((part, pack(own[at]), pack(a[at]), pack(n[at] + span), None, None))
                 else:
@@ -173,8 +223,8 @@ def _wide(blob: bytes) -> np.ndarray:
     return np.concatenate([six, np.zeros((len(six), 2), np.uint8)], 1).view(np.uint64).ravel()
 
 
-def settle(records: DataFrame, blocks: int, span: int = SPAN) -> DataFrame:
-    """Replies by document block: removals (part -1) and asked phrases (their part)."""
+def settle(records: DataFrame, parts: int, blocks: int, span: int = SPAN) -> DataFrame:
+    """Replies by document block: removals (part -1) and asked phrases (their part, which is `parts` or more for hot triggers)."""
 
     def run(key, pdf):
         import pandas as pd
@@ -196,8 +246,7 @@ def settle(records: DataFrame, blocks: int, span: int = SPAN) -> DataFrame:
         ids, at, more, trigger, phrase = map(np.concatenate, (ids, at, more, trigger, phrase))
         order = np.lexsort((ids, phrase, trigger))
         ids, at, more, trigger, phrase = (x[order] for x in (ids, at, more, trigger, phrase))
-        new_t = np.concatenate([[True], trigger[1:] != trigger[:-1]])
-        new_p = np.concatenate([[True], phrase[1:] != phrase[:-1]]) | new_t
+        new_t, new_p = _heads(trigger), _heads(trigger, phrase)
         least = ids[np.nonzero(new_p)[0]][np.cumsum(new_p) - 1]
         gone = ids != least
         group = np.cumsum(new_t) - 1
@@ -205,7 +254,7 @@ def settle(records: DataFrame, blocks: int, span: int = SPAN) -> DataFrame:
         lo, hi = np.full(len(n_phrases), 2**63 - 1), np.full(len(n_phrases), -(2**63))
         np.minimum.at(lo, group, ids)
         np.maximum.at(hi, group, ids)
-        ask = ~gone & ((n_phrases > 1) & (lo < hi))[group]
+        ask = ~gone & ((n_phrases > 1) & (lo < hi))[group] if key[0] < parts else ~gone  # the phrases of a hot trigger lie apart
         keep = gone | ask
         part = np.where(gone, -1, key[0])[keep]
         ids, a, n, trigger = ids[keep], at[keep], more[keep] + span, trigger[keep]
@@ -237,8 +286,8 @@ def _finish(name, text: bytes, s: np.ndarray, e: np.ndarray):
     return (name, len(text), int((e - s).sum()), len(s), hashlib.sha256(left).hexdigest(), left)
 
 
-OUT = ["kind", "block", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes", "s", "e", "part", "trigger", "ids", "at"]
-OUT_SCHEMA = "kind string, block long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary, s binary, e binary, part long, trigger binary, ids binary, at binary"
+OUT = ["kind", "block", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes", "s", "e", "part", "ids", "at"]
+OUT_SCHEMA = "kind string, block long, doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_bytes binary, s binary, e binary, part long, ids binary, at binary"
 
 
 def _by_doc(pdf) -> dict[int, np.ndarray]:
@@ -249,14 +298,15 @@ def _by_doc(pdf) -> dict[int, np.ndarray]:
     return {name: [c[at] for c in cols[1:]] for name, at in _split(cols[0])}
 
 
-def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, part_bytes: int = PART_BYTES, keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, part_bytes: int = PART_BYTES, keep_text: bool = True, least_hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, unless keep_text is off, kept_bytes."""
     import pandas as pd
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     total = docs.select(F.sum(F.octet_length("text"))).head()[0] or 0
     parts = blocks = parts_for(total, part_bytes)
-    replies = cut(settle(parse(docs, parts, blocks, span, gram), blocks, span))
+    hot = hot_triggers(docs, span, gram, least_hot)
+    replies = cut(settle(parse(docs, parts, blocks, span, gram, hot), parts, blocks, span))
 
     # Replies know a document's block by numpy's hash; the texts get the same number.
     def placed(batches):
@@ -270,16 +320,38 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, part_byt
         """Asked phrases of one block by part."""
         out = []
         part = np.concatenate([r[0] for r in rows])
-        trigger, a, n = (np.concatenate([r[i] for r in rows]) for i in (1, 2, 3))
+        a, n = (np.concatenate([r[i] for r in rows]) for i in (2, 3))
         own = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
         for p, at in _split(part):
             body = [texts[own[i]][a[i] : a[i] + n[i]] for i in at]
-            out.append({"kind": kind, "block": 0, "part": p, "trigger": pack(trigger[at]), "ids": pack(ids[own[at]]), "at": pack(a[at]), "s": pack(n[at]), "e": pack(np.frombuffer(b"".join(body), np.uint8))})
+            out.append({"kind": kind, "block": 0, "part": p, "ids": pack(ids[own[at]]), "at": pack(a[at]), "s": pack(n[at]), "e": pack(np.frombuffer(b"".join(body), np.uint8))})
         return out
 
+    def spread(rows, ids, texts, opened):
+        """Strings of hot triggers in one block: equal ones of larger documents go at once, one each goes on, dealt by its hash."""
+        own = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
+        a, n = (np.concatenate([r[i] for r in rows]) for i in (2, 3))
+        body = np.frombuffer(b"".join(texts[o][x : x + y] for o, x, y in zip(own, a, n)), np.uint8)
+        phrase, shift, strings = _windows(body, n, span)
+        own, a = own[phrase], a[phrase] + shift
+        keys = strings.view(f"S{span}").ravel()
+        order = np.lexsort((ids[own], keys))
+        head = _heads(keys[order])
+        gone = ids[own[order]] != ids[own[order[head]]][np.cumsum(head) - 1]
+        for o, at in _split(own[order[gone]]):
+            r, new = opened[o], a[order[gone]][at]
+            r["s"], r["e"] = _merged(np.concatenate([r["s"], new]), np.concatenate([r["e"] - r["s"], np.full(len(new), span)]))
+        at = order[~gone]  # equal strings of one document all go on: each may have to go
+        h = np.zeros(len(at), np.uint64)
+        for i in range(span):
+            h = h * np.uint64(BASE) + BYTES[strings[at, i]]
+        for p, x in _split(parts + (mix(h) % np.uint64(parts)).astype(np.int64)):
+            x = at[x]
+            yield {"kind": "ask", "block": 0, "part": p, "ids": pack(ids[own[x]]), "at": pack(a[x]), "s": pack(np.full(len(x), span, np.int64)), "e": pack(strings[x].ravel())}
+
     def first(_, text_pdf, reply_pdf):
         found = _by_doc(reply_pdf)
-        out, asks, ids, texts = [], [], [], []
+        out, asks, ids, texts, opened = [], [], [], [], []
         for name, text in zip(text_pdf["doc_id"].astype("Int64"), text_pdf["text"]):
             raw = b"" if text is None else text.encode()
             key, name = (NULL_ID, None) if name is pd.NA else (int(name), int(name))
@@ -291,34 +363,37 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, part_byt
                 r = _finish(name, raw, *(x[s < len(raw)] for x in (s, np.minimum(e, len(raw)))))
                 out.append(dict(zip(OUT, ("final", 0, *r[:5], r[5] if keep_text else None))))
             else:
-                out.append({"kind": "open", "block": int(_block_of(np.array([key]), blocks)[0]), "doc_id": name, "kept_bytes": raw, "s": pack(s), "e": pack(e)})
+                opened.append({"kind": "open", "block": int(_block_of(np.array([key]), blocks)[0]), "doc_id": name, "kept_bytes": raw, "s": s, "e": e})
                 asks.append((part[ask], trigger[ask], a[ask], n[ask]))
                 ids.append(key)
                 texts.append(raw)
         if asks:
-            out += blobs("ask", np.array(ids, np.int64), asks, texts)
+            ids = np.array(ids, np.int64)
+            cool, warm = ([tuple(c[m(r[0])] for c in r) for r in asks] for m in (lambda p: p < parts, lambda p: p >= parts))
+            if any(len(r[0]) for r in cool):
+                out += blobs("ask", ids, cool, texts)
+            if any(len(r[0]) for r in warm):
+                out += spread(warm, ids, texts, opened)
+            out += [r | {"s": pack(r["s"]), "e": pack(r["e"])} for r in opened]
         return pd.DataFrame(out, columns=OUT).astype({c: "Int64" for c in ("block", "doc_id", "n_bytes", "n_removed", "n_spans", "part")})
 
     with_block = docs.mapInArrow(placed, "block long, doc_id long, text string")
     stage = cut(with_block.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(first, OUT_SCHEMA))
 
     def ordered(_, pdf):
-        trigger, ids, at, n, body = (np.concatenate([unpack(x, k) for x in pdf[c]]) for c, k in (("trigger", np.uint64), ("ids", np.int64), ("at", np.int64), ("s", np.int64), ("e", np.uint8)))
+        ids, at, n, body = (np.concatenate([unpack(x, k) for x in pdf[c]]) for c, k in (("ids", np.int64), ("at", np.int64), ("s", np.int64), ("e", np.uint8)))
         # All suffixes of the phrases with span bytes and more, cut to span bytes.
-        starts = n - span + 1
-        own = np.repeat(np.arange(len(n)), starts)
-        shift = np.arange(starts.sum()) - np.repeat(np.cumsum(starts) - starts, starts)
-        place = (np.cumsum(n) - n)[own] + shift
-        suffix = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(body, span)[place]).view(f"S{span}").ravel()
+        own, shift, strings = _windows(body, n, span)
+        suffix = strings.view(f"S{span}").ravel()
         order = np.lexsort((ids[own], suffix))
         s, d = suffix[order], ids[own][order]
-        head = np.concatenate([[True], s[1:] != s[:-1]])
+        head = _heads(s)
         gone = d != d[np.nonzero(head)[0]][np.cumsum(head) - 1]
         rows = order[gone]
         ids, a = ids[own[rows]], at[own[rows]] + shift[rows]
         return pd.DataFrame([_reply(b, ids[x], a[x], np.full(len(x), span, np.int64), np.full(len(x), -1, np.int64), np.zeros(len(x), np.uint64)) for b, x in _split(_block_of(ids, blocks))], columns=["block", "ids", "a", "n", "part", "trigger"])
 
-    late = stage.filter("kind = 'ask'").select("part", "trigger", "ids", "at", "s", "e").groupBy("part").applyInPandas(ordered, REPLY)
+    late = stage.filter("kind = 'ask'").select("part", "ids", "at", "s", "e").groupBy("part").applyInPandas(ordered, REPLY)
 
     def last(_, text_pdf, reply_pdf):
         found = _by_doc(reply_pdf)
