@@ -96,8 +96,8 @@ def partial_ratio(needle: Column, hay: Column) -> Column:
                 return 0.0
             short, long = (x, y) if len(x) <= len(y) else (y, x)
             best = 0.0
-            for _, j, n in SequenceMatcher(None, short, long, autojunk=False).get_matching_blocks():
-                start = max(0, j - _)
+            for i, j, n in SequenceMatcher(None, short, long, autojunk=False).get_matching_blocks():
+                start = max(0, j - i)
                 best = max(best, SequenceMatcher(None, short, long[start : start + len(short)], autojunk=False).ratio()) if n else best
             return 100 * best
 

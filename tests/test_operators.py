@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from lodestone import catalog
 from lodestone.functions import text as X
+from lodestone.operators import tables
 from lodestone.operators.sections import paths
 from lodestone.sources import catalogs
-from lodestone.sources.html import blocks_of
+from lodestone.sources.html import blocks_of, page_cells
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -53,6 +54,19 @@ def test_html_blocks():
     assert blocks_of(html) == [("section_header", 2, "Head"), ("text", None, "a b"), ("table", None, "| x | 1 |")]
 
 
+def test_html_spans(spark):
+    html = """<table><tr><th rowspan="2">Arm</th><th colspan="2">Result</th></tr><tr><th>n</th><th>a|b</th></tr>
+    <tr><td rowspan="9">A</td><td>1</td><td colspan="x">2</td></tr><tr></tr><tr><td>3</td></tr></table><table></table>"""
+    assert blocks_of(html) == [("table", None, "| Arm | Result | Result |\n| Arm | n | a/b |\n| A | 1 | 2 |\n| A |  |  |\n| A | 3 |  |")]
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "<p>no table</p>")], "page_id long, html string")
+    cells = page_cells(pages)
+    got = [tuple(r) for r in cells.orderBy("pos").collect()]
+    assert [x[3:7] for x in got] == [(0, 0, 2, 1), (0, 1, 1, 2), (1, 1, 1, 1), (1, 2, 1, 1), (2, 0, 3, 1), (2, 1, 1, 1), (2, 2, 1, 1), (4, 1, 1, 1)]
+    assert [x[8] for x in got] == [True] * 4 + [False] * 4 and {x[:2] for x in got} == {(1, 0)}
+    grid = tables.grids(cells.withColumn("key", F.concat_ws("-", "page_id", "tbl")), "key").collect()
+    assert [list(r) for r in grid[0].grid] == [["Arm", "Result", "Result"], ["Arm", "n", "a|b"], ["A", "1", "2"], ["A", "", ""], ["A", "3", ""]] and grid[0].n_head == 2
+
+
 def test_section_paths():
     rows = [(True, None, "1. Scope"), (False, None, "a"), (True, None, "1.2 Aim"), (True, None, "Loose"), (False, None, "b"), (True, None, "IV. Next"), (False, None, "c")]
     assert paths(rows) == [["1. Scope"], ["1. Scope"], ["1. Scope", "1.2 Aim"], ["1. Scope", "1.2 Aim", "Loose"], ["1. Scope", "1.2 Aim", "Loose"], ["IV. Next"], ["IV. Next"]]
