@@ -19,7 +19,7 @@ from .common import BLANK
 
 #: The pre-tokeniser's pattern (fixed value), for Latin letters, and the end of a word.
 LATIN = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|[0-9]|(?:[^\w\s]|_)+")
-BEYOND = re.compile("[^\x00-\x1b\x20-\x7f\xa1-\u024f]|[\xb2\xb3\xb9\xbc-\xbe\u0130]")
+BEYOND = re.compile("[^\x00-\x1b\x20-\x7f\xa1-\u024f]+|[\xb2\xb3\xb9\xbc-\xbe\u0130]")
 #: What the tokenizer does before its model (fixed values); lowered words of Latin letters pass it unchanged but for the byte alphabet.
 NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
 SPLIT = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
