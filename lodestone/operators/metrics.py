@@ -111,12 +111,16 @@ def page_texts(blocks: DataFrame) -> DataFrame:
     return blocks.groupBy("doc", "page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", gold_norm(F.col("text")).alias("t")))), lambda x: x["t"]), "").alias("body"))
 
 
+#: Counters of a run that events of the same kind add to.
+COUNTERS = ["registrations", "unmapped_registrations", "auto_programs", "documents", "fetched", "new_versions", "fetch_failed", "skipped", "refilled", "trials"]
+
+
 def run_counters(events: DataFrame) -> DataFrame:
-    """Counters of each run from its event log (run_id, kind, level, n) and its status: ok without errors or failed fetches, partial if anything came, else failed."""
-    kinds = ["registrations", "documents", "fetched", "fetch_failed", "new_versions", "skipped", "refilled"]
-    c = events.groupBy("run_id").agg(*[F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k) for k in kinds], F.count_if(F.col("level") == "error").alias("errors"), F.count_if(F.col("level") == "warning").alias("warnings"))
-    status = F.when((F.col("errors") == 0) & (F.col("fetch_failed") == 0), "ok").when((F.col("registrations") > 0) | (F.col("fetched") > 0), "partial").otherwise("failed")
-    return c.withColumn("status", status)
+    """The twelve counters of each run from its event log (run_id, kind, level, n) and its status: failed if it crashed, ok without errors or failed fetches, partial if anything came, else failed."""
+    sums = [F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(k) for k in COUNTERS]
+    c = events.groupBy("run_id").agg(*sums, F.count_if(F.col("level") == "error").alias("errors"), F.count_if(F.col("level") == "warning").alias("warnings"), F.bool_or(F.col("kind") == "crash").alias("_crash"))
+    status = F.when(F.col("_crash"), "failed").when((F.col("errors") == 0) & (F.col("fetch_failed") == 0), "ok").when((F.col("registrations") > 0) | (F.col("fetched") > 0), "partial").otherwise("failed")
+    return c.withColumn("status", status).drop("_crash")
 
 
 def prep_status(parses: DataFrame) -> DataFrame:

@@ -58,8 +58,8 @@ def chunks(blocks: DataFrame, target: int = 400, most: int = 800, least_words: i
     """(doc, first_pos, part, path, speaker, text, pages, n_blocks, needs_review).
 
     blocks: doc, pos, page, type, label, text, path, speaker, status, attached. A chunk ends where path or speaker change, a table comes between, or the next
-    block would pass `target` tokens; a block of more than `most` tokens is cut at its sentences and, as before, goes out ahead of what is still gathered around
-    it. Only the fold over the sizes of one run is inside an expression."""
+    block would pass `target` tokens; a block of more than `most` tokens ends what was gathered before it and is cut at its sentences. Only the fold over the
+    sizes of one run is inside an expression."""
     ordered = W.partitionBy("doc").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
     marked = blocks.withColumn("_tables", F.sum(F.when(F.col("type") == "table", 1).otherwise(0)).over(ordered))
     text = marked.filter(eligible() & ~S.skipped_section(F.col("path")) & ~F.trim("text").rlike(S.BOILERPLATE))
@@ -67,8 +67,9 @@ def chunks(blocks: DataFrame, target: int = 400, most: int = 800, least_words: i
         text = text.join(captions.select("doc", F.col("caption").alias("_c")).distinct(), (F.col("label") == "caption") & (text["doc"] == captions["doc"]) & (F.trim("text") == F.col("_c")), "left_anti")
     text = text.withColumn("_n", X.approx_tokens(F.trim("text"))).withColumn("_long", F.col("_n") > most)
     key = F.struct("path", "speaker", "_tables")
-    short = text.filter("NOT _long")
-    runs = islands(short.withColumn("_k", F.xxhash64(key)).withColumn("_new", F.coalesce(F.col("_k") != F.lag("_k").over(W.partitionBy("doc").orderBy("pos")), F.lit(True))), ["doc"], ["pos"], F.col("_new"), "_run")
+    before = W.partitionBy("doc").orderBy("pos")
+    fresh = F.coalesce((F.col("_k") != F.lag("_k").over(before)) | F.lag("_long").over(before), F.lit(True))
+    runs = islands(text.withColumn("_k", F.xxhash64(key)).withColumn("_new", fresh), ["doc"], ["pos"], F.col("_new"), "_run").filter("NOT _long")
     items = F.array_sort(F.collect_list(F.struct("pos", F.col("_n").alias("n"), "text", "page", F.coalesce(F.col("status") == "needs_review", F.lit(False)).alias("review"))))
     grouped = runs.groupBy("doc", "_run").agg(items.alias("_a"), F.first("path").alias("path"), F.first("speaker").alias("speaker"))
     zero = F.struct(F.lit(0).cast("long").alias("size"), F.lit(0).alias("no"), F.array().cast("array<int>").alias("out"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodestone.operators.shared import removed, written
+
 
 def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row of each key in the given order; give a unique tie-break last."""
@@ -43,28 +45,20 @@ def add_versions(versions: DataFrame, seen: DataFrame, keys: list[str], hash_col
     return merged.select(*on, F.coalesce("retrieved_at", "_at").alias("retrieved_at"), F.coalesce("_at", "last_verified_at").alias("last_verified_at"), F.col("retrieved_at").isNull().alias("is_new"))
 
 
-def written(df: DataFrame) -> DataFrame:
-    """Cuts the lineage of a loop's table: written to the session's checkpoint folder, which driver and executors share, and read back."""
-    import uuid
-
-    spark = df.sparkSession
-    path = f"{spark.sparkContext.getCheckpointDir() or spark.conf.get('spark.checkpoint.dir')}/lodestone/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """(id, component): the smallest id reachable, by label propagation with shortcuts; lineage is cut each round in the checkpoint folder."""
+    """(id, component): the smallest id reachable, by label propagation with shortcuts; lineage is cut each round, and a round's table goes once the next is written."""
     both = written(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).union(edges.select(b, a)).filter("x != y").distinct())
-    labels = written(both.groupBy(F.col("x").alias("id")).agg(F.min("y").alias("m")).select("id", F.least("id", "m").alias("component")))
+    labels = written(both.groupBy(F.col("x").alias("id")).agg(F.min("y").alias("m")).select("id", F.least("id", "m").alias("component"), F.lit(None).cast(both.dtypes[0][1]).alias("was")))
     while True:
-        near = both.join(labels.withColumnRenamed("id", "y"), "y").groupBy(F.col("x").alias("id")).agg(F.min("component").alias("near"))
+        near = both.join(labels.select(F.col("id").alias("y"), "component"), "y").groupBy(F.col("x").alias("id")).agg(F.min("component").alias("near"))
         step = labels.join(near, "id").select("id", F.least("component", "near").alias("c"), F.col("component").alias("was"))
         far = labels.select(F.col("id").alias("c"), F.col("component").alias("far"))
         new = written(step.join(far, "c", "left").select("id", F.least("c", F.coalesce("far", "c")).alias("component"), "was"))
+        removed(labels)
         if new.filter("component != was").isEmpty():
+            removed(both)
             return new.select("id", "component")
-        labels = new.select("id", "component")
+        labels = new
 
 
 def multiset_overlap(left: DataFrame, right: DataFrame, keys: list[str], value: str) -> DataFrame:

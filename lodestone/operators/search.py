@@ -1,23 +1,23 @@
 """Retrieval as one plan for many questions: route, expand, plan searches, score, merge, fetch parents.
 
-A question becomes rows of searches; chunks meet the searches in Arrow batches, where a matrix product and a per-batch top-k leave only a
-few rows per search to shuffle. The sparse part is scored for the dense shortlist alone.
+A question becomes rows of searches; searches meet the chunks in blocks (lodestone.operators.vectors), and the sparse part is scored for the dense
+shortlist alone. Filters are settled once per distinct set of them and group of chunks, not per search and chunk.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
 from lodestone.operators.relational import latest
+from lodestone.operators.vectors import dense_top
 
 SPARSE_WEIGHT = 0.3  # fixed value
-MOST_SEARCHES = 20_000  # searches whose vectors one task may hold
+MOST_FILTERS = 20_000  # distinct filter sets without program and agency that are broadcast
 
 
 def shortlist_size(k: int) -> int:
@@ -118,55 +118,6 @@ def unless_empty(rows: DataFrame, keys: list[str], narrow: Column) -> DataFrame:
     return rows.withColumn("_in", narrow).withColumn("_some", some).filter("_in OR NOT _some").drop("_in", "_some")
 
 
-def dense_top(chunks: DataFrame, queries: DataFrame, n: int, scale: int = 0, grain: int = 1) -> DataFrame:
-    """(search, chunk_id, score): the best n chunks of each query by inner product, ties to the larger chunk_id.
-
-    chunks: chunk_id, v (whole numbers, or any with a scale: then floor(scale x) counts), g (group of filters); queries: search, q, allow (the groups that a search may see; null: all). Queries
-    (scores may be taken in coarser grains) travel as one matrix to each task, after a count has proved them few; beyond that they are taken in shares of MOST_SEARCHES, one scan of the chunks
-    each. Every Arrow batch answers with at most n rows per search."""
-    total = queries.count()
-    shares = -(-total // MOST_SEARCHES) or 1
-    out = None
-    for share in range(shares):
-        part = queries if shares == 1 else queries.filter(F.pmod(F.xxhash64("search"), F.lit(shares)) == share)
-        found = _scored(chunks, part.toPandas(), n, scale, grain)  # at most about MOST_SEARCHES rows, by the count above
-        out = found if out is None else out.union(found)
-    w = W.partitionBy("search").orderBy(F.desc("score"), F.desc("chunk_id"))
-    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
-
-
-def _scored(chunks: DataFrame, queries, n: int, scale: int, grain: int) -> DataFrame:
-    kind = dict(chunks.dtypes)
-    names = list(queries["search"])
-    matrix = np.array(queries["q"].tolist(), np.float64).reshape(len(names), -1)
-    allow = [None if x is None else set(x) for x in queries["allow"]] if "allow" in queries else [None] * len(names)
-    name_type = "long" if all(isinstance(x, (int, np.integer)) for x in names) else "string"
-
-    def run(batches):
-        import pyarrow as pa
-
-        for b in batches:
-            if not b.num_rows or not len(names):
-                continue
-            ids = np.asarray(b.column(0).to_pylist())
-            v = b.column(1)
-            flat = np.asarray(v.flatten(), np.float64).reshape(b.num_rows, -1)
-            flat = np.floor(scale * flat) if scale else flat
-            group = b.column(2).to_pylist()
-            score = flat @ matrix.T if grain == 1 else np.floor((flat @ matrix.T) / grain)
-            order = np.argsort(-ids, kind="stable")  # ties go to the larger id
-            ids, score, group = ids[order], score[order], np.asarray(group, object)[order]
-            for j, name in enumerate(names):
-                s = score[:, j] if allow[j] is None else np.where([g in allow[j] for g in group], score[:, j], -np.inf)
-                some = np.arange(len(s)) if len(s) <= n else np.nonzero(s >= np.partition(s, len(s) - n)[len(s) - n])[0]
-                best = some[np.argsort(-s[some], kind="stable")][:n]
-                best = best[np.isfinite(s[best])]
-                if len(best):
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(best), pa.int64() if name_type == "long" else pa.string()), pa.array(ids[best]), pa.array(s[best].round().astype(np.int64))], ["search", "chunk_id", "score"])
-
-    return chunks.filter("v IS NOT NULL").select("chunk_id", "v", "g").mapInArrow(run, f"search {name_type}, chunk_id {kind['chunk_id']}, score long")
-
-
 def sparse_scores(shortlist: DataFrame, chunk_tokens: DataFrame, query_tokens: DataFrame) -> DataFrame:
     """(search, chunk_id, sparse): sums of products of the weights both sides give a token, for shortlisted pairs only.
 
@@ -213,16 +164,39 @@ def retrieve(questions: DataFrame, vectors: DataFrame, chunks: DataFrame, parent
     keys = ["program_id", "agency", "doc_kind", "doc_type"]
     path = F.array_join(F.coalesce("section_path", F.array().cast("array<string>")), "\x1f")
     shown = chunks.withColumn("_path", F.when(F.col("doc_type").isin(LABEL_TYPES), path).otherwise(""))
-    group = F.xxhash64(*[F.coalesce(c, F.lit("\x00")) for c in keys], "_path")
-    shown = shown.withColumn("g", group)
+    shown = shown.withColumn("g", F.xxhash64(*[F.coalesce(c, F.lit("\x00")) for c in keys], "_path"))
     groups = shown.select("g", *keys, "_path").distinct()
-    met = groups.alias("c").join(F.broadcast(plan).alias("s"), allowed()) if plan.count() <= MOST_SEARCHES else groups.alias("c").join(plan.alias("s"), allowed())
-    narrow = in_label_section(F.col("c.doc_type"), F.split(F.col("c._path"), "\x1f"), F.col("s.label_sections"))
-    seen = unless_empty(met.select(F.col("s.search").alias("search"), F.col("s.qid").alias("qid"), F.col("c.g").alias("g"), narrow.alias("_n")), ["search"], F.col("_n"))
-    queries = seen.groupBy("search", "qid").agg(F.collect_set("g").alias("allow")).join(vectors, "qid").select("search", "q", "allow")
+    plan = plan.withColumn("fid", F.xxhash64(F.to_json(F.struct(*FILTERS))))
+    queries = plan.join(visible(groups, plan.select("fid", *FILTERS).distinct()), "fid", "left").join(vectors, "qid").select("search", "q", F.coalesce("allow", F.array().cast("array<long>")).alias("allow"))
     short = dense_top(shown, queries, shortlist_size(k))
     tokens = plan.select("search", "qid").join(query_tokens, "qid").drop("qid")
     total = score if score is not None else F.col("score") + SPARSE_WEIGHT * F.coalesce("sparse", F.lit(0.0))
     hits = hybrid(short, sparse_scores(short, chunk_tokens, tokens), k, total)
     placed = merged(hits.join(plan.select("search", "qid", "ord", "product"), "search"))
     return with_parents(placed, shown, parents)
+
+
+FILTERS = ["program_id", "agency", "guidance", "excluded", "doc_types", "label_sections"]
+
+
+def visible(groups: DataFrame, filters: DataFrame) -> DataFrame:
+    """(fid, allow): the groups of chunks that each set of filters lets through.
+
+    Program and agency are equality joins. Sets that name neither are few (combinations of configured words) and meet all groups; they are broadcast after a count."""
+    found = None
+    for on in (["program_id", "agency"], ["program_id"], ["agency"], []):
+        part = filters
+        for c in ("program_id", "agency"):
+            part = part.filter(F.col(c).isNotNull() if c in on else F.col(c).isNull())
+        c, s = groups.alias("c"), part.alias("s")
+        if on:
+            rule = allowed()
+            for k in on:
+                rule = rule & (F.col(f"c.{k}") == F.col(f"s.{k}"))
+            met = c.join(s, rule)
+        else:
+            met = c.join(F.broadcast(s) if part.limit(MOST_FILTERS + 1).count() <= MOST_FILTERS else s, allowed())
+        narrow = in_label_section(F.col("c.doc_type"), F.split(F.col("c._path"), "\x1f"), F.col("s.label_sections"))
+        rows = met.select(F.col("s.fid").alias("fid"), F.col("c.g").alias("g"), narrow.alias("_n"))
+        found = rows if found is None else found.unionByName(rows)
+    return unless_empty(found, ["fid"], F.col("_n")).groupBy("fid").agg(F.collect_set("g").alias("allow"))

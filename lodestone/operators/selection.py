@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lodestone.operators.relational import written
+from lodestone.operators.shared import removed, written
 
 LABELS = ["label", "product_information", "product_monograph"]  # fixed values
 #: Fixed patterns: procedure numbers, and scopes that change an indication, form or route.
@@ -55,11 +55,19 @@ def elected(pairs: DataFrame, order: DataFrame) -> DataFrame:
         # Decided: no earlier neighbour is open, or a representative comes before the first open one.
         sure = F.col("_open").isNull() | F.coalesce(F.col("_rep.rank") < F.col("_open"), F.lit(False))
         new = written(state.join(per, "doc_id", "left").select("doc_id", F.coalesce("representative", F.when(sure, F.coalesce("_rep.id", "doc_id"))).alias("representative")))
+        removed(state)
         if new.filter("representative IS NULL").isEmpty():
+            removed(edges)
             return new
         state = new
 
 
+def elected_members(member: DataFrame, between: DataFrame, order: DataFrame) -> DataFrame:
+    """(doc_id, representative) of all documents from classes of equal sets (near_duplicates.near_classes): elected among the classes' first documents, then handed on."""
+    verdict = elected(between.select("a", "b"), order).withColumnRenamed("doc_id", "rep")
+    return member.join(verdict, "rep", "left").select("doc_id", F.coalesce("representative", "rep").alias("representative"))
+
+
 def summary(actions: DataFrame) -> DataFrame:
     """Counts by action and the reason before its bracket."""
     return actions.groupBy("action", F.split("reason", r" \(")[0].alias("reason")).agg(F.count(F.lit(1)).alias("n"))

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
 from lodestone.operators import metrics as M
 from lodestone.operators import narrative as N
+from lodestone.operators import near_duplicates as ND
 from lodestone.operators import selection as L
+from lodestone.operators import shared as SH
 from lodestone.operators import structure as S
 from lodestone.operators import tables as T
 from lodestone.plans.retrieval_queries import t
 from lodestone.plans.rule_queries import _LINES, col, shared_folder
 from lodestone.plans.text_queries import _PAIRS as NEAR_PAIRS
-from lodestone.plans.text_queries import near_pairs
 from lodestone.sources import agencies as A
 from lodestone.sources import stores as O
+from lodestone.sources.stored import RunLog, StoredTable, VersionStore
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -171,7 +175,7 @@ def table_row_groups(spark, d):
 # Narrative: lines of a document are blocks; every eleventh is a table, sections change every eight lines, the speaker every five.
 _NAR = f"""l AS ({_LINES}), b AS (SELECT doc_id AS doc, pos, pos // 9 AS page, line, pos % 11 = 5 AS tbl, pos // 8 AS sec, pos // 5 % 2 AS who FROM l),
 x AS (SELECT *, sum(tbl::INT) OVER (PARTITION BY doc ORDER BY pos ROWS UNBOUNDED PRECEDING) AS tables, greatest(1, (length(trim(line)) + 3) // 4)::BIGINT AS n FROM b),
-e AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY pos) AS i FROM x WHERE NOT tbl AND trim(line) <> '' AND n <= 300)"""
+e AS (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY pos) AS i FROM x WHERE NOT tbl AND trim(line) <> '')"""
 
 
 def _blocks(spark, d):
@@ -179,14 +183,17 @@ def _blocks(spark, d):
     return _lines(spark, d).select(F.col("doc_id").alias("doc"), "pos", col("pos DIV 9", "page"), F.when(p % 11 == 5, "table").otherwise("text").alias("type"), F.lit("text").alias("label"), F.col("line").alias("text"), F.array(F.concat(F.lit("Section "), F.expr("pos DIV 8").cast("string"))).alias("path"), F.expr("pos DIV 5 % 2").cast("string").alias("speaker"), F.lit("ok").alias("status"), F.lit(False).alias("attached"))
 
 
-@query(f"""WITH RECURSIVE {_NAR}, f AS (SELECT doc, i, pos, line, n AS size, 1 AS c, sec, who, tables FROM e WHERE i = 1
- UNION ALL SELECT e.doc, e.i, e.pos, e.line, CASE WHEN e.sec <> f.sec OR e.who <> f.who OR e.tables <> f.tables OR f.size + e.n > 120 THEN e.n ELSE f.size + e.n END, f.c + CASE WHEN e.sec <> f.sec OR e.who <> f.who OR e.tables <> f.tables OR f.size + e.n > 120 THEN 1 ELSE 0 END, e.sec, e.who, e.tables FROM f JOIN e ON e.doc = f.doc AND e.i = f.i + 1),
-g AS (SELECT doc, c, min(pos) AS first_pos, count(*) AS n_blocks, string_agg(line, chr(10) ORDER BY pos) AS text FROM f GROUP BY 1, 2)
-SELECT doc, first_pos, n_blocks, length(text)::BIGINT AS n_chars FROM g WHERE len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) >= 3""")
+@query(f"""WITH RECURSIVE {_NAR}, f AS (SELECT doc, i, pos, line, n AS size, n > 120 AS long, 1 AS c, sec, who, tables FROM e WHERE i = 1
+ UNION ALL SELECT doc, i, pos, line, CASE WHEN fresh THEN n ELSE size + n END, n > 120, c + fresh::INT, sec, who, tables FROM (SELECT e.*, f.size, f.c, e.sec <> f.sec OR e.who <> f.who OR e.tables <> f.tables OR f.long OR f.size + e.n > 60 AS fresh FROM f JOIN e ON e.doc = f.doc AND e.i = f.i + 1)),
+g AS (SELECT doc, c, min(pos) AS first_pos, count(*) AS n_blocks, string_agg(line, chr(10) ORDER BY pos) AS text FROM f WHERE NOT long GROUP BY 1, 2),
+z AS (SELECT doc, pos, unnest(string_split(regexp_replace(trim(line), '([.;:])\\s+([A-Z(\\[])', '\\1␞\\2', 'g'), '␞')) AS s, generate_subscripts(string_split(regexp_replace(trim(line), '([.;:])\\s+([A-Z(\\[])', '\\1␞\\2', 'g'), '␞'), 1) AS j FROM f WHERE long),
+h AS (SELECT doc, pos, j, s, greatest(1, (length(s) + 3) // 4)::BIGINT AS size, 0 AS part FROM z WHERE j = 1
+ UNION ALL SELECT z.doc, z.pos, z.j, z.s, CASE WHEN h.size + m > 60 THEN m ELSE h.size + m END, h.part + (h.size + m > 60)::INT FROM h JOIN (SELECT *, greatest(1, (length(s) + 3) // 4)::BIGINT AS m FROM z) z ON z.doc = h.doc AND z.pos = h.pos AND z.j = h.j + 1),
+r AS (SELECT doc, first_pos, 0 AS part, n_blocks, text FROM g UNION ALL SELECT doc, pos, part, 1, string_agg(s, ' ' ORDER BY j) FROM h GROUP BY 1, 2, 3)
+SELECT doc, first_pos, part, n_blocks, md5(text) AS text_md5 FROM r WHERE len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) >= 3""")
 def narrative_chunks(spark, d):
-    c = N.chunks(_blocks(spark, d), target=120, most=300).filter("part = 0")
-    long = _blocks(spark, d).filter(X.approx_tokens(F.trim("text")) > 300).select("doc", F.col("pos").alias("first_pos"))
-    return c.join(long, ["doc", "first_pos"], "left_anti").select("doc", F.col("first_pos").cast("long").alias("first_pos"), "n_blocks", F.length("text").cast("long").alias("n_chars"))
+    """All chunks of all blocks; a block of more than 120 tokens is cut at its sentences."""
+    return N.chunks(_blocks(spark, d), target=60, most=120).select("doc", F.col("first_pos").cast("long").alias("first_pos"), "part", "n_blocks", F.md5("text").alias("text_md5"))
 
 
 @query(f"""WITH {_NAR}, y AS (SELECT doc, sec, pos, line, page FROM x WHERE NOT tbl AND trim(line) <> '') SELECT doc, sec, string_agg(line, chr(10) ORDER BY pos) AS text, array_to_string(list_sort(list(DISTINCT page)), ',') AS pages FROM y GROUP BY 1, 2""")
@@ -279,13 +286,13 @@ _NATIVE = "['EPAR - Public assessment report', 'Procedural steps taken', 'RMP',
 _ADDR = "['x-assessment-report_en.pdf', 'x_de.pdf', 'x-medicine-overview_fr.pdf', 'x-product-information_en.pdf', 'x.pdf']"
 
 
-@query(f"""WITH r AS (SELECT p_partkey, CASE WHEN p_partkey % 3 > 0 THEN 'EMEA' || p_partkey ELSE 'name' || p_partkey END AS native_key, 'Brand ' || p_partkey AS brand FROM part WHERE p_partkey < 400),
+@query(f"""WITH r AS (SELECT p_partkey, CASE WHEN p_partkey % 3 > 0 THEN 'EMEA' || p_partkey ELSE 'name' || p_partkey END AS native_key, 'Brand ' || p_partkey AS brand FROM part),
 d AS (SELECT l_linenumber, l_partkey AS p, CASE WHEN l_partkey % 3 > 0 THEN 'EMEA' || l_partkey END AS no, {_NATIVE}[(l_suppkey % 6 + 1)::INT] AS native, 'https://site/' || l_orderkey || '-' || l_suppkey || {_ADDR}[(l_orderkey % 5 + 1)::INT] AS url, CASE WHEN l_quantity < 10 THEN 'EN' WHEN l_quantity < 14 THEN 'de' END AS lang FROM lineitem)
 SELECT native_key, url AS source_url, CASE WHEN native LIKE 'EPAR%' THEN 'assessment_report' WHEN native LIKE 'Proc%' THEN 'procedural_steps' WHEN native = 'RMP' THEN 'risk_management' WHEN native = 'Overview' THEN 'epar_overview' WHEN url LIKE '%assessment-report%' THEN 'assessment_report' WHEN url LIKE '%product-information%' THEN 'product_information' WHEN url LIKE '%medicine-overview%' THEN 'epar_overview' ELSE 'other' END AS doc_type
 FROM d JOIN r ON r.p_partkey = d.p WHERE CASE WHEN lang IS NOT NULL THEN lang = 'EN' ELSE NOT regexp_matches(url, '_(de|fr)\\.') END""")
 def ema_documents(spark, d):
     arr = lambda s: s.replace("[", "array(").replace("]", ")")
-    p = t(spark, d, "part").filter("p_partkey < 400")
+    p = t(spark, d, "part")
     reg = p.select(col("CASE WHEN p_partkey % 3 > 0 THEN concat('EMEA', p_partkey) ELSE concat('name', p_partkey) END", "native_key"), col("concat('Brand ', p_partkey)", "brand_name"))
     rows = t(spark, d, "lineitem").select(col("CASE WHEN l_partkey % 3 > 0 THEN concat('EMEA', l_partkey) END", "EMA product number"), col("concat('BRAND-', l_partkey)", "Name of medicine"), col(f"element_at({arr(_NATIVE)}, CAST(l_suppkey % 6 + 1 AS INT))", "Type"), col(f"concat('https://site/', l_orderkey, '-', l_suppkey, element_at({arr(_ADDR)}, CAST(l_orderkey % 5 + 1 AS INT)))", "URL"), col("CASE WHEN l_quantity < 10 THEN 'EN' WHEN l_quantity < 14 THEN 'de' END", "Language"))
     return A.ema_documents(reg, rows).select("native_key", "source_url", "doc_type")
@@ -349,10 +356,10 @@ def enriched_guidances(spark, d):
     return A.enriched(cat, cur).select("source_url", "guidance_id", "not_in_catalog")
 
 
-@query("""SELECT 'prog' || (s_suppkey % 3) AS program_id, 'NCT' || p_partkey AS nct_id FROM part JOIN (SELECT DISTINCT s_suppkey FROM supplier WHERE s_suppkey < 3) s ON regexp_matches('sb' || (p_partkey % 40) || 'trial' || regexp_replace(p_name, '[^a-z0-9]', '', 'g') || 'org', 'sb1' || s_suppkey)""")
+@query("""SELECT DISTINCT 'prog' || (s_suppkey % 3) AS program_id, 'NCT' || p_partkey AS nct_id FROM part JOIN (SELECT DISTINCT s_suppkey FROM supplier) s ON contains('sb' || (p_partkey % 40) || 'trial' || regexp_replace(lower(p_name), '[^a-z0-9]', '', 'g') || 'org', 'sb' || s_suppkey)""")
 def trial_search(spark, d):
     p = t(spark, d, "part").select(col("concat('NCT', p_partkey)", "nct_id"), col("concat('SB-', p_partkey % 40, ' trial')", "brief_title"), F.col("p_name").alias("official_title"), F.array().cast("array<string>").alias("other_ids"), F.lit("org").alias("org_id"))
-    codes = t(spark, d, "supplier").filter("s_suppkey < 3").select(col("concat('prog', s_suppkey % 3)", "program_id"), col("concat('SB 1', s_suppkey)", "code"))
+    codes = t(spark, d, "supplier").select(col("concat('prog', s_suppkey % 3)", "program_id"), col("concat('SB ', s_suppkey)", "code"))
     return A.trials(p, codes)
 
 
@@ -368,11 +375,48 @@ def document_metadata(spark, d):
 
 
 # Metrics and logs.
-@query("""WITH e AS (SELECT user_id AS run_id, ['registrations', 'documents', 'fetched', 'fetch_failed', 'new_versions'][(event_id % 5 + 1)::INT] AS kind, event_type = 'error' AND user_id % 3 > 0 AS err, CASE WHEN user_id % 4 = 0 AND event_id % 5 = 3 THEN 0 ELSE event_id % 3 END AS n FROM events WHERE user_id % 7 > 0 OR event_id % 5 = 3)
-SELECT run_id, sum(CASE WHEN kind = 'fetched' THEN n ELSE 0 END)::BIGINT AS fetched, sum(CASE WHEN kind = 'fetch_failed' THEN n ELSE 0 END)::BIGINT AS fetch_failed, count(*) FILTER (WHERE err) AS errors, CASE WHEN count(*) FILTER (WHERE err) = 0 AND sum(CASE WHEN kind = 'fetch_failed' THEN n ELSE 0 END) = 0 THEN 'ok' WHEN sum(CASE WHEN kind IN ('registrations', 'fetched') THEN n ELSE 0 END) > 0 THEN 'partial' ELSE 'failed' END AS status FROM e GROUP BY 1""")
+_KINDS = "[" + ", ".join(f"'{k}'" for k in M.COUNTERS) + "]"
+
+
+@query(f"""WITH e AS (SELECT user_id AS run_id, CASE WHEN user_id % 11 = 0 AND event_id % 10 = 1 THEN 'crash' ELSE {_KINDS}[(event_id % 10 + 1)::INT] END AS kind, CASE WHEN event_type = 'error' AND user_id % 3 > 0 THEN 'error' WHEN event_id % 4 = 0 THEN 'warning' ELSE 'info' END AS level, CASE WHEN user_id % 4 = 0 AND event_id % 10 IN (0, 4, 6) THEN 0 ELSE event_id % 3 END AS n FROM events),
+c AS (SELECT run_id, {", ".join(f"sum(CASE WHEN kind = '{k}' THEN n ELSE 0 END)::BIGINT AS {k}" for k in M.COUNTERS)}, count(*) FILTER (level = 'error') AS errors, count(*) FILTER (level = 'warning') AS warnings, bool_or(kind = 'crash') AS crash FROM e GROUP BY 1)
+SELECT * EXCLUDE (crash), CASE WHEN crash THEN 'failed' WHEN errors = 0 AND fetch_failed = 0 THEN 'ok' WHEN registrations > 0 OR fetched > 0 THEN 'partial' ELSE 'failed' END AS status FROM c""")
 def run_status(spark, d):
-    e = t(spark, d, "events").filter("user_id % 7 > 0 OR event_id % 5 = 3").select(F.col("user_id").alias("run_id"), col("element_at(array('registrations', 'documents', 'fetched', 'fetch_failed', 'new_versions'), CAST(event_id % 5 + 1 AS INT))", "kind"), col("CASE WHEN event_type = 'error' AND user_id % 3 > 0 THEN 'error' ELSE 'info' END", "level"), col("CASE WHEN user_id % 4 = 0 AND event_id % 5 = 3 THEN 0 ELSE event_id % 3 END", "n"))
-    return M.run_counters(e).select("run_id", "fetched", "fetch_failed", "errors", "status")
+    """Events of all runs appended to a stored log in two parts, and what the log says of each run."""
+    kind = f"CASE WHEN user_id % 11 = 0 AND event_id % 10 = 1 THEN 'crash' ELSE element_at(array({_KINDS[1:-1]}), CAST(event_id % 10 + 1 AS INT)) END"
+    e = t(spark, d, "events").select(F.col("user_id").cast("string").alias("run_id"), col(kind, "kind"), col("CASE WHEN event_type = 'error' AND user_id % 3 > 0 THEN 'error' WHEN event_id % 4 = 0 THEN 'warning' ELSE 'info' END", "level"), col("CASE WHEN user_id % 4 = 0 AND event_id % 10 IN (0, 4, 6) THEN 0 ELSE event_id % 3 END", "n"), (F.col("event_id") % 2).alias("_part"))
+    log = RunLog(spark, stored_path(spark, "log"))
+    for part in (0, 1):
+        log.append(e.filter(F.col("_part") == part).drop("_part"))
+    return M.run_counters(log.events()).withColumn("run_id", F.col("run_id").cast("long"))
+
+
+def stored_path(spark, name: str) -> str:
+    return f"{SH.shared_folder(spark)}/lodestone/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT coalesce(o.k, n.k) AS k, coalesce(nullif(n.v, ''), o.v) AS v, o.n AS n FROM (SELECT c_custkey AS k, c_name AS v, c_nationkey AS n FROM customer) o FULL JOIN (SELECT c_custkey + 100 AS k, CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END AS v FROM customer) n ON o.k = n.k")
+def stored_upsert(spark, d):
+    """Two batches merged into a stored table, the first replayed: what the table holds."""
+    c = t(spark, d, "customer")
+    table = StoredTable(spark, stored_path(spark, "registrations"), "k long, v string, n long")
+    first = c.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("v"), F.col("c_nationkey").cast("long").alias("n"))
+    table.upsert("1", first, ["k"])
+    table.upsert("2", c.select((F.col("c_custkey") + 100).alias("k"), col("CASE WHEN c_custkey % 3 = 0 THEN '' ELSE c_mktsegment END", "v")), ["k"])
+    table.upsert("1", first, ["k"])
+    return table.read()
+
+
+@query("""SELECT o_custkey AS doc_id, o_orderpriority AS sha256, arg_min('p' || o_orderkey, strftime(o_orderdate, '%Y%m%d') || 'p' || o_orderkey) AS path, strftime(min(o_orderdate), '%Y-%m-%d') AS retrieved, strftime(max(o_orderdate), '%Y-%m-%d') AS verified FROM orders GROUP BY 1, 2""")
+def stored_versions(spark, d):
+    """Fetches of all years brought year by year into a stored version history."""
+    o = t(spark, d, "orders").select(F.col("o_custkey").alias("doc_id"), F.col("o_orderpriority").alias("sha256"), col("concat('p', o_orderkey)", "path"), F.lit(1).cast("long").alias("size"), F.col("o_orderdate").cast("timestamp").alias("at"), F.year("o_orderdate").alias("y"))
+    store = VersionStore(spark, stored_path(spark, "versions"))
+    years = [r.y for r in o.select("y").distinct().orderBy("y").collect()]  # a few
+    for y in [*years, *years[:1]]:
+        store.add(str(y), o.filter(F.col("y") == y).drop("y"))
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    return store.read().select("doc_id", "sha256", "path", day("retrieved_at").alias("retrieved"), day("last_verified_at").alias("verified"))
 
 
 @query("""SELECT l_linestatus AS engine, l_returnflag AS status, count(*) AS n, sum(l_quantity)::BIGINT AS pages, sum(l_linenumber)::BIGINT AS seconds, round(sum(l_linenumber) / sum(l_quantity), 6) AS sec_per_page FROM lineitem GROUP BY 1, 2""")
@@ -425,9 +469,10 @@ def content_addressed_put(spark, d):
 @query("""WITH RECURSIVE """ + NEAR_PAIRS + """, o AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS i FROM (SELECT a AS doc_id FROM p UNION SELECT b FROM p)),
 e AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS reps, NULL::BIGINT AS doc_id, NULL::BIGINT AS rep UNION ALL
  SELECT o.i, CASE WHEN m.r IS NULL THEN list_append(e.reps, o.doc_id) ELSE e.reps END, o.doc_id, coalesce(m.r, o.doc_id) FROM e JOIN o ON o.i = e.i + 1, LATERAL (SELECT min(p.a) AS r FROM p WHERE p.b = o.doc_id AND list_contains(e.reps, p.a)) m)
-SELECT doc_id, rep AS representative FROM e WHERE i > 0""")
+SELECT d.doc_id, coalesce(e.rep, k.rep, d.doc_id) AS representative FROM documents d LEFT JOIN k USING (doc_id) LEFT JOIN e ON e.doc_id = k.rep AND e.i > 0""")
 def near_dup_reps(spark, d):
-    """Greedy election in id order, in rounds over the pairs."""
+    """Greedy election in id order over the classes' representatives, whose verdict holds for all members: copies have the same earlier neighbours."""
     shared_folder(spark)
     docs = t(spark, d, "documents")
-    return L.elected(near_pairs(docs).select("a", "b"), docs.select("doc_id", F.col("doc_id").alias("rank")))
+    member, between = ND.near_classes(docs)
+    return L.elected_members(member, between, docs.select("doc_id", F.col("doc_id").alias("rank")))

@@ -9,7 +9,7 @@ from lodestone.functions import text as X
 from lodestone.operators import relational as R
 from lodestone.operators import sections, trigrams
 from lodestone.operators import search as Q
-from lodestone.plans.retrieval_queries import _V, bounded, centroids, t, vectors
+from lodestone.plans.retrieval_queries import _V, asked, bounded, t, vectors
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -62,37 +62,40 @@ def version_verify(spark, d):
     return R.multisets_equal(l.filter("l_orderkey % 7 > 0"), l.filter("l_quantity < 49 AND l_orderkey % 11 > 0"), ["l_orderkey"], "l_partkey")
 
 
-_TOP10 = f"""WITH {_V}, a AS (SELECT search, vec_id, label, score, row_number() OVER (PARTITION BY search ORDER BY score DESC, vec_id DESC) AS r, row_number() OVER (PARTITION BY search ORDER BY floor(score / 4) DESC, vec_id DESC) AS r4 FROM s)"""
+_TOP10 = f"""WITH {_V}, c AS (SELECT q.vec_id AS search, c.vec_id, list_inner_product(list_transform(q.embedding, lambda x: round(x::DOUBLE, 2)), list_transform(c.embedding, lambda x: round(x::DOUBLE, 2))) AS score FROM embeddings q, embeddings c WHERE q.vec_id % 50 = 0),
+a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY search ORDER BY score DESC, vec_id DESC) AS r FROM s) WHERE r <= 10), g AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY search ORDER BY score DESC, vec_id DESC) AS r FROM c) WHERE r <= 10)"""
 
 
-def _ranked(spark, d, grain: int = 1):
-    v = vectors(spark, d)
-    return Q.dense_top(v, centroids(v), 10, scale=64, grain=grain).withColumnRenamed("chunk_id", "vec_id")
+def _ranked(spark, d):
+    return Q.dense_top(vectors(spark, d), asked(spark, d), 10).withColumnRenamed("chunk_id", "vec_id")
 
 
-@query(_TOP10 + """, w AS (SELECT search, list(vec_id ORDER BY r) AS i, list(floor(score / 4) ORDER BY r) AS s FROM a WHERE r <= 10 GROUP BY 1), g AS (SELECT search, list(vec_id ORDER BY r4) AS i, list(floor(score / 4) ORDER BY r4) AS s FROM a WHERE r4 <= 10 GROUP BY 1)
-SELECT search, CASE WHEN w.i = g.i THEN 'match' WHEN list_sort(w.i) = list_sort(g.i) OR w.s = g.s THEN 'tie' ELSE 'mismatch' END AS state FROM w JOIN g USING (search)""")
+@query(_TOP10 + """, x AS (SELECT search, list(vec_id ORDER BY r) AS i, list(round(score, 3) ORDER BY r) AS s FROM a GROUP BY 1), y AS (SELECT search, list(vec_id ORDER BY r) AS i, list(round(score, 3) ORDER BY r) AS s FROM g GROUP BY 1)
+SELECT search, CASE WHEN x.i = y.i THEN 'match' WHEN list_sort(x.i) = list_sort(y.i) OR x.s = y.s THEN 'tie' ELSE 'mismatch' END AS state FROM x JOIN y USING (search)""")
 def search_parity(spark, d):
-    """Exact ranking against one by coarse scores: equal, the same set or scores, or different."""
+    """Ranking by whole vectors against one by an index that stores two decimals: equal, the same set or rounded scores, or different."""
 
-    def lists(found, coarse, name: str):
-        grouped = found.withColumn("coarse", coarse).groupBy("search").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", "coarse"))).alias("x"))
-        return grouped.select("search", F.col("x.vec_id").alias(f"{name}_i"), F.col("x.coarse").alias(f"{name}_s"))
+    def lists(found, name: str):
+        grouped = found.groupBy("search").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", F.round("score", 3).alias("s")))).alias("x"))
+        return grouped.select("search", F.col("x.vec_id").alias(f"{name}_i"), F.col("x.s").alias(f"{name}_s"))
 
-    both = lists(_ranked(spark, d), F.floor(F.col("score") / 4), "w").join(lists(_ranked(spark, d, 4), F.col("score"), "g"), "search")
+    coarse = lambda c: F.transform(F.col(c).cast("array<double>"), lambda x: F.round(x, 2)).alias(c)
+    stored = Q.dense_top(vectors(spark, d).select("chunk_id", coarse("v"), "g"), asked(spark, d).select("search", coarse("q")), 10).withColumnRenamed("chunk_id", "vec_id")
+    both = lists(_ranked(spark, d), "w").join(lists(stored, "g"), "search")
     state = F.when(F.col("w_i") == F.col("g_i"), "match").when((F.array_sort("w_i") == F.array_sort("g_i")) | (F.col("w_s") == F.col("g_s")), "tie").otherwise("mismatch")
     return both.select("search", state.alias("state"))
 
 
-@query(_TOP10 + """, n AS (SELECT label AS search, count(*) AS n_relevant FROM embeddings GROUP BY 1)
-SELECT search, n_relevant, count(*) FILTER (label = search) AS n_hits, round(count(*) FILTER (label = search) / least(10, n_relevant), 9) AS recall, round(count(*) FILTER (label <> search) / count(*), 9) AS other_share, count(*) FILTER (label = search) = least(10, n_relevant) AS full_answer
-FROM a JOIN n USING (search) WHERE r <= 10 GROUP BY 1, 2""")
+@query(_TOP10 + """, n AS (SELECT label AS own, count(*) AS n_relevant FROM embeddings GROUP BY 1)
+SELECT search, n_relevant, count(*) FILTER (label = own) AS n_hits, round(count(*) FILTER (label = own) / least(10, n_relevant), 9) AS recall, round(count(*) FILTER (label <> own) / count(*), 9) AS other_share, count(*) FILTER (label = own) = least(10, n_relevant) AS full_answer
+FROM a JOIN n USING (own) GROUP BY 1, 2""")
 def retrieval_metrics(spark, d):
     """Recall at 10, share of other labels, and whether everything possible was found, per search."""
-    n = t(spark, d, "embeddings").groupBy(F.col("label").alias("search")).agg(F.count(F.lit(1)).alias("n_relevant"))
-    hits = _ranked(spark, d).join(t(spark, d, "embeddings").select("vec_id", "label"), "vec_id").groupBy("search").agg(F.count_if(F.col("label") == F.col("search")).alias("n_hits"), F.count(F.lit(1)).alias("_n"))
+    n = t(spark, d, "embeddings").groupBy(F.col("label").alias("own")).agg(F.count(F.lit(1)).alias("n_relevant"))
+    own = asked(spark, d).select("search", "own").join(n, "own")
+    hits = _ranked(spark, d).join(t(spark, d, "embeddings").select("vec_id", "label"), "vec_id").join(own, "search").groupBy("search", "n_relevant").agg(F.count_if(F.col("label") == F.col("own")).alias("n_hits"), F.count(F.lit(1)).alias("_n"))
     best = F.least(F.lit(10), F.col("n_relevant"))
-    return hits.join(n, "search").select("search", "n_relevant", "n_hits", F.round(F.col("n_hits") / best, 9).alias("recall"), F.round((F.col("_n") - F.col("n_hits")) / F.col("_n"), 9).alias("other_share"), (F.col("n_hits") == best).alias("full_answer"))
+    return hits.select("search", "n_relevant", "n_hits", F.round(F.col("n_hits") / best, 9).alias("recall"), F.round((F.col("_n") - F.col("n_hits")) / F.col("_n"), 9).alias("other_share"), (F.col("n_hits") == best).alias("full_answer"))
 
 
 @query("""SELECT l_orderkey, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS presentations, min(l_shipdate) AS first_date, min(l_shipdate) FILTER (l_returnflag = 'R') AS first_r, CASE WHEN bool_or(l_returnflag = 'R') THEN 'R' ELSE arg_min(l_returnflag, l_linenumber * 256 + ascii(l_returnflag)) END AS licence FROM lineitem GROUP BY 1""")

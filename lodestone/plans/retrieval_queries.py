@@ -7,8 +7,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
+from lodestone.operators import containment as CT
+from lodestone.operators import metrics as M
 from lodestone.operators import relational as R
 from lodestone.operators import search as Q
+from lodestone.operators.shared import written
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -34,28 +37,13 @@ def bounded(df: DataFrame, rows: int = 10_000) -> DataFrame:
 
 
 def vectors(spark, d) -> DataFrame:
-    """Chunks of the embeddings table for dense_top: components as they are; 64 x, rounded down, is taken in the batches."""
+    """Chunks of the embeddings table for dense_top: components as they are."""
     return t(spark, d, "embeddings").select(F.col("vec_id").alias("chunk_id"), F.col("embedding").alias("v"), F.col("label").alias("g"))
 
 
-def centroids(v: DataFrame, scale: int = 64) -> DataFrame:
-    """(search, q): one query vector per label, the sum of its members, summed in each task first."""
-    import numpy as np
-
-    def run(batches):
-        import pyarrow as pa
-
-        total = {}
-        for b in batches:
-            if b.num_rows:
-                x = np.floor(scale * np.asarray(b.column(1).flatten(), np.float64).reshape(b.num_rows, -1))
-                for g in np.unique(labels := np.asarray(b.column(0))):
-                    total[int(g)] = total.get(int(g), 0) + x[labels == g].sum(0)
-        for g, x in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([g] * len(x), pa.int64()), pa.array(range(len(x)), pa.int32()), pa.array(x.astype(np.int64))], ["search", "i", "x"])
-
-    each = v.filter("g IS NOT NULL AND v IS NOT NULL").select("g", "v").mapInArrow(run, "search long, i int, x long").groupBy("search", "i").agg(F.sum("x").alias("x"))
-    return each.groupBy("search").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("q"))
+def asked(spark, d) -> DataFrame:
+    """(search, q): every vector whose id 50 divides asks for its nearest among all."""
+    return t(spark, d, "embeddings").filter("vec_id % 50 = 0").select(F.col("vec_id").alias("search"), F.col("embedding").alias("q"), F.col("label").alias("own"))
 
 
 def top(df: DataFrame, k: int, by: list[str]) -> DataFrame:
@@ -64,26 +52,21 @@ def top(df: DataFrame, k: int, by: list[str]) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-_V = """v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * 64)::BIGINT) AS v FROM embeddings),
-u AS (SELECT label AS search, unnest(range(1, 65)) AS i, unnest(v) AS x FROM v), q0 AS (SELECT search, i, sum(x)::BIGINT AS x FROM u GROUP BY 1, 2),
-q AS (SELECT search, list(x ORDER BY i) AS q FROM q0 GROUP BY 1),
-s AS (SELECT search, vec_id, label, list_inner_product(q::DOUBLE[], v::DOUBLE[])::BIGINT AS score FROM q, v)"""
+_V = """s AS (SELECT q.vec_id AS search, q.label AS own, c.vec_id, c.label, list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS score FROM embeddings q, embeddings c WHERE q.vec_id % 50 = 0)"""
 
 
-@query(f"WITH {_V} SELECT search, vec_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY search ORDER BY score DESC, vec_id DESC)::INT AS rank FROM s) WHERE rank <= 10")
+@query(f"WITH {_V} SELECT search, vec_id, round(score, 9) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY search ORDER BY score DESC, vec_id DESC)::INT AS rank FROM s) WHERE rank <= 10")
 def dense_topk(spark, d):
-    v = vectors(spark, d)
-    return Q.dense_top(v, centroids(v), 10, scale=64).select(F.col("search").cast("int").alias("search"), F.col("chunk_id").alias("vec_id"), "score", "rank")
+    return Q.dense_top(vectors(spark, d), asked(spark, d), 10).select("search", F.col("chunk_id").alias("vec_id"), F.round("score", 9).alias("score"), "rank")
 
 
-@query(f"WITH {_V} SELECT search, vec_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY search ORDER BY score DESC, vec_id DESC)::INT AS rank FROM s WHERE label <> search) WHERE rank <= 10")
+@query(f"WITH {_V} SELECT search, vec_id, round(score, 9) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY search ORDER BY score DESC, vec_id DESC)::INT AS rank FROM s WHERE label <> own) WHERE rank <= 10")
 def dense_topk_filtered(spark, d):
     """Every search sees the other labels only."""
-    v = vectors(spark, d)
-    groups = v.select(F.col("g").cast("long").alias("g")).distinct()
-    q = centroids(v)
-    allow = q.join(groups, F.col("g") != F.col("search")).groupBy("search").agg(F.collect_set("g").alias("allow"))
-    return Q.dense_top(v, q.join(allow, "search"), 10, scale=64).select(F.col("search").cast("int").alias("search"), F.col("chunk_id").alias("vec_id"), "score", "rank")
+    labels = t(spark, d, "embeddings").select(F.col("label").alias("g")).distinct()
+    others = labels.select(F.col("g").alias("own")).join(labels, F.col("g") != F.col("own")).groupBy("own").agg(F.collect_set(F.col("g").cast("long")).alias("allow"))  # once per label, not per search
+    found = Q.dense_top(vectors(spark, d), asked(spark, d).join(others, "own"), 10)
+    return found.select("search", F.col("chunk_id").alias("vec_id"), F.round("score", 9).alias("score"), "rank")
 
 
 _H = """w AS (SELECT DISTINCT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM documents), b AS (SELECT DISTINCT item_id, unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS w FROM benchmark),
@@ -94,27 +77,34 @@ def words_of(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("w")).filter("w != ''").distinct()
 
 
-@query(f"""WITH {_V}, {_H}, sh AS (SELECT * FROM (SELECT i.item_id, s.search, s.vec_id, s.score, row_number() OVER (PARTITION BY i.item_id ORDER BY s.score DESC, s.vec_id DESC) AS r FROM benchmark i JOIN s ON s.search = i.item_id % 10) WHERE r <= 200),
-h AS (SELECT sh.item_id, sh.vec_id, sh.score * 10 + 12288 * coalesce(sparse, 0) AS score FROM sh LEFT JOIN sp ON sp.item_id = sh.item_id AND sp.doc_id = sh.vec_id)
-SELECT item_id, vec_id, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, vec_id DESC)::INT AS rank FROM h) WHERE rank <= 10""")
-def hybrid_topk(spark, d):
-    """Dense shortlist of max(200, 20 k), then dense + 0.3 sparse, for every benchmark item in one plan."""
+_I = """i AS (SELECT b.item_id, c.vec_id, list_inner_product(q.embedding::DOUBLE[], c.embedding::DOUBLE[]) AS score FROM benchmark b JOIN embeddings q ON q.vec_id = b.item_id, embeddings c),
+sh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, vec_id DESC) AS r FROM i) WHERE r <= 200)"""
+
+
+def shortlists(spark, d) -> tuple[DataFrame, DataFrame]:
+    """For every benchmark item, whose question vector is the one of its number: its dense shortlist, and the words it shares with each document on it."""
     b = t(spark, d, "benchmark")
-    v = vectors(spark, d)
-    items = b.select("item_id", (F.col("item_id") % 10).alias("want"))
-    dense = Q.dense_top(v, centroids(v), Q.shortlist_size(10), scale=64).drop("rank")
-    short = dense.withColumnRenamed("search", "want").join(items, "want").select(F.col("item_id").alias("search"), "chunk_id", "score")
-    docs = t(spark, d, "documents").join(dense.select(F.col("chunk_id").alias("doc_id")).distinct(), "doc_id", "left_semi")  # words of shortlisted documents only
+    ask = b.select(F.col("item_id").alias("search")).join(t(spark, d, "embeddings").select(F.col("vec_id").alias("search"), F.col("embedding").alias("q")), "search")
+    short = written(Q.dense_top(vectors(spark, d), ask, Q.shortlist_size(10)).drop("rank"))
+    docs = t(spark, d, "documents").join(short.select(F.col("chunk_id").alias("doc_id")).distinct(), "doc_id", "left_semi")  # words of shortlisted documents only
     tokens = words_of(docs, "doc_id").select(F.col("doc_id").alias("chunk_id"), F.col("w").alias("token"), F.lit(1).alias("w"))
-    asked = words_of(b, "item_id").select(F.col("item_id").alias("search"), F.col("w").alias("token"), F.lit(1).alias("w"))
-    h = Q.hybrid(short, Q.sparse_scores(short, tokens, asked), 10, F.col("score") * 10 + F.coalesce("sparse", F.lit(0)) * 12288)
-    return h.select(F.col("search").alias("item_id"), F.col("chunk_id").alias("vec_id"), "score", "rank")
+    words = words_of(b, "item_id").select(F.col("item_id").alias("search"), F.col("w").alias("token"), F.lit(1).alias("w"))
+    return short, Q.sparse_scores(short, tokens, words)
+
+
+@query(f"""WITH {_H}, {_I}, h AS (SELECT sh.item_id, sh.vec_id, sh.score + 0.3::DOUBLE * coalesce(sparse, 0) AS score FROM sh LEFT JOIN sp ON sp.item_id = sh.item_id AND sp.doc_id = sh.vec_id)
+SELECT item_id, vec_id, round(score, 9) AS score, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, vec_id DESC)::INT AS rank FROM h) WHERE rank <= 10""")
+def hybrid_topk(spark, d):
+    """Dense shortlist of max(200, 20 k), then dense + 0.3 sparse, for every benchmark item in one plan."""
+    short, sparse = shortlists(spark, d)
+    h = Q.hybrid(short, sparse, 10, F.col("score") + Q.SPARSE_WEIGHT * F.coalesce("sparse", F.lit(0)))
+    return h.select(F.col("search").alias("item_id"), F.col("chunk_id").alias("vec_id"), F.round("score", 9).alias("score"), "rank")
 
 
-@query(f"WITH {_H} SELECT item_id, doc_id, sparse FROM sp")
+@query(f"WITH {_H}, {_I} SELECT sh.item_id, sp.doc_id, sparse FROM sh JOIN sp ON sp.item_id = sh.item_id AND sp.doc_id = sh.vec_id")
 def sparse_score_pairs(spark, d):
-    j = words_of(t(spark, d, "documents"), "doc_id").join(words_of(t(spark, d, "benchmark"), "item_id"), "w")
-    return j.groupBy("item_id", "doc_id").agg(F.count(F.lit(1)).alias("sparse"))
+    """Shared words of each item and the documents on its shortlist; pairs beyond a shortlist are never made."""
+    return shortlists(spark, d)[1].select(F.col("search").alias("item_id"), F.col("chunk_id").alias("doc_id"), "sparse")
 
 
 @query("SELECT o_orderkey, p FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS p FROM orders) WHERE p IS NULL OR p NOT IN ('1-URGENT', '5-LOW')")
@@ -153,36 +143,22 @@ def fieldwise_upsert(spark, d):
 
 @query("SELECT doc_id, item_id FROM documents JOIN benchmark ON contains(regexp_replace(lower(documents.text), '\\s+', '', 'g'), regexp_replace(lower(benchmark.text), '\\s+', '', 'g'))")
 def quote_containment(spark, d):
-    """Every quote in every document in one reading of the documents: an automaton of all quotes, whose number a count has proved bounded; beyond that in shares."""
-    norm = lambda c: F.regexp_replace(F.lower(c), r"\s+", "")
-    b = t(spark, d, "benchmark").select("item_id", norm("text").alias("quote")).filter("quote != ''")
-    docs = t(spark, d, "documents").select("doc_id", norm("text").alias("body"))
-    shares = -(-b.count() // 100_000) or 1
-    out = None
-    for i in range(shares):
-        quotes = [(r.item_id, r.quote) for r in b.filter(F.pmod(F.xxhash64("item_id"), F.lit(shares)) == i).collect()]  # about 100,000 at most
-        found = _contained(docs, quotes)
-        out = found if out is None else out.union(found)
-    return out
-
-
-def _contained(docs: DataFrame, quotes: list) -> DataFrame:
-    def run(batches):
-        import ahocorasick
-        import pyarrow as pa
-
-        ids = {}
-        for i, q in quotes:
-            ids.setdefault(q, []).append(i)
-        machine = ahocorasick.Automaton()
-        for q, mine in ids.items():
-            machine.add_word(q, mine)
-        machine.make_automaton()
-        for b in batches:
-            rows = [(i, item) for i, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) if body for item in {x for _, mine in machine.iter(body) for x in mine}] if ids else []
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], ["doc_id", "item_id"])
-
-    return docs.mapInArrow(run, "doc_id long, item_id long")
+    """Every benchmark passage in every document, in comparison form."""
+    quotes = t(spark, d, "benchmark").select(F.col("item_id").alias("quote_id"), M.gold_norm(F.col("text")).alias("quote"))
+    texts = t(spark, d, "documents").select(F.col("doc_id").alias("text_id"), M.gold_norm(F.col("text")).alias("body"))
+    return CT.contained(texts, quotes).select(F.col("text_id").alias("doc_id"), F.col("quote_id").alias("item_id"))
+
+
+@query("""WITH c AS (SELECT doc_id, pos, regexp_replace(lower(line), '\\s+', '', 'g') AS body FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)),
+q AS (SELECT doc_id, substr(regexp_replace(lower(text), '\\s+', '', 'g'), 40, 5 + doc_id % 40) AS quote FROM documents)
+SELECT DISTINCT c.doc_id, pos FROM c JOIN q ON c.doc_id = q.doc_id AND quote <> '' AND contains(body, quote)""")
+def quotes_in_chunks(spark, d):
+    """The chunks (lines) of a quote's own document that contain it: the document is the key, whatever the quote's length."""
+    docs = t(spark, d, "documents")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    texts = lines.select(F.struct("doc_id", (F.col("pos") + 1).cast("long").alias("pos")).alias("text_id"), M.gold_norm(F.col("line")).alias("body"), F.col("doc_id").alias("doc"))
+    quotes = docs.select(F.col("doc_id").alias("quote_id"), F.substring(M.gold_norm(F.col("text")), F.lit(40), (5 + F.col("doc_id") % 40).cast("int")).alias("quote"), F.col("doc_id").alias("doc"))
+    return CT.contained(texts, quotes, "doc").select("text_id.doc_id", "text_id.pos").distinct()
 
 
 @query("WITH l AS (SELECT l_orderkey, l_returnflag AS v, count(*) AS c FROM lineitem GROUP BY 1, 2), r AS (SELECT o_orderkey AS l_orderkey, o_orderstatus AS v, count(*) AS o FROM orders GROUP BY 1, 2) SELECT l_orderkey, sum(c)::BIGINT AS n_left, sum(least(c, coalesce(o, 0)))::BIGINT AS n_shared FROM l LEFT JOIN r USING (l_orderkey, v) GROUP BY 1")

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestone.functions import text as X
+from lodestone.operators import near_duplicates as ND
 from lodestone.operators import relational as R
 
 QUERIES: dict = {}
@@ -162,47 +163,29 @@ def exact_dup_groups(spark, d):
     return t(spark, d, "documents").groupBy(F.sha2("text", 256).alias("sha")).agg(F.min("doc_id").alias("keeper"), F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-def shingles(docs: DataFrame, k: int = 5) -> DataFrame:
-    """(lang, doc_id, sh): distinct hashes of k-word runs of [a-z]{3,} words; windows over exploded words, so no expression is evaluated per element."""
-    words = docs.select("lang", "doc_id", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})"))).alias("i", "w"))
-    w = W.partitionBy("doc_id").orderBy("i")
-    runs = words.select("lang", "doc_id", F.concat_ws(" ", "w", *[F.lead("w", j).over(w) for j in range(1, k)]).alias("run"), F.lead("w", k - 1).over(w).alias("last"))
-    return runs.filter("last IS NOT NULL").select("lang", "doc_id", F.xxhash64("run").alias("sh")).distinct()
-
-
 _PAIRS = """
 w AS (SELECT lang, doc_id, unnest(list_transform(range(1, greatest(len(ws) - 3, 1)), lambda i: array_to_string(ws[i:i+4], ' '))) AS sh
       FROM (SELECT lang, doc_id, regexp_extract_all(lower(text), '[a-z]{3,}') AS ws FROM documents)),
 s AS (SELECT DISTINCT lang, doc_id, sh FROM w),
-n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
-i AS (SELECT a.lang, a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM s a JOIN s b ON a.sh = b.sh AND a.lang = b.lang AND a.doc_id < b.doc_id GROUP BY 1, 2, 3),
-p AS (SELECT i.lang, i.a, i.b, round(i.both / (x.n + y.n - i.both), 9) AS jaccard FROM i JOIN n x ON x.doc_id = i.a JOIN n y ON y.doc_id = i.b WHERE i.both >= 0.6 * (x.n + y.n - i.both))
+f AS (SELECT lang, doc_id, count(*) AS n, md5(string_agg(sh, '|' ORDER BY sh)) AS m FROM s GROUP BY 1, 2),
+k AS (SELECT *, min(doc_id) OVER (PARTITION BY lang, m) AS rep FROM f),
+t AS (SELECT s.* FROM s JOIN k USING (doc_id) WHERE k.rep = doc_id),
+i AS (SELECT a.lang, a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM t a JOIN t b ON a.sh = b.sh AND a.lang = b.lang AND a.doc_id < b.doc_id GROUP BY 1, 2, 3),
+p AS (SELECT i.lang, i.a, i.b, round(i.both / (x.n + y.n - i.both), 9) AS jaccard FROM i JOIN k x ON x.doc_id = i.a JOIN k y ON y.doc_id = i.b WHERE i.both >= 0.6 * (x.n + y.n - i.both))
 """
 
 
-def near_pairs(docs: DataFrame, threshold: float = 0.6) -> DataFrame:
-    """Pairs of one language with a shingle Jaccard of at least threshold.
-
-    Prefix filter: with every document's shingles from the rarest up, two documents that similar share one of the first n - ceil(threshold n) + 1 of both, and
-    their sizes differ by no more than the threshold; so common shingles never meet and only candidates are compared on their whole sets."""
-    s = shingles(docs)
-    every = W.partitionBy("lang", "sh")
-    ranked = s.withColumn("c", F.count(F.lit(1)).over(every))
-    own = W.partitionBy("doc_id")
-    placed = ranked.withColumn("n", F.count(F.lit(1)).over(own)).withColumn("r", F.row_number().over(own.orderBy("c", "sh")))
-    prefix = placed.filter((F.col("c") > 1) & (F.col("r") <= F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1)).select("lang", "sh", "doc_id", "n")
-    a, b = prefix.select("lang", "sh", F.col("doc_id").alias("a"), F.col("n").alias("x")), prefix.select("lang", "sh", F.col("doc_id").alias("b"), F.col("n").alias("y"))
-    near = a.join(b, ["lang", "sh"]).filter((F.col("a") < F.col("b")) & (F.least("x", "y") >= threshold * F.greatest("x", "y"))).select("lang", "a", "b", "x", "y").distinct()
-    sets = s.groupBy("doc_id").agg(F.collect_list("sh").alias("set"))  # no larger than the document
-    met = near.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("p")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("q")), "b")
-    sized = met.withColumn("both", F.size(F.array_intersect("p", "q")))
-    union = F.col("x") + F.col("y") - F.col("both")
-    return sized.filter(F.col("both") >= threshold * union).select("lang", "a", "b", F.round(F.col("both") / union, 9).alias("jaccard"))
-
-
 @query("WITH " + _PAIRS + "SELECT * FROM p")
 def near_dup_pairs(spark, d):
-    return near_pairs(t(spark, d, "documents"))
+    """Links between the representatives of classes of equal shingle sets; near_dup_classes has the members."""
+    return ND.near_classes(t(spark, d, "documents"))[1]
+
+
+@query("WITH " + _PAIRS + """, z AS (SELECT rep, count(*) AS class_size FROM k GROUP BY 1), l AS (SELECT a AS rep, b AS o FROM p UNION ALL SELECT b, a FROM p), g AS (SELECT l.rep, sum(class_size) AS far FROM l JOIN z ON z.rep = l.o GROUP BY 1)
+SELECT doc_id, coalesce(k.rep, doc_id) AS class_id, coalesce(class_size, 1)::BIGINT AS class_size, (coalesce(class_size, 1) - 1 + coalesce(far, 0))::BIGINT AS n_links FROM documents LEFT JOIN k USING (doc_id) LEFT JOIN z ON z.rep = k.rep LEFT JOIN g ON g.rep = k.rep""")
+def near_dup_classes(spark, d):
+    """One row per document: its class of equal sets and how many documents it is linked with, copies included."""
+    return ND.counted(*ND.near_classes(t(spark, d, "documents")))
 
 
 @query("SELECT c_custkey, o_orderkey, o_orderdate FROM (SELECT o_custkey AS c_custkey, o_orderkey, o_orderdate, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1")

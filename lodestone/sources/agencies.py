@@ -223,11 +223,15 @@ def enriched(catalog: DataFrame, curated: DataFrame) -> DataFrame:
 
 
 def trials(studies: DataFrame, codes: DataFrame) -> DataFrame:
-    """(program_id, nct_id): studies (nct_id, brief_title, official_title, other_ids array, org_id) that mention a code (program_id, code) in normal form. The
-    codes, a configured list, are looked up in each study's text."""
+    """(program_id, nct_id): studies (nct_id, brief_title, official_title, other_ids array, org_id) that mention a code (program_id, code) in normal form.
+
+    Codes are looked up by seeds (operators.containment), so their number is not bounded and no study meets codes that share nothing with it."""
+    from lodestone.operators.containment import contained
+
     text = X.norm_name(F.concat_ws(" ", "brief_title", "official_title", F.array_join("other_ids", " "), "org_id"))
-    c = F.broadcast(codes.select("program_id", X.norm_name(F.col("code")).alias("_c")).filter("_c != ''"))
-    return studies.select("nct_id", text.alias("_t")).join(c, F.contains("_t", F.col("_c"))).select("program_id", "nct_id").distinct()
+    c = codes.select(F.col("program_id"), X.norm_name(F.col("code")).alias("quote")).distinct()
+    found = contained(studies.select(F.col("nct_id").alias("text_id"), text.alias("body")), c.select("quote", F.col("quote").alias("quote_id")))
+    return found.join(c.withColumnRenamed("quote", "quote_id"), "quote_id").select("program_id", F.col("text_id").alias("nct_id")).distinct()
 
 
 #: Who speaks by default in a document type and how it is cut.
