@@ -9,8 +9,9 @@ so a line of one word has no other line within its bound and two words meet thre
 2. Each of these emits all its one-word deletions as hashed keys, from running xors over its words (word hashes
    with their place), so a line of n words costs n rows and no n x n work. Equal (variant, place) means one
    word replaced; a variant equal to a whole line means one word added.
-3. Equal variants join by the earliest line of each key: within one (variant, place) all lines are one edit apart, so the earliest
-   serves them all and no pairs are listed. The edit distance to that line is verified on the words.
+3. Equal variants join by the earliest line of each key: within one (variant, place) all lines are one edit apart and of one length, so the
+   earliest serves them all and no pairs are listed. Only variants of lines that are long enough for the bound take part, so no line outside it
+   can stand in front of one within it. The edit distance to the earliest line is verified on the words.
 
 A line is dropped on what stands in the input, not on what is left: the earliest (doc_id, then text hash, then line number) of equal or
 linked lines stays. Texts keep the order and spelling of their kept lines. Tables between the steps are deleted once what reads them is written.
@@ -73,9 +74,12 @@ def linked(docs: DataFrame, lines: DataFrame, share: int = SHARE, bound: int = 1
     whole = every.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     v = word.select("k1", "k2", "first", "i", F.xxhash64("w", "i").alias("a"), F.xxhash64("w", F.col("i") - 1).alias("b"))
     v = v.select("k1", "k2", "first", "i", F.bit_xor("a").over(upto).bitwiseXOR(F.col("a")).alias("before"), F.bit_xor("b").over(whole).bitwiseXOR(F.bit_xor("b").over(upto)).alias("after"), F.bit_xor("a").over(whole).alias("full"))
-    variants = cut(v.select("k1", "first", "i", F.col("before").bitwiseXOR(F.col("after")).alias("v"), F.when(F.col("i") == 0, F.col("full")).alias("full")))
+    # A deletion counts only if the line it comes from, the longer one or as long, has the words that the bound asks for.
+    able = F.max("i").over(whole) + 1 >= share
+    v = v.select("k1", "first", "i", F.when(able, F.col("before").bitwiseXOR(F.col("after"))).alias("v"), F.when(F.col("i") == 0, F.col("full")).alias("full"))
+    variants = cut(v.filter("v IS NOT NULL OR full IS NOT NULL"))
     # One word replaced: the earliest line of the same variant and place.
-    place = variants.groupBy("v", "i").agg(F.min("first").alias("early"), F.max("first").alias("late")).filter("early < late").select("v", "i", "early")
+    place = variants.filter("v IS NOT NULL").groupBy("v", "i").agg(F.min("first").alias("early"), F.max("first").alias("late")).filter("early < late").select("v", "i", "early")
     replaced = variants.select("v", "i", "first").join(place, ["v", "i"]).filter("early < first").select("first", "early")
     # One word added or left out: a variant that is a whole line. Both sides are summed per hash first.
     full = variants.filter("full IS NOT NULL").groupBy(F.col("full").alias("v")).agg(F.min("first").alias("f"))

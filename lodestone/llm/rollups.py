@@ -2,10 +2,9 @@
 
 A rollup holds additive totals (documents, tokens) by source, language and tokenizer version. Batches of changes come as
 signed rows: an insert adds, a delete subtracts, a revision subtracts the old count and adds the new. A batch is summed map-side, merged
-with the stored totals and written as the next version of them; creating that version's commit file, which only one writer can,
-publishes it. So totals are read as they are stored, one row per group, however many batches came before; nothing is recounted or summed
-again, and versions that no reader needs any more are deleted. A batch names its commit: committing it again does nothing, a batch that
-failed halfway left no commit file and is merged anew, and a writer that lost the race merges again with the new totals.
+with the stored totals and published as their next version (lodestone.sources.stored): totals are read as they are stored, one row per group, however
+many batches came before, and nothing is recounted or summed again. A batch that is committed again does nothing, one that failed halfway is merged
+anew, and a writer that lost the race merges again with the new totals, whatever number of writers bring the same batch.
 
 Defined cases: null source and language are groups of their own; a null text has 0 tokens; repeated rows count as often as they
 come; groups whose documents and tokens all cancel are left out; an empty table gives no rows.
@@ -13,12 +12,13 @@ come; groups whose documents and tokens all cancel are left out; an empty table
 
 from __future__ import annotations
 
-import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestone.sources.stored import StoredTable
+
 from .common import chunks, cut, shared_dir, table
 from .tokens import default_path, worker_cache
 
@@ -55,83 +55,21 @@ def revisions(rows: DataFrame, version: str, old: str, new: str) -> DataFrame:
     return deletes(rows, version, old).union(inserts(rows, version, new))
 
 
-class Rollup:
-    """Stored totals in a shared folder: totals/<version>-<id> (Parquet), commits/<version> (JSON of batch and table), batches/<batch> (the version it tried)."""
+class Rollup(StoredTable):
+    """Stored totals in a shared folder, one row per group; a batch is merged into them once."""
 
     def __init__(self, spark: SparkSession, path: str, keep: int = 2):
-        self.spark, self.path, self.keep = spark, path.rstrip("/"), keep
-
-    def _fs(self, name: str):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def _read(self, name: str) -> str | None:
-        fs, path = self._fs(name)
-        if not fs.exists(path):
-            return None
-        stream = fs.open(path)
-        try:
-            return bytes(stream.readAllBytes()).decode()
-        finally:
-            stream.close()
-
-    def _write(self, name: str, text: str, overwrite: bool) -> bool:
-        """False if the file exists and overwrite is off."""
-        fs, path = self._fs(name)
-        if not overwrite and fs.exists(path):
-            return False
-        try:
-            out = fs.create(path, overwrite)
-        except Exception as e:
-            if "AlreadyExists" in str(e):
-                return False
-            raise
-        out.write(bytearray(text.encode()))
-        out.close()
-        return True
-
-    def version(self) -> int:
-        """The last committed version; 0 before the first."""
-        fs, path = self._fs("commits")
-        if not fs.exists(path):
-            return 0
-        names = [s.getPath().getName() for s in fs.listStatus(path)]
-        return max((int(n) for n in names if n.isdigit()), default=0)
-
-    def committed(self, batch: str) -> bool:
-        tried = self._read(f"batches/{batch}")
-        commit = tried and self._read(f"commits/{tried}")
-        return bool(commit) and json.loads(commit)["batch"] == batch
+        super().__init__(spark, path, SCHEMA, keep)
 
     def commit(self, batch: str, signed: DataFrame) -> bool:
         """Merges the batch into the stored totals; False if it was committed before."""
-        summed = signed.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        while not self.committed(batch):
-            at = self.version() + 1
-            name = f"totals/{at}-{uuid.uuid4().hex}"
-            merged = self.totals().unionByName(summed).groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-            merged.filter("n_docs != 0 OR n_tokens != 0").write.parquet(f"{self.path}/{name}")
-            self._write(f"batches/{batch}", str(at), True)
-            if self._write(f"commits/{at}", json.dumps({"batch": batch, "table": name}), False):
-                self._expire(at)
-                return True
-            fs, path = self._fs(name)
-            fs.delete(path, True)
-        return False
-
-    def _expire(self, at: int) -> None:
-        """Deletes the totals that are `keep` versions old."""
-        old = self._read(f"commits/{at - self.keep}")
-        if old:
-            fs, path = self._fs(json.loads(old)["table"])
-            fs.delete(path, True)
+        total = lambda df: df.groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+        summed = total(signed)
+        return super().commit(batch, lambda old: total(old.unionByName(summed)).filter("n_docs != 0 OR n_tokens != 0"))
 
     def totals(self) -> DataFrame:
         """The stored totals: one row per group."""
-        commit = self._read(f"commits/{self.version()}")
-        if commit is None:
-            return self.spark.createDataFrame([], SCHEMA)
-        return self.spark.read.schema(SCHEMA).parquet(f"{self.path}/{json.loads(commit)['table']}")
+        return self.read()
 
 
 def op8_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,3 +47,20 @@ def test_every_length_against_brute_force(spark):
         lines = texts[r.doc_id].split("\n")
         assert r.n_dropped == len(want.get(r.doc_id, []))
         assert r.text == "\n".join(x for pos, x in enumerate(lines) if pos not in want.get(r.doc_id, []))
+
+
+def test_an_earlier_line_outside_the_bound_hides_no_link(spark):
+    """alpha gamma stands first but is no partner of a line of two words; alpha beta delta is."""
+    docs = [(1, "alpha gamma", "x"), (2, "alpha beta delta", "x"), (3, "alpha beta", "x")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame(docs, SCHEMA)).collect()}
+    assert got == {1: "alpha gamma", 2: "alpha beta delta", 3: ""}
+
+
+def test_small_vocabulary_against_brute_force(spark):
+    """Short lines over few words, where many candidates of one line differ in length."""
+    rng = random.Random(9)
+    texts = {i: "\n".join(" ".join(rng.choices("abcdefg", k=rng.choice([1, 2, 2, 3, 3, 4]))) for _ in range(3)) for i in range(60)}
+    places = [(i, pos, x.split()) for i, t in texts.items() for pos, x in enumerate(t.split("\n"))]
+    want = {(i, pos) for n, (i, pos, words) in enumerate(places) if any(e == words or (max(len(e), len(words)) >= 3 and edit(e, words) <= 1) for _, _, e in places[:n])}
+    got = {r.doc_id: r.text for r in line_dedup.dedup_lines(spark.createDataFrame([(i, t, "x") for i, t in texts.items()], SCHEMA)).collect()}
+    assert got == {i: "\n".join(x for pos, x in enumerate(t.split("\n")) if (i, pos) not in want) for i, t in texts.items()}

@@ -152,18 +152,36 @@ def test_rollup_is_idempotent(spark, tmp_path):
     again.commit("3", rollups.deletes(rows.filter("n = 5"), "v", "n"))
     again.commit("4", rollups.deletes(rows.filter("n = 1"), "v", "n").limit(0))
     assert {(r.source, r.n_docs, r.n_tokens) for r in again.totals().collect()} == {(None, 1, 1)}
-    assert len(list((tmp_path / "r" / "totals").iterdir())) == 2  # old versions are gone; totals read one table
+    assert len(list((tmp_path / "r" / "data").iterdir())) == 2  # old versions are gone; totals read one table
 
 
 def test_rollup_after_a_lost_race_and_a_crash(spark, tmp_path):
     rows = spark.createDataFrame([("a", "en", 5)], "source string, lang string, n long")
     roll = rollups.Rollup(spark, f"file://{tmp_path}/r")
-    roll._write("batches/x", "1", True)  # a writer that died before its commit
+    roll.folder.create("batches/x/1", "")  # a writer that died before its commit
     roll.commit("y", rollups.inserts(rows, "v", "n"))
     assert not roll.committed("x") and roll.commit("x", rollups.inserts(rows, "v", "n"))
     assert [(r.n_docs, r.n_tokens) for r in roll.totals().collect()] == [(2, 10)]
 
 
+def test_rollup_with_two_writers_of_one_batch(spark, tmp_path):
+    """Writer 2 of batch a picks version 1 and sleeps; b commits 1 and writer 1 commits a as 2; then writer 2 wakes up."""
+    one, two, other = (rollups.Rollup(spark, f"file://{tmp_path}/r") for _ in range(3))
+    batch = lambda n: rollups.inserts(spark.createDataFrame([("a", "en", n)], "source string, lang string, n long"), "v", "n")
+    read, woken = two.read, []
+
+    def slow(version=None):
+        rows = read(version)
+        if not woken:
+            woken.append(1)
+            assert other.commit("b", batch(100)) and one.commit("a", batch(7))
+        return rows
+
+    two.read = slow
+    assert not two.commit("a", batch(7))
+    assert [r.n_tokens for r in one.totals().collect()] == [107]
+
+
 def test_rollup_query_against_a_recount(spark):
     d = "/root/testdata/sf0.001"
     tokenizer = TokenCache(default_path()).tokenizer
