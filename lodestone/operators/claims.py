@@ -10,6 +10,7 @@ from lodestone.functions import text as X
 
 #: Kinds of claims.
 KINDS = ["fact", "interpretation", "applicant_position", "regulator_position"]
+MOST_NAMES = 10_000  # names that are broadcast to the claims
 RULE_LINE = r"^\|[\s|:-]+\|?$"
 
 
@@ -54,9 +55,36 @@ def round_robin(blocks_: DataFrame, budget: int) -> DataFrame:
     return ordered.join(kept, "search").withColumn("admitted", F.array_contains("_kept", F.col("turn"))).drop("_met", "_nth", "_kept")
 
 
+def prompt_cost(blocks_: DataFrame, most_ids: int = 500) -> DataFrame:
+    """blocks_ with `cost`, what a block adds to a prompt: its text, its headings and, per numbered line, the id in the text and in the reply's schema.
+
+    blocks_: search, first_rank, product, text, section (heading path as text), n_lines (numbered lines). Costs are tokens of X.prompt_tokens; the ids count in full, as if
+    the schema listed them all, so a prompt within its budget stays so when the list becomes a pattern (beyond most_ids)."""
+    ids = F.col("n_lines") * 4
+    return blocks_.withColumn("cost", X.prompt_tokens(F.col("text")) + X.prompt_tokens(F.coalesce("section", F.lit(""))) + ids + F.least(ids, F.lit(4 * most_ids)))
+
+
+def prompt_pack(blocks_: DataFrame, questions: DataFrame, budget: int, overhead: int, most_ids: int = 500) -> DataFrame:
+    """Blocks with `admitted` and a `reason` for those left out: products take turns, whole blocks only, within what the question, the instructions and the empty
+    schema (`overhead`) leave of the budget; a block too large is passed over and later ones are still tried. questions: search, question."""
+    base = questions.select("search", (F.lit(overhead) + X.prompt_tokens(F.col("question"))).alias("_base"))
+    priced = prompt_cost(blocks_, most_ids).join(base, "search")
+    # The question's own cost is a first item that always comes in: it is taken off by a budget per search.
+    turn = F.row_number().over(W.partitionBy("search").orderBy("_nth", "_met"))
+    product = F.coalesce("product", F.lit(""))
+    ordered = priced.withColumn("_met", F.min("first_rank").over(W.partitionBy("search", product))).withColumn("_nth", F.row_number().over(W.partitionBy("search", product).orderBy("first_rank"))).withColumn("turn", turn)
+    items = ordered.groupBy("search").agg(F.first("_base").alias("_base"), F.array_sort(F.collect_list(F.struct("turn", "cost"))).alias("_a"))
+    zero = F.struct(F.col("_base").cast("long").alias("used"), F.array().cast("array<int>").alias("kept"))
+    step = lambda a, x: F.when(a["used"] + x["cost"] <= budget, F.struct((a["used"] + x["cost"]).alias("used"), F.array_append(a["kept"], x["turn"]).alias("kept"))).otherwise(a)
+    kept = items.select("search", F.aggregate("_a", zero, step)["kept"].alias("_kept"))
+    out = ordered.join(kept, "search").withColumn("admitted", F.array_contains("_kept", F.col("turn")))
+    return out.withColumn("reason", F.when(~F.col("admitted"), "whole_block_exceeds_input_budget")).drop("_met", "_nth", "_kept", "_base")
+
+
 def mentions(claims: DataFrame, names: DataFrame) -> DataFrame:
     """(claim_id, mentioned, plain): the products whose names the text holds and the text without these names. names: product, pattern."""
-    found = claims.select("claim_id", "text").join(F.broadcast(names), F.expr("regexp_like(text, pattern)"), "left")
+    few = F.broadcast(names) if names.limit(MOST_NAMES + 1).count() <= MOST_NAMES else names
+    found = claims.select("claim_id", "text").join(few, F.expr("regexp_like(text, pattern)"), "left")
     per = found.groupBy("claim_id", "text").agg(F.array_sort(F.collect_set("product")).alias("mentioned"), F.array_sort(F.collect_set("pattern")).alias("_p"))
     return per.select("claim_id", "mentioned", F.aggregate("_p", F.col("text"), lambda t, p: F.regexp_replace(t, p, F.lit(" "))).alias("plain"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodestone.functions import alignment
 from lodestone.functions import text as X
 
 
@@ -84,26 +85,44 @@ def ratios(pages: DataFrame, *by: str) -> DataFrame:
     return pages.groupBy(*by).agg(F.count(F.lit(1)).alias("pages"), r("cell_hit", "cell_n").alias("cell_recall"), r("num_hit", "num_n").alias("num_cell_recall"), r("row_hit", "row_n").alias("row_exact"))
 
 
-def partial_ratio(needle: Column, hay: Column) -> Column:
-    """How much of a text (0 to 100) some stretch of another of the same length matches; 100 where it is contained, settled without Python."""
+def stands_in(needle: Column, hay: Column, share: float = 0.95) -> Column:
+    """Whether some stretch of a text is like another text (functions.alignment.stands_in); contained ones are settled without Python."""
 
-    @F.pandas_udf("double")
+    @F.pandas_udf("boolean")
     def run(a: pd.Series, b: pd.Series) -> pd.Series:
-        from difflib import SequenceMatcher
-
-        def one(x, y):
-            if not x or not y:
-                return 0.0
-            short, long = (x, y) if len(x) <= len(y) else (y, x)
-            best = 0.0
-            for i, j, n in SequenceMatcher(None, short, long, autojunk=False).get_matching_blocks():
-                start = max(0, j - i)
-                best = max(best, SequenceMatcher(None, short, long[start : start + len(short)], autojunk=False).ratio()) if n else best
-            return 100 * best
-
-        return pd.Series([one(x, y) for x, y in zip(a, b)])
-
-    return F.when(F.contains(hay, needle) & (needle != ""), 100.0).otherwise(run(needle, hay))
+        return pd.Series([None if x is None else alignment.stands_in(x, y, share) for x, y in zip(a, b)], dtype=object)
+
+    sure = F.coalesce((needle != "") & F.contains(hay, needle), F.lit(False))
+    none = F.coalesce(needle, F.lit("")) == ""
+    open_ = ~(sure | none | (F.coalesce(hay, F.lit("")) == ""))
+    return F.when(sure, True).when(~open_, False).otherwise(run(F.when(open_, needle), F.when(open_, hay)))  # settled rows send nulls
+
+
+def text_metrics(gold_texts: DataFrame, gold_cells: DataFrame, found_texts: DataFrame, found_cells: DataFrame, furniture: DataFrame) -> DataFrame:
+    """Per page: text_n and text_hit (gold texts that stand in the page's whole text), num_n and num_in_text (numeric gold cells whose value stands in it), garbled (found texts
+    with a garbled run), furniture_leak (furniture found as text).
+
+    Tables have page, pos and text; a page's whole text is its texts, then its cells. Gold texts meet their own page only."""
+    norm = lambda keep: gold_norm(F.col("text"), keep)
+    parts = found_texts.select("page", F.lit(0).alias("k"), "pos", "text").unionByName(found_cells.select("page", F.lit(1).alias("k"), "pos", "text"))
+    whole = parts.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("k", "pos", F.coalesce("text", F.lit("")).alias("t")))), lambda x: x["t"]), " ").alias("text"))
+    hay = whole.select("page", norm(True).alias("_hay"), norm(False).alias("_compact"))
+    t = gold_texts.select("page", norm(True).alias("_t")).join(hay, "page", "left").withColumn("_hit", stands_in(F.col("_t"), F.col("_hay")))
+    text = t.groupBy("page").agg(F.count(F.lit(1)).alias("text_n"), F.count_if("_hit").alias("text_hit"))
+    n = gold_cells.select("page", norm(False).alias("_c")).filter(F.col("_c").rlike(r"\d")).join(hay, "page", "left")
+    nums = n.groupBy("page").agg(F.count(F.lit(1)).alias("num_n"), F.count_if(F.coalesce(F.contains("_compact", "_c"), F.lit(False))).alias("num_in_text"))
+    bad = found_texts.groupBy("page").agg(F.count_if(X.garbled_window(F.col("text"))).alias("garbled"))
+    items = found_texts.select("page", norm(False).alias("_i")).distinct()
+    leak = furniture.select("page", norm(False).alias("_i")).join(items, ["page", "_i"], "left_semi").groupBy("page").agg(F.count(F.lit(1)).alias("furniture_leak"))
+    pages = text.select("page").union(nums.select("page")).union(bad.select("page")).union(leak.select("page")).distinct()
+    out = pages.join(text, "page", "left").join(nums, "page", "left").join(bad, "page", "left").join(leak, "page", "left")
+    return out.fillna(0)
+
+
+def text_ratios(pages: DataFrame, *by: str) -> DataFrame:
+    """By group (a page's route): percent of texts found and of numbers found in the text, and the sums of garbled texts and leaked furniture."""
+    r = lambda a, b: F.when(F.sum(b) > 0, F.round(100 * F.sum(a) / F.sum(b), 1))
+    return pages.groupBy(*by).agg(F.count(F.lit(1)).alias("pages"), r("text_hit", "text_n").alias("text_recall"), r("num_in_text", "num_n").alias("num_in_text"), F.sum("garbled").alias("garbled"), F.sum("furniture_leak").alias("furniture_leak"))
 
 
 def page_texts(blocks: DataFrame) -> DataFrame:

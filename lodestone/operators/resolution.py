@@ -116,7 +116,8 @@ def programs(marked: DataFrame, taken: DataFrame, has_reference: bool = False) -
     """One program per cluster: program_id, role, lead, holder, n.
 
     A cluster is a reference if FDA says so, or EMA alone says so while no FDA or curated reference exists. Its lead is FDA's, then EMA's, then the
-    earliest registration. Names that are taken (taken: name) or repeat get -2, -3 ... in the order of first approval."""
+    earliest registration. In the order of first approval each takes its lead's brand, or the first of brand-2, brand-3 ... that neither `taken` (name) nor an earlier
+    cluster holds."""
     no_date = F.lit("9999")
     r = marked.withColumn("date", F.coalesce("approved", no_date)).withColumn("place", F.when(F.col("agency") == "fda", 0).when(F.col("agency") == "ema", 1).otherwise(2))
     says = F.coalesce("reference", F.lit(False))
@@ -124,12 +125,37 @@ def programs(marked: DataFrame, taken: DataFrame, has_reference: bool = False) -
     c = r.groupBy("cluster").agg(F.bool_or(says & (F.col("agency") == "fda")).alias("_fda"), F.bool_or(says).alias("_any"), F.min("date").alias("_first"), F.min_by("id", order).alias("lead"), F.min_by(X.base_brand(F.col("brand")), order).alias("_brand"), F.min_by("holder", F.when(F.col("holder") != "", order)).alias("holder"), F.count(F.lit(1)).alias("n"))
     some = F.max("_fda").over(W.partitionBy()) | F.lit(has_reference)  # one row per cluster
     role = F.when(F.col("_fda") | (F.col("_any") & ~some), "reference").otherwise("biosimilar")
-    base = titled(F.col("_brand"))
-    again = F.row_number().over(W.partitionBy(F.lower(base)).orderBy("_first", "lead"))
-    used = taken.select(F.lower("name").alias("_t")).distinct().withColumn("_used", F.lit(1))
-    named = c.withColumn("base", base).withColumn("role", role).withColumn("_k", again).withColumn("_t", F.lower("base")).join(used, "_t", "left")
-    n = F.col("_k") + F.coalesce("_used", F.lit(0))
-    return named.select("cluster", F.when(n == 1, F.col("base")).otherwise(F.concat("base", F.lit("-"), n.cast("string"))).alias("program_id"), "role", "lead", "holder", F.col("n").cast("long").alias("n"))
+    named = unique_names(c.select("cluster", titled(F.col("_brand")).alias("base"), F.struct("_first", "lead").alias("order")), taken)
+    return c.withColumn("role", role).join(named, "cluster").select("cluster", "program_id", "role", "lead", "holder", F.col("n").cast("long").alias("n"))
+
+
+def unique_names(wanted: DataFrame, taken: DataFrame) -> DataFrame:
+    """(cluster, program_id): in `order` each cluster takes its base, or the first base-2, base-3 ... that is free. wanted: cluster, base, order (a struct); taken: name.
+
+    Names can only collide if they are equal without their ending numbers; clusters of one such root are few and are named in turn, roots independently."""
+    root = lambda c: F.regexp_replace(F.lower(F.col(c)), r"(-[0-9]+)+$", "")
+    held = taken.filter("name IS NOT NULL").groupBy(root("name").alias("_root")).agg(F.collect_set(F.lower("name")).alias("_taken"))
+    turns = wanted.groupBy(root("base").alias("_root")).agg(F.array_sort(F.collect_list(F.struct("order", "cluster", "base"))).alias("_w")).join(held, "_root", "left")
+    kind = dict(wanted.dtypes)["cluster"]
+    zero = F.struct(F.coalesce("_taken", F.array().cast("array<string>")).alias("held"), F.array().cast(f"array<struct<cluster:{kind},program_id:string>>").alias("out"))
+
+    def step(a: Column, w: Column) -> Column:
+        numbers = F.sequence(F.lit(2), F.size(a["held"]) + 2)  # one of so many is free
+        offers = F.concat(F.array(w["base"]), F.transform(numbers, lambda n: F.concat(w["base"], F.lit("-"), n.cast("string"))))
+        name = F.get(F.filter(offers, lambda o: ~F.array_contains(a["held"], F.lower(o))), F.lit(0))
+        return F.struct(F.array_append(a["held"], F.lower(name)).alias("held"), F.array_append(a["out"], F.struct(w["cluster"].alias("cluster"), name.alias("program_id"))).alias("out"))
+
+    return turns.select(F.explode(F.aggregate("_w", zero, step)["out"]).alias("o")).select("o.*")
+
+
+def agency_names(marked: DataFrame) -> DataFrame:
+    """(cluster, agency, names): what each agency calls a cluster's product, each name once, in the order of its registrations: the brand, FDA's proper name, other names.
+
+    marked: cluster, id, agency, brand, proper_name, other_names (array)."""
+    own = F.array_compact(F.concat(F.array(titled(X.base_brand(F.col("brand"))), F.when(F.col("agency") == "fda", F.col("proper_name"))), F.coalesce("other_names", F.array().cast("array<string>"))))
+    each = marked.select("cluster", "agency", "id", F.filter(own, lambda n: n != "").alias("_n"))
+    lists = F.transform(F.array_sort(F.collect_list(F.struct("id", "_n"))), lambda x: x["_n"])
+    return each.groupBy("cluster", "agency").agg(F.array_distinct(F.flatten(lists)).alias("names"))
 
 
 def auto_actions(clusters_: DataFrame, wanted: DataFrame, held_out: DataFrame) -> DataFrame:

@@ -109,20 +109,14 @@ def ocr_mode(route: Column) -> Column:
     return F.when(route.isin("MIXED", "IMAGE", "ARTWORK"), "auto").when(route == "BROKEN_TEXT", "full")
 
 
-def area(l: Column, b: Column, r: Column, t: Column) -> Column:
-    return F.greatest(r - l, F.lit(0.0)) * F.greatest(t - b, F.lit(0.0))
-
-
-def bare_coverage(images: DataFrame, texts: DataFrame, keys: list[str], page_area: float) -> DataFrame:
-    """Per page the share of images of which less than 8 % lies under text whose centre is within them (2 points around). Boxes: keys, l, b, r, t; images also id.
-
-    Images and texts of one page meet; a page holds few of either."""
-    x, y = (F.col("t2.l") + F.col("t2.r")) / 2, (F.col("t2.b") + F.col("t2.t")) / 2
-    inside = x.between(F.col("i.l") - 2, F.col("i.r") + 2) & y.between(F.col("i.b") - 2, F.col("i.t") + 2)
-    on = [F.col(f"i.{k}") == F.col(f"t2.{k}") for k in keys]
-    met = images.alias("i").join(texts.alias("t2"), [*on, inside], "left")
-    per = met.groupBy(*[F.col(f"i.{k}").alias(k) for k in keys], F.col("i.id").alias("id")).agg(F.first(area(*[F.col(f"i.{c}") for c in "lbrt"])).alias("area"), F.sum(F.coalesce(area(*[F.col(f"t2.{c}") for c in "lbrt"]), F.lit(0.0))).alias("under"))
-    return per.groupBy(*keys).agg((F.sum(F.when(F.col("under") < 0.08 * F.col("area"), F.col("area")).otherwise(0.0)) / page_area).alias("bare"))
+def page_runs(pages: DataFrame) -> DataFrame:
+    """(doc, run, mode, first, last, n): stretches of neighbouring pages that are read in one mode; a missing page ends a run. pages: doc, page, route; pages without a mode are not read by a model."""
+    from lodestone.operators.relational import islands
+
+    p = pages.withColumn("mode", F.coalesce(ocr_mode(F.col("route")), F.lit("none")))
+    w = W.partitionBy("doc").orderBy("page")
+    fresh = F.coalesce((F.lag("mode").over(w) != F.col("mode")) | (F.lag("page").over(w) != F.col("page") - 1), F.lit(True))
+    return islands(p.withColumn("_f", fresh), ["doc"], ["page"], F.col("_f"), "run").groupBy("doc", "run", "mode").agg(F.min("page").alias("first"), F.max("page").alias("last"), F.count(F.lit(1)).alias("n"))
 
 
 def skipped_section(path: Column) -> Column:

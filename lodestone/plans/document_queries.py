@@ -12,6 +12,7 @@ from lodestone.operators import narrative as N
 from lodestone.operators import near_duplicates as ND
 from lodestone.operators import selection as L
 from lodestone.operators import shared as SH
+from lodestone.operators import spatial as SP
 from lodestone.operators import structure as S
 from lodestone.operators import tables as T
 from lodestone.plans.retrieval_queries import t
@@ -98,8 +99,8 @@ SELECT l_orderkey, sum(CASE WHEN under < 32 THEN 400.0 ELSE 0 END)::DOUBLE / 100
 def bare_images(spark, d):
     one = t(spark, d, "lineitem").groupBy("l_orderkey", F.col("l_linenumber").alias("id")).agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
     i = one.select("l_orderkey", "id", col("CAST(p % 50 AS DOUBLE)", "l"), col("CAST(s % 50 AS DOUBLE)", "b"), col("CAST(p % 50 + 20 AS DOUBLE)", "r"), col("CAST(s % 50 + 20 AS DOUBLE)", "t"))
-    texts = i.filter("id % 2 = 0").select("l_orderkey", (F.col("l") + 5).alias("l"), (F.col("b") + 5).alias("b"), (F.col("r") - 10).alias("r"), (F.col("t") - 11).alias("t"))
-    return S.bare_coverage(i, texts, ["l_orderkey"], 10000.0)
+    texts = i.filter("id % 2 = 0").select("l_orderkey", "id", (F.col("l") + 5).alias("l"), (F.col("b") + 5).alias("b"), (F.col("r") - 10).alias("r"), (F.col("t") - 11).alias("t"))
+    return SP.bare_images(i, texts, ["l_orderkey"], 10000.0)
 
 
 @query(f"""WITH l AS ({_LINES}), b AS (SELECT doc_id AS doc, line, pos, pos % 9 = 4 AS tbl, pos % 7 = 2 AS furn FROM l)

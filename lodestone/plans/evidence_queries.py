@@ -9,7 +9,8 @@ from lodestone.functions import text as X
 from lodestone.operators import relational as R
 from lodestone.operators import sections, trigrams
 from lodestone.operators import search as Q
-from lodestone.plans.retrieval_queries import _V, asked, bounded, t, vectors
+from lodestone.operators import spatial as SP
+from lodestone.plans.retrieval_queries import _V, asked, t, vectors
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -127,11 +128,12 @@ def heading_lead_in(spark, d):
 SELECT n_nationkey, count(x) AS n_lines, coalesce(sum(y), 0)::BIGINT AS sum_y FROM b LEFT JOIN p ON b.page = p.page AND x BETWEEN l - 2 AND r + 2 AND y BETWEEN b.b - 2 AND t + 2 GROUP BY 1""")
 def lines_in_boxes(spark, d):
     """Line centres inside boxes of their page, with a tolerance of 2."""
-    k = F.col("n_nationkey")
-    boxes = t(spark, d, "nation").select(k, (k % 5).alias("page"), (k * 2).alias("l"), (k * 3).alias("b"), (k * 2 + 10).alias("r"), (k * 3 + 25).alias("t"))
-    points = t(spark, d, "lineitem").select((F.col("l_linenumber") % 5).alias("page"), F.col("l_quantity").alias("x"), (F.col("l_partkey") % 100).alias("y"))
-    inside = points.join(bounded(boxes), "page").filter("x BETWEEN l - 2 AND r + 2 AND y BETWEEN b - 2 AND t + 2").groupBy("n_nationkey").agg(F.count("x").alias("n_lines"), F.sum("y").alias("sum_y"))
-    return boxes.select(k).join(inside, "n_nationkey", "left").fillna(0)
+    k, n = F.col("n_nationkey"), lambda e: e.cast("double")
+    boxes = t(spark, d, "nation").select(k.alias("id"), (k % 5).alias("page"), n(k * 2).alias("l"), n(k * 3).alias("b"), n(k * 2 + 10).alias("r"), n(k * 3 + 25).alias("t"))
+    x, y = n(F.col("l_quantity")), n(F.col("l_partkey") % 100)
+    points = t(spark, d, "lineitem").select((F.col("l_linenumber") % 5).alias("page"), F.col("l_orderkey").alias("id"), x.alias("l"), y.alias("b"), x.alias("r"), y.alias("t"))
+    inside = SP.within(points, boxes, ["page"]).groupBy(F.col("box").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("n_lines"), F.sum("b").cast("long").alias("sum_y"))
+    return boxes.select(F.col("id").alias("n_nationkey")).join(inside, "n_nationkey", "left").fillna(0)
 
 
 @query("""WITH i AS (SELECT l_orderkey, l_partkey % 200 AS x0, l_partkey % 200 + l_quantity::BIGINT AS x1 FROM lineitem), f AS (SELECT *, coalesce(x0 > max(x1) OVER (PARTITION BY l_orderkey ORDER BY x0, x1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS fresh FROM i),

@@ -218,10 +218,10 @@ def round_robin_pack(spark, d):
 _LINES = "SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS pos FROM documents"
 
 
-@query(f"""WITH l AS ({_LINES}), o AS (SELECT doc_id % 40 AS search, doc_id, pos, line, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM l)
+@query(f"""WITH l AS ({_LINES}), o AS (SELECT doc_id // 8 AS search, doc_id, pos, line, coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM l)
 SELECT search, doc_id, start, start + length(line) AS "end", 'S' || row_number() OVER (PARTITION BY search ORDER BY doc_id, pos) AS sid FROM o WHERE trim(line) <> ''""")
 def segment_numbering(spark, d):
-    docs = t(spark, d, "documents").select((F.col("doc_id") % 40).alias("search"), F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("block_id"), "text")
+    docs = t(spark, d, "documents").select(F.expr("doc_id DIV 8").alias("search"), F.col("doc_id").alias("pos"), F.col("doc_id").cast("string").alias("block_id"), "text")
     return C.segments(docs).select("search", F.col("pos").alias("doc_id"), "start", "end", "sid")
 
 

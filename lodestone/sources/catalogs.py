@@ -16,14 +16,14 @@ def json_rows(spark: SparkSession, path: str) -> DataFrame:
 
 
 def last_csv_block(spark: SparkSession, path: str, marks: tuple[str, ...], schema: str) -> DataFrame:
-    """Rows of the last block of a CSV whose header line (one that holds all marks, in any case) may occur again. Catalog files are small: one file is one ordered partition."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", "\r?\n")).alias("i", "line")).filter(F.trim("line") != "")
+    """Rows of the last block of a CSV whose header line (one that holds all marks, in any case) may occur again. Each file of a path has its own last block; a file is ordered by itself."""
+    lines = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("_file"), F.posexplode(F.split("value", "\r?\n")).alias("i", "line")).filter(F.trim("line") != "")
     head = F.lit(True)
     for m in marks:
         head = head & F.contains(F.lower("line"), F.lit(m.lower()))
-    order = W.orderBy("i").rowsBetween(W.unboundedPreceding, 0)
+    order = W.partitionBy("_file").orderBy("i").rowsBetween(W.unboundedPreceding, 0)
     numbered = lines.withColumn("_head", head).withColumn("_block", F.sum(F.when(head, 1).otherwise(0)).over(order))
-    last = numbered.withColumn("_last", F.max("_block").over(W.partitionBy())).filter("_block = _last AND _block > 0 AND NOT _head")
+    last = numbered.withColumn("_last", F.max("_block").over(W.partitionBy("_file"))).filter("_block = _last AND _block > 0 AND NOT _head")
     return last.select(F.from_csv("line", schema).alias("r")).select("r.*")
 
 

@@ -51,9 +51,12 @@ def rekeyed(versions: DataFrame, tolerance: int = 64) -> DataFrame:
 
 
 def rewritten(table: DataFrame, moves: DataFrame) -> DataFrame:
-    """A table keyed by sha256 after rekeying: rows of a moved version carry its new hash."""
-    m = moves.filter("action = 'rekeyed'").select(F.col("old_sha").alias("sha256"), F.col("new_sha").alias("_new")).distinct()
-    return table.join(m, "sha256", "left").withColumn("sha256", F.coalesce("_new", "sha256")).drop("_new")
+    """A table keyed by sha256 after rekeying: rows of a moved version carry its new hash. A table with doc_id is met by document and hash; without, bytes that two
+    documents shared go where the first of them went."""
+    keys = ["doc_id", "sha256"] if "doc_id" in table.columns else ["sha256"]
+    m = moves.filter("action = 'rekeyed'").select("doc_id", F.col("old_sha").alias("sha256"), F.col("new_sha").alias("_new"))
+    m = m.groupBy(*keys).agg(F.min_by("_new", F.struct("doc_id", "_new")).alias("_new"))
+    return table.join(m, keys, "left").withColumn("sha256", F.coalesce("_new", "sha256")).drop("_new").select(*table.columns)
 
 
 def failed_fetches(docs: DataFrame, failures: DataFrame, versions: DataFrame) -> DataFrame:
@@ -70,20 +73,47 @@ def write_manifest(records: DataFrame, path: str) -> None:
 
 
 def write_export(chunks: DataFrame, parents: DataFrame, documents: DataFrame, path: str) -> None:
-    """Index export: documents, chunks with their vectors, and only the parents that chunks refer to."""
+    """Index export: documents, chunks with their vectors, only the parents that chunks refer to, and a manifest with the rows of each."""
     chunks.write.mode("overwrite").parquet(f"{path}/chunks")
     documents.write.mode("overwrite").parquet(f"{path}/documents")
     parents.join(chunks.select("index_document_id", "parent_key").distinct(), ["index_document_id", "parent_key"], "left_semi").write.mode("overwrite").parquet(f"{path}/parents")
+    spark = chunks.sparkSession
+    counts = [(n, spark.read.parquet(f"{path}/{n}").count()) for n in ("chunks", "documents", "parents")]
+    spark.createDataFrame(counts, "name string, rows long").coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
 
 
-def copy_tables(spark, tables: dict[str, str], target: str, paths: dict[str, str], root: str) -> dict[str, int]:
-    """Copies tables (name: location) into an empty place, ids as they are; of columns named in `paths` absolute paths become keys. Returns rows per table."""
+def read_export(spark, path: str) -> dict[str, DataFrame]:
+    """The tables of an export; refused if one has other rows than its manifest says."""
+    out = {}
+    for r in spark.read.schema("name string, rows long").json(f"{path}/manifest").collect():
+        out[r["name"]] = spark.read.parquet(f"{path}/{r['name']}")
+        if (n := out[r["name"]].count()) != r["rows"]:
+            raise ValueError(f"{r['name']} has {n} rows, its manifest {r['rows']}")
+    return out
+
+
+def copy_tables(spark, tables: dict[str, str], target: str, paths: dict[str, str], root: str, references: dict[str, list[tuple[str, str]]] | None = None) -> dict[str, int]:
+    """Copies tables (name: location) into an empty place, ids as they are; of columns named in `paths` absolute paths become keys. Returns rows per table.
+
+    references names, per table, columns and the tables whose `id` they hold: a table is copied after those it refers to, and refused if an id it names is not there. A table may
+    refer to itself: it is written first, then looked up in its own copy."""
+    refs = references or {}
     fs_path = spark._jvm.org.apache.hadoop.fs.Path(target)
     fs = fs_path.getFileSystem(spark._jsc.hadoopConfiguration())
     if fs.exists(fs_path) and len(fs.listStatus(fs_path)):
         raise ValueError("the target is not empty")
-    for name, source in tables.items():
-        df = spark.read.parquet(source)
-        df = df.withColumn(paths[name], store_key(F.col(paths[name]), root)) if name in paths else df
-        df.write.parquet(f"{target}/{name}")
-    return {name: spark.read.parquet(f"{target}/{name}").count() for name in tables}
+    done: list[str] = []
+    while len(done) < len(tables):
+        ready = [n for n in tables if n not in done and all(of in done or of == n or of not in tables for _, of in refs.get(n, []))]
+        if not ready:
+            raise ValueError("tables refer to each other in a circle")
+        for name in ready:
+            df = spark.read.parquet(tables[name])
+            df = df.withColumn(paths[name], store_key(F.col(paths[name]), root)) if name in paths else df
+            df.write.parquet(f"{target}/{name}")
+            done.append(name)
+            for column, of in refs.get(name, []):
+                ids = spark.read.parquet(f"{target}/{of}").select(F.col("id").alias(column))
+                if not spark.read.parquet(f"{target}/{name}").filter(F.col(column).isNotNull()).join(ids, column, "left_anti").isEmpty():
+                    raise ValueError(f"{name}.{column} names rows that {of} lacks")
+    return {name: spark.read.parquet(f"{target}/{name}").count() for name in done}

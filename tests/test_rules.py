@@ -4,7 +4,6 @@ import random
 
 import numpy as np
 
-from lodestone.functions import repair
 from lodestone.operators import search as Q
 from lodestone.operators import selection
 
@@ -29,11 +28,6 @@ def test_retrieve_against_numpy(spark):
         assert [r.parent_text for r in rows] == [f"parent {i % 10}" if i % 10 < 5 else f"own {i}" for i in want]
 
 
-def test_lost_characters_come_from_the_other_reading():
-    assert repair.filled("body weight of �� kg in all", "body weight of 70 kg in all") == "body weight of 70 kg in all"
-    assert repair.filled("same text here", "same text here") is None and repair.filled(None, "x") is None
-
-
 def test_election_against_a_loop(spark, tmp_path):
     spark.sparkContext.setCheckpointDir(f"file://{tmp_path}")
     rng = random.Random(2)

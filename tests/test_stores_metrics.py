@@ -44,17 +44,10 @@ def test_extraction_metrics(spark):
     assert (r.pages, r.cell_recall, r.num_cell_recall, r.row_exact) == (2, 66.7, 50.0, 50.0)
 
 
-def test_vote():
-    ask = lambda a, b, broken=(): repair.vote(a, b, lambda s: s in broken, lambda s: 0, lambda s: 0.0)
-    assert ask("same  text", "same text") == ("same  text", "kept")
-    assert ask("value of 10 mg a day", "value of 70 mg a day") == ("value of 10 mg a day", "needs_review")
-    assert ask("v�lue of the dose", "value of the dose", {"v�lue of the dose"}) == ("value of the dose", "reread")
-    assert ask("b�d", None, {"b�d"}) == ("b�d", "needs_review")
-
 
 def test_unshifted_texts_stay(spark):
     df = spark.createDataFrame([("plain words of the text",), (None,), ("",)], "text string")
-    logs = np.zeros((27, 27, 27))
+    logs = np.zeros(27**3)
     assert rows(df.select("text", repair.decode_shifted(F.col("text"), logs).alias("got"))) == sorted([("plain words of the text",) * 2, (None, None), ("", "")], key=str)
 
 
@@ -99,3 +92,53 @@ def test_pages_of_an_agency(spark):
     stated = spark.createDataFrame([("<p>Date of decision: 2019-05-06</p><p>Date RDS issued: 2019-08-09</p>", "rds"), ("<p>Date of decision: 2019-05-06</p>", "label")], "html string, doc_type string")
     a, b = agencies.page_dates(F.col("html"), F.col("doc_type"))
     assert rows(stated.select(a, b)) == [("2019-05-06", "2019-08-09"), (None, None)]
+
+
+def test_rewriting_by_document(spark):
+    """Two documents with one old hash and two new ones: each row follows its own document."""
+    moves = spark.createDataFrame([(1, "old", "new1", "rekeyed"), (2, "old", "new2", "rekeyed"), (3, "x", "y", "unresolved")], "doc_id long, old_sha string, new_sha string, action string")
+    table = spark.createDataFrame([(1, "old", "a"), (2, "old", "b"), (4, "old", "c"), (3, "x", "d")], "doc_id long, sha256 string, v string")
+    assert sorted(tuple(r) for r in stores.rewritten(table, moves).collect()) == [(1, "new1", "a"), (2, "new2", "b"), (3, "x", "d"), (4, "old", "c")]
+    assert sorted(tuple(r) for r in stores.rewritten(table.drop("doc_id"), moves).collect()) == [("new1", "a"), ("new1", "b"), ("new1", "c"), ("x", "d")]
+
+
+def test_copy_in_order_of_reference(spark, tmp_path):
+    docs = spark.createDataFrame([(1, None, "/srv/raw/a"), (2, 1, "/srv/raw/b")], "id long, parent_id long, path string")
+    docs.write.parquet(f"{tmp_path}/s/docs")
+    spark.createDataFrame([(7, 2), (8, None)], "id long, doc_id long").write.parquet(f"{tmp_path}/s/versions")
+    places = {"versions": f"{tmp_path}/s/versions", "docs": f"{tmp_path}/s/docs"}
+    refs = {"versions": [("doc_id", "docs")], "docs": [("parent_id", "docs")]}
+    assert list(stores.copy_tables(spark, places, f"{tmp_path}/t", {"docs": "path"}, "/srv", refs).items()) == [("docs", 2), ("versions", 2)]
+    with pytest.raises(ValueError, match="not empty"):
+        stores.copy_tables(spark, places, f"{tmp_path}/t", {}, "/srv", refs)
+    spark.createDataFrame([(9, 55)], "id long, doc_id long").write.mode("append").parquet(f"{tmp_path}/s/versions")
+    with pytest.raises(ValueError, match="lacks"):
+        stores.copy_tables(spark, places, f"{tmp_path}/t2", {}, "/srv", refs)
+    with pytest.raises(ValueError, match="circle"):
+        stores.copy_tables(spark, places, f"{tmp_path}/t3", {}, "/srv", {"docs": [("id", "versions")], "versions": [("doc_id", "docs")]})
+
+
+def test_export_is_held_to_its_manifest(spark, tmp_path):
+    chunks = spark.createDataFrame([(1, 1, "k1")], "chunk_id long, index_document_id int, parent_key string")
+    parents = spark.createDataFrame([(1, "k1", "x"), (1, "k2", "y")], "index_document_id int, parent_key string, text string")
+    stores.write_export(chunks, parents, spark.createDataFrame([(1,)], "index_document_id int"), f"{tmp_path}/e")
+    assert stores.read_export(spark, f"{tmp_path}/e")["parents"].count() == 1
+    chunks.write.mode("append").parquet(f"{tmp_path}/e/chunks")
+    with pytest.raises(ValueError, match="chunks"):
+        stores.read_export(spark, f"{tmp_path}/e")
+
+
+def test_every_csv_file_has_its_own_last_block(spark, tmp_path):
+    from lodestone.sources import catalogs
+
+    (tmp_path / "a.csv").write_text("BLA,Proper Name\n1,x\nBLA,Proper Name\n2,y\n")
+    (tmp_path / "b.csv").write_text("junk\nBLA,Proper Name\n3,z\n4,w\n")
+    assert sorted(r.n for r in catalogs.last_csv_block(spark, str(tmp_path), ("bla", "proper name"), "bla INT, n STRING").collect()) == ["w", "y", "z"]
+
+
+def test_reply_contract():
+    from lodestone.operators.claims import KINDS, contract
+
+    c = contract(["S1", "S2"], ["P"])["properties"]["claims"]["items"]["properties"]
+    assert c["citation_span_ids"]["items"] == {"type": "string", "enum": ["S1", "S2"]} and c["products"]["items"] == {"enum": ["P"]} and c["kind"]["enum"] == KINDS
+    assert contract([f"S{i}" for i in range(501)], [])["properties"]["claims"]["items"]["properties"]["citation_span_ids"]["items"]["pattern"] == "^S[0-9]+$"
