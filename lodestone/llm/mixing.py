@@ -2,8 +2,9 @@
 
 Native DataFrame expressions only. Targets are the closed form of capped proportional sharing. The seats of the
 highest quotients weight / (2 s + 1) are found without a seat-by-seat loop: a divisor puts every count within
-n/2S of its quota, so only the few quotients around it are ranked. Each source's seats are shared over its shards
-(seeded hash buckets of about `shard_docs` documents) by the same rule, so no window ever holds a whole source.
+n/2S of its quota, so only the few quotients around it are ranked. Each source's seats are shared by the same rule over its
+bundles of up to `bundle` shards, and each bundle's over its shards (seeded hash buckets of about `shard_docs` documents), so no window
+holds all documents or all shards of a source; a source of one bundle gets what a single sharing gives.
 Within a shard, documents lie in seeded order on a line of blocks; every block is taken quota // blocks times and a
 seeded run of the rest once more, so at most two documents of a shard are cut.
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, cut, sized_join, table
 
-WEIGHTS, SHARE, CAP, BLOCK, SHARD_DOCS, SEED = (3, 1, 2), 1.5, 2, 32, 256, 7
+WEIGHTS, SHARE, CAP, BLOCK, SHARD_DOCS, BUNDLE, SEED = (3, 1, 2), 1.5, 2, 32, 256, 4096, 7
 
 
 def word_count(text) -> F.Column:
@@ -63,7 +64,7 @@ def sainte_lague(df: DataFrame, by: list[str], name: list[str], weight: str, sea
     return joined.select(*[F.col(f"l.{c}") for c in df.columns], F.when(F.col("l._sum") > 0, F.col("l._low") + F.coalesce(F.col("r._more"), F.lit(0))).otherwise(F.lit(0)).cast("long").alias(out))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP, block: int = BLOCK, shard_docs: int = SHARD_DOCS, seed: int = SEED) -> DataFrame:
+def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP, block: int = BLOCK, shard_docs: int = SHARD_DOCS, bundle: int = BUNDLE, seed: int = SEED) -> DataFrame:
     """One row per document row: doc_id, source, _h (text hash), size, source_size, target, taken (words, repeats counted)."""
     base = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("_h"), word_count(F.col("text")).alias("size")))
     by_source = cut(targets(base.groupBy("source").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("size").alias("source_size")), weights, share, cap))
@@ -74,7 +75,10 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: int = CAP,
     placed = placed.withColumn("_shard", F.pmod("_order", F.ceil(F.col("n_docs") / shard_docs)))
     # One line of blocks per (source, shard).
     shards = placed.groupBy("_source", "_shard").agg(F.sum("size").alias("_words"), F.first("quota").alias("quota"))
-    shards = cut(sainte_lague(shards.withColumn("source", F.col("_source.source")).withColumn("_words_d", F.col("_words").cast("double")), ["source"], ["_shard"], "_words_d", "quota", "_quota"))
+    shards = cut(shards.withColumn("source", F.col("_source.source")).withColumn("_bundle", F.floor(F.col("_shard") / bundle)).withColumn("_words_d", F.col("_words").cast("double")))
+    bundles = shards.groupBy("source", "_bundle").agg(F.sum("_words_d").alias("_words_d"), F.first("quota").alias("quota"))
+    bundles = sainte_lague(bundles, ["source"], ["_bundle"], "_words_d", "quota", "_share").select(F.struct("source").alias("_source"), "_bundle", "_share")
+    shards = cut(sainte_lague(sized_join(shards, bundles, ["_source", "_bundle"], "inner"), ["source", "_bundle"], ["_shard"], "_words_d", "_share", "_quota"))
     blocks = F.greatest(F.ceil(F.col("_words") / block), F.lit(1))
     small = shards.select("_source", "_shard", F.least(F.col("_quota"), cap * blocks).alias("_quota"), blocks.alias("_blocks"))
     line = W.partitionBy("_source", "_shard").orderBy("_order", "doc_id", "_h").rowsBetween(W.unboundedPreceding, -1)

@@ -3,8 +3,9 @@
 Each document's ids (and a final id) are cut into full sequences and one rest; the rests of a group are packed
 first-fit decreasing. A group is a seeded hash bucket of about `group_docs` documents, so its size does not grow
 with the corpus (documents without an id are dealt by their text), and a lost task packs the same group again with the same result.
+Keys that more than `group_docs` rows share would fill one group; their rows are stored with a number each and dealt by that too.
 
-Defined cases: null text packs as the final id alone; a repeated row is packed again as a document of its own;
+Defined cases: null text packs as the final id alone; a repeated row is packed again as a document of its own, however often it comes;
 ties go by doc_id, then by input order; an empty table gives no rows; extra columns are ignored.
 """
 
@@ -14,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, parts_for, table
+from .common import chunks, cut, parts_for, sized_join, table
 from .tokens import default_path, worker_cache
 
 SEQUENCE, FINAL_ID, GROUP_DOCS, SEED = 2048, 1, 512, 11
@@ -59,9 +60,21 @@ def plan(lengths: list[int], room: int = SEQUENCE) -> list[tuple[int, int, int,
     return out
 
 
-def tokenised(docs: DataFrame, path: str, groups: int, seed: int = SEED, final_id: int = FINAL_ID) -> DataFrame:
+def dealt(docs: DataFrame, groups: int, group_docs: int, seed: int) -> DataFrame:
+    """(g, doc_id, text): each row with its group; rows of a key that would overfill one group are spread over all."""
+    keyed = docs.select(F.xxhash64(F.lit(seed), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))).alias("_k"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    by_key = F.pmod("_k", F.lit(groups)).alias("g")
+    hot = keyed.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_docs).select("_k")
+    if groups == 1 or hot.isEmpty():
+        return keyed.select(by_key, "doc_id", "text")
+    hot = cut(hot)
+    many = cut(sized_join(keyed, hot, ["_k"], "left_semi").withColumn("_i", F.monotonically_increasing_id()))  # numbered once, in a table
+    few = sized_join(keyed, hot, ["_k"], "left_anti").select(by_key, "doc_id", "text")
+    return few.unionByName(many.select(F.pmod(F.xxhash64(F.lit(seed), "_k", "_i"), F.lit(groups)).alias("g"), "doc_id", "text"))
+
+
+def tokenised(docs: DataFrame, path: str, groups: int, group_docs: int = GROUP_DOCS, seed: int = SEED, final_id: int = FINAL_ID) -> DataFrame:
     """(g, doc_id, ids): ids are little-endian unsigned 16-bit where the vocabulary allows, else 32-bit."""
-    keyed = docs.select(F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(groups)).alias("g"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
     def run(batches):
         import pyarrow as pa
@@ -77,7 +90,7 @@ def tokenised(docs: DataFrame, path: str, groups: int, seed: int = SEED, final_i
             blobs = [raw[a * w : b * w] for a, b in zip(ends - n - 1, ends)]
             yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(ids, pa.int64()), pa.array(blobs, pa.binary()), pa.array([w] * len(g), pa.int32())], ["g", "doc_id", "ids", "width"])
 
-    return keyed.mapInArrow(run, "g long, doc_id long, ids binary, width int")
+    return dealt(docs, groups, group_docs, seed).mapInArrow(run, "g long, doc_id long, ids binary, width int")
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, room: int = SEQUENCE, group_docs: int = GROUP_DOCS, seed: int = SEED, final_id: int = FINAL_ID) -> DataFrame:
@@ -97,7 +110,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, room: int = SEQUENCE, gr
         out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "token_ids", "doc_tokens", "sequence_id", "offset"])
         return out.astype({"doc_id": "Int64"})
 
-    return tokenised(docs, path, groups, seed, final_id).groupBy("g").applyInPandas(run, schema)
+    # A partition holds about 64 groups, whatever the session's number of shuffle partitions and the size of the corpus.
+    return tokenised(docs, path, groups, group_docs, seed, final_id).repartition(parts_for(groups, 64), "g").groupBy("g").applyInPandas(run, schema)
 
 
 def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
