@@ -138,3 +138,21 @@ def parsed(files: DataFrame, make: Callable[[], object]) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "pos", "label", "level", "page", "text"]).astype({"level": "Int32", "page": "Int32"})
 
     return files.select("path", "content").mapInPandas(run, "path string, pos long, label string, level int, page int, text string")
+
+
+def parsed_runs(files: DataFrame, runs: DataFrame, make: Callable[[], object]) -> DataFrame:
+    """Blocks of files page run by page run: (path, run, pos, label, level, page, text), pos counting through the run.
+
+    files: path, content; runs (structure.page_runs with doc as path): path, run, mode, first, last; the parser has pages(content, first, last, mode) -> list of (label, level, page, text).
+    A run is one call, so a file's runs are parsed side by side and each in its own mode; blank pages (mode skip) are not parsed."""
+
+    def run(batches: Iterable):
+        import pandas as pd
+
+        parser = make()
+        for pdf in batches:
+            rows = [(r.path, r.run, i, *b) for r in pdf.itertuples(index=False) for i, b in enumerate(parser.pages(r.content, r.first, r.last, r.mode))]
+            yield pd.DataFrame(rows, columns=["path", "run", "pos", "label", "level", "page", "text"]).astype({"level": "Int32", "page": "Int32"})
+
+    met = runs.filter("mode != 'skip'").select("path", "run", "mode", "first", "last").join(files.select("path", "content"), "path")
+    return met.mapInPandas(run, "path string, run long, pos long, label string, level int, page int, text string")

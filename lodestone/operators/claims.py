@@ -125,6 +125,42 @@ def rendered(kind: Column, text: Column, spans: Column) -> Column:
     return F.concat(mark, text, F.lit(" ["), F.array_join(spans, ", "), F.lit("]"))
 
 
+def source_line(block: Column) -> Column:
+    """Where a block of evidence comes from: [id] agency, product, type, title and pages, then the last two headings; a mark where it needs review.
+
+    block: a struct of block_id, agency, program_id, doc_type, title, pages (array), section_path (array), needs_review."""
+    b = block
+    pages = F.when(F.size(b["pages"]) == 1, F.concat(F.lit("p."), b["pages"][0].cast("string"))).when(F.size(b["pages"]) > 1, F.concat(F.lit("p."), b["pages"][0].cast("string"), F.lit("-"), F.element_at(b["pages"], -1).cast("string")))
+    some = lambda c: F.when(c != "", c)
+    head = F.concat_ws(" · ", F.upper(some(b["agency"])), F.coalesce(some(b["program_id"]), F.lit("guidance")), some(b["doc_type"]), F.concat(F.lit('"'), some(b["title"]), F.lit('"')), pages)
+    path = F.coalesce(b["section_path"], F.array().cast("array<string>"))
+    tail = F.array_join(F.when(F.size(path) > 2, F.slice(path, -2, 2)).otherwise(path), " > ")
+    return F.concat(F.lit("["), b["block_id"], F.lit("] "), head, F.when(tail != "", F.concat(F.lit(" · "), tail)).otherwise(""), F.when(F.coalesce(b["needs_review"], F.lit(False)), " (needs review)").otherwise(""))
+
+
+def report(claims: DataFrame, gaps: DataFrame, blocks_: DataFrame) -> DataFrame:
+    """(answer_id, text): the accepted claims with the blocks they cite, gaps each once, how many claims were rejected, and the sources cited, in the blocks' order.
+
+    claims: answer_id, ord, verdict, kind, text, block_ids (array), needs_review; gaps: answer_id, ord, gap; blocks_: answer_id, ord, and what source_line takes. An answer without accepted claims says so."""
+    none = F.array().cast("array<string>")
+    ok = claims.filter("verdict = 'accepted'")
+    line = F.concat(F.lit("- "), rendered(F.col("kind"), F.col("text"), F.array_distinct("block_ids")), F.when(F.coalesce("needs_review", F.lit(False)), " (source needs review)").otherwise(""))
+    ordered = lambda c: F.transform(F.array_sort(F.collect_list(F.struct("ord", c.alias("_l")))), lambda x: x["_l"])
+    said = ok.groupBy("answer_id").agg(ordered(line).alias("_claims"))
+    open_ = gaps.filter(F.trim("gap") != "").groupBy("answer_id", "gap").agg(F.min("ord").alias("ord")).groupBy("answer_id").agg(ordered(F.concat(F.lit("- "), F.col("gap"))).alias("_gaps"))
+    bad = claims.groupBy("answer_id").agg(F.count_if(F.col("verdict") != "accepted").alias("_bad"))
+    used = ok.select("answer_id", F.explode("block_ids").alias("block_id")).distinct()
+    whole = F.struct("block_id", "agency", "program_id", "doc_type", "title", "pages", "section_path", "needs_review")
+    sources = blocks_.join(used, ["answer_id", "block_id"], "left_semi").groupBy("answer_id").agg(ordered(source_line(whole)).alias("_sources"))
+    j = claims.select("answer_id").union(gaps.select("answer_id")).distinct()
+    for part in (said, open_, bad, sources):
+        j = j.join(part, "answer_id", "left")
+    under = lambda title, c: F.when(F.size(F.coalesce(c, none)) > 0, F.concat(F.array(F.lit(""), F.lit(title)), F.coalesce(c, none))).otherwise(none)
+    rejected = F.when(F.coalesce("_bad", F.lit(0)) > 0, F.array(F.lit(""), F.concat(F.lit("Claims rejected by the check: "), F.col("_bad").cast("string")))).otherwise(none)
+    lines = F.concat(F.coalesce("_claims", F.array(F.lit("The evidence found does not support an answer."))), under("Open points:", F.col("_gaps")), rejected, under("Sources:", F.col("_sources")))
+    return j.select("answer_id", F.array_join(lines, "\n").alias("text"))
+
+
 def contract(span_ids: list[str], products: list[str], most: int = 500) -> dict:
     """JSON schema of a reply: span ids as an enumeration up to `most`, beyond as a pattern; products as an enumeration."""
     ids = {"enum": span_ids} if len(span_ids) <= most else {"pattern": "^S[0-9]+$"}

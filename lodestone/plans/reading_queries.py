@@ -26,7 +26,7 @@ from lodestone.plans.retrieval_queries import t
 from lodestone.plans.rule_queries import _LINES, col
 from lodestone.sources import agencies as A
 from lodestone.sources import documents as D
-from lodestone.sources.stored import StoredTable
+from lodestone.sources.stored import ObjectTable, StoredTable
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -306,3 +306,114 @@ def cached_scores(spark, d):
     cache = StoredTable(spark, folder(spark, "scores"), models.SCORES)
     models.scored_with_cache(o.filter("chunk_id % 2 = 0"), cache, "1").count()
     return models.scored_with_cache(o, cache, "2").select(F.col("chunk_id").alias("o_orderkey"), F.round("score", 9).alias("score"))
+
+
+# Stored entities.
+@query("SELECT coalesce(n.k, o.k) AS k, CASE WHEN n.k IS NOT NULL THEN n.role ELSE o.role END AS role, CASE WHEN n.k IS NOT NULL THEN n.holdout ELSE o.holdout END AS holdout FROM (SELECT c_custkey AS k, c_mktsegment AS role, false AS holdout FROM customer) o FULL JOIN (SELECT c_custkey + 200 AS k, CASE WHEN c_custkey % 3 > 0 THEN c_name END AS role, c_custkey % 2 = 0 AS holdout FROM customer) n ON n.k = o.k")
+def stored_programs(spark, d):
+    """Programs overwrite whatever is stored under their id, empty values too."""
+    c = t(spark, d, "customer")
+    table = StoredTable(spark, folder(spark, "programs"), "k long, role string, holdout boolean")
+    table.upsert("1", c.select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("role"), F.lit(False).alias("holdout")), ["k"], always=("role", "holdout"))
+    table.upsert("2", c.select((F.col("c_custkey") + 200).alias("k"), F.when(F.col("c_custkey") % 3 > 0, F.col("c_name")).alias("role"), (F.col("c_custkey") % 2 == 0).alias("holdout")), ["k"], always=("role", "holdout"))
+    return table.read()
+
+
+@query("""WITH b1 AS (SELECT o_custkey AS k, min(o_orderpriority) AS title, min(o_orderstatus) AS program, list_sort(list(DISTINCT o_orderkey % 7)) AS regs FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), b2 AS (SELECT o_custkey AS k, max(o_orderpriority) AS title, CASE WHEN o_custkey % 3 > 0 THEN max(o_orderstatus) END AS program, list_sort(list(DISTINCT o_orderkey % 11)) AS regs FROM orders WHERE o_orderkey % 3 = 0 GROUP BY 1)
+SELECT coalesce(b1.k, b2.k) AS k, CASE WHEN b2.k IS NOT NULL THEN b2.title ELSE b1.title END AS title, coalesce(b2.program, b1.program) AS program, array_to_string(list_sort(list_distinct(coalesce(b1.regs, []) || coalesce(b2.regs, []))), ',') AS regs FROM b1 FULL JOIN b2 ON b1.k = b2.k""")
+def stored_documents(spark, d):
+    """Documents: the title is overwritten, a program is kept unless another is named, registrations are united and sorted."""
+    o = t(spark, d, "orders")
+    table = StoredTable(spark, folder(spark, "documents"), "k long, title string, program string, regs array<long>")
+    side = lambda df, title, program, m: df.groupBy(F.col("o_custkey").alias("k")).agg(title.alias("title"), program.alias("program"), F.array_sort(F.collect_set(F.col("o_orderkey") % m)).alias("regs"))
+    table.upsert("1", side(o.filter("o_orderkey % 2 = 0"), F.min("o_orderpriority"), F.min("o_orderstatus"), 7), ["k"], always=("title",))
+    second = side(o.filter("o_orderkey % 3 = 0"), F.max("o_orderpriority"), F.max("o_orderstatus"), 11)
+    table.upsert("2", second.withColumn("program", F.when(F.col("k") % 3 > 0, F.col("program"))), ["k"], always=("title",))
+    return table.read().withColumn("regs", F.array_join(F.transform("regs", lambda x: x.cast("string")), ","))
+
+
+@query("SELECT nct, program, max_by(phase, o_orderkey) AS phase FROM (SELECT o_custkey % 100 AS nct, o_orderstatus AS program, o_orderkey, CASE WHEN o_orderkey % 4 > 0 THEN o_orderpriority END AS phase FROM orders) GROUP BY 1, 2".replace("max_by(phase, o_orderkey)", "last(phase ORDER BY o_orderkey)"))
+def stored_trials(spark, d):
+    """Trials by number and program: the last batch's fields count, nulls too."""
+    o = t(spark, d, "orders").select((F.col("o_custkey") % 100).alias("nct"), F.col("o_orderstatus").alias("program"), "o_orderkey", F.when(F.col("o_orderkey") % 4 > 0, F.col("o_orderpriority")).alias("phase"))
+    last = o.groupBy("nct", "program").agg(F.max("o_orderkey").alias("m"))
+    table = StoredTable(spark, folder(spark, "trials"), "nct long, program string, phase string")
+    for batch, rule in (("1", "o_orderkey < m"), ("2", "o_orderkey = m")):
+        rows = o.join(last, ["nct", "program"]).filter(rule)
+        newest = rows.groupBy("nct", "program").agg(F.max_by(F.struct("phase"), "o_orderkey").alias("p")).select("nct", "program", "p.phase")
+        table.upsert(batch, newest, ["nct", "program"], always=("phase",))
+    return table.read()
+
+
+@query("SELECT page_id, 'raw/web/' || substr(h, 1, 2) || '/' || h || CASE WHEN page_id % 2 = 0 THEN '.pdf' ELSE '.txt' END AS key, min(page_id % 3) OVER (PARTITION BY h, page_id % 2) > 0 AS fresh FROM (SELECT page_id, sha256(html) AS h FROM pages) ORDER BY 1")
+def stored_objects(spark, d):
+    """Bytes put into a store by content, a third of them before: keys, and whether the second put wrote them."""
+    p = t(spark, d, "pages").select("page_id", F.lit("web").alias("agency"), F.when(F.col("page_id") % 2 == 0, ".pdf").otherwise(".txt").alias("ext"), F.encode("html", "UTF-8").alias("content"))
+    store = ObjectTable(spark, folder(spark, "objects"))
+    store.put(p.filter("page_id % 3 = 0"))
+    return store.put(p).select("page_id", "key", F.col("new").alias("fresh"))
+
+
+# Catalog folds, plain joins, logs.
+_BLA = "lpad((l_orderkey // 8)::VARCHAR, 6, '0')"
+
+
+@query(f"""WITH r AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity) AS line, ['351(a)', '351(k) Biosimilar', '351(k) Interchangeable', ''][(l_partkey % 4 + 1)::INT] AS kind, l_suppkey % 3 > 0 AS original FROM lineitem)
+SELECT 'BLA' || {_BLA} AS native_key, arg_min('Brand ' || l_partkey, line) AS brand_name, arg_min('Holder ' || l_suppkey, line) AS holder, coalesce(arg_max(kind, line) FILTER (kind LIKE '%Inter%'), arg_min(kind, line) FILTER (kind <> '')) AS licence_type, min(strftime(l_shipdate, '%Y-%m-%d')) FILTER (original) AS first_approval_date,
+ min(strftime(l_shipdate, '%Y-%m-%d')) FILTER (l_partkey % 5 = 0) AS interchangeable_date, count(*) AS n, string_agg(l_partkey::VARCHAR, ',' ORDER BY line) AS products FROM r GROUP BY 1""")
+def licence_numbers(spark, d):
+    """One registration per licence number, folded from its presentations."""
+    l = t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"))
+    rows = D.renumbered(l, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"], "line").select("line", col("concat('BLA ', lpad(CAST(l_orderkey DIV 8 AS STRING), 6, '0'))", "bla_number"), col("concat('Brand ', l_partkey)", "proprietary_name"), F.lit("proper").alias("proper_name"), col("concat('Holder ', l_suppkey)", "applicant"), F.lit("Licensed").alias("licensure"), col("element_at(array('351(a)', '351(k) Biosimilar', '351(k) Interchangeable', ''), CAST(l_partkey % 4 + 1 AS INT))", "license_type"), F.col("day").alias("approval_date"), F.when(F.col("l_partkey") % 5 == 0, F.col("day")).alias("inter_approval_date"), F.when(F.col("l_suppkey") % 3 > 0, "Original").otherwise("Supplement").alias("submission_type"), F.col("l_partkey").cast("string").alias("product_number"), F.lit("1").alias("strength"), F.lit(" solution ").alias("dosage_form"), F.lit("iv").alias("route"))
+    out = A.licences(rows)
+    return out.select("native_key", "brand_name", "holder", "licence_type", "first_approval_date", "interchangeable_date", F.size("presentations").cast("long").alias("n"), F.array_join("presentations.product_number", ",").alias("products"))
+
+
+@query("SELECT o_orderkey, l_partkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F' AND l_returnflag = 'R' AND l_linestatus = 'F'")
+def parsed_documents_join(spark, d):
+    """Documents with a good parse: an inner join with filters on both sides."""
+    o, l = t(spark, d, "orders").filter("o_orderstatus = 'F'"), t(spark, d, "lineitem").filter("l_returnflag = 'R' AND l_linestatus = 'F'")
+    return o.join(l, o.o_orderkey == l.l_orderkey).select("o_orderkey", "l_partkey")
+
+
+@query("SELECT o_orderkey, 'v' || l_partkey || '.pdf' AS path FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE o_orderstatus = 'O' AND l_partkey % 3 = 0")
+def fetched_pdf_versions(spark, d):
+    """Fetched documents with their PDF versions."""
+    versions = t(spark, d, "lineitem").select("l_orderkey", col("concat('v', l_partkey, CASE WHEN l_partkey % 3 = 0 THEN '.pdf' ELSE '.html' END)", "path")).filter("path LIKE '%.pdf'")
+    return t(spark, d, "orders").filter("o_orderstatus = 'O'").join(versions, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "path")
+
+
+@query("SELECT event_id, event_type FROM events ORDER BY event_id LIMIT 40")
+def first_events(spark, d):
+    """The first forty events of a log: the limit is the feature."""
+    return t(spark, d, "events").orderBy("event_id").limit(40).select("event_id", "event_type")
+
+
+@query("""WITH q AS (SELECT item_id AS qid, item_id % 7 AS doc, 'g' || (item_id % 3) AS grp, substr(text, 1, 20) AS quote FROM benchmark), h AS (SELECT item_id AS qid, item_id % 7 AS doc, CASE WHEN item_id % 2 = 0 THEN text ELSE 'other' END AS text, CASE WHEN item_id % 3 > 0 THEN text ELSE 'none' END AS parent, CASE WHEN item_id % 5 > 0 THEN 'P' END AS program, item_id % 4 = 0 AS named, item_id AS tokens FROM benchmark),
+j AS (SELECT q.qid, q.grp, contains(regexp_replace(lower(h.text), '\\s+', '', 'g'), regexp_replace(lower(quote), '\\s+', '', 'g')) AS hit, contains(regexp_replace(lower(h.parent), '\\s+', '', 'g'), regexp_replace(lower(quote), '\\s+', '', 'g')) AS ctx FROM q JOIN h ON h.qid = q.qid AND h.doc = q.doc)
+SELECT count(*) AS n_groups, round(avg(hit::INT), 9) AS recall, round(avg((hit OR ctx)::INT), 9) AS ctx_recall, count(*) FILTER (hit OR ctx) AS "full", (SELECT median(tokens) FROM h)::DOUBLE AS median_tokens, (SELECT round(avg((NOT named)::INT), 9) FROM h WHERE program IS NOT NULL) AS other_share FROM j""")
+def evidence_recall(spark, d):
+    """Recall of evidence quotes in hits and in what is read for them, full answers, context size and other products' share."""
+    b = t(spark, d, "benchmark")
+    doc = (F.col("item_id") % 7).cast("string").alias("doc")
+    groups = b.select(F.col("item_id").alias("qid"), F.concat(F.lit("g"), (F.col("item_id") % 3).cast("string")).alias("grp"), doc, F.substring("text", 1, 20).alias("quote"))
+    hits = b.select(F.col("item_id").alias("qid"), F.col("item_id").alias("chunk_id"), doc, F.when(F.col("item_id") % 2 == 0, F.col("text")).otherwise("other").alias("text"), F.lit("k").alias("parent_key"), F.when(F.col("item_id") % 3 > 0, F.col("text")).otherwise("none").alias("parent_text"), F.when(F.col("item_id") % 5 > 0, "P").alias("program"), (F.col("item_id") % 4 == 0).alias("named"))
+    r = M.retrieval(groups, hits, b.select(F.col("item_id").alias("qid"), F.col("item_id").alias("tokens")))
+    return r.select("n_groups", F.round("recall", 9).alias("recall"), F.round("ctx_recall", 9).alias("ctx_recall"), "full", F.col("median_tokens").cast("double").alias("median_tokens"), F.round("other_share", 9).alias("other_share"))
+
+
+@query("""WITH c AS (SELECT o_custkey AS answer_id, o_orderkey AS ord, CASE WHEN o_orderstatus = 'F' THEN 'accepted' ELSE 'unknown_span_id' END AS verdict, 'claim ' || o_orderkey AS text, 'E' || (o_orderkey % 3 + 1) AS block, o_orderkey % 5 = 0 AS review FROM orders),
+s AS (SELECT answer_id, string_agg('- ' || text || ' [' || block || ']' || CASE WHEN review THEN ' (source needs review)' ELSE '' END, chr(10) ORDER BY ord) AS said FROM c WHERE verdict = 'accepted' GROUP BY 1), b AS (SELECT answer_id, count(*) AS bad FROM c WHERE verdict <> 'accepted' GROUP BY 1),
+g AS (SELECT answer_id, string_agg('- gap ' || k, chr(10) ORDER BY k) AS gaps FROM (SELECT DISTINCT o_custkey AS answer_id, o_orderkey % 2 AS k FROM orders WHERE o_orderkey % 7 = 0) GROUP BY 1),
+u AS (SELECT DISTINCT answer_id, block FROM c WHERE verdict = 'accepted'), l AS (SELECT answer_id, string_agg('[' || block || '] EMA · P' || substr(block, 2) || ' · label · p.' || CASE WHEN block = 'E1' THEN '1' ELSE '1-3' END || ' · B > C' || CASE WHEN block = 'E3' THEN ' (needs review)' ELSE '' END, chr(10) ORDER BY block) AS src FROM u GROUP BY 1)
+SELECT answer_id, coalesce(said, 'The evidence found does not support an answer.') || CASE WHEN gaps IS NOT NULL THEN chr(10) || chr(10) || 'Open points:' || chr(10) || gaps ELSE '' END || CASE WHEN bad > 0 THEN chr(10) || chr(10) || 'Claims rejected by the check: ' || bad ELSE '' END || CASE WHEN src IS NOT NULL THEN chr(10) || chr(10) || 'Sources:' || chr(10) || src ELSE '' END AS text
+FROM (SELECT DISTINCT answer_id FROM c) LEFT JOIN s USING (answer_id) LEFT JOIN g USING (answer_id) LEFT JOIN b USING (answer_id) LEFT JOIN l USING (answer_id)""")
+def answer_reports(spark, d):
+    """Reports of answers: claims with their blocks, open points, rejected claims, sources."""
+    o = t(spark, d, "orders").withColumnRenamed("o_custkey", "answer_id")
+    claims = o.select("answer_id", F.col("o_orderkey").alias("ord"), F.when(F.col("o_orderstatus") == "F", "accepted").otherwise("unknown_span_id").alias("verdict"), F.lit("fact").alias("kind"), col("concat('claim ', o_orderkey)", "text"), F.array(col("concat('E', o_orderkey % 3 + 1)", "b"), col("concat('E', o_orderkey % 3 + 1)", "c")).alias("block_ids"), (F.col("o_orderkey") % 5 == 0).alias("needs_review"))
+    gaps = o.filter("o_orderkey % 7 = 0").select("answer_id", (F.col("o_orderkey") % 2).alias("ord"), col("concat('gap ', o_orderkey % 2)", "gap"))
+    three = F.explode(F.sequence(F.lit(1), F.lit(3))).alias("ord")
+    k = F.col("ord")
+    blocks = o.select("answer_id").distinct().select("answer_id", three).select("answer_id", "ord", F.concat(F.lit("E"), k.cast("string")).alias("block_id"), F.lit("ema").alias("agency"), F.concat(F.lit("P"), k.cast("string")).alias("program_id"), F.lit("label").alias("doc_type"), F.lit("").alias("title"), F.when(k == 1, F.array(F.lit(1))).otherwise(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("pages"), F.array(F.lit("A"), F.lit("B"), F.lit("C")).alias("section_path"), (k == 3).alias("needs_review"))
+    return C.report(claims, gaps, blocks)

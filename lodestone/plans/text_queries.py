@@ -66,8 +66,9 @@ def garble_score(spark, d):
     return s.select("doc_id", F.col("s.n").alias("n_words"), F.col("s.b").alias("n_bad"), F.when(F.col("s.n") < 3, 0.0).otherwise(F.round(F.col("s.b") / F.col("s.n"), 9)).alias("score"))
 
 
-@query()
+@query(_GARBLE.split("SELECT doc_id, len(f)::BIGINT AS n_words")[0] + """SELECT doc_id, CASE WHEN len(f) < 3 THEN false WHEN len(f) < 6 THEN list_sum(f) / len(f) >= 0.4 ELSE len(list_filter(range(1, len(f) - 4), lambda i: list_sum(f[i:i + 5]) >= 3)) > 0 END AS garbled FROM b""")
 def garbled_spans(spark, d):
+    """Whether six judged words in a row are mostly bad; texts of fewer words by their whole score."""
     return t(spark, d, "documents").select("doc_id", X.garbled_window(F.col("text")).alias("garbled"))
 
 

@@ -103,6 +103,7 @@ def fda_url(raw: Column, year: Column) -> tuple[Column, Column]:
     u = F.regexp_replace(u, "^http://", "https://")
     parts = F.split(u, "#", 2)
     base = F.get(parts, F.lit(0))
+    # Fixed pattern: folders whose documents moved under their year.
     dated = F.regexp_replace(base, F.lit(r"/drugsatfda_docs/(appletter|label|nda)/(?!\d{4}/)"), F.concat(F.lit("/drugsatfda_docs/$1/"), year, F.lit("/")))
     return F.when(year.rlike(r"^\d{4}$"), dated).otherwise(base), F.get(parts, F.lit(1))
 
@@ -111,6 +112,7 @@ def fda_type(description: Column, url: Column) -> Column:
     """By the address first: the catalog's type is sometimes wrong."""
     d, u = F.lower(F.coalesce(description, F.lit(""))), F.lower(url)
     has = lambda *w: X.contains_any(d, list(w))
+    # Marks of addresses, then words of catalog types, in order of precedence.
     return (
         F.when(u.rlike(r"toc\.(cfm|htm|html)$") | u.endswith(".cfm"), "review_index")
         .when(F.contains(u, F.lit("lbl.pdf")), "label")
@@ -145,6 +147,27 @@ def added_products(known: DataFrame, products: DataFrame, applications: DataFram
     return once.join(known.select("native_key"), "native_key", "left_anti")
 
 
+def licences(rows: DataFrame) -> DataFrame:
+    """One registration per licence number from a presentation list: native_key, brand_name, proper_name, holder, status, licence_type, first_approval_date, interchangeable_date, presentations.
+
+    rows: line, bla_number, proprietary_name, proper_name, applicant, licensure, license_type, approval_date, inter_approval_date, submission_type, product_number, strength, dosage_form, route.
+    Presentations come in the order of their lines; the first line gives names, holder and status; an interchangeable type, the last one, goes before the first type named; only original submissions
+    date the approval. Rows without a digit in their number are left out."""
+    empty = lambda c: F.when(F.trim(c) != "", F.col(c))
+    kind = empty("license_type")
+    original = F.lower(F.coalesce(empty("submission_type"), F.lit("Original"))).startswith("orig")
+    r = rows.withColumn("_no", F.regexp_replace(F.coalesce(F.col("bla_number").cast("string"), F.lit("")), r"\D", "")).filter("_no != ''")
+    r = r.withColumn("_kind", kind).withColumn("_at", X.iso_date(F.col("approval_date").cast("string"))).withColumn("_inter", X.iso_date(F.col("inter_approval_date").cast("string")))
+    swap = F.contains(F.lower("_kind"), F.lit("interchangeable"))
+    first = lambda c: F.min_by(c, "line")
+    shown = F.struct("line", "product_number", "strength", F.trim(F.coalesce("dosage_form", F.lit(""))).alias("dosage_form"), "route", F.coalesce("_kind", F.lit("")).alias("license_type"), F.col("_at").alias("approval_date"), "submission_type")
+    return r.groupBy(F.concat(F.lit("BLA"), F.col("_no")).alias("native_key")).agg(
+        first(F.coalesce(empty("proprietary_name"), empty("proper_name"))).alias("brand_name"), first(empty("proper_name")).alias("proper_name"), first(empty("applicant")).alias("holder"), first(empty("licensure")).alias("status"),
+        F.coalesce(F.max_by("_kind", F.when(swap, F.col("line"))), F.min_by("_kind", F.when(F.col("_kind").isNotNull(), F.col("line")))).alias("licence_type"),
+        F.min(F.when(original, F.col("_at"))).alias("first_approval_date"), F.min("_inter").alias("interchangeable_date"), F.array_sort(F.collect_list(shown)).alias("presentations"),
+    )
+
+
 def overview_rows(pages: DataFrame) -> DataFrame:
     """(page_id, pos, date, submission, href, label): rows with links of the approval tables of application pages (page_id, html)."""
     table = lambda i: F.regexp_extract("html", f'(?s)<table[^>]*id="{i}".*?</table>', 0)
@@ -165,6 +188,7 @@ def absolute(base: Column, href: Column) -> Column:
 
 def index_children(pages: DataFrame) -> DataFrame:
     """(page_id, source_url, title): the PDF links of contents pages (page_id, url, html), each address once. Newer pages build links in a script from flags; only flags of 1 exist."""
+    # Fixed patterns: how contents pages hold their links.
     base, flags = F.regexp_extract("html", r'var\s+pdfBaseName\s*=\s*"([^"]+)"', 1), F.regexp_extract("html", r"(?s)var\s+pdfFiles\s*=\s*\{(.*?)\};", 1)
     script = (base != "") & (flags != "")
     shown = r"pdfFiles\.(\w+)\s*==\s*1\)\s*\{\s*\w+\s*\+=\s*'<li><a href=\"'\s*\+\s*pdfBaseName\s*\+\s*'([^\"']+)\"[^>]*>([^<]+)<"
@@ -190,6 +214,7 @@ def page_dates(html: Column, doc_type: Column) -> tuple[Column, Column]:
     text = X.strip_html(html)
     got = lambda p: F.nullif(F.regexp_extract(text, p, 1), F.lit(""))
     notice = F.coalesce(*[X.iso_date(got(p)) for p in DECIDED])
+    # Fixed patterns: dates that a summary states.
     stated = got(r"Date of [Dd]ecision:?\s*(\d{4}-\d{2}-\d{2})")
     known = doc_type.isin("sbd", "rds")
     return F.when(known, F.coalesce(F.when(doc_type == "sbd", notice), stated)), F.when(known, got(r"Date (?:SBD|RDS) issued:?\s*(\d{4}-\d{2}-\d{2})"))

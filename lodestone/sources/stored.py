@@ -190,3 +190,44 @@ class Run:
         else:
             self.event("crash", "error", "".join(traceback.format_exception_only(kind, error)).strip())
         return False
+
+
+OBJECTS = "key string, sha256 string, size long, content binary"
+
+
+class ObjectTable:
+    """Content-addressed bytes in Parquet parts that are only added: a key is raw/<agency>/<first two of the hash>/<hash><ext>, so a second put of the same bytes finds its key and writes nothing.
+
+    A part counts once its marker stands; writers that put the same bytes at once leave two equal rows, of which readers see one."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path, self.folder = spark, path.rstrip("/"), Folder(spark, path)
+
+    def _rows(self) -> DataFrame:
+        whole = [f"{self.path}/parts/{n}" for n in self.folder.names("whole")]
+        return self.spark.read.schema(OBJECTS).parquet(*whole) if whole else self.spark.createDataFrame([], OBJECTS)
+
+    def keys(self) -> DataFrame:
+        """(key, sha256, size), without reading any content."""
+        return self._rows().select("key", "sha256", "size").distinct()
+
+    def put(self, items: DataFrame) -> DataFrame:
+        """items (agency, ext, content and more) with key and new (whether these bytes were not there). Pages are known by their fingerprint, other bytes by their hash; of
+        pages with one fingerprint the first stored stay."""
+        from lodestone.functions import text as X
+
+        page = F.lower("ext").isin(".html", ".htm")
+        sha = F.when(page, X.fingerprint(F.decode("content", "UTF-8"))).otherwise(F.sha2("content", 256))
+        keyed = items.withColumn("_sha", sha).withColumn("key", F.concat(F.lit("raw/"), F.col("agency"), F.lit("/"), F.substring("_sha", 1, 2), F.lit("/"), F.col("_sha"), F.col("ext")))
+        known = self.keys().select("key", F.lit(True).alias("_old"))
+        fresh = keyed.join(known, "key", "left_anti").groupBy("key").agg(F.min("_sha").alias("sha256"), F.min("content").alias("content"))
+        name = uuid.uuid4().hex
+        fresh.select("key", "sha256", F.octet_length("content").cast("long").alias("size"), "content").write.parquet(f"{self.path}/parts/{name}")
+        written_now = self.spark.read.schema(OBJECTS).parquet(f"{self.path}/parts/{name}").select("key", F.lit(True).alias("new"))
+        self.folder.create(f"whole/{name}", "")
+        return keyed.drop("_sha").join(written_now, "key", "left").withColumn("new", F.coalesce("new", F.lit(False)))
+
+    def get(self, keys: DataFrame) -> DataFrame:
+        """(key, content) of the keys (key) that are stored."""
+        met = self._rows().join(keys.select("key").distinct(), "key", "left_semi")
+        return met.groupBy("key").agg(F.min("content").alias("content"))
