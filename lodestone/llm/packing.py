@@ -61,16 +61,16 @@ def plan(lengths: list[int], room: int = SEQUENCE) -> list[tuple[int, int, int,
 
 
 def dealt(docs: DataFrame, groups: int, group_docs: int, seed: int) -> DataFrame:
-    """(g, doc_id, text): each row with its group; rows of a key that would overfill one group are spread over all."""
-    keyed = docs.select(F.xxhash64(F.lit(seed), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))).alias("_k"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    by_key = F.pmod("_k", F.lit(groups)).alias("g")
-    hot = keyed.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_docs).select("_k")
+    """(g, doc_id, text): each row with its group; rows of an id that would overfill one group are spread over all. Ids are counted without reading a text."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    by_key = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(groups)).alias("g")
+    hot = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > group_docs).select(F.struct("doc_id").alias("_id"))
     if groups == 1 or hot.isEmpty():
-        return keyed.select(by_key, "doc_id", "text")
-    hot = cut(hot)
-    many = cut(sized_join(keyed, hot, ["_k"], "left_semi").withColumn("_i", F.monotonically_increasing_id()))  # numbered once, in a table
-    few = sized_join(keyed, hot, ["_k"], "left_anti").select(by_key, "doc_id", "text")
-    return few.unionByName(many.select(F.pmod(F.xxhash64(F.lit(seed), "_k", "_i"), F.lit(groups)).alias("g"), "doc_id", "text"))
+        return rows.select(by_key, "doc_id", "text")
+    hot, keyed = cut(hot), rows.withColumn("_id", F.struct("doc_id"))
+    many = cut(sized_join(keyed, hot, ["_id"], "left_semi").withColumn("_i", F.monotonically_increasing_id()))  # numbered once, in a table
+    few = sized_join(keyed, hot, ["_id"], "left_anti").select(by_key, "doc_id", "text")
+    return few.unionByName(many.select(F.pmod(F.xxhash64(F.lit(seed), "doc_id", "_i"), F.lit(groups)).alias("g"), "doc_id", "text"))
 
 
 def tokenised(docs: DataFrame, path: str, groups: int, group_docs: int = GROUP_DOCS, seed: int = SEED, final_id: int = FINAL_ID) -> DataFrame:
@@ -110,8 +110,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, room: int = SEQUENCE, gr
         out = pd.DataFrame(rows, columns=["doc_id", "start", "length", "token_ids", "doc_tokens", "sequence_id", "offset"])
         return out.astype({"doc_id": "Int64"})
 
-    # A partition holds about 64 groups, whatever the session's number of shuffle partitions and the size of the corpus.
-    return tokenised(docs, path, groups, group_docs, seed, final_id).repartition(parts_for(groups, 64), "g").groupBy("g").applyInPandas(run, schema)
+    # A partition holds about a dozen groups, whatever the session's number of shuffle partitions and the size of the corpus.
+    return tokenised(docs, path, groups, group_docs, seed, final_id).repartition(parts_for(groups, 12), "g").groupBy("g").applyInPandas(run, schema)
 
 
 def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
