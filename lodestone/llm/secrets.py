@@ -54,8 +54,14 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
 def candidates(text: str, base: list[tuple[int, int, int, int]], least: int = LEAST) -> list[tuple[int, int]]:
     """(start, end) of the values that look like keys, each place once."""
     values = {(v, e) for _, _, e, v in base}
-    spans = [(s, e) for s, _, e, _ in base]
-    values |= {m.span() for m in RUN.finditer(text) if not any(s <= m.start() and m.end() <= e for s, e in spans)}
+    # Both lists go by their starts: a run lies in a base span if one that starts before it reaches its end.
+    at, reach = 0, 0
+    for m in RUN.finditer(text):
+        while at < len(base) and base[at][0] <= m.start():
+            reach = max(reach, base[at][2])
+            at += 1
+        if reach < m.end():
+            values.add(m.span())
     return sorted((a, e) for a, e in values if e - a >= least and credential_like(text[a:e]))
 
 
