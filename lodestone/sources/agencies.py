@@ -172,10 +172,11 @@ def overview_rows(pages: DataFrame) -> DataFrame:
     """(page_id, pos, date, submission, href, label): rows with links of the approval tables of application pages (page_id, html)."""
     table = lambda i: F.regexp_extract("html", f'(?s)<table[^>]*id="{i}".*?</table>', 0)
     rows = pages.select("page_id", F.posexplode(F.flatten(F.transform(F.array(table("exampleApplOrig"), table("exampleApplSuppl")), lambda t: F.regexp_extract_all(t, F.lit("(?s)<tr[^>]*>(.*?)</tr>"), F.lit(1))))).alias("pos", "tr"))
-    cells = F.transform(F.regexp_extract_all("tr", F.lit("(?s)<td[^>]*>(.*?)</td>"), F.lit(1)), X.strip_html)
+    cells = F.regexp_extract_all("tr", F.lit("(?s)<td[^>]*>(.*?)</td>"), F.lit(1))
+    cell = lambda i: X.strip_html(F.get("_c", F.lit(i)))
     links = F.regexp_extract_all("tr", F.lit('(?s)(<a[^>]+href="[^"]+"[^>]*>.*?</a>)'))
     each = rows.withColumn("_c", cells).filter(F.size("_c") >= 3).withColumn("link", F.explode(links))
-    return each.select("page_id", "pos", X.iso_date(F.get("_c", F.lit(0))).alias("date"), F.get("_c", F.lit(1)).alias("submission"), F.regexp_extract("link", 'href="([^"]+)"', 1).alias("href"), X.strip_html(F.col("link")).alias("label"))
+    return each.select("page_id", "pos", X.iso_date(cell(0)).alias("date"), cell(1).alias("submission"), F.regexp_extract("link", 'href="([^"]+)"', 1).alias("href"), X.strip_html(F.col("link")).alias("label"))
 
 
 def absolute(base: Column, href: Column) -> Column:
