@@ -11,8 +11,10 @@ Defined cases: null or empty quotes and null texts meet nothing; repeated rows a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.operators.shared import removed, written
@@ -22,12 +24,13 @@ LEVELS = ((16, 12, 27), (16, 1, 16), (8, 1, 8), (4, 1, 4), (2, 1, 2), (1, 1, 1))
 
 
 def stretch_hashes(raw: np.ndarray, gram: int, span: int) -> np.ndarray:
-    """Distinct hashes of the kept runs of a byte array."""
+    """Distinct hashes of the kept runs of a byte array; gram is a power of two."""
     if len(raw) < gram:
         return np.zeros(0, np.uint64)
-    h, n = np.zeros(len(raw) - gram + 1, np.uint64), len(raw) - gram + 1
-    for j in range(gram):
-        h = h * np.uint64(0x100000001B3) + raw[j : j + n] + np.uint64(1)
+    h, size, factor = raw + np.uint64(1), 1, 0x100000001B3
+    while size < gram:  # runs of twice the size from two neighbours
+        h = h[:-size] * np.uint64(factor) + h[size:]
+        size, factor = 2 * size, factor * factor % (1 << 64)
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
@@ -38,7 +41,7 @@ def stretch_hashes(raw: np.ndarray, gram: int, span: int) -> np.ndarray:
             break
         h = np.minimum(h[:-step], h[step:])
         width += step
-    return np.unique(h)
+    return np.unique(h[np.concatenate([[True], h[1:] != h[:-1]])])  # neighbours share their least run
 
 
 def _stretches(rows: DataFrame, cols: list[str], text: str, level: str) -> DataFrame:
@@ -66,10 +69,13 @@ def _stretches(rows: DataFrame, cols: list[str], text: str, level: str) -> DataF
     return rows.select(*cols, text, level).mapInArrow(run, schema)
 
 
-def contained(texts: DataFrame, quotes: DataFrame, key: str | None = None) -> DataFrame:
-    """(text_id, quote_id): texts that contain a quote, of the same key if one is named. texts: text_id, body and key; quotes: quote_id, quote and key; ids of any type."""
+def contained(texts: DataFrame, quotes: DataFrame, key: str | None = None, norm: Callable[[Column], Column] | None = None) -> DataFrame:
+    """(text_id, quote_id): texts that contain a quote, of the same key if one is named. texts: text_id, body and key; quotes: quote_id, quote and key; ids of any type.
+
+    Both are compared in the form that `norm` gives them; give raw texts, so that only texts with a candidate are brought into it a second time."""
     keys = [key] if key else []
-    q = quotes.filter("quote != ''").select("quote_id", "quote", *keys).distinct()
+    norm = norm or (lambda c: c)
+    q = quotes.withColumn("quote", norm(F.col("quote"))).filter("quote != ''").select("quote_id", "quote", *keys).distinct()
     size = F.octet_length("quote")
     level = F.lit(len(LEVELS) - 1)
     for k in range(len(LEVELS) - 2, -1, -1):
@@ -78,7 +84,7 @@ def contained(texts: DataFrame, quotes: DataFrame, key: str | None = None) -> Da
     have = q.select(F.explode("_levels").alias("k")).distinct()
     levels = sorted(r["k"] for r in have.collect())  # six values at most
     wanted = _stretches(q, ["quote_id", *keys], "quote", "_levels")
-    seen = _stretches(texts.filter("body IS NOT NULL").withColumn("_levels", F.array(*map(F.lit, levels)).cast("array<int>")), ["text_id", *keys], "body", "_levels") if levels else None
+    seen = _stretches(texts.filter("body IS NOT NULL").withColumn("body", norm(F.col("body"))).withColumn("_levels", F.array(*map(F.lit, levels)).cast("array<int>")), ["text_id", *keys], "body", "_levels") if levels else None
     if seen is None:
         removed(q)
         return texts.select("text_id").limit(0).crossJoin(quotes.select("quote_id").limit(0))
@@ -90,6 +96,8 @@ def contained(texts: DataFrame, quotes: DataFrame, key: str | None = None) -> Da
     # A quote one of whose kept stretches no text has stands nowhere.
     met = wanted.join(counts, on, "left").groupBy("quote_id", *keys).agg(F.min_by(F.struct("level", "sh"), F.struct("_n", "sh")).alias("_s"), F.min(F.coalesce("_n", F.lit(0))).alias("_least"))
     seeds = met.filter("_least > 0").select("quote_id", *keys, "_s.level", "_s.sh")
-    pairs = hits.join(seeds, on).select("text_id", "quote_id", *keys).distinct()
-    both = pairs.join(q.select("quote_id", "quote", *keys), ["quote_id", *keys]).join(texts.select("text_id", "body", *keys), ["text_id", *keys])
+    pairs = written(hits.join(seeds, on).select("text_id", "quote_id", *keys).distinct())
+    bodies = texts.select("text_id", "body", *keys).filter("body IS NOT NULL").join(pairs.select("text_id", *keys).distinct(), ["text_id", *keys], "left_semi").withColumn("body", norm(F.col("body")))
+    both = pairs.join(q.select("quote_id", "quote", *keys), ["quote_id", *keys]).join(bodies, ["text_id", *keys])
+    removed(wanted, hits)
     return both.filter(F.contains("body", "quote")).select("text_id", "quote_id").distinct()

@@ -11,13 +11,27 @@ from lodestone.functions import alignment
 from lodestone.functions import text as X
 
 
+#: Kinds of dashes, ticked and empty boxes, quotes and marks, and what they are compared as.
+FOLDED = {**dict.fromkeys("‐‑‒–—―−", "-"), **dict.fromkeys("✓✔√☑☒⊠", "[x]"), **dict.fromkeys("☐□❑", "[ ]"), "’": "'", "‘": "'", "“": '"', "”": '"', "®": "", "™": ""}
+
+
 def gold_norm(text: Column, keep_space: bool = False) -> Column:
-    """Form in which texts of two readers are compared: composed, lower case, one kind of dash, quote and check mark, without (or with one) space."""
-    s = F.lower(X.composed(F.coalesce(text, F.lit(""))))
-    s = F.regexp_replace(s, "[‐‑‒–—―−]", "-")
-    s = F.regexp_replace(F.regexp_replace(s, "[✓✔√☑☒⊠]", "[x]"), "[☐□❑]", "[ ]")
-    s = F.translate(s, "’‘“”®™", "''\"\"")
-    return F.trim(F.regexp_replace(s, r"(?U)\s+", " ")) if keep_space else F.regexp_replace(s, r"(?U)\s+", "")
+    """Form in which texts of two readers are compared: composed, lower case, one kind of dash, quote and check mark, without (or with one) space.
+
+    ASCII texts need only case and space and stay in the JVM; others go through one function, and a null is sent in an ASCII text's place."""
+
+    @F.pandas_udf("string")
+    def run(values: pd.Series) -> pd.Series:
+        import unicodedata
+
+        table = str.maketrans(FOLDED)
+        join = " ".join if keep_space else "".join
+        return values.map(lambda s: join(unicodedata.normalize("NFKC", s).lower().translate(table).split()), na_action="ignore")
+
+    s = F.coalesce(text, F.lit(""))
+    other = s.rlike(r"[^\x00-\x7F]")
+    plain = F.trim(F.regexp_replace(F.lower(s), r"[\s\x1c-\x1f]+", " ")) if keep_space else F.translate(F.lower(s), " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f", "")
+    return F.when(other, run(F.when(other, s))).otherwise(plain)
 
 
 def retrieval(groups: DataFrame, hits: DataFrame, contexts: DataFrame) -> DataFrame:

@@ -144,9 +144,9 @@ def fieldwise_upsert(spark, d):
 @query("SELECT doc_id, item_id FROM documents JOIN benchmark ON contains(regexp_replace(lower(documents.text), '\\s+', '', 'g'), regexp_replace(lower(benchmark.text), '\\s+', '', 'g'))")
 def quote_containment(spark, d):
     """Every benchmark passage in every document, in comparison form."""
-    quotes = t(spark, d, "benchmark").select(F.col("item_id").alias("quote_id"), M.gold_norm(F.col("text")).alias("quote"))
-    texts = t(spark, d, "documents").select(F.col("doc_id").alias("text_id"), M.gold_norm(F.col("text")).alias("body"))
-    return CT.contained(texts, quotes).select(F.col("text_id").alias("doc_id"), F.col("quote_id").alias("item_id"))
+    quotes = t(spark, d, "benchmark").select(F.col("item_id").alias("quote_id"), F.col("text").alias("quote"))
+    texts = t(spark, d, "documents").select(F.col("doc_id").alias("text_id"), F.col("text").alias("body"))
+    return CT.contained(texts, quotes, norm=M.gold_norm).select(F.col("text_id").alias("doc_id"), F.col("quote_id").alias("item_id"))
 
 
 @query("""WITH c AS (SELECT doc_id, pos, regexp_replace(lower(line), '\\s+', '', 'g') AS body FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents)),
@@ -156,9 +156,9 @@ def quotes_in_chunks(spark, d):
     """The chunks (lines) of a quote's own document that contain it: the document is the key, whatever the quote's length."""
     docs = t(spark, d, "documents")
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    texts = lines.select(F.struct("doc_id", (F.col("pos") + 1).cast("long").alias("pos")).alias("text_id"), M.gold_norm(F.col("line")).alias("body"), F.col("doc_id").alias("doc"))
+    texts = lines.select(F.struct("doc_id", (F.col("pos") + 1).cast("long").alias("pos")).alias("text_id"), F.col("line").alias("body"), F.col("doc_id").alias("doc"))
     quotes = docs.select(F.col("doc_id").alias("quote_id"), F.substring(M.gold_norm(F.col("text")), F.lit(40), (5 + F.col("doc_id") % 40).cast("int")).alias("quote"), F.col("doc_id").alias("doc"))
-    return CT.contained(texts, quotes, "doc").select("text_id.doc_id", "text_id.pos").distinct()
+    return CT.contained(texts, quotes, "doc", M.gold_norm).select("text_id.doc_id", "text_id.pos").distinct()
 
 
 @query("WITH l AS (SELECT l_orderkey, l_returnflag AS v, count(*) AS c FROM lineitem GROUP BY 1, 2), r AS (SELECT o_orderkey AS l_orderkey, o_orderstatus AS v, count(*) AS o FROM orders GROUP BY 1, 2) SELECT l_orderkey, sum(c)::BIGINT AS n_left, sum(least(c, coalesce(o, 0)))::BIGINT AS n_shared FROM l LEFT JOIN r USING (l_orderkey, v) GROUP BY 1")
