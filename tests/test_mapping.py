@@ -13,7 +13,7 @@ from lodestone.sources.stored import ObjectTable
 CATALOG = "id long, agency string, native_key string, brand string, holder string, reference boolean, approved string, ingredient string, names array<string>"
 
 
-def row(i, agency, brand, holder="Co", reference=None, approved="2020-01-01", ingredient="usteki"):
+def row(i, agency, brand, holder="Co", reference=None, approved="2020-01-01", ingredient="ingredient-x"):
     return (i, agency, f"{agency}:{brand}", brand, holder, reference, approved, ingredient, [brand])
 
 
@@ -51,15 +51,15 @@ def test_an_unknown_product_widens_to_its_ingredient(spark):
         return spark.createDataFrame(REGS, CATALOG)
 
     got, new = mapped(spark, [REGS[1]], requested=True, widen=widen)
-    assert asked == ["usteki"] and set(new) == {"Alphabrand"}
+    assert asked == ["ingredient-x"] and set(new) == {"Alphabrand"}
     assert got == {1: ("P1", "curated"), 2: ("Alphabrand", "auto"), 3: ("Alphabrand", "auto"), 4: (None, "skipped"), 5: (None, "skipped"), 6: (None, "skipped")}
     assert mapped(spark, [REGS[0]], requested=True, widen=widen) == ({}, {})  # nothing that the registry does not know
 
 
 def test_names_count_on_until_free(spark):
     rng = random.Random(1)
-    wanted = [(i, rng.choice(["Stelara", "stelara", "Stelara-2", "Other"]), rng.random()) for i in range(25)]
-    taken = {"stelara", "stelara-2", "x"}
+    wanted = [(i, rng.choice(["Brandara", "brandara", "Brandara-2", "Other"]), rng.random()) for i in range(25)]
+    taken = {"brandara", "brandara-2", "x"}
     want, held = {}, set(taken)
     for i, base, _ in sorted(wanted, key=lambda w: w[2]):
         name, n = base, 2
@@ -119,10 +119,10 @@ def test_object_store(spark, tmp_path):
 
 
 def test_comparator_names_are_no_filter(spark):
-    pattern = X.name_pattern("Stelara", reference=True)
-    rows = spark.createDataFrame([("about Stelara",), ("compared to EU-Stelara",), ("and US Stelara too",), ("EU-Stelara and Stelara",)], "t string")
+    pattern = X.name_pattern("Brandara", reference=True)
+    rows = spark.createDataFrame([("about Brandara",), ("compared to EU-Brandara",), ("and US Brandara too",), ("EU-Brandara and Brandara",)], "t string")
     assert [r[0] for r in rows.select(F.col("t").rlike(pattern)).collect()] == [True, False, False, True]
-    assert spark.createDataFrame([("EU-Stelara",)], "t string").select(F.col("t").rlike(X.name_pattern("Stelara"))).head()[0]
+    assert spark.createDataFrame([("EU-Brandara",)], "t string").select(F.col("t").rlike(X.name_pattern("Brandara"))).head()[0]
 
 
 def test_prompt_budget(spark):
