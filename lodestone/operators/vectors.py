@@ -13,6 +13,7 @@ chunk_id; a null allow sees every group, an empty one none; a null group is seen
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -65,7 +66,18 @@ def chunk_blocks(chunks: DataFrame, width: int, cells: int) -> DataFrame:
     return usable.mapInArrow(run, f"cb int, ids array<{kind}>, g array<long>, v binary")
 
 
-def best_of_pair(ids: np.ndarray, group: np.ndarray, blank: np.ndarray, v: np.ndarray, q: np.ndarray, groups: np.ndarray, allow: np.ndarray, free: np.ndarray, n: int):
+def fused_sums(v: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products added component by component with one rounding a step (fused multiply-add), as DuckDB is compiled to do; few rows only."""
+    asked, out = q.tolist(), np.empty(len(v))
+    for i, row in enumerate(v.tolist()):
+        total = 0.0
+        for a, b in zip(row, asked):
+            total = math.fma(a, b, total)
+        out[i] = total
+    return out
+
+
+def best_of_pair(ids: np.ndarray, group: np.ndarray, blank: np.ndarray, v: np.ndarray, q: np.ndarray, groups: np.ndarray, allow: np.ndarray, free: np.ndarray, n: int, fused: bool = False):
     """For each search of a block: its number, the rows of its best n and their scores. allow: bits of (search, group)."""
     order = np.argsort(ids, kind="stable")[::-1]  # the larger id first among equal scores
     group, blank, v = group[order], blank[order], v[order]
@@ -85,13 +97,13 @@ def best_of_pair(ids: np.ndarray, group: np.ndarray, blank: np.ndarray, v: np.nd
     for s in range(len(q)):
         rows = np.nonzero(seen[s])[0]
         if len(rows):
-            exact = np.add.accumulate(v[rows] * q[s], axis=1)[:, -1]
+            exact = fused_sums(v[rows], q[s]) if fused else np.add.accumulate(v[rows] * q[s], axis=1)[:, -1]
             best = np.argsort(-exact, kind="stable")[:n]
             yield s, order[rows[best]], exact[best]
 
 
-def dense_top(chunks: DataFrame, queries: DataFrame, n: int, small: int = SMALL_BYTES, rows: int = ROWS, searches: int = SEARCHES) -> DataFrame:
-    """(search, chunk_id, score, rank): the best n chunks of each search by inner product.
+def dense_top(chunks: DataFrame, queries: DataFrame, n: int, small: int = SMALL_BYTES, rows: int = ROWS, searches: int = SEARCHES, fused: bool = False) -> DataFrame:
+    """(search, chunk_id, score, rank): the best n chunks of each search by inner product; `fused` says how a score is added up, which decides near-ties.
 
     chunks: chunk_id, v (numbers), g (group of filters, a whole number); queries: search, q, and optionally allow (the groups a search may see)."""
     asked = queries if "allow" in queries.columns else queries.withColumn("allow", F.lit(None).cast("array<long>"))
@@ -119,7 +131,7 @@ def dense_top(chunks: DataFrame, queries: DataFrame, n: int, small: int = SMALL_
                 group = np.array([g or 0 for g in r["g"]], np.int64)
                 allow = np.unpackbits(np.frombuffer(r["allow"], np.uint8).reshape(len(names), -1), axis=1).astype(bool)
                 v, q_v = np.frombuffer(r["v"]).reshape(len(ids), -1), np.frombuffer(r["q"]).reshape(len(names), -1)
-                for s, at, score in best_of_pair(ids, group, blank, v, q_v, np.array(r["groups"], np.int64), allow, np.array(r["free"], bool), n):
+                for s, at, score in best_of_pair(ids, group, blank, v, q_v, np.array(r["groups"], np.int64), allow, np.array(r["free"], bool), n, fused):
                     yield pa.RecordBatch.from_arrays([pa.array([names[s]] * len(at), names_type), pa.array(ids[at].tolist(), ids_type), pa.array(score)], ["search", "chunk_id", "score"])
 
     found = met.select("ids", "g", "v", "names", "q", "groups", "allow", "free").mapInArrow(run, f"search {name}, chunk_id {kind}, score double")

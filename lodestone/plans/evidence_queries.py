@@ -67,8 +67,15 @@ _TOP10 = f"""WITH {_V}, c AS (SELECT q.vec_id AS search, c.vec_id, list_inner_pr
 a AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY search ORDER BY score DESC, vec_id DESC) AS r FROM s) WHERE r <= 10), g AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY search ORDER BY score DESC, vec_id DESC) AS r FROM c) WHERE r <= 10)"""
 
 
-def _ranked(spark, d):
-    return Q.dense_top(vectors(spark, d), asked(spark, d), 10).withColumnRenamed("chunk_id", "vec_id")
+def scaled_round(x, places: int):
+    """Rounds as SQL engines on doubles do: scaled, half away from zero, scaled back; Spark's round goes by the decimal digits, which differs where scaling meets a half."""
+    y = F.abs(x * 10**places)
+    low = F.floor(y).cast("double")
+    return F.signum(x) * F.when(y - low >= 0.5, low + 1).otherwise(low) / 10**places + 0.0  # no negative zero
+
+
+def _ranked(spark, d, fused: bool = False):
+    return Q.dense_top(vectors(spark, d), asked(spark, d), 10, fused=fused).withColumnRenamed("chunk_id", "vec_id")
 
 
 @query(_TOP10 + """, x AS (SELECT search, list(vec_id ORDER BY r) AS i, list(round(score, 3) ORDER BY r) AS s FROM a GROUP BY 1), y AS (SELECT search, list(vec_id ORDER BY r) AS i, list(round(score, 3) ORDER BY r) AS s FROM g GROUP BY 1)
@@ -77,12 +84,12 @@ def search_parity(spark, d):
     """Ranking by whole vectors against one by an index that stores two decimals: equal, the same set or rounded scores, or different."""
 
     def lists(found, name: str):
-        grouped = found.groupBy("search").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", F.round("score", 3).alias("s")))).alias("x"))
+        grouped = found.groupBy("search").agg(F.array_sort(F.collect_list(F.struct("rank", "vec_id", scaled_round(F.col("score"), 3).alias("s")))).alias("x"))
         return grouped.select("search", F.col("x.vec_id").alias(f"{name}_i"), F.col("x.s").alias(f"{name}_s"))
 
     coarse = lambda c: F.transform(F.col(c).cast("array<double>"), lambda x: F.round(x, 2)).alias(c)
-    stored = Q.dense_top(vectors(spark, d).select("chunk_id", coarse("v"), "g"), asked(spark, d).select("search", coarse("q")), 10).withColumnRenamed("chunk_id", "vec_id")
-    both = lists(_ranked(spark, d), "w").join(lists(stored, "g"), "search")
+    stored = Q.dense_top(vectors(spark, d).select("chunk_id", coarse("v"), "g"), asked(spark, d).select("search", coarse("q")), 10, fused=True).withColumnRenamed("chunk_id", "vec_id")
+    both = lists(_ranked(spark, d, fused=True), "w").join(lists(stored, "g"), "search")
     state = F.when(F.col("w_i") == F.col("g_i"), "match").when((F.array_sort("w_i") == F.array_sort("g_i")) | (F.col("w_s") == F.col("g_s")), "tie").otherwise("mismatch")
     return both.select("search", state.alias("state"))
 
