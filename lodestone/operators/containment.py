@@ -4,7 +4,8 @@ A text's stretches are its runs of `gram` bytes; of every `span` neighbouring ru
 brings all its windows along, so the stretches kept for a quote of gram + span - 1 bytes or more are kept for the text too. Each quote looks for its
 rarest kept stretch only, by counts over all texts (of stretches that some quote has), so a common phrase draws no candidates. Shorter
 quotes are looked up by runs of their own length class (16, 8, 4, 2 or 1 bytes), all kept. Pairs that share a seed, and a key if there is one, are
-confirmed by an exact substring test; nothing passes through the driver, and texts are scanned once whatever the number of quotes.
+confirmed by an exact substring test; nothing passes through the driver, and texts are scanned once whatever the number of quotes. Under a key of
+few quotes the exact test alone is less work: such keys join directly, and texts of other keys give stretches of their own quotes' levels only.
 
 Defined cases: null or empty quotes and null texts meet nothing; repeated rows are one pair; quotes that no text can hold are dropped before the join.
 """
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from lodestone.operators.shared import removed, written
 
 GRAM, SPAN = 16, 12
+FEW = 16  # quotes of a key that are searched for one by one
 LEVELS = ((16, 12, 27), (16, 1, 16), (8, 1, 8), (4, 1, 4), (2, 1, 2), (1, 1, 1))  # gram, span, least length of a quote
 
 
@@ -80,11 +82,23 @@ def contained(texts: DataFrame, quotes: DataFrame, key: str | None = None, norm:
     level = F.lit(len(LEVELS) - 1)
     for k in range(len(LEVELS) - 2, -1, -1):
         level = F.when(size >= LEVELS[k][2], k).otherwise(level)
-    q = written(q.withColumn("_levels", F.array(level.cast("int"))))
+    if key:  # a key of few quotes needs no seeds: each of its texts is searched for each of them
+        few = q.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        q = written(q.join(few, key).withColumn("_levels", F.array(level.cast("int"))))
+        pool = texts.filter("body IS NOT NULL")
+        near = q.filter(F.col("_n") <= FEW)
+        direct = pool.select("text_id", norm(F.col("body")).alias("body"), key).join(near.select("quote_id", "quote", key), key).filter(F.contains("body", "quote")).select("text_id", "quote_id").distinct()
+        q = q.filter(F.col("_n") > FEW).drop("_n")
+        texts = pool.join(q.groupBy(key).agg(F.array_sort(F.collect_set(F.col("_levels")[0])).alias("_levels")), key)
+    else:
+        direct, q = None, written(q.withColumn("_levels", F.array(level.cast("int"))))
     have = q.select(F.explode("_levels").alias("k")).distinct()
     levels = sorted(r["k"] for r in have.collect())  # six values at most
+    if not levels and direct is not None:
+        return direct
     wanted = _stretches(q, ["quote_id", *keys], "quote", "_levels")
-    seen = _stretches(texts.filter("body IS NOT NULL").withColumn("body", norm(F.col("body"))).withColumn("_levels", F.array(*map(F.lit, levels)).cast("array<int>")), ["text_id", *keys], "body", "_levels") if levels else None
+    asked_levels = F.col("_levels") if key else F.array(*map(F.lit, levels)).cast("array<int>")
+    seen = _stretches(texts.filter("body IS NOT NULL").withColumn("body", norm(F.col("body"))).withColumn("_levels", asked_levels), ["text_id", *keys], "body", "_levels") if levels else None
     if seen is None:
         removed(q)
         return texts.select("text_id").limit(0).crossJoin(quotes.select("quote_id").limit(0))
@@ -100,4 +114,5 @@ def contained(texts: DataFrame, quotes: DataFrame, key: str | None = None, norm:
     bodies = texts.select("text_id", "body", *keys).filter("body IS NOT NULL").join(pairs.select("text_id", *keys).distinct(), ["text_id", *keys], "left_semi").withColumn("body", norm(F.col("body")))
     both = pairs.join(q.select("quote_id", "quote", *keys), ["quote_id", *keys]).join(bodies, ["text_id", *keys])
     removed(wanted, hits)
-    return both.filter(F.contains("body", "quote")).select("text_id", "quote_id").distinct()
+    found = both.filter(F.contains("body", "quote")).select("text_id", "quote_id").distinct()
+    return found if direct is None else found.unionByName(direct).distinct()
