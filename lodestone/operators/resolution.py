@@ -132,20 +132,43 @@ def programs(marked: DataFrame, taken: DataFrame, has_reference: bool = False) -
 def unique_names(wanted: DataFrame, taken: DataFrame) -> DataFrame:
     """(cluster, program_id): in `order` each cluster takes its base, or the first base-2, base-3 ... that is free. wanted: cluster, base, order (a struct); taken: name.
 
-    Names can only collide if they are equal without their ending numbers; clusters of one such root are few and are named in turn, roots independently."""
-    root = lambda c: F.regexp_replace(F.lower(F.col(c)), r"(-[0-9]+)+$", "")
-    held = taken.filter("name IS NOT NULL").groupBy(root("name").alias("_root")).agg(F.collect_set(F.lower("name")).alias("_taken"))
-    turns = wanted.groupBy(root("base").alias("_root")).agg(F.array_sort(F.collect_list(F.struct("order", "cluster", "base"))).alias("_w")).join(held, "_root", "left")
-    kind = dict(wanted.dtypes)["cluster"]
-    zero = F.struct(F.coalesce("_taken", F.array().cast("array<string>")).alias("held"), F.array().cast(f"array<struct<cluster:{kind},program_id:string>>").alias("out"))
-
-    def step(a: Column, w: Column) -> Column:
-        numbers = F.sequence(F.lit(2), F.size(a["held"]) + 2)  # one of so many is free
-        offers = F.concat(F.array(w["base"]), F.transform(numbers, lambda n: F.concat(w["base"], F.lit("-"), n.cast("string"))))
-        name = F.get(F.filter(offers, lambda o: ~F.array_contains(a["held"], F.lower(o))), F.lit(0))
-        return F.struct(F.array_append(a["held"], F.lower(name)).alias("held"), F.array_append(a["out"], F.struct(w["cluster"].alias("cluster"), name.alias("program_id"))).alias("out"))
-
-    return turns.select(F.explode(F.aggregate("_w", zero, step)["out"]).alias("o")).select("o.*")
+    Names can only collide if they are equal without their ending numbers, so roots are independent. A root's clusters stream by in order; what is kept of a root is its taken names and one number
+    per distinct base: the numbers of a base only grow, so all below its next one are held."""
+    root = lambda c: F.regexp_replace(c, r"(-[0-9]+)+$", "")
+    kinds = dict(wanted.dtypes)
+    held = taken.filter("name IS NOT NULL").select(root(F.lower("name")).alias("_root"), F.lit(0).alias("_late"), F.lit(None).cast(kinds["order"]).alias("order"), F.lit(None).cast(kinds["cluster"]).alias("cluster"), F.lit(None).cast("string").alias("base"), F.lower("name").alias("_low"))
+    turns = wanted.select(root(F.lower("base")).alias("_root"), F.lit(1).alias("_late"), "order", "cluster", "base", F.lower("base").alias("_low"))
+    rows = turns.unionByName(held.join(turns.select("_root").distinct(), "_root", "left_semi")).repartition("_root").sortWithinPartitions("_root", "_late", "order", "cluster", "base")
+
+    def run(batches):
+        import pyarrow as pa
+
+        now, names, following = None, set(), {}
+        for b in batches:
+            at, out = [], []
+            for i, (r, late, base, low) in enumerate(zip(*(b.column(k).to_pylist() for k in range(4)))):
+                if r != now:
+                    now, names, following = r, set(), {}
+                if not late:
+                    names.add(low)
+                    continue
+                at.append(i)
+                if base is None:
+                    out.append(None)
+                    continue
+                n = following.get(low)
+                if n is None:
+                    over, _, last = low.rpartition("-")
+                    own = over and len(last) < 16 and last.isascii() and last.isdigit() and last[0] != "0" and 2 <= int(last) < following.get(over, 0)  # the shorter base came by here
+                    n = 2 if own or low in names else 1
+                    names.add(low)
+                while n > 1 and f"{low}-{n}" in names:
+                    n += 1
+                out.append(base if n == 1 else f"{base}-{n}")
+                following[low] = n + 1
+            yield pa.RecordBatch.from_arrays([b.column(4).take(pa.array(at, pa.int64())), pa.array(out, pa.string())], ["cluster", "program_id"])
+
+    return rows.select("_root", "_late", "base", "_low", "cluster").mapInArrow(run, f"cluster {kinds['cluster']}, program_id string")
 
 
 def agency_names(marked: DataFrame) -> DataFrame:
