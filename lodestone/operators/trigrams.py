@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 SYMBOLS = 27
 SIZE = SYMBOLS**3
 WINDOW = 20
+HELD = 1 << 18  # trigrams that are counted together
 
 
 def letters(text: Column) -> Column:
@@ -32,10 +33,16 @@ def counts(docs: DataFrame) -> DataFrame:
     def run(batches):
         import pyarrow as pa
 
-        total = np.zeros(SIZE, np.int64)
+        total, some, held = np.zeros(SIZE, np.int64), [], 0
         for b in batches:
             for s in b.column(0):
-                total += np.bincount(codes(s.as_py()), minlength=SIZE)
+                some.append(codes(s.as_py()))
+                held += len(some[-1])
+                if held > HELD:  # short texts are counted together
+                    total += np.bincount(np.concatenate(some), minlength=SIZE)
+                    some, held = [], 0
+        if some:
+            total += np.bincount(np.concatenate(some), minlength=SIZE)
         found = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["code", "n"])
 
