@@ -10,6 +10,7 @@ Defined cases: documents without a shingle are classes of their own with no link
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,12 +18,49 @@ from pyspark.sql import functions as F
 from lodestone.operators.shared import removed, written
 
 
+def mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def run_hashes(text: bytes, k: int) -> np.ndarray:
+    """Distinct hashes of the k-word runs of a lower-case text; words are runs of three and more of a to z."""
+    x = np.frombuffer(text, np.uint8)
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], (x >= 97) & (x <= 122), [False]]).astype(np.int8)))
+    start, end = edge[::2], edge[1::2]
+    long = end - start >= 3
+    start, end = start[long], end[long]
+    if len(start) < k:
+        return np.zeros(0, np.int64)
+    size = end - start
+    h, some = np.zeros(len(start), np.uint64), np.arange(len(start))
+    for j in range(size.max()):  # a letter of every word that has one there
+        some = some[size[some] > j]
+        h[some] = mixed(h[some] * np.uint64(31) + x[start[some] + j])
+    run = h[: len(h) - k + 1]
+    for j in range(1, k):
+        run = mixed(run + np.uint64(0x9E3779B97F4A7C15)) + h[j : len(h) - k + 1 + j]
+    return np.unique(mixed(run)).view(np.int64)
+
+
 def shingles(docs: DataFrame, k: int = 5) -> DataFrame:
-    """(lang, doc_id, sh): distinct hashes of k-word runs of [a-z]{3,} words; windows over exploded words, so no expression is evaluated per element."""
-    words = docs.select("lang", "doc_id", F.posexplode(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{3,})"))).alias("i", "w"))
-    w = W.partitionBy("doc_id").orderBy("i")
-    runs = words.select("lang", "doc_id", F.concat_ws(" ", "w", *[F.lead("w", j).over(w) for j in range(1, k)]).alias("run"), F.lead("w", k - 1).over(w).alias("last"))
-    return runs.filter("last IS NOT NULL").select("lang", "doc_id", F.xxhash64("run").alias("sh")).distinct()
+    """(lang, doc_id, sh): distinct hashes of k-word runs of [a-z]{3,} words, found text by text; only repeated doc_ids are brought together."""
+    kinds = dict(docs.dtypes)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for i in range(0, b.num_rows, 64):
+                part = b.slice(i, 64)
+                found = [run_hashes(x, k) for x in part.column(2).to_pylist()]
+                at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(1).take(at), pa.array(np.concatenate(found))], ["lang", "doc_id", "sh"])
+
+    texts = docs.filter("text IS NOT NULL").select("lang", "doc_id", F.encode(F.lower("text"), "UTF-8").alias("t"))
+    found = texts.mapInArrow(run, f"lang {kinds['lang']}, doc_id {kinds['doc_id']}, sh long")
+    return found if docs.groupBy("doc_id").count().filter("count > 1").isEmpty() else found.distinct()
 
 
 def classes(sets: DataFrame, order: DataFrame | None = None) -> DataFrame:
@@ -35,19 +73,23 @@ def classes(sets: DataFrame, order: DataFrame | None = None) -> DataFrame:
 
 
 def links(sets: DataFrame, threshold: float = 0.6) -> DataFrame:
-    """(lang, a, b, jaccard): pairs of different sets of one language with a Jaccard of at least threshold, a < b. sets: lang, doc_id, sh, one document per distinct set."""
-    counts = sets.groupBy("lang", "sh").agg(F.count(F.lit(1)).alias("c"))
+    """(lang, a, b, jaccard): pairs, written, of different sets of one language with a Jaccard of at least threshold, a < b. sets: lang, doc_id, sh, one document per distinct set."""
+    shared = sets.groupBy("lang", "sh").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")  # all others come first in a set's order and meet nothing
     sizes = sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    own = W.partitionBy("doc_id").orderBy("c", "sh")
-    placed = sets.join(counts, ["lang", "sh"]).join(sizes, "doc_id").withColumn("r", F.row_number().over(own))
-    prefix = placed.filter((F.col("c") > 1) & (F.col("r") <= F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1)).select("lang", "sh", "doc_id", "n")
+    some = written(sets.join(shared, ["lang", "sh"]))
+    own = W.partitionBy("doc_id")
+    placed = some.join(sizes, "doc_id").withColumn("r", F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("c", "sh")))
+    prefix = placed.filter(F.col("r") <= F.col("n") - F.ceil(threshold * F.col("n") - 1e-9) + 1).select("lang", "sh", "doc_id", "n")
     a, b = prefix.select("lang", "sh", F.col("doc_id").alias("a"), F.col("n").alias("x")), prefix.select("lang", "sh", F.col("doc_id").alias("b"), F.col("n").alias("y"))
-    near = a.join(b, ["lang", "sh"]).filter((F.col("a") < F.col("b")) & (F.least("x", "y") >= threshold * F.greatest("x", "y"))).select("lang", "a", "b", "x", "y").distinct()
-    whole = sets.groupBy("doc_id").agg(F.collect_list("sh").alias("set"))  # no larger than the document
+    near = written(a.join(b, ["lang", "sh"]).filter((F.col("a") < F.col("b")) & (F.least("x", "y") >= threshold * F.greatest("x", "y"))).select("lang", "a", "b", "x", "y").distinct())
+    ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
+    whole = some.join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.collect_list("sh").alias("set"))  # no larger than the document
     met = near.join(whole.select(F.col("doc_id").alias("a"), F.col("set").alias("p")), "a").join(whole.select(F.col("doc_id").alias("b"), F.col("set").alias("q")), "b")
     sized = met.withColumn("both", F.size(F.array_intersect("p", "q")))
     union = F.col("x") + F.col("y") - F.col("both")
-    return sized.filter(F.col("both") >= threshold * union).select("lang", "a", "b", F.round(F.col("both") / union, 9).alias("jaccard"))
+    found = written(sized.filter(F.col("both") >= threshold * union).select("lang", "a", "b", F.round(F.col("both") / union, 9).alias("jaccard")))
+    removed(some, near)
+    return found
 
 
 def near_classes(docs: DataFrame, threshold: float = 0.6, order: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
@@ -57,7 +99,7 @@ def near_classes(docs: DataFrame, threshold: float = 0.6, order: DataFrame | Non
     sets = written(shingles(docs))
     of = written(classes(sets, order))
     reps = of.filter("doc_id = rep").select("lang", "doc_id").distinct()
-    between = written(links(sets.join(reps, ["lang", "doc_id"], "left_semi"), threshold))
+    between = links(sets.join(reps, ["lang", "doc_id"], "left_semi"), threshold)
     every = docs.select("doc_id").distinct().join(of.select("doc_id", "rep", "n"), "doc_id", "left").select("doc_id", F.coalesce("rep", "doc_id").alias("rep"), F.coalesce("n", F.lit(0)).alias("n"))
     member = written(every)
     removed(sets, of)
