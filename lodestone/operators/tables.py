@@ -82,21 +82,21 @@ def markdown(caption: Column, names: Column, rows: Column, notes: Column) -> Col
 
 def row_lines(caption: Column, grid: Column, n_head: Column, names: Column) -> Column:
     """array<struct<r, line>>: `caption / group / label: column=value; ...` per data row. A row with its first cell alone names the group of those below."""
-    rows = F.transform(grid, lambda row, r: F.struct(r.alias("r"), row.alias("v")))
-    data = F.filter(rows, lambda x: (x["r"] >= n_head) & F.exists(x["v"], lambda c: c != ""))
-
     def pairs(v: Column) -> Column:
         rest = F.slice(v, 2, F.greatest(F.size(v) - 1, F.lit(0)))
         named = F.transform(rest, lambda c, k: F.when(c != "", F.concat(F.coalesce(F.nullif(F.get(names, k + 1), F.lit("")), F.concat(F.lit("col"), (k + 2).cast("string"))), F.lit("="), c)))
         return F.array_compact(named)
 
+    rows = F.transform(grid, lambda row, r: F.struct(r.alias("r"), row.alias("v"), pairs(row).alias("p")))
+    data = F.filter(rows, lambda x: (x["r"] >= n_head) & F.exists(x["v"], lambda c: c != ""))
+
     def step(acc, x):
         label = F.get(x["v"], F.lit(0))
         rest = F.slice(x["v"], 2, F.greatest(F.size(x["v"]) - 1, F.lit(0)))
         group = (label != "") & ~F.exists(rest, lambda c: (c != "") & (c != label))
         lead = F.array_join(F.filter(F.array(caption, acc["group"], label), lambda s: s != ""), " / ")
-        line = F.struct(x["r"].alias("r"), F.concat(lead, F.lit(": "), F.array_join(pairs(x["v"]), "; ")).alias("line"))
-        more = F.when(F.size(pairs(x["v"])) > 0, F.array_append(acc["out"], line)).otherwise(acc["out"])
+        line = F.struct(x["r"].alias("r"), F.concat(lead, F.lit(": "), F.array_join(x["p"], "; ")).alias("line"))
+        more = F.when(F.size(x["p"]) > 0, F.array_append(acc["out"], line)).otherwise(acc["out"])
         return F.when(group, F.struct(label.alias("group"), acc["out"].alias("out"))).otherwise(F.struct(acc["group"].alias("group"), more.alias("out")))
 
     start = F.struct(F.lit("").alias("group"), F.array().cast("array<struct<r:int,line:string>>").alias("out"))

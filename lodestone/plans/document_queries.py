@@ -131,19 +131,20 @@ def _cells(spark, d):
 
     l = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias("f"), "l_linenumber", "l_partkey", F.col("l_quantity").cast("int").alias("q"), "l_suppkey", "l_quantity")
     li = l.withColumn("n", F.row_number().over(W.partitionBy("k").orderBy("f", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"))).withColumn("g", F.dense_rank().over(W.partitionBy("k").orderBy("f")))
+    li = li.withColumn("fresh", F.coalesce(F.lag("f").over(W.partitionBy("k").orderBy("f", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")) != F.col("f"), F.lit(True)))
     r = F.col("n") + F.col("g") + 1  # two header rows, a label row per group
     cell = lambda r, c, text, cs=1: F.struct(r.cast("int").alias("r"), F.lit(c).alias("c"), F.lit(1).alias("rs"), F.lit(cs).alias("cs"), text.alias("text"), F.lit(False).alias("header"))
-    rows = li.select("k", F.explode(F.array(cell(r, 0, F.concat(F.lit("part "), F.col("l_partkey").cast("string"))), cell(r, 1, F.col("q").cast("string")), cell(r, 2, F.col("l_suppkey").cast("string")))).alias("x"))
-    groups = li.groupBy("k", "f", "g").agg(F.min("n").alias("n")).select("k", cell(F.col("n") + F.col("g"), 0, F.concat(F.lit("flag "), "f")).alias("x"))
-    head = li.select("k").distinct().select("k", F.explode(F.array(cell(F.lit(0), 0, F.lit("Item")), cell(F.lit(0), 1, F.lit("Amounts"), 2), cell(F.lit(1), 1, F.lit("Count")), cell(F.lit(1), 2, F.lit("From")))).alias("x"))
-    every = rows.unionByName(groups).unionByName(head).select("k", "x.*")
+    row = F.array(cell(r, 0, F.concat(F.lit("part "), F.col("l_partkey").cast("string"))), cell(r, 1, F.col("q").cast("string")), cell(r, 2, F.col("l_suppkey").cast("string")))
+    label = F.array(cell(F.col("n") + F.col("g"), 0, F.concat(F.lit("flag "), "f")))
+    head = F.array(cell(F.lit(0), 0, F.lit("Item")), cell(F.lit(0), 1, F.lit("Amounts"), 2), cell(F.lit(1), 1, F.lit("Count")), cell(F.lit(1), 2, F.lit("From")))
+    every = li.select("k", F.explode(F.concat(row, F.when(F.col("fresh"), label).otherwise(F.slice(label, 1, 0)), F.when(F.col("n") == 1, head).otherwise(F.slice(head, 1, 0)))).alias("x")).select("k", "x.*")
     return every.withColumn("pos", F.col("r") * 10 + F.col("c"))
 
 
 @query(f"""WITH {_ROWS} SELECT li.k, (n + g - 1 + 2)::INT AS r, 'flag ' || li.f || ' / part ' || l_partkey || ': Amounts / Count=' || q || '; Amounts / From=' || l_suppkey AS line FROM li JOIN gl USING (k, f)""")
 def table_row_lines(spark, d):
-    g = T.grids(_cells(spark, d), "k")
-    names = T.column_names(F.col("grid"), F.col("n_head"))
+    g = T.grids(_cells(spark, d), "k").withColumn("_names", T.column_names(F.col("grid"), F.col("n_head")))
+    names = F.col("_names")
     return g.select("k", F.explode(T.row_lines(F.lit(""), F.col("grid"), F.col("n_head"), names)).alias("x")).select("k", "x.r", "x.line")
 
 
@@ -156,8 +157,8 @@ def table_grids(spark, d):
 @query(f"""WITH {_ROWS}, x AS (SELECT li.k, n + g + 1 AS r, '| part ' || l_partkey || ' | ' || q || ' | ' || l_suppkey || ' |' AS md FROM li JOIN gl USING (k, f) UNION ALL SELECT k, first + g, '| flag ' || f || ' |  |  |' FROM gl)
 SELECT k, 'Order ' || k || chr(10) || '| Item | Amounts / Count | Amounts / From |' || chr(10) || '| --- | --- | --- |' || chr(10) || string_agg(md, chr(10) ORDER BY r) || chr(10) || 'note' AS text FROM x GROUP BY k""")
 def table_markdown(spark, d):
-    g = T.grids(_cells(spark, d), "k")
-    names = T.column_names(F.col("grid"), F.col("n_head"))
+    g = T.grids(_cells(spark, d), "k").withColumn("_names", T.column_names(F.col("grid"), F.col("n_head")))
+    names = F.col("_names")
     rows = F.slice(F.col("grid"), F.col("n_head") + 1, F.size("grid") - F.col("n_head"))
     return g.select("k", T.markdown(F.concat(F.lit("Order "), F.col("k").cast("string")), names, rows, F.array(F.lit("note"))).alias("text"))
 
@@ -167,8 +168,8 @@ o AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY r) AS i FROM x), f AS
  UNION ALL SELECT o.k, o.i, CASE WHEN (f.size + 1 + o.len + 3) // 4 > 50 THEN 70 + length(o.k::VARCHAR) + 1 + o.len ELSE f.size + 1 + o.len END, f.part + CASE WHEN (f.size + 1 + o.len + 3) // 4 > 50 THEN 1 ELSE 0 END FROM f JOIN o ON o.k = f.k AND o.i = f.i + 1)
 SELECT k, part, count(*) AS n_rows FROM f GROUP BY 1, 2""")
 def table_row_groups(spark, d):
-    g = T.grids(_cells(spark, d), "k")
-    names = T.column_names(F.col("grid"), F.col("n_head"))
+    g = T.grids(_cells(spark, d), "k").withColumn("_names", T.column_names(F.col("grid"), F.col("n_head")))
+    names = F.col("_names")
     parts = T.row_groups(F.concat(F.lit("Order "), F.col("k").cast("string")), F.col("grid"), F.col("n_head"), names, F.array().cast("array<string>"), 50)
     return g.select("k", F.posexplode(parts).alias("part", "text")).select("k", "part", (F.size(F.split("text", "\n")) - 3).cast("long").alias("n_rows"))
 
