@@ -23,13 +23,15 @@ def let(value: Column, body) -> Column:
 def grids(cells: DataFrame, key: str) -> DataFrame:
     """(key, grid, n_head): cells (key, pos, r, c, rs, cs, text, header) spread over the places they span; of several cells of one place the first with text counts."""
     clean = cells.withColumn("text", F.trim(F.regexp_replace("text", r"(?U)\s+", " ")))
-    size = clean.groupBy(key).agg(F.max(F.col("r") + F.col("rs")).alias("_rows"), F.max(F.col("c") + F.col("cs")).alias("_cols"), F.array_sort(F.collect_set(F.when(F.col("header"), F.col("r")))).alias("_flags"))
-    spread = clean.withColumn("_r", F.explode(F.sequence(F.col("r"), F.col("r") + F.col("rs") - 1))).withColumn("_c", F.explode(F.sequence(F.col("c"), F.col("c") + F.col("cs") - 1)))
-    place = spread.filter("text != ''").groupBy(key, "_r", "_c").agg(F.min_by("text", "pos").alias("text"))
-    filled = place.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(",", F.col("_r").cast("string"), F.col("_c").cast("string")), F.col("text")))).alias("_m"))
-    j = size.join(filled, key, "left").withColumn("_m", F.coalesce("_m", F.create_map().cast("map<string,string>")))
-    at = lambda r, c: F.coalesce(F.try_element_at("_m", F.concat_ws(",", r.cast("string"), c.cast("string"))), F.lit(""))
-    grid = F.transform(F.sequence(F.lit(0), F.col("_rows") - 1), lambda r: F.transform(F.sequence(F.lit(0), F.col("_cols") - 1), lambda c: at(r, c)))
+    spread = clean.repartition(key).withColumn("_r", F.explode(F.sequence(F.col("r"), F.col("r") + F.col("rs") - 1))).withColumn("_c", F.explode(F.sequence(F.col("c"), F.col("c") + F.col("cs") - 1)))
+    # Places, rows and tables are grouped in turn without another shuffle: each key is a part of the next finer one.
+    said = F.col("text") != ""
+    place = spread.groupBy(key, "_r", "_c").agg(F.min_by("text", F.when(said, F.col("pos"))).alias("text"), F.max(F.col("r") + F.col("rs")).alias("_rows"), F.max(F.col("c") + F.col("cs")).alias("_cols"), F.collect_set(F.when(F.col("header"), F.col("r"))).alias("_some"))
+    line = place.groupBy(key, "_r").agg(F.collect_list(F.when(F.col("text").isNotNull(), F.struct("_c", "text"))).alias("_t"), F.max("_rows").alias("_rows"), F.max("_cols").alias("_cols"), F.flatten(F.collect_list("_some")).alias("_some"))
+    j = line.groupBy(key).agg(F.collect_list(F.struct("_r", "_t")).alias("_l"), F.max("_rows").alias("_rows"), F.max("_cols").alias("_cols"), F.array_distinct(F.flatten(F.collect_list("_some"))).alias("_flags"))
+    columns = F.sequence(F.lit(0), F.col("_cols") - 1)
+    of_row = lambda cells: F.transform(columns, lambda c: F.coalesce(F.get(F.filter(cells, lambda x: x["_c"] == c), F.lit(0))["text"], F.lit("")))
+    grid = F.transform(F.sequence(F.lit(0), F.col("_rows") - 1), lambda r: of_row(F.coalesce(F.get(F.filter("_l", lambda x: x["_r"] == r), F.lit(0))["_t"], F.slice(F.get("_l", F.lit(0))["_t"], 1, 0))))
     flagged = F.aggregate(F.sequence(F.lit(0), F.col("_rows") - 1), F.lit(0), lambda n, r: F.when((n == r) & F.array_contains("_flags", r) & (r < F.col("_rows") - 1), n + 1).otherwise(n))
     found = j.withColumn("grid", grid).withColumn("_f", flagged)
     found = found.withColumn("n_head", F.greatest("_f", inferred_head(F.col("grid"))))
