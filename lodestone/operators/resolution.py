@@ -14,15 +14,19 @@ from lodestone.functions import text as X
 from lodestone.operators.relational import components, latest
 
 LEAST_PREFIX, LEAST_SIMILAR = 5, 7  # fixed values
+MOST_ALIASES = 100_000  # aliases that are broadcast
 
 
 def name_matches(names: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Rows of names (key columns and `name`) joined to the aliases (`alias` and more columns) they match; both raw."""
+    """Rows of names (key columns and `name`) joined to the aliases (`alias` and more columns) they match; both raw.
+
+    A name's beginnings are many times the table it comes from, which a plan's estimate does not see: they are never the side that is broadcast."""
     offered = names.withColumn("_n", X.norm_name(F.col("name"))).filter("_n != ''")
     beginnings = F.transform(F.sequence(F.lit(LEAST_PREFIX), F.length("_n")), lambda k: F.substring(F.col("_n"), F.lit(1), k))
     probes = F.when(F.length("_n") >= LEAST_PREFIX, beginnings).otherwise(F.array("_n"))
     known = aliases.withColumn("_a", X.norm_name(F.col("alias"))).filter("_a != ''")
-    return offered.withColumn("_a", F.explode(probes)).join(known, "_a").drop("_a", "_n").distinct()
+    few = F.broadcast(known) if known.limit(MOST_ALIASES + 1).count() <= MOST_ALIASES else known
+    return offered.withColumn("_a", F.explode(probes)).hint("merge").join(few, "_a").drop("_a", "_n").distinct()
 
 
 def match_programs(registrations: DataFrame, aliases: DataFrame) -> DataFrame:
