@@ -15,6 +15,7 @@ from lodestone.operators.relational import components, latest
 
 LEAST_PREFIX, LEAST_SIMILAR = 5, 7  # fixed values
 MOST_ALIASES = 100_000  # aliases that are broadcast
+BLOCK, TASK_PAIRS = 1024, 4_000_000  # ids of one name that meet others together; pairs of a task
 
 
 def name_matches(names: DataFrame, aliases: DataFrame) -> DataFrame:
@@ -56,17 +57,33 @@ def kept_rows(rows: DataFrame, aliases: DataFrame, synonyms: list[str], product_
 def similar_names(names: DataFrame) -> DataFrame:
     """(a, b) of different names (id, name): equal length of seven and more, one letter apart, or up to three with the same first three letters.
 
+    Distinct names are compared (`name_links`); the ids of a name, dealt into blocks, meet those of the names linked with it block by block, so neither a task nor a key
+    holds all pairs of a common name."""
+    ids = names.filter(F.length("name") >= LEAST_SIMILAR).select("name", "id").distinct()
+    held = ids.groupBy("name").agg(F.count(F.lit(1)).alias("_n"))
+    spread = F.pmod(F.xxhash64("id"), F.ceil(F.col("_n") / BLOCK).cast("long"))
+    blocks = ids.join(held, "name").groupBy("name", spread.alias("_b")).agg(F.collect_list("id").alias("_ids"))
+    links = name_links(ids.select("name"))
+    pairs = links.join(held.select(F.col("name").alias("x"), F.col("_n").cast("double").alias("_nx")), "x").join(held.select(F.col("name").alias("y"), F.col("_n").alias("_ny")), "y").agg(F.sum(F.col("_nx") * F.col("_ny"))).head()[0]
+    x, y = blocks.select(F.col("name").alias("x"), F.col("_b").alias("_bx"), F.col("_ids").alias("_ix")), blocks.select(F.col("name").alias("y"), F.col("_b").alias("_by"), F.col("_ids").alias("_iy"))
+    met = links.join(x, "x").join(y, "y").repartition(int((pairs or 0) // TASK_PAIRS) + 1, "x", "y", "_bx", "_by")
+    each = met.withColumn("_i", F.explode("_ix")).select("_iy", "_i").withColumn("_j", F.explode("_iy")).filter("_i != _j")
+    return each.select(F.least("_i", "_j").alias("a"), F.greatest("_i", "_j").alias("b"))
+
+
+def name_links(names: DataFrame) -> DataFrame:
+    """(x, y), x before y: the similar ones of distinct names (column `name`).
+
     One letter apart: both share a variant with the letter at one place left out, so variants join by equality. Same beginning: length and
     first three letters are the key."""
-    long = names.filter(F.length("name") >= LEAST_SIMILAR).select("id", "name")
+    long = names.filter(F.length("name") >= LEAST_SIMILAR).select("name").distinct()
     places = F.sequence(F.lit(1), F.length("name"))
     variants = F.transform(places, lambda i: F.concat(i.cast("string"), F.lit(":"), F.substring("name", F.lit(1), i - 1), F.lit("_"), F.substring("name", i + 1, F.length("name"))))
     begins = F.concat(F.lit("p:"), F.length("name").cast("string"), F.lit(":"), F.substring("name", 1, 3))
     keyed = long.withColumn("_k", F.explode(F.array_append(variants, begins)))
-    a, b = keyed.select(F.col("id").alias("a"), F.col("name").alias("x"), "_k"), keyed.select(F.col("id").alias("b"), F.col("name").alias("y"), "_k")
-    met = a.join(b, "_k").filter((F.col("a") < F.col("b")) & (F.length("x") == F.length("y")) & (F.col("x") != F.col("y"))).select("a", "b", "x", "y").distinct()
+    met = keyed.select(F.col("name").alias("x"), "_k").join(keyed.select(F.col("name").alias("y"), "_k"), "_k").filter((F.col("x") < F.col("y")) & (F.length("x") == F.length("y"))).select("x", "y").distinct()
     d = F.levenshtein("x", "y")
-    return met.filter((d <= 1) | ((d <= 3) & (F.substring("x", 1, 3) == F.substring("y", 1, 3)))).select("a", "b")
+    return met.filter((d <= 1) | ((d <= 3) & (F.substring("x", 1, 3) == F.substring("y", 1, 3))))
 
 
 def chains(rows: DataFrame, key: list[str], rule: str) -> DataFrame:
