@@ -99,9 +99,10 @@ def first_links(registrations: DataFrame) -> DataFrame:
     same = chains(r.filter("name != ''"), ["name"], "same_brand")
     one_each = free.filter("agency = 'ema' AND who != ''").groupBy("who", F.when(F.col("name") == "", F.col("id").cast("string")).otherwise(F.col("name")).alias("_as")).agg(F.min("id").alias("id"))
     holder = chains(one_each, ["who"], "same_holder")  # equal names have met already
-    agency = free.select("id", "agency")
-    close = similar_names(free.select("id", "name")).join(agency.select(F.col("id").alias("a"), F.col("agency").alias("_x")), "a").join(agency.select(F.col("id").alias("b"), F.col("agency").alias("_y")), "b")
-    return same.unionByName(holder).unionByName(close.filter("_x != _y").select("a", "b", F.lit("similar_name").alias("rule")))
+    # Equal names have met: one registration of each name and agency stands for all of them.
+    some = free.filter(F.length("name") >= LEAST_SIMILAR).groupBy("name", "agency").agg(F.min("id").alias("id"))
+    close = name_links(some.select("name")).join(some.select(F.col("name").alias("x"), F.col("agency").alias("_x"), F.col("id").alias("_i")), "x").join(some.select(F.col("name").alias("y"), F.col("agency").alias("_y"), F.col("id").alias("_j")), "y")
+    return same.unionByName(holder).unionByName(close.filter("_x != _y").select(F.least("_i", "_j").alias("a"), F.greatest("_i", "_j").alias("b"), F.lit("similar_name").alias("rule")))
 
 
 def labelled(registrations: DataFrame, links: DataFrame) -> DataFrame:
