@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lodestone.operators.shared import removed, written
+from lodestone.operators.shared import removed, task_count, written
 
 
 def latest(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -70,10 +72,14 @@ def multiset_overlap(left: DataFrame, right: DataFrame, keys: list[str], value:
 
 def multisets_equal(export: DataFrame, stored: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Per key the counts of both sides and whether their multisets of values agree: equal, differs, missing (nothing stored) or not exported."""
-    e, s = (d.groupBy(*keys, value).agg(F.count(F.lit(1)).alias(n)) for d, n in ((export, "_e"), (stored, "_s")))
-    same = F.bool_and(F.col("_e").eqNullSafe(F.col("_s")))
-    state = F.when(F.count("_s") == 0, "missing").when(F.count("_e") == 0, "not exported").when(same, "equal").otherwise("differs")
-    return e.join(s, [*keys, value], "full_outer").groupBy(*keys).agg(F.coalesce(F.sum("_e"), F.lit(0)).alias("n_export"), F.coalesce(F.sum("_s"), F.lit(0)).alias("n_stored"), state.alias("state"))
+    on = [*keys, value]
+    alone = reduce(lambda x, y: x | y, [F.col(c).isNull() for c in on])  # nulls are equal to nothing, so each side keeps its own
+    sides = [d.select(*on, F.when(alone, F.lit(k)).alias("_alone"), F.lit(int(k == 0)).alias("_e"), F.lit(int(k == 1)).alias("_s")) for k, d in enumerate((export, stored))]
+    both = sides[0].unionByName(sides[1])
+    each = both.repartition(task_count(both.count()), *on).groupBy(*on, "_alone").agg(F.sum("_e").alias("_e"), F.sum("_s").alias("_s"))
+    n_export, n_stored = F.sum("_e"), F.sum("_s")
+    state = F.when(n_stored == 0, "missing").when(n_export == 0, "not exported").when(F.bool_and(F.col("_e") == F.col("_s")), "equal").otherwise("differs")
+    return each.groupBy(*keys).agg(n_export.alias("n_export"), n_stored.alias("n_stored"), state.alias("state"))
 
 
 def islands(df: DataFrame, keys: list[str], order: list[str], start: Column, name: str = "island") -> DataFrame:

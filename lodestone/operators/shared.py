@@ -7,6 +7,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+TASK_ROWS = 1_000_000  # rows that one task sorts or groups
+
+
+def task_count(rows: int) -> int:
+    """Partitions for so many rows, so that a task's memory does not grow with the input."""
+    return rows // TASK_ROWS + 1
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir; a temporary one in local mode only. A cluster must name one."""
