@@ -134,9 +134,16 @@ def hybrid(shortlist: DataFrame, sparse: DataFrame, k: int, score: Column) -> Da
     return both.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("search", "chunk_id", "score", "rank")
 
 
-def reranked(candidates: DataFrame, scores: DataFrame, k: int) -> DataFrame:
-    """The best k candidates (search, chunk_id, rank) by a second scorer's (search, chunk_id, score); equal scores keep their first order."""
-    j = candidates.withColumnRenamed("rank", "_was").drop("score").join(scores, ["search", "chunk_id"])
+def reranked(candidates: DataFrame, scores: DataFrame, k: int, parts: int | None = None) -> DataFrame:
+    """The best k candidates (search, chunk_id, rank) by a second scorer's (search, chunk_id, score); equal scores keep their first order.
+
+    parts: how many partitions hold the pairs, where the session's are too few for them."""
+    c, s = candidates.withColumnRenamed("rank", "_was").drop("score"), scores
+    if parts:
+        c, s = (d.repartition(parts, "search", "chunk_id") for d in (c, s))
+    j = c.join(s, ["search", "chunk_id"])
+    if parts:
+        j = j.repartition(parts, "search")
     w = W.partitionBy("search").orderBy(F.desc("score"), "_was")
     return j.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).drop("_was")
 
@@ -180,7 +187,12 @@ FILTERS = ["program_id", "agency", "guidance", "excluded", "doc_types", "label_s
 
 
 def visible(groups: DataFrame, filters: DataFrame) -> DataFrame:
-    """(fid, allow): the groups of chunks that each set of filters lets through.
+    """(fid, allow): the groups of chunks that each set of filters lets through, as one array; for many groups sum up `met_filters` instead."""
+    return unless_empty(met_filters(groups, filters), ["fid"], F.col("narrow")).groupBy("fid").agg(F.collect_set("g").alias("allow"))
+
+
+def met_filters(groups: DataFrame, filters: DataFrame) -> DataFrame:
+    """(fid, g, narrow): the groups of chunks that each set of filters lets through before its label sections narrow them, one row each. Where no group of a set is narrow, all count.
 
     Program and agency are equality joins. Sets that name neither are few (combinations of configured words) and meet all groups; they are broadcast after a count."""
     found = None
@@ -197,6 +209,6 @@ def visible(groups: DataFrame, filters: DataFrame) -> DataFrame:
         else:
             met = c.join(F.broadcast(s) if part.limit(MOST_FILTERS + 1).count() <= MOST_FILTERS else s, allowed())
         narrow = in_label_section(F.col("c.doc_type"), F.split(F.col("c._path"), "\x1f"), F.col("s.label_sections"))
-        rows = met.select(F.col("s.fid").alias("fid"), F.col("c.g").alias("g"), narrow.alias("_n"))
+        rows = met.select(F.col("s.fid").alias("fid"), F.col("c.g").alias("g"), narrow.alias("narrow"))
         found = rows if found is None else found.unionByName(rows)
-    return unless_empty(found, ["fid"], F.col("_n")).groupBy("fid").agg(F.collect_set("g").alias("allow"))
+    return found
