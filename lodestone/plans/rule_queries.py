@@ -15,6 +15,7 @@ from lodestone.operators import search as Q
 from lodestone.operators import selection as L
 from lodestone.operators import structure as S
 from lodestone.operators import tables as T
+from lodestone.operators.shared import task_count
 from lodestone.plans.retrieval_queries import t
 from lodestone.sources import agencies as A
 from lodestone.sources import stores as O
@@ -275,10 +276,12 @@ SELECT search, chunk_id, score, rank FROM (SELECT *, row_number() OVER (PARTITIO
 def rerank_order(spark, d):
     from pyspark.sql import Window as W
 
-    l = t(spark, d, "lineitem").withColumn("rank", F.row_number().over(W.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey")))
+    rows = t(spark, d, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_tax")
+    parts = task_count(rows.count())
+    l = rows.repartition(parts, "l_suppkey").withColumn("rank", F.row_number().over(W.partitionBy("l_suppkey").orderBy("l_orderkey", "l_linenumber", "l_partkey")))
     c = l.select(F.col("l_suppkey").alias("search"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("chunk_id"), "rank", F.round(F.col("l_tax") * 100).cast("long").alias("score"))
     u = c.groupBy("search", "chunk_id").agg(F.min("rank").alias("rank"), F.min_by("score", "rank").alias("score"))
-    return Q.reranked(u.select("search", "chunk_id", "rank"), u.select("search", "chunk_id", "score"), 10).select("search", "chunk_id", "score", "rank")
+    return Q.reranked(u.select("search", "chunk_id", "rank"), u.select("search", "chunk_id", "score"), 10, parts).select("search", "chunk_id", "score", "rank")
 
 
 _VERS = "v AS (SELECT o_custkey AS document_id, 'h' || (o_orderkey % 997) AS sha256, o_orderdate AS retrieved_at, o_orderkey AS id FROM orders), pr AS (SELECT l_orderkey * 10 + l_linenumber AS id, 'h' || (l_orderkey % 499) AS sha256, CASE WHEN l_suppkey % 2 = 0 THEN 'v2+a' ELSE 'v1+b' END AS engine, CASE WHEN l_orderkey % 499 % 5 = 1 THEN 'skipped' WHEN l_orderkey % 499 % 5 = 2 THEN 'failed' WHEN l_returnflag = 'R' THEN 'failed' ELSE 'ok' END AS status, 'why ' || l_linenumber AS reason, l_partkey FROM lineitem)"
