@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from lodestone.functions import text as X
+from lodestone.operators.shared import task_count
 
 #: Kinds of claims.
 KINDS = ["fact", "interpretation", "applicant_position", "regulator_position"]
@@ -67,18 +69,34 @@ def prompt_cost(blocks_: DataFrame, most_ids: int = 500) -> DataFrame:
 def prompt_pack(blocks_: DataFrame, questions: DataFrame, budget: int, overhead: int, most_ids: int = 500) -> DataFrame:
     """Blocks with `admitted` and a `reason` for those left out: products take turns, whole blocks only, within what the question, the instructions and the empty
     schema (`overhead`) leave of the budget; a block too large is passed over and later ones are still tried. questions: search, question."""
-    base = questions.select("search", (F.lit(overhead) + X.prompt_tokens(F.col("question"))).alias("_base"))
-    priced = prompt_cost(blocks_, most_ids).join(base, "search")
+    return within_budget(prompt_cost(blocks_, most_ids), questions, budget, overhead)
+
+
+def within_budget(priced: DataFrame, questions: DataFrame, budget: int, overhead: int) -> DataFrame:
+    """`prompt_pack` of blocks that have their `cost`; whoever needs no texts drops them before.
+
+    Blocks are dealt by search over as many partitions as they fill with a million each, sorted by turn and read in one stream that holds no more than what is used so far."""
+    base = questions.select("search", (F.lit(overhead) + X.prompt_tokens(F.col("question"))).cast("long").alias("_base"))
+    dealt = priced.repartition(task_count(priced.count()), "search").join(base, "search")
     # The question's own cost is a first item that always comes in: it is taken off by a budget per search.
-    turn = F.row_number().over(W.partitionBy("search").orderBy("_nth", "_met"))
-    product = F.coalesce("product", F.lit(""))
-    ordered = priced.withColumn("_met", F.min("first_rank").over(W.partitionBy("search", product))).withColumn("_nth", F.row_number().over(W.partitionBy("search", product).orderBy("first_rank"))).withColumn("turn", turn)
-    items = ordered.groupBy("search").agg(F.first("_base").alias("_base"), F.array_sort(F.collect_list(F.struct("turn", "cost"))).alias("_a"))
-    zero = F.struct(F.col("_base").cast("long").alias("used"), F.array().cast("array<int>").alias("kept"))
-    step = lambda a, x: F.when(a["used"] + x["cost"] <= budget, F.struct((a["used"] + x["cost"]).alias("used"), F.array_append(a["kept"], x["turn"]).alias("kept"))).otherwise(a)
-    kept = items.select("search", F.aggregate("_a", zero, step)["kept"].alias("_kept"))
-    out = ordered.join(kept, "search").withColumn("admitted", F.array_contains("_kept", F.col("turn")))
-    return out.withColumn("reason", F.when(~F.col("admitted"), "whole_block_exceeds_input_budget")).drop("_met", "_nth", "_kept", "_base")
+    own = W.partitionBy("search", F.coalesce("product", F.lit(""))).orderBy("first_rank")
+    met = dealt.withColumns({"_met": F.min("first_rank").over(own.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)), "_nth": F.row_number().over(own)})
+    ordered = met.withColumn("turn", F.row_number().over(W.partitionBy("search").orderBy("_nth", "_met"))).drop("_met", "_nth").sortWithinPartitions("search", "turn")
+
+    def run(batches):
+        import pyarrow as pa
+
+        used = None
+        for b in batches:
+            admitted = []
+            for turn, cost, base in zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in ("turn", "cost", "_base"))):
+                used = base if turn == 1 else used
+                admitted.append(used is not None and cost is not None and used + cost <= budget)
+                used = used + cost if admitted[-1] else used
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(admitted, pa.bool_())], [*b.schema.names, "admitted"])
+
+    out = ordered.mapInArrow(run, StructType([*ordered.schema.fields, StructField("admitted", BooleanType())]))
+    return out.withColumn("reason", F.when(~F.col("admitted"), "whole_block_exceeds_input_budget")).drop("_base")
 
 
 def mentions(claims: DataFrame, names: DataFrame) -> DataFrame:
