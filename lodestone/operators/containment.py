@@ -21,12 +21,19 @@ from pyspark.sql import functions as F
 from lodestone.operators.shared import removed, written
 
 GRAM, SPAN = 16, 12
+PIECE, HELD = 1 << 18, 1 << 17  # bytes hashed at once; stretches handed on together
 FEW = 16  # quotes of a key that are searched for one by one
 LEVELS = ((16, 12, 27), (16, 1, 16), (8, 1, 8), (4, 1, 4), (2, 1, 2), (1, 1, 1))  # gram, span, least length of a quote
 
 
 def stretch_hashes(raw: np.ndarray, gram: int, span: int) -> np.ndarray:
-    """Distinct hashes of the kept runs of a byte array; gram is a power of two."""
+    """Distinct hashes of the kept runs of a byte array, piece by piece; gram is a power of two."""
+    more = gram + span - 2
+    pieces = [_piece_hashes(raw[at : at + PIECE + more].astype(np.uint64), gram, span) for at in range(0, max(1, len(raw) - more), PIECE)]
+    return pieces[0] if len(pieces) == 1 else np.unique(np.concatenate(pieces))
+
+
+def _piece_hashes(raw: np.ndarray, gram: int, span: int) -> np.ndarray:
     if len(raw) < gram:
         return np.zeros(0, np.uint64)
     h, size, factor = raw + np.uint64(1), 1, 0x100000001B3
@@ -54,18 +61,19 @@ def _stretches(rows: DataFrame, cols: list[str], text: str, level: str) -> DataF
         import pyarrow as pa
 
         for b in batches:
-            keys, texts, levels = [b.column(i) for i in range(len(cols))], b.column(len(cols)), b.column(len(cols) + 1)
-            which, lv, sh = [], [], []
-            for i, (x, wanted) in enumerate(zip(texts.cast(pa.binary()).to_pylist(), levels.to_pylist())):
-                raw = np.frombuffer(x, np.uint8).astype(np.uint64)
-                for k in wanted:
+            which, lv, sh, held = [], [], [], 0
+            for i in range(b.num_rows):  # a text and its stretches are held as numbers for itself only
+                raw = np.frombuffer(b.column(len(cols))[i].as_buffer() or b"", np.uint8)
+                for k in b.column(len(cols) + 1)[i].as_py():
                     found = stretch_hashes(raw, *LEVELS[k][:2])
-                    which.append(np.full(len(found), i))
+                    which.append(np.full(len(found), i, np.int32))
                     lv.append(np.full(len(found), k, np.int32))
                     sh.append(found.view(np.int64))
-            at = pa.array(np.concatenate(which) if which else np.zeros(0, np.int64))
-            arrays = [c.take(at) for c in keys] + [pa.array(np.concatenate(x) if x else np.zeros(0, t)) for x, t in ((lv, np.int32), (sh, np.int64))]
-            yield pa.RecordBatch.from_arrays(arrays, [*cols, "level", "sh"])
+                    held += len(found)
+                if sh and (held > HELD or i == b.num_rows - 1):
+                    at = pa.array(np.concatenate(which))
+                    yield pa.RecordBatch.from_arrays([b.column(c).take(at) for c in range(len(cols))] + [pa.array(np.concatenate(lv)), pa.array(np.concatenate(sh))], [*cols, "level", "sh"])
+                    which, lv, sh, held = [], [], [], 0
 
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in cols), "level int", "sh long"])
     return rows.select(*cols, text, level).mapInArrow(run, schema)
