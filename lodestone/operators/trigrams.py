@@ -57,8 +57,8 @@ def log_table(model: DataFrame) -> np.ndarray:
     return np.log((n + 0.1) / (np.repeat(n.reshape(-1, SYMBOLS).sum(1), SYMBOLS) + 2.7))
 
 
-def scored(docs: DataFrame, logs: np.ndarray, window: int = WINDOW) -> DataFrame:
-    """doc_id, lm_score (mean over trigrams; 0 without any) and lm_worst (least mean of `window` in a row; the mean of shorter texts)."""
+def scored(docs: DataFrame, logs: np.ndarray, window: int = WINDOW, keep: list[str] | None = None) -> DataFrame:
+    """doc_id, lm_score (mean over trigrams; 0 without any), lm_worst (least mean of `window` in a row; the mean of shorter texts) and the columns to keep."""
 
     def one(text: str) -> tuple[float, float]:
         lp = logs[codes(text)]
@@ -73,6 +73,8 @@ def scored(docs: DataFrame, logs: np.ndarray, window: int = WINDOW) -> DataFrame
 
         for b in batches:
             found = [one(s.as_py()) for s in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in found], pa.float64()), pa.array([y for _, y in found], pa.float64())], ["doc_id", "lm_score", "lm_worst"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in found], pa.float64()), pa.array([y for _, y in found], pa.float64()), *b.columns[2:]], ["doc_id", "lm_score", "lm_worst", *more])
 
-    return docs.select(F.col("doc_id").cast("long"), letters(F.col("text")).alias("s")).mapInArrow(run, "doc_id long, lm_score double, lm_worst double")
+    more, kinds = keep or [], dict(docs.dtypes)
+    schema = ", ".join(["doc_id long, lm_score double, lm_worst double", *(f"`{c}` {kinds[c]}" for c in more)])
+    return docs.select(F.col("doc_id").cast("long"), letters(F.col("text")).alias("s"), *more).mapInArrow(run, schema)
