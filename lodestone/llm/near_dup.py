@@ -178,12 +178,13 @@ def components(edges: DataFrame) -> DataFrame:
     """(id, comp): the smallest id reachable over edges (a, b), by label propagation with shortcuts, one shared-folder table a round. Stars and large components are hot keys of both joins."""
     both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
     labels = cut(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("comp")))
+    hot = cut(both.groupBy("b").count().filter("count > 4096").select("b"))  # the edges stay the same, so their hot keys do
     while True:
-        near = skew_join(both, labels.select(F.col("id").alias("b"), "comp"), ["b"], "inner").groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("_near"))
+        near = skew_join(both, labels.select(F.col("id").alias("b"), "comp"), ["b"], "inner", hot=hot).groupBy(F.col("a").alias("id")).agg(F.min("comp").alias("_near"))
         jump = skew_join(labels.select("id", "comp"), labels.select(F.col("id").alias("comp"), F.col("comp").alias("_further")), ["comp"], "left")
         new = cut(jump.join(near, "id").select("id", F.least("comp", "_near", F.coalesce("_further", "comp")).alias("comp"), F.col("comp").alias("_old")))
         if new.filter("comp != _old").isEmpty():
-            discard(labels, both)
+            discard(labels, both, hot)
             return new.select("id", "comp")
         discard(labels)
         labels = new

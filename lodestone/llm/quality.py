@@ -35,6 +35,7 @@ MEDIAN, REWEIGHT = 3.357, 11.143  # chi-squared, 4 degrees: median and 97.5 %
 FLOORS = (log(6.5 / 6), log1p(0.5), log1p(0.5), log1p(0.5))
 MORE_LINES, MORE_WORDS = 20, 200  # shares of repeats are taken as if the text had so many more: one repeated line in a short text is no evidence
 P, STARTS = 4, ("m", "c")
+GROUPS = 200_000  # languages and sources whose estimates are broadcast
 
 
 def let(value: Column, body) -> Column:
@@ -79,32 +80,32 @@ X = [f"x{i}" for i in range(P)]
 PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
 
 
-def moments(s: str, where: Column | None = None) -> list[Column]:
-    """Mean and covariance sums of start s over the rows where `where` holds."""
-    pick = lambda c: c if where is None else F.when(where, c)
-    return [F.avg(pick(F.col(x))).alias(f"{s}_m{i}") for i, x in enumerate(X)] + [F.covar_pop(pick(F.col(f"x{i}")), F.col(f"x{j}")).alias(f"{s}_s{i}{j}") for i, j in PAIRS]
+def moments(s: str, where: str = "true") -> list[Column]:
+    """Mean and covariance sums of start s over the rows where `where`, a boolean column, holds. As SQL text, like the next two: one call a column instead of one an operator."""
+    pick = lambda x: x if where == "true" else f"CASE WHEN {where} THEN {x} END"
+    return [F.expr(f"avg({pick(x)}) AS {s}_m{i}") for i, x in enumerate(X)] + [F.expr(f"covar_pop({pick(f'x{i}')}, x{j}) AS {s}_s{i}{j}") for i, j in PAIRS]
 
 
-def factor(groups: DataFrame, s: str) -> DataFrame:
-    """Adds the Cholesky factor s_l?? of covariance plus floors and the log determinant s_det. One row per group."""
-    for i in range(P):
-        for j in range(i + 1):
-            a = F.coalesce(F.col(f"{s}_s{i}{j}"), F.lit(0.0)) + (F.lit(FLOORS[i] ** 2) if i == j else F.lit(0.0))
-            for k in range(j):
-                a = a - F.col(f"{s}_l{i}{k}") * F.col(f"{s}_l{j}{k}")
-            groups = groups.withColumn(f"{s}_l{i}{j}", F.sqrt(F.greatest(a, F.lit(1e-12))) if i == j else a / F.col(f"{s}_l{j}{j}"))
-    return groups.withColumn(f"{s}_det", sum((2 * F.log(f"{s}_l{i}{i}") for i in range(P)), F.lit(0.0)))
+def factor(groups: DataFrame, *starts: str) -> DataFrame:
+    """Adds for each start the Cholesky factor s_l?? of covariance plus floors and the log determinant s_det. One row per group; a column of all factors is one projection."""
+
+    def left(s: str, i: int, j: int) -> str:
+        return " - ".join([f"coalesce({s}_s{i}{j}, 0D) + {FLOORS[i] ** 2 if i == j else 0.0!r}D", *[f"{s}_l{i}{k} * {s}_l{j}{k}" for k in range(j)]])
+
+    for j in range(P):
+        groups = groups.select("*", *[F.expr(f"sqrt(greatest({left(s, j, j)}, 1e-12D)) AS {s}_l{j}{j}") for s in starts])
+        if j < P - 1:
+            groups = groups.select("*", *[F.expr(f"({left(s, i, j)}) / {s}_l{j}{j} AS {s}_l{i}{j}") for s in starts for i in range(j + 1, P)])
+    return groups.select("*", *[F.expr(" + ".join(["0D", *[f"2 * ln({s}_l{i}{i})" for i in range(P)]]) + f" AS {s}_det") for s in starts])
 
 
 def distance(s: str) -> Column:
     """Squared Mahalanobis distance by forward substitution."""
-    y: list[Column] = []
+    y: list[str] = []
     for i in range(P):
-        v = F.col(f"x{i}") - F.coalesce(F.col(f"{s}_m{i}"), F.lit(0.0))
-        for j in range(i):
-            v = v - F.col(f"{s}_l{i}{j}") * y[j]
-        y.append(v / F.col(f"{s}_l{i}{i}"))
-    return sum((v * v for v in y), F.lit(0.0))
+        v = " - ".join([f"x{i} - coalesce({s}_m{i}, 0D)", *[f"{s}_l{i}{j} * {y[j]}" for j in range(i)]])
+        y.append(f"(({v}) / {s}_l{i}{i})")
+    return F.expr(" + ".join(["0D", *[f"{v} * {v}" for v in y]]))
 
 
 def bin_of(d: Column) -> Column:
@@ -133,19 +134,19 @@ def estimates(rows: DataFrame, steps: int = STEPS, prior: float = PRIOR) -> Data
     med = rows.groupBy("grp").agg(F.first("_lang").alias("_lang"), F.count(F.lit(1)).alias("_n"), *[F.percentile_approx(x, 0.5).alias(f"m_m{i}") for i, x in enumerate(X)], *moments("c"))
     med = cut(med)
     groups = med.select("grp", "_lang", "_n")
-    mad = sized_join(rows, med.drop("_lang"), ["grp"], "inner").groupBy("grp").agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"m_m{i}")), 0.5).alias(f"_mad{i}") for i, x in enumerate(X)])
-    start = med.drop("_lang", "_n").join(mad, "grp")
-    for i, j in PAIRS:
-        start = start.withColumn(f"m_s{i}{j}", (1.4826 * F.col(f"_mad{i}")) ** 2 if i == j else F.lit(0.0))
-    now = cut(factor(factor(start, "m"), "c"))
+    few = groups.limit(GROUPS + 1).count() <= GROUPS  # every small table below has a row per group: one count proves all
+    with_groups = lambda big, small: big.join(F.broadcast(small) if few else small, "grp")
+    mad = with_groups(rows, med.drop("_lang")).groupBy("grp").agg(*[F.percentile_approx(F.abs(F.col(x) - F.col(f"m_m{i}")), 0.5).alias(f"_mad{i}") for i, x in enumerate(X)])
+    start = med.drop("_lang", "_n").join(mad, "grp").withColumns({f"m_s{i}{j}": (1.4826 * F.col(f"_mad{i}")) ** 2 if i == j else F.lit(0.0) for i, j in PAIRS})
+    now = cut(factor(start, *STARTS))
     for _ in range(steps):
-        near = sized_join(rows, now, ["grp"], "inner").select("grp", *X, *[distance(s).alias(f"{s}_d") for s in STARTS])
-        bins = quantile_bins(near, {s: (F.col(f"{s}_d"), SUBSET) for s in STARTS})
-        inside = sized_join(near, cut(bins), ["grp"], "inner")
-        new = inside.groupBy("grp").agg(*[m for s in STARTS for m in moments(s, bin_of(F.col(f"{s}_d")) <= F.col(f"{s}_bin"))])
-        new = cut(factor(factor(new, "m"), "c"))
-        moved = new.join(now.select("grp", *[F.col(f"{s}_det").alias(f"_{s}") for s in STARTS]), "grp").filter(F.greatest(*[F.abs(F.col(f"{s}_det") - F.col(f"_{s}")) for s in STARTS]) > TOLERANCE)
-        done = moved.isEmpty()
+        near = with_groups(rows, now).select("grp", *X, *[distance(s).alias(f"{s}_d") for s in STARTS], *[F.col(f"{s}_det").alias(f"{s}_was") for s in STARTS])
+        bins = cut(quantile_bins(near, {s: (F.col(f"{s}_d"), SUBSET) for s in STARTS}))
+        inside = with_groups(near, bins).withColumns({f"{s}_in": bin_of(F.col(f"{s}_d")) <= F.col(f"{s}_bin") for s in STARTS})
+        new = inside.groupBy("grp").agg(*[m for s in STARTS for m in moments(s, f"{s}_in")], *[F.first(f"{s}_was").alias(f"{s}_was") for s in STARTS])
+        new = cut(factor(new, *STARTS))
+        done = new.filter(" OR ".join(f"abs({s}_det - {s}_was) > {TOLERANCE}D" for s in STARTS)).isEmpty()
+        discard(bins)
         discard(now)
         now = new
         if done:
@@ -155,12 +156,12 @@ def estimates(rows: DataFrame, steps: int = STEPS, prior: float = PRIOR) -> Data
 
     def scaled(est: DataFrame, s: str) -> DataFrame:
         est = cut(factor(shrunk(est, [f"{s}_{c}" for c in means], prior), s))
-        half = quantile_bins(sized_join(rows, est.drop("_lang", "_n"), ["grp"], "inner").select("grp", distance(s).alias("d")), {"h": (F.col("d"), 0.5)})
+        half = quantile_bins(with_groups(rows, est.drop("_lang", "_n")).select("grp", distance(s).alias("d")), {"h": (F.col("d"), 0.5)})
         own = F.greatest(F.pow(F.lit(2.0), (F.col("h_bin") + 0.5) / 16) / MEDIAN, F.lit(1.0))
         return cut(shrunk(est.join(half, "grp").withColumn(f"{s}_scale", own).drop("h_bin"), [f"{s}_scale"], prior))
 
     raw = scaled(best, "b")
-    kept = sized_join(rows, raw.drop("_lang", "_n"), ["grp"], "inner").groupBy("grp").agg(*moments("r", distance("b") <= REWEIGHT * F.col("b_scale")))
+    kept = with_groups(rows, raw.drop("_lang", "_n")).withColumn("r_in", distance("b") <= REWEIGHT * F.col("b_scale")).groupBy("grp").agg(*moments("r", "r_in"))
     return scaled(kept.join(groups, "grp"), "r")
 
 
