@@ -82,7 +82,7 @@ def multisets_equal(export: DataFrame, stored: DataFrame, keys: list[str], value
     return each.groupBy(*keys).agg(n_export.alias("n_export"), n_stored.alias("n_stored"), state.alias("state"))
 
 
-def islands(df: DataFrame, keys: list[str], order: list[str], start: Column, name: str = "island") -> DataFrame:
+def islands(df: DataFrame, keys: list[str], order: list[str] | list[Column], start: Column, name: str = "island") -> DataFrame:
     """Numbers runs of rows: `start` marks the first row of each."""
     w = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     return df.withColumn(name, F.sum(F.when(start, 1).otherwise(0)).over(w))

@@ -147,11 +147,13 @@ def lines_in_boxes(spark, d):
 g AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY l_orderkey ORDER BY x0, x1 ROWS UNBOUNDED PRECEDING) AS col FROM f)
 SELECT l_orderkey, col::BIGINT AS col, min(x0) AS x0, max(x1) AS x1, count(*) AS n FROM g GROUP BY 1, 2""")
 def merged_columns(spark, d):
-    """Table columns as merged horizontal extents of words."""
-    i = t(spark, d, "lineitem").select("l_orderkey", (F.col("l_partkey") % 200).alias("x0"), (F.col("l_partkey") % 200 + F.col("l_quantity").cast("long")).alias("x1"))
-    w = W.partitionBy("l_orderkey").orderBy("x0", "x1").rowsBetween(W.unboundedPreceding, -1)
+    """Table columns as merged horizontal extents of words; words without a place come last, each a column of its own."""
+    quantity = F.rint(F.col("l_quantity")).cast("long")
+    i = t(spark, d, "lineitem").select("l_orderkey", (F.col("l_partkey") % 200).alias("x0"), (F.col("l_partkey") % 200 + quantity).alias("x1"))
+    order = [F.asc_nulls_last("x0"), F.asc_nulls_last("x1")]
+    w = W.partitionBy("l_orderkey").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
     f = i.withColumn("fresh", F.coalesce(F.col("x0") > F.max("x1").over(w), F.lit(True)))
-    return R.islands(f, ["l_orderkey"], ["x0", "x1"], F.col("fresh"), "col").groupBy("l_orderkey", "col").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.count(F.lit(1)).alias("n"))
+    return R.islands(f, ["l_orderkey"], order, F.col("fresh"), "col").groupBy("l_orderkey", "col").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.count(F.lit(1)).alias("n"))
 
 
 TERMS = {"ation": ["deed", "act"], "ion": ["act", "state"], "er": ["doer"]}
