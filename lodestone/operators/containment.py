@@ -124,3 +124,100 @@ def contained(texts: DataFrame, quotes: DataFrame, key: str | None = None, norm:
     removed(wanted, hits)
     found = both.filter(F.contains("body", "quote")).select("text_id", "quote_id").distinct()
     return found if direct is None else found.unionByName(direct).distinct()
+
+
+BITS, CHUNK = 1 << 23, 1 << 20  # marks of quotes; how many of them travel together
+LONGEST, DEALT = 64, 8  # bytes of a short quote; parts that the texts of one quote are dealt to
+
+
+def _marks(raw: np.ndarray, left: np.ndarray, sizes: list[int], at: np.ndarray):
+    """(size, places, marks) for each size: numbers below BITS for the runs that begin at the places and have so many bytes left."""
+    h = np.zeros(len(at), np.uint64)
+    for j in range(sizes[-1]):
+        go = left[at] > j
+        if not go.all():
+            at, h = at[go], h[go]
+        h = (h ^ (raw[at + j] + np.uint64(1))) * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+        if j + 1 in sizes:
+            keep = yield j + 1, at, ((h ^ (h >> np.uint64(32))) & np.uint64(BITS - 1)).astype(np.int64)
+            if keep is not None:
+                at, h = at[keep], h[keep]
+
+
+def _together(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of a column's values end to end; where each value begins; how many bytes its value has from each place on."""
+    values = column.to_pylist()
+    size = np.array([len(v) for v in values], np.int64)
+    end = np.cumsum(size)
+    return np.frombuffer(b"".join(values), np.uint8), end - size, np.repeat(end, size) - np.arange(end[-1] if len(end) else 0)
+
+
+def _bits(quotes: DataFrame, sizes: list[int], least: int) -> np.ndarray:
+    """Marks of all quotes and of their first `least` bytes, as one field of BITS bits: what reaches the driver does not grow with the quotes."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        bits = np.zeros(BITS, bool)
+        for b in batches:
+            if b.num_rows:
+                raw, start, left = _together(b.column(0))
+                for n, at, mark in _marks(raw, left, sizes, start):
+                    bits[mark if n == least else mark[left[at] == n]] = True
+        has = [i for i in range(BITS // CHUNK) if bits[i * CHUNK : (i + 1) * CHUNK].any()]
+        yield pa.RecordBatch.from_arrays([pa.array(has, pa.int32()), pa.array([np.packbits(bits[i * CHUNK : (i + 1) * CHUNK]).tobytes() for i in has], pa.binary())], ["chunk", "bits"])
+
+    def one(chunk):
+        import pyarrow as pa
+
+        return pa.table({"chunk": chunk["chunk"][:1], "bits": pa.array([np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in chunk["bits"].to_pylist()]).tobytes()], pa.binary())})
+
+    bits = np.zeros(BITS // 8, np.uint8)
+    for r in quotes.mapInArrow(run, "chunk int, bits binary").groupBy("chunk").applyInArrow(one, "chunk int, bits binary").collect():  # BITS / 8 bytes at most
+        bits[r["chunk"] * CHUNK // 8 : (r["chunk"] + 1) * CHUNK // 8] = np.frombuffer(r["bits"], np.uint8)
+    return bits
+
+
+def mentioned(texts: DataFrame, quotes: DataFrame) -> DataFrame:
+    """(text_id, quote): texts that contain a quote. texts: text_id, body; quotes: quote; for many short quotes (codes, names).
+
+    A text's runs of the quotes' sizes are joined with the quotes as they are; a field of marks, of one size however many quotes there are, keeps back nearly
+    all other runs. Joins are shuffled and a quote's texts dealt to several tasks, so neither quotes nor hits reach the driver. Quotes of more than LONGEST bytes go by seeds."""
+    q = quotes.filter("quote != ''").select("quote").distinct()
+    size = F.octet_length("quote")
+    sizes = sorted(r["n"] for r in q.select(F.least(size, F.lit(LONGEST + 1)).alias("n")).distinct().collect())  # 65 values at most
+    longer = contained(texts, q.filter(size > LONGEST).select(F.col("quote").alias("quote_id"), "quote")).select("text_id", F.col("quote_id").alias("quote")) if sizes and sizes[-1] > LONGEST else None
+    sizes = [n for n in sizes if n <= LONGEST]
+    if not sizes:
+        return texts.select("text_id").limit(0).crossJoin(q.limit(0)) if longer is None else longer
+    short, least, kind = q.filter(size <= LONGEST), sizes[0], dict(texts.dtypes)["text_id"]
+    bits = _bits(short.select(F.col("quote").cast("binary")), sizes, least)
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for i in range(0, b.num_rows, 2048):
+                part = b.slice(i, 2048)
+                raw, start, left = _together(part.column(1))
+                rows, found = [], []
+                search = _marks(raw, left, sizes, np.arange(len(raw)))
+                try:
+                    n, at, mark = next(search)
+                    while True:
+                        hit = (bits[mark >> 3] >> (7 - (mark & 7)).astype(np.uint8)) & 1 == 1
+                        whole = raw.tobytes() if not rows else whole
+                        rows.append(np.searchsorted(start, at[hit], "right") - 1)
+                        found += [whole[x : x + n] for x in at[hit].tolist()]
+                        n, at, mark = search.send(hit if n == least else None)  # no quote begins otherwise
+                except StopIteration:
+                    pass
+                if found:
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(np.concatenate(rows))), pa.array(found, pa.binary())], ["text_id", "run"])
+
+    runs = texts.filter("body != ''").select("text_id", F.col("body").cast("binary")).mapInArrow(run, f"text_id {kind}, run binary")
+    dealt = runs.withColumn("_d", F.pmod(F.xxhash64("text_id"), F.lit(DEALT)))
+    known = short.select("quote", F.col("quote").cast("binary").alias("run"), F.explode(F.array(*(F.lit(i).cast("long") for i in range(DEALT)))).alias("_d"))
+    found = dealt.join(known.hint("shuffle_hash"), ["run", "_d"]).select("text_id", "quote").distinct()
+    return found if longer is None else found.unionByName(longer)

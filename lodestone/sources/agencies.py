@@ -251,13 +251,15 @@ def enriched(catalog: DataFrame, curated: DataFrame) -> DataFrame:
 def trials(studies: DataFrame, codes: DataFrame) -> DataFrame:
     """(program_id, nct_id): studies (nct_id, brief_title, official_title, other_ids array, org_id) that mention a code (program_id, code) in normal form.
 
-    Codes are looked up by seeds (operators.containment), so their number is not bounded and no study meets codes that share nothing with it."""
-    from lodestone.operators.containment import contained
+    Codes are short: texts' runs of their sizes meet them as they are (operators.containment), so their number is not bounded, and the programs of a code are
+    joined by shuffles, a code's studies dealt to several tasks; nothing but a field of marks of one size passes through the driver."""
+    from lodestone.operators import containment as CT
 
     text = X.norm_name(F.concat_ws(" ", "brief_title", "official_title", F.array_join("other_ids", " "), "org_id"))
     c = codes.select(F.col("program_id"), X.norm_name(F.col("code")).alias("quote")).distinct()
-    found = contained(studies.select(F.col("nct_id").alias("text_id"), text.alias("body")), c.select("quote", F.col("quote").alias("quote_id")))
-    return found.join(c.withColumnRenamed("quote", "quote_id"), "quote_id").select("program_id", F.col("text_id").alias("nct_id")).distinct()
+    found = CT.mentioned(studies.select(F.col("nct_id").alias("text_id"), text.alias("body")), c).withColumn("_d", F.pmod(F.xxhash64("text_id"), F.lit(CT.DEALT)))
+    of = c.withColumn("_d", F.explode(F.array(*(F.lit(i).cast("long") for i in range(CT.DEALT)))))
+    return found.join(of.hint("shuffle_hash"), ["quote", "_d"]).select("program_id", F.col("text_id").alias("nct_id")).distinct()
 
 
 #: Who speaks by default in a document type and how it is cut.
