@@ -4,8 +4,8 @@ Documents whose sets are equal form a class, found by order-free fingerprints; o
 goes on, so a family of copies costs one set however large it is. Sets travel as byte strings of numbers, not as rows: the representatives' shingles are
 dealt by hash into buckets, where those that a second one has are found; these go back to their documents. A set of which less than
 threshold is shared with anyone meets nothing and ends there. The others meet by a prefix filter: with a set's shingles from the rarest up, two sets that are
-similar enough share one of the first n - ceil(t n) + 1 of both. What two beginnings share bounds what the sets can, and pairs within the bound are confirmed on
-all shared shingles.
+similar enough share one of the first n - ceil(t n) + 1 of both. Where two beginnings meet bounds what the sets can share, and pairs within the bound are confirmed on
+all shared shingles, in squares of two blocks of documents.
 
 A bucket or a group of documents holds about TASK_SHINGLES numbers, whatever the input; a shingle's documents are in one bucket.
 
@@ -226,24 +226,42 @@ def links(sets: DataFrame, shingles: int, threshold: float = 0.6) -> DataFrame:
             for i, j in pieces(m, HELD):
                 h, d, at = numbers(b.column(2).slice(i, j - i)), np.repeat(np.arange(i, j), m[i:j]), np.cumsum(m[i:j]) - m[i:j]
                 left = b.column(3).to_numpy()[d] - (np.arange(len(h)) - np.repeat(at, m[i:j]))  # shared ones behind it
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(0).take(pa.array(d)), b.column(1).take(pa.array(d)), pa.array(left - 1)], ["sh", "u", "n", "left"])
+                pos = np.arange(len(h)) - np.repeat(at, m[i:j])
+                prev = pa.array(np.roll(h, 1).view(np.int64), mask=pos == 0)
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column(0).take(pa.array(d)), b.column(1).take(pa.array(d)), pa.array(left - 1), pa.array(pos), prev], ["sh", "u", "n", "left", "pos", "prev"])
 
-    def common(batches):
+    def common(pairs, sets):
         import pyarrow as pa
 
-        for b in batches:
-            both = [len(np.intersect1d(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), assume_unique=True)) for p, q in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(both, pa.int64())], ["u", "v", "xy", "both"])
+        rank = np.unique(numbers(sets["set"]), return_inverse=True)[1]
+        doc, size = sets["doc"].to_numpy(), sizes_of(sets["set"].combine_chunks()) // 8
+        own = dict(zip(doc.tolist(), np.split(rank, np.cumsum(size)[:-1])))
+        pairs = pairs.sort_by("u")
+        u, v, both, marks = pairs["u"].to_numpy(), pairs["v"].to_numpy().tolist(), [], np.zeros(len(rank), bool)
+        at = np.flatnonzero(np.concatenate([[True], u[1:] != u[:-1], [True]]))
+        for i, j in zip(at[:-1], at[1:]):
+            marks[own[u[i]]] = True
+            others = [own[x] for x in v[i:j]]
+            begin = np.cumsum([0] + [len(x) for x in others[:-1]])
+            both.append(np.add.reduceat(marks[np.concatenate(others)].astype(np.int64), begin))
+            marks[own[u[i]]] = False
+        return pairs.select(["u", "v", "xy"]).append_column("both", pa.array(np.concatenate(both)))
 
     some = written(shared(sets, threshold, shingles))
-    prefix = some.select("u", "n", "first", (F.octet_length("set") / 8).cast("long")).mapInArrow(begun, "sh long, u long, n long, left long")
-    a, b = prefix, prefix.select("sh", F.col("u").alias("v"), F.col("n").alias("m"), F.col("left").alias("_l"))
+    prefix = some.select("u", "n", "first", (F.octet_length("set") / 8).cast("long")).mapInArrow(begun, "sh long, u long, n long, left long, pos long, prev long")
+    a, b = prefix, prefix.select("sh", F.col("u").alias("v"), F.col("n").alias("m"), F.col("left").alias("_l"), F.col("pos").alias("_p"), F.col("prev").alias("_v"))
     met = a.join(b, "sh").filter((F.col("u") < F.col("v")) & (F.least("n", "m") >= threshold * F.greatest("n", "m")))
-    tail = F.least(F.min("left"), F.min("_l"))  # no more can be common behind the last one met
-    near = met.groupBy("u", "v", (F.col("n") + F.col("m")).alias("xy")).agg((F.count(F.lit(1)) + tail).alias("most"))
-    near = written(near.filter(F.col("most") * (1 + threshold) >= threshold * F.col("xy") - 1e-6).select("u", "v", "xy"))
-    whole = some.select("u", "set")
-    sized = near.join(whole.withColumnRenamed("set", "p"), "u").join(whole.select(F.col("u").alias("v"), F.col("set").alias("q")), "v").select("u", "v", "xy", "p", "q").mapInArrow(common, "u long, v long, xy long, both long")
+    met = met.filter(F.coalesce(F.col("prev") != F.col("_v"), F.lit(True)))  # of a run that both have the first one is enough
+    most = F.least("pos", "_p") + 1 + F.least("left", "_l")  # what both can have before, here and behind
+    near = written(met.filter(most * (1 + threshold) >= threshold * (F.col("n") + F.col("m")) - 1e-6).select("u", "v", (F.col("n") + F.col("m")).alias("xy")).distinct())
+    # Pairs are confirmed in squares of two blocks of documents, so a document's set goes once to each square it has pairs in, not to each pair.
+    whole = some.select("u", "set").join(near.select("u").union(near.select("v")).distinct(), "u", "left_semi")
+    held, pairs = whole.agg(F.sum(F.octet_length("set") / 8)).head()[0] or 0, near.count()
+    blocks = int(max(held / TASK_SHINGLES, (pairs / TASK_SHINGLES) ** 0.5)) + 1
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+    square = near.select("u", "v", "xy", block("u").alias("x"), block("v").alias("y"))
+    asked = square.select("x", "y", "u").union(square.select("x", "y", "v")).distinct().join(whole, "u").select("x", "y", "u", "set").toDF("_x", "_y", "doc", "set")
+    sized = square.groupBy("x", "y").cogroup(asked.groupBy("_x", "_y")).applyInArrow(common, "u long, v long, xy long, both long")
     union = F.col("xy") - F.col("both")
     found = written(sized.filter(F.col("both") >= threshold * union).select("u", "v", F.round(F.col("both") / union, 9).alias("jaccard")))
     removed(some, near)
